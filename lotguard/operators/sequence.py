@@ -23,15 +23,16 @@ def number_within(
     order: str,
     out: str = "row_idx",
     block_width: int = DEFAULT_BLOCK_WIDTH,
+    tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Add ``out`` = 0-based position of each row inside its ``by`` group,
-    ordered by the integer column ``order`` (ties broken arbitrarily)."""
+    ordered by the integer column ``order`` then ``tiebreak`` columns."""
     blk = "_seq_blk"
     blocked = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_width)).cast("long"))
     counts = blocked.groupBy(*by, blk).agg(F.count(F.lit(1)).alias("_seq_n"))
     before = Window.partitionBy(*by).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, blk, F.coalesce(F.sum("_seq_n").over(before), F.lit(0)).alias("_seq_off"))
-    local = Window.partitionBy(*by, blk).orderBy(order)
+    local = Window.partitionBy(*by, blk).orderBy(order, *(tiebreak or []))
     numbered = blocked.withColumn("_seq_loc", F.row_number().over(local))
     return (
         numbered.join(offsets, [*by, blk])

@@ -82,7 +82,7 @@ def registration_table(evaluated: DataFrame, which: str) -> DataFrame:
     ])
 
 
-def item_state(evaluated: DataFrame) -> DataFrame:
+def item_state(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Final state per item (technical, rejected, ok, divergent)."""
     ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
     # The consolidated text is a projection of the same row (no join needed).
@@ -97,7 +97,7 @@ def item_state(evaluated: DataFrame) -> DataFrame:
            .when(F.size(_v()) == 0, F.lit(K.MSG_DONE)) \
            .otherwise(truncate_message(F.concat(first, F.lit(": "), descs)))
     return ev.select("item_id", "batch_id", state.alias("datapool_state"), etype.alias("error_type"),
-                     msg.alias("finish_message"))
+                     msg.alias("finish_message"), *keep)
 
 
 def abort_states(states: DataFrame, batch_errors: DataFrame) -> DataFrame:

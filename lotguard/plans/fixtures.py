@@ -42,3 +42,8 @@ def handoff_all(spark: SparkSession, d: str) -> DataFrame:
 def consumer_evaluated(spark: SparkSession, d: str) -> DataFrame:
     """Two-stage path: validation of D4b with the reference it carries."""
     return validate_handoff(handoff_all(spark, d))
+
+
+def published_evaluated(spark: SparkSession, d: str) -> DataFrame:
+    """Two-stage path on the published hand-off only."""
+    return validate_handoff(handoff(spark, d))

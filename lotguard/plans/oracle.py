@@ -320,3 +320,286 @@ SQL["metrics_long"] = CONSUMER + "SELECT batch_id, metrica, valor FROM csum UNPI
     ", ".join(K.SUMMARY_METRICS) + "))"
 SQL["not_valid_keys"] = CONSUMER + \
     f"SELECT item_id FROM handoff_all WHERE {_EXCL} OR item_id IN (SELECT item_id FROM cviol)"
+
+
+# --- landing -------------------------------------------------------------------
+_DAY = "CAST(substr(reference_date, 1, 2) AS INTEGER)"
+_CONTRACT_LIST = "[" + ", ".join(q(c) for c in K.CONTRACT_COLUMNS) + "]"
+
+SQL["sheet_to_table"] = BASE + f"""
+SELECT batch_id, row_idx, {", ".join(K.CONTRACT_COLUMNS)} FROM lots
+UNION ALL
+SELECT batch_id, CAST(count(*) AS INTEGER), 'Total', CAST(count(*) AS VARCHAR),
+  NULL, NULL, NULL, NULL, NULL, NULL
+FROM lots WHERE {_DAY} = 9 GROUP BY batch_id"""
+SQL["declared_total_cap"] = BASE + f"""
+SELECT batch_id,
+  CAST(CASE WHEN any_value({_DAY}) = 9 THEN NULL ELSE count(*) + CASE WHEN any_value({_DAY}) = 11 THEN 1 ELSE 0 END END AS INTEGER) AS declared,
+  CAST(count(*) + CASE WHEN any_value({_DAY}) = 9 THEN 1 ELSE 0 END AS BIGINT) AS kept_rows
+FROM lots GROUP BY batch_id"""
+SQL["reference_date"] = BASE + f"""
+SELECT DISTINCT batch_id, CASE WHEN {_DAY} = 21 THEN '' ELSE reference_date END AS reference_date FROM lots"""
+_HDR = f"""
+hdr0 AS (SELECT DISTINCT batch_id, {_DAY} AS dd FROM lots),
+hdr AS (
+  SELECT batch_id,
+    CASE WHEN dd IN (3, 7) THEN list_filter({_CONTRACT_LIST}, lambda x: x <> 'status') ELSE {_CONTRACT_LIST} END
+    || CASE WHEN dd IN (5, 7) THEN ['extra'] ELSE [] END AS header
+  FROM hdr0
+),
+hdr_chk AS (
+  SELECT batch_id,
+    list_sort(list_filter({_CONTRACT_LIST}, lambda x: NOT list_contains(header, x))) AS miss,
+    list_sort(list_filter(header, lambda x: NOT list_contains({_CONTRACT_LIST}, x))) AS extra
+  FROM hdr
+),
+structure AS (
+  SELECT batch_id, (len(miss) = 0 AND len(extra) = 0) AS ok,
+    CASE WHEN len(miss) = 0 AND len(extra) = 0 THEN ''
+         ELSE {q(K.STRUCTURE_PREFIX)} || concat_ws('; ',
+           CASE WHEN len(miss) > 0 THEN {q(K.MISSING_LABEL)} || array_to_string(miss, ', ') END,
+           CASE WHEN len(extra) > 0 THEN {q(K.EXTRA_LABEL)} || array_to_string(extra, ', ') END) END AS message
+  FROM hdr_chk
+)"""
+SQL["structure_check"] = with_(LOTS, _HDR) + "SELECT batch_id, ok, message FROM structure"
+SQL["fingerprint"] = """
+SELECT doc_id, sha256(text) AS sha256, md5(text) AS md5, 'batch-' || substr(sha256(text), 1, 16) AS batch_id
+FROM documents"""
+
+# --- queue ------------------------------------------------------------------------
+_QUEUE = """
+qs AS (
+  SELECT strftime(strptime(reference_date, '%d/%m/%Y'), '%Y-%m') AS queue_id,
+    CAST(strftime(strptime(reference_date, '%d/%m/%Y'), '%Y%m%d') AS BIGINT) * 1000000 + source_row AS seq,
+    item_id, batch_id, source_row,
+    CASE WHEN CAST(substr(reference_date, 1, 2) AS INTEGER) = 13 THEN batch_total + 1 ELSE batch_total END AS batch_total
+  FROM handoff
+),
+qn AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY seq) - 1 AS pos FROM qs),
+qb AS (
+  SELECT queue_id, batch_id, count(*) AS size, max(batch_total) AS need, min(seq) AS first_seq,
+    arg_min(item_id, seq) AS first_item
+  FROM qs GROUP BY queue_id, batch_id
+),
+qp AS (
+  SELECT batch_id, size, need,
+    lead(batch_id) OVER (PARTITION BY queue_id ORDER BY first_seq) AS next_batch,
+    lead(first_item) OVER (PARTITION BY queue_id ORDER BY first_seq) AS next_item
+  FROM qb
+),
+reads AS (
+  SELECT 'task-' || qn.batch_id AS task_id, qn.item_id, qn.batch_id, FALSE AS is_foreign
+  FROM qn JOIN qp USING (batch_id) WHERE qn.pos < qp.need
+  UNION ALL
+  SELECT 'task-' || batch_id, next_item, next_batch, TRUE FROM qp WHERE need > size AND next_item IS NOT NULL
+),
+integ0 AS (
+  SELECT r.task_id, substr(r.task_id, 6) AS batch_id, count_if(NOT r.is_foreign) AS own,
+    bool_or(r.is_foreign) AS has_foreign, max(CASE WHEN r.is_foreign THEN r.batch_id END) AS foreign_batch
+  FROM reads r GROUP BY r.task_id
+),
+integ AS (
+  SELECT i.task_id, i.batch_id,
+    CASE WHEN has_foreign THEN 'foreign_item' WHEN own <> p.need THEN 'incomplete' END AS problem,
+    CASE WHEN has_foreign THEN 'Item do lote ''' || foreign_batch || ''' recebido durante o lote ''' || i.batch_id || '''.'
+         WHEN own <> p.need THEN 'Lote incompleto: esperados ' || CAST(p.need AS VARCHAR) || ', recebidos ' || CAST(own AS VARCHAR) || '.'
+    END AS message
+  FROM integ0 i JOIN qp p USING (batch_id)
+)"""
+
+_PUB = with_(
+    LOTS, OUTCOMES, HANDOFF,
+    ev_cte("pev", "handoff"),
+    viol_cte("pviol", "pev", "item_id, lote_id, batch_id"),
+    cons_cte("pcons", "pviol", "item_id, lote_id, batch_id"),
+).rstrip("\n") + "," + _QUEUE + "," + f"""
+pstate AS (
+  SELECT h.item_id, h.batch_id,
+    CASE WHEN c.item_id IS NOT NULL THEN 'ERROR' ELSE 'DONE' END AS datapool_state,
+    CASE WHEN c.item_id IS NOT NULL THEN 'BUSINESS' ELSE '' END AS error_type,
+    CASE WHEN c.item_id IS NULL THEN {q(K.MSG_DONE)}
+         ELSE left(c.regra_violada || ': ' || c.descricao_do_erro, 1000) END AS finish_message
+  FROM handoff h LEFT JOIN pcons c ON c.item_id = h.item_id
+)
+"""
+SQL["bounded_queue_read"] = _PUB + "SELECT task_id, item_id FROM reads"
+SQL["batch_integrity"] = _PUB + "SELECT task_id, batch_id, problem, message FROM integ WHERE problem IS NOT NULL"
+SQL["processed_state"] = _PUB + """
+SELECT item_id, datapool_state, error_type, finish_message FROM pstate
+WHERE batch_id NOT IN (SELECT batch_id FROM integ WHERE problem IS NOT NULL)"""
+SQL["still_pending"] = _PUB + """
+SELECT DISTINCT batch_id FROM handoff WHERE batch_id IN (SELECT batch_id FROM integ WHERE problem IS NOT NULL)"""
+SQL["dedupe_items"] = FULL + "SELECT item_id, batch_id, source_row FROM handoff"
+SQL["duplicate_items"] = FULL + "SELECT item_id, CAST(2 AS BIGINT) AS n FROM handoff WHERE source_row % 5 = 0"
+SQL["abort_states"] = CONSUMER.rstrip("\n") + "," + _HDR + """
+SELECT s.item_id,
+  CASE WHEN st.ok = FALSE THEN 'ERROR' ELSE s.datapool_state END AS datapool_state,
+  CASE WHEN st.ok = FALSE THEN 'SYSTEM' ELSE s.error_type END AS error_type,
+  CASE WHEN st.ok = FALSE THEN left(st.message, 1000) ELSE s.finish_message END AS finish_message
+FROM cstate s LEFT JOIN structure st USING (batch_id)"""
+
+# --- stored copies ------------------------------------------------------------
+_STORED = """
+d5b AS (
+  SELECT lote_id, produto, linha, turno, status, responsavel, data, observacao, item_id,
+    CAST(substr(lote_id, 4) AS BIGINT) AS k, CAST(strptime(reference_date, '%d/%m/%Y') AS TIMESTAMP) AS dday
+  FROM handoff WHERE CAST(substr(lote_id, 4) AS BIGINT) % 29 <> 3
+),
+d5 AS (
+  SELECT item_id || '#0' AS id, lote_id, produto, CASE WHEN k % 31 = 4 THEN 'L9' ELSE linha END AS linha,
+    turno, status, responsavel, data, observacao,
+    strftime(dday + to_minutes(CAST(k % 1440 AS BIGINT)), '%Y-%m-%dT%H:%M:%S') AS criadoEm
+  FROM d5b
+  UNION ALL
+  SELECT item_id || '#1', lote_id || '-X', produto, linha, turno, status, responsavel, data, observacao,
+    strftime(dday + to_minutes(CAST(k % 1440 AS BIGINT)), '%Y-%m-%dT%H:%M:%S')
+  FROM d5b WHERE k % 71 = 5
+  UNION ALL
+  SELECT item_id || '#2', lote_id, produto, 'L8', turno, status, responsavel, data, observacao,
+    strftime(dday + to_minutes(CAST(k % 1440 AS BIGINT)) - INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S')
+  FROM d5b WHERE k % 67 = 6
+),
+lat AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY lote_id ORDER BY criadoEm DESC) AS rn FROM d5) WHERE rn = 1
+)"""
+_FIELDS7 = [c for c in K.CONTRACT_COLUMNS if c != "lote_id"]
+_RECON = " UNION ALL ".join(
+    f"SELECT h.lote_id, 'diff' AS side, '{c}' AS campo, h.{c} AS esperado, l.{c} AS salvo "
+    f"FROM handoff h JOIN lat l ON l.lote_id = h.lote_id WHERE h.{c} IS DISTINCT FROM l.{c}"
+    for c in _FIELDS7
+)
+SQL["readback_reconcile"] = FULL.rstrip("\n") + "," + _STORED + f"""
+SELECT * FROM ({_RECON})
+UNION ALL
+SELECT lote_id, 'missing', '*', NULL, NULL FROM handoff WHERE lote_id NOT IN (SELECT lote_id FROM lat)
+UNION ALL
+SELECT lote_id, 'extra', '*', NULL, NULL FROM lat WHERE lote_id NOT IN (SELECT lote_id FROM handoff)"""
+SQL["latest_stored"] = FULL.rstrip("\n") + "," + _STORED + "\nSELECT lote_id, criadoEm, linha FROM lat"
+SQL["stored_lots"] = FULL.rstrip("\n") + "," + _STORED + """
+SELECT id, lote_id, produto, linha, turno, status, responsavel, data, observacao, criadoEm FROM d5"""
+
+# --- runs and events ------------------------------------------------------------
+_EVENTS = """
+WITH rev AS (
+  SELECT event_id, 'exec-' || CAST(user_id % 10 AS VARCHAR) AS execution_id,
+    CASE WHEN event_id % 500 = 0 THEN 'bot-b' ELSE 'bot-a' END AS bot_id, ts
+  FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'
+)
+"""
+SQL["run_events_window"] = _EVENTS + "SELECT execution_id, CAST(count(*) AS BIGINT) AS n FROM rev GROUP BY 1"
+SQL["verify_log_context"] = _EVENTS + \
+    "SELECT execution_id, CAST(count(*) AS BIGINT) AS n, bool_and(bot_id = 'bot-a') AS ok FROM rev GROUP BY 1"
+SQL["report_versions"] = """
+WITH r AS (
+  SELECT event_id AS run_key,
+    CASE WHEN event_type = 'error' THEN 'relatorio_erros_fluxo_produtor' ELSE 'relatorio_divergencias' END AS report,
+    strftime(ts - INTERVAL 4 HOUR, '%d%m%Y') AS day, ts
+  FROM events
+),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY report, day ORDER BY ts, run_key) AS INTEGER) AS run_no FROM r)
+SELECT run_key, report, day, run_no,
+  report || '_' || day || CASE WHEN run_no > 1 THEN '_' || CAST(run_no AS VARCHAR) ELSE '' END || '.xlsx' AS file_name
+FROM n"""
+
+_LVIOL = viol_cte("lviol", "ev", "item_id, lote_id, lot_key")
+SQL["normalise_report_rows"] = with_(LOTS, ev_cte("ev", "lots"), _LVIOL) + f"""
+SELECT coalesce(lote_id, '') AS lote_id,
+  CASE WHEN lot_key % 6 IN (0, 1, 4) THEN regra_violada
+       WHEN lot_key % 6 = 2 AND regra_violada <> 'RN01' THEN regra_violada
+       WHEN lot_key % 6 = 3 AND regra_violada = 'RN02' THEN 'RN02'
+       ELSE {q(K.UNCLASSIFIED_RULE)} END AS regra_violada,
+  CASE WHEN lot_key % 6 IN (0, 1, 4) THEN descricao_do_erro
+       WHEN lot_key % 6 = 2 AND regra_violada <> 'RN01' THEN descricao_do_erro
+       WHEN lot_key % 6 = 3 AND regra_violada = 'RN02' THEN rtrim(descricao_do_erro, '.')
+       ELSE {q(K.NO_DESCRIPTION)} END AS descricao_do_erro,
+  CASE WHEN lot_key % 6 IN (0, 4) THEN acao_recomendada ELSE {q(K.DEFAULT_ACTION)} END AS acao_recomendada,
+  CASE WHEN lot_key % 6 IN (0, 4) THEN severidade ELSE {q(K.SEV_MEDIUM)} END AS severidade
+FROM lviol"""
+
+SQL["audit_events"] = CONSUMER + """
+SELECT item_id, 'produtor' AS stage,
+  CASE cadastro_status WHEN 'SUCESSO' THEN 'INFO' WHEN 'REJEITADO_NEGOCIO' THEN 'WARNING' ELSE 'ERROR' END AS level,
+  CASE WHEN cadastro_status = 'SUCESSO' THEN 'CADASTRO_WEB_CONCLUIDO evidencia=' || evidence_path
+       WHEN cadastro_status = 'REJEITADO_NEGOCIO' THEN 'CADASTRO_WEB_REJEITADO evidencia=' || evidence_path || ' motivo=' || cadastro_error
+       WHEN starts_with(cadastro_error, 'TIMEOUT: ') THEN 'TIMEOUT_AO_CARREGAR_COMPROVANTE evidencia=' || evidence_path || ' erro=' || substr(cadastro_error, 10)
+       ELSE 'CADASTRO_WEB_FALHOU erro=' || cadastro_error || ' evidencia=' || evidence_path END AS event
+FROM outcomes_p
+UNION ALL
+SELECT s.item_id, 'validador',
+  CASE WHEN s.error_type = 'SYSTEM' THEN 'ERROR' WHEN s.datapool_state = 'DONE' THEN 'INFO' ELSE 'WARNING' END,
+  CASE WHEN s.error_type = 'SYSTEM' THEN 'ITEM_CADASTRO_FALHA_TECNICA'
+       WHEN h.cadastro_status = 'REJEITADO_NEGOCIO' THEN 'ITEM_CADASTRO_REJEITADO'
+       WHEN s.datapool_state = 'DONE' THEN 'ITEM_VALIDADO_OK'
+       ELSE 'ITEM_VALIDADO_NOK regras=' || c.regra_violada END
+FROM cstate s JOIN handoff_all h USING (item_id) LEFT JOIN ccons c ON c.item_id = s.item_id"""
+
+_PSUM = """
+psum AS (
+  SELECT batch_id, count(*) AS total, count_if(cadastro_status = 'SUCESSO') AS pub,
+    count_if(cadastro_status <> 'SUCESSO') AS errs
+  FROM outcomes GROUP BY batch_id
+)"""
+SQL["run_status"] = CONSUMER.rstrip("\n") + "," + _PSUM + """
+SELECT p.batch_id,
+  CASE WHEN p.pub = 0 THEN 'FAILED' WHEN p.errs > 0 THEN 'PARTIALLY_COMPLETED' ELSE 'SUCCESS' END AS producer_status,
+  CASE WHEN c.total_falhas_tecnicas > 0 THEN 'PARTIALLY_COMPLETED' ELSE 'SUCCESS' END AS consumer_status
+FROM psum p FULL OUTER JOIN csum c USING (batch_id)"""
+SQL["run_totals"] = CONSUMER.rstrip("\n") + "," + _PSUM + """
+SELECT batch_id, 'produtor' AS stage, CAST(total AS BIGINT) AS total_items, CAST(errs AS BIGINT) AS failed_items,
+  CAST(total - errs AS BIGINT) AS processed_items FROM psum
+UNION ALL
+SELECT batch_id, 'validador', CAST(count(*) AS BIGINT), CAST(count(*) - count_if(datapool_state = 'DONE') AS BIGINT),
+  CAST(count_if(datapool_state = 'DONE') AS BIGINT) FROM cstate GROUP BY batch_id"""
+SQL["run_records"] = with_(LOTS, ev_cte("ev", "lots"), viol_cte("viol", "ev"), _HDR) + """
+SELECT l.batch_id, any_value(l.source_file) AS arquivo_processado,
+  CAST(CASE WHEN any_value(s.ok) THEN count(*) ELSE 0 END AS BIGINT) AS total_registros,
+  CAST(CASE WHEN any_value(s.ok) THEN count(DISTINCT v.item_id) ELSE 0 END AS BIGINT) AS total_divergencias,
+  CASE WHEN any_value(s.ok) THEN 'SUCESSO' ELSE 'ERRO_ESTRUTURA' END AS status_execucao,
+  CASE WHEN any_value(s.ok) THEN NULL ELSE any_value(s.message) END AS erro
+FROM lots l JOIN structure s USING (batch_id) LEFT JOIN (SELECT DISTINCT item_id FROM viol) v USING (item_id)
+GROUP BY l.batch_id"""
+SQL["all_exceptions"] = _PUB + """
+SELECT item_id, 'produtor' AS origin FROM outcomes WHERE cadastro_status <> 'SUCESSO'
+UNION ALL SELECT item_id, 'validador' FROM pcons"""
+SQL["verify_run"] = _PUB + """,
+vp AS (
+  SELECT batch_id, count(*) AS n_rows, count_if(cadastro_status = 'SUCESSO') AS published,
+    count_if(cadastro_status = 'REJEITADO_NEGOCIO') AS rejected,
+    count_if(evidence_name <> '' AND evidence_path <> '') AS n_named,
+    count_if(starts_with(evidence_name, 'comprovante_')) AS n_comprovante,
+    count_if(starts_with(evidence_name, 'rejeicao_')) AS n_rejeicao
+  FROM outcomes_p GROUP BY batch_id
+),
+vc AS (
+  SELECT s.batch_id, count(*) AS n_states, count_if(datapool_state = 'PROCESSING') AS n_processing,
+    count_if(datapool_state = 'DONE') AS n_done, count_if(datapool_state = 'ERROR') AS n_error,
+    count_if(error_type = 'BUSINESS') AS n_business, count(c.item_id) AS n_divergent
+  FROM pstate s LEFT JOIN pcons c USING (item_id) GROUP BY s.batch_id
+),
+vb AS (
+  SELECT p.*, coalesce(c.n_states, 0) AS n_states, coalesce(c.n_processing, 0) AS n_processing,
+    coalesce(c.n_done, 0) AS n_done, coalesce(c.n_error, 0) AS n_error, coalesce(c.n_business, 0) AS n_business,
+    coalesce(c.n_divergent, 0) AS n_divergent
+  FROM vp p LEFT JOIN vc c USING (batch_id)
+),
+vl AS (
+  SELECT batch_id, 'publicados_processados' AS "check", published AS expected, n_states AS actual FROM vb
+  UNION ALL SELECT batch_id, 'sem_processing', 0, n_processing FROM vb
+  UNION ALL SELECT batch_id, 'done_mais_error', n_states, n_done + n_error FROM vb
+  UNION ALL SELECT batch_id, 'divergentes_business', n_divergent, n_business FROM vb
+  UNION ALL SELECT batch_id, 'evidencias_nomeadas', n_rows, n_named FROM vb
+  UNION ALL SELECT batch_id, 'evidencias_comprovante', published, n_comprovante FROM vb
+  UNION ALL SELECT batch_id, 'evidencias_rejeicao', rejected, n_rejeicao FROM vb
+)
+SELECT batch_id, "check", CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual,
+  CAST(expected AS BIGINT) = CAST(actual AS BIGINT) AS ok
+FROM vl"""
+SQL["guarded_rule"] = BASE + """
+SELECT item_id,
+  CASE WHEN try_strptime(data, '%d/%m/%Y') IS NULL THEN 'ERRO_PROCESSAMENTO' ELSE 'RN01_FUTURA' END AS regra_violada
+FROM lots
+WHERE try_strptime(data, '%d/%m/%Y') IS NULL
+   OR CAST(try_strptime(data, '%d/%m/%Y') AS DATE) > CAST(strptime(reference_date, '%d/%m/%Y') AS DATE)"""
+SQL["evidence_coverage"] = with_(LOTS, OUTCOMES) + """
+SELECT item_id, evidence_name, (lot_key % 61 <> 12) AS listed FROM outcomes_p"""

@@ -185,3 +185,274 @@ def q_metrics_long(spark, d):
 @register("not_valid_keys")
 def q_not_valid_keys(spark, d):
     return VAL.not_valid_keys(FX.consumer_evaluated(spark, d))
+
+
+# --- landing (D6, D9, documents) ------------------------------------------------
+
+from lotguard.operators import landing as L  # noqa: E402
+from lotguard.operators import queue as QU  # noqa: E402
+from lotguard.operators import report as RP  # noqa: E402
+from lotguard.operators import runs as RU  # noqa: E402
+from lotguard.sources import testdata as td  # noqa: E402
+from lotguard.sources.tables import read_table  # noqa: E402
+
+
+@register("sheet_to_table")
+def q_sheet_to_table(spark, d):
+    return L.sheet_to_table(td.sheet_grid(FX.lots(spark, d))).drop("sheet_row")
+
+
+@register("declared_total_cap")
+def q_declared_total_cap(spark, d):
+    grid = td.sheet_grid(FX.lots(spark, d))
+    kept = L.sheet_to_table(grid).groupBy("batch_id").agg(F.count(F.lit(1)).alias("kept_rows"))
+    return L.declared_totals(grid).join(kept, "batch_id", "left") \
+        .select("batch_id", "declared", F.coalesce("kept_rows", F.lit(0)).alias("kept_rows"))
+
+
+@register("reference_date")
+def q_reference_date(spark, d):
+    return L.sheet_reference_dates(td.sheet_grid(FX.lots(spark, d)))
+
+
+@register("structure_check")
+def q_structure_check(spark, d):
+    return L.structure_check(td.headers(FX.lots(spark, d)))
+
+
+@register("fingerprint")
+def q_fingerprint(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return docs.select("doc_id", *L.fingerprint("text"))
+
+
+# --- queue, pending, uniqueness (D4, D8) ------------------------------------------
+
+def _queue(spark, d):
+    return td.queue_session(FX.handoff(spark, d))
+
+
+@register("bounded_queue_read")
+def q_bounded_queue_read(spark, d):
+    return QU.bounded_read(_queue(spark, d)).select("task_id", "item_id")
+
+
+@register("batch_integrity")
+def q_batch_integrity(spark, d):
+    return QU.batch_integrity(_queue(spark, d))
+
+
+def _failed_batches(spark, d):
+    return QU.batch_integrity(_queue(spark, d)).select("batch_id", F.col("message").alias("error"))
+
+
+@register("processed_state")
+def q_processed_state(spark, d):
+    """K3: final states of the batches whose consumption succeeded."""
+    states = VAL.item_state(FX.published_evaluated(spark, d))
+    ok = states.join(_failed_batches(spark, d), "batch_id", "left_anti")
+    return ok.select("item_id", "datapool_state", "error_type", "finish_message")
+
+
+@register("still_pending")
+def q_still_pending(spark, d):
+    pending = FX.handoff(spark, d).select("batch_id")
+    processed = pending.distinct().join(_failed_batches(spark, d), "batch_id", "left_anti")
+    return QU.still_pending(pending, processed)
+
+
+@register("abort_states")
+def q_abort_states(spark, d):
+    """A failed consumer run (structure error of the sheet) turns every
+    item of its batch into ERROR/SYSTEM with the run's error text."""
+    states = VAL.item_state(FX.consumer_evaluated(spark, d))
+    errors = L.structure_check(td.headers(FX.lots(spark, d))).where(~F.col("ok")) \
+        .select("batch_id", F.col("message").alias("error"))
+    return VAL.abort_states(states, errors)
+
+
+def _with_copies(spark, d):
+    h = FX.handoff(spark, d)
+    return h.unionByName(h.where(F.col("source_row") % 5 == 0))
+
+
+@register("dedupe_items")
+def q_dedupe_items(spark, d):
+    return QU.dedupe_items(_with_copies(spark, d)).select("item_id", "batch_id", "source_row")
+
+
+@register("duplicate_items")
+def q_duplicate_items(spark, d):
+    return QU.duplicate_items(_with_copies(spark, d))
+
+
+# --- stored copies and read-back (D4, D5) ---------------------------------------
+
+def _stored(spark, d):
+    return td.stored(FX.handoff(spark, d))
+
+
+@register("readback_reconcile")
+def q_readback_reconcile(spark, d):
+    return A.reconcile(FX.handoff(spark, d), _stored(spark, d))
+
+
+@register("latest_stored")
+def q_latest_stored(spark, d):
+    return A.latest_stored(_stored(spark, d).select("lote_id", "criadoEm", "linha"))
+
+
+@register("stored_lots")
+def q_stored_lots(spark, d):
+    from lotguard.sources.stored import parse_stored
+
+    return parse_stored(td.stored_json(_stored(spark, d)))
+
+
+# --- runs, events, reports -------------------------------------------------------
+
+def _events(spark, d):
+    return RU.events_since(td.run_events(spark, d), td.RUN_STARTED_AT)
+
+
+@register("run_events_window")
+def q_run_events_window(spark, d):
+    return _events(spark, d).groupBy("execution_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("verify_log_context")
+def q_verify_log_context(spark, d):
+    return RU.log_context(_events(spark, d), "bot-a")
+
+
+@register("report_versions")
+def q_report_versions(spark, d):
+    ev = read_table(spark, d, "events", ["event_id", "ts", "event_type"])
+    runs = ev.select(
+        F.col("event_id").alias("run_key"),
+        F.when(F.col("event_type") == "error", F.lit("relatorio_erros_fluxo_produtor"))
+         .otherwise(F.lit("relatorio_divergencias")).alias("report"),
+        F.col("ts").alias("started_at"),
+    )
+    return RP.report_versions(runs)
+
+
+@register("normalise_report_rows")
+def q_normalise_report_rows(spark, d):
+    return RP.normalise_report_rows(td.loose_divergences(FX.evaluated(spark, d)))
+
+
+@register("audit_events")
+def q_audit_events(spark, d):
+    states = VAL.item_state(FX.consumer_evaluated(spark, d), keep=("cadastro_status",))
+    return RU.audit_events(FX.outcomes(spark, d), states)
+
+
+@register("run_status")
+def q_run_status(spark, d):
+    prod = A.producer_summary(FX.outcomes(spark, d)).select("batch_id", RU.producer_run_status().alias("producer_status"))
+    cons = VAL.consumer_run_status(VAL.validation_summary(FX.consumer_evaluated(spark, d))) \
+        .withColumnRenamed("status", "consumer_status")
+    return prod.join(cons, "batch_id", "full_outer")
+
+
+_PRODUCER_KEYS = ["total", "itens_publicados_datapool", "erros_fluxo", "cadastros_sucesso",
+                  "cadastros_rejeitados", "cadastros_falha_tecnica", "cadastros_falha"]
+
+
+@register("run_totals")
+def q_run_totals(spark, d):
+    prod = A.producer_summary(FX.outcomes(spark, d))
+    prod_m = prod.select("batch_id", F.lit("produtor").alias("stage"),
+                         RU.summary_map(prod, _PRODUCER_KEYS).alias("summary"))
+    ev = FX.consumer_evaluated(spark, d)
+    cons = VAL.validation_summary(ev).join(VAL.item_metrics(VAL.item_state(ev)), "batch_id")
+    keys = list(K.SUMMARY_METRICS) + ["total_items", "processed_items", "failed_items"]
+    cons_m = cons.select("batch_id", F.lit("validador").alias("stage"), RU.summary_map(cons, keys).alias("summary"))
+    return RU.run_totals(prod_m.unionByName(cons_m))
+
+
+@register("run_records")
+def q_run_records(spark, d):
+    """K7/G6 direct path: one run record per sheet; a sheet whose header
+    breaks the contract ends in ERRO_ESTRUTURA with zero totals."""
+    ev = FX.evaluated(spark, d)
+    agg = ev.groupBy("batch_id").agg(
+        F.first("source_file").alias("arquivo_processado"),
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.size("violations") > 0).alias("_d"),
+    )
+    check = L.structure_check(td.headers(FX.lots(spark, d)))
+    j = agg.join(check, "batch_id")
+    ok = F.col("ok")
+    return j.select(
+        "batch_id", "arquivo_processado",
+        F.when(ok, F.col("_n")).otherwise(F.lit(0).cast("long")).alias("total_registros"),
+        F.when(ok, F.col("_d")).otherwise(F.lit(0).cast("long")).alias("total_divergencias"),
+        F.when(ok, F.lit("SUCESSO")).otherwise(F.lit("ERRO_ESTRUTURA")).alias("status_execucao"),
+        F.when(ok, F.lit(None).cast("string")).otherwise(F.col("message")).alias("erro"),
+    )
+
+
+@register("all_exceptions")
+def q_all_exceptions(spark, d):
+    prod = A.flow_errors(FX.outcomes(spark, d)).select("item_id", F.lit("produtor").alias("origin"))
+    cons = R.consolidate(FX.published_evaluated(spark, d), keys=["item_id"]) \
+        .select("item_id", F.lit("validador").alias("origin"))
+    return prod.unionByName(cons)
+
+
+_CHECKS = [
+    ("publicados_processados", "published", "n_states"),
+    ("sem_processing", "0", "n_processing"),
+    ("done_mais_error", "n_states", "n_done + n_error"),
+    ("divergentes_business", "n_divergent", "n_business"),
+    ("evidencias_nomeadas", "n_rows", "n_named"),
+    ("evidencias_comprovante", "published", "n_comprovante"),
+    ("evidencias_rejeicao", "rejected", "n_rejeicao"),
+]
+
+
+@register("verify_run")
+def q_verify_run(spark, d):
+    out = FX.outcomes(spark, d)
+    st = F.col("cadastro_status")
+    name = F.col("evidence_name")
+    prod = out.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(st == K.OUTCOME_SUCCESS).alias("published"),
+        F.count_if(st == K.OUTCOME_REJECTED).alias("rejected"),
+        F.count_if((name != "") & (F.col("evidence_path") != "")).alias("n_named"),
+        F.count_if(name.startswith(K.EVIDENCE_OK)).alias("n_comprovante"),
+        F.count_if(name.startswith(K.EVIDENCE_REJECTED)).alias("n_rejeicao"),
+    )
+    ev = FX.published_evaluated(spark, d)
+    states = VAL.item_state(ev, keep=("violations",))
+    s = F.col("datapool_state")
+    cons = states.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_states"),
+        F.count_if(s == K.STATE_PROCESSING).alias("n_processing"),
+        F.count_if(s == K.STATE_DONE).alias("n_done"),
+        F.count_if(s == K.STATE_ERROR).alias("n_error"),
+        F.count_if(F.col("error_type") == K.ERROR_BUSINESS).alias("n_business"),
+        F.count_if(F.size("violations") > 0).alias("n_divergent"),
+    )
+    zero = {c: 0 for c in ["n_states", "n_processing", "n_done", "n_error", "n_business", "n_divergent"]}
+    both = prod.join(cons, "batch_id", "left").fillna(zero)
+    return RU.verification(both, _CHECKS)
+
+
+@register("guarded_rule")
+def q_guarded_rule(spark, d):
+    """A user rule whose predicate cannot be evaluated for a row yields
+    the controlled-failure violation instead of aborting."""
+    rule = R.Rule("RN01_FUTURA", 7, F.try_to_date("data", "d/M/yyyy") > F.col("_ref_day"),
+                  F.lit("Data posterior à referência."), K.RN01_ACTION, K.SEV_MEDIUM, guarded=True)
+    ev = R.evaluate(FX.lots(spark, d), None, rules=[rule])
+    return R.violations_long(ev, keys=["item_id"]).select("item_id", "regra_violada")
+
+
+@register("evidence_coverage")
+def q_evidence_coverage(spark, d):
+    out = FX.outcomes(spark, d)
+    return A.evidence_coverage(out, td.evidence_listing(out))

@@ -104,3 +104,199 @@ def reference_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     keys = read_table(spark, sf_dir, "lineitem", ["l_orderkey"]).distinct()
     return keys.select(lot_code("l_orderkey").alias("lote_id"))
+
+
+def _day_of_month(reference_date: str = "reference_date") -> Column:
+    return F.substring(reference_date, 1, 2).cast("int")
+
+
+def _batch_date(reference_date: str = "reference_date") -> Column:
+    return F.to_date(reference_date, "dd/MM/yyyy")
+
+
+def lot_key_of(lote_id: str = "lote_id") -> Column:
+    """Integer key back from a lot code 'LG-00001234'."""
+    return F.substring(lote_id, 4, 64).cast("long")
+
+
+STORED_FIELDS = ("lote_id", "produto", "linha", "turno", "status", "responsavel", "data", "observacao")
+
+
+def stored(handoff_rows: DataFrame) -> DataFrame:
+    """The target system's stored copies of published rows.
+
+    Dropped for k%29=3 (never stored), linha L9 for k%31=4 (stored wrong), a
+    target-only copy '<id>-X' for k%71=5, an older copy with linha L8 for
+    k%67=6; criadoEm = batch date + (k % 1440) minutes."""
+    k = lot_key_of()
+    base = handoff_rows.select(
+        *STORED_FIELDS, "item_id",
+        k.alias("_k"),
+        F.to_timestamp(_batch_date()).alias("_day"),
+    ).where(F.col("_k") % 29 != 3)
+    created = F.col("_day") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("_k") % 1440).cast("int"))
+    main = base.withColumn("linha", F.when(F.col("_k") % 31 == 4, F.lit("L9")).otherwise(F.col("linha"))) \
+               .withColumn("_ts", created).withColumn("_copy", F.lit(0))
+    extra = base.where(F.col("_k") % 71 == 5).withColumn("lote_id", F.concat("lote_id", F.lit("-X"))) \
+                .withColumn("_ts", created).withColumn("_copy", F.lit(1))
+    older = base.where(F.col("_k") % 67 == 6).withColumn("linha", F.lit("L8")) \
+                .withColumn("_ts", created - F.expr("INTERVAL 1 DAY")).withColumn("_copy", F.lit(2))
+    allrows = main.unionByName(extra).unionByName(older)
+    return allrows.select(
+        F.concat("item_id", F.lit("#"), F.col("_copy").cast("string")).alias("id"),
+        *STORED_FIELDS,
+        F.date_format("_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("criadoEm"),
+        "_k",
+    )
+
+
+def stored_json(stored_rows: DataFrame, chunk: int = 64) -> DataFrame:
+    """D5 JSON form: browser-storage documents, each a JSON array of at most
+    ``chunk`` objects (so no document grows with a batch). Objects use
+    'numero' instead of 'lote_id' for k%83=8. Adds one invalid and one
+    non-array document per chunk group of k%997=0 rows."""
+    obj = F.when(
+        F.col("_k") % 83 == 8,
+        F.to_json(F.struct("id", F.col("lote_id").alias("numero"), *STORED_FIELDS[1:], "criadoEm")),
+    ).otherwise(F.to_json(F.struct("id", *STORED_FIELDS, "criadoEm")))
+    grouped = stored_rows.withColumn("_doc", F.floor(F.col("_k") / chunk)) \
+        .groupBy("_doc").agg(F.array_join(F.array_sort(F.collect_list(obj)), ",").alias("_body"))
+    docs = grouped.select(F.concat(F.lit("doc-"), F.col("_doc").cast("string")).alias("doc_id"),
+                          F.concat(F.lit("["), "_body", F.lit("]")).alias("raw"))
+    bad = stored_rows.where(F.col("_k") % 997 == 0).select(
+        F.concat(F.lit("bad-"), F.col("_k").cast("string")).alias("doc_id"),
+        F.when(F.col("_k") % 2 == 0, F.lit("{\"lote_id\": \"x\"}")).otherwise(F.lit("[{not json")).alias("raw"),
+    )
+    return docs.unionByName(bad)
+
+
+def queue_session(handoff_rows: DataFrame) -> DataFrame:
+    """The shared queue. Queue (task) = batch month; FIFO position seq =
+    batch date then source row; batch_total + 1 on day-of-month 13."""
+    date_key = F.date_format(_batch_date(), "yyyyMMdd").cast("long")
+    return handoff_rows.select(
+        F.date_format(_batch_date(), "yyyy-MM").alias("queue_id"),
+        (date_key * F.lit(1_000_000) + F.col("source_row")).alias("seq"),
+        "item_id", "batch_id", "source_row",
+        F.when(_day_of_month() == 13, F.col("batch_total") + 1).otherwise(F.col("batch_total")).alias("batch_total"),
+    )
+
+
+def sheet_grid(lots_rows: DataFrame) -> DataFrame:
+    """Raw sheet grid (batch_id, sheet_name, row_no, cells).
+
+    Row 1 title; row 2 'Registros: n' (blank on day 9); row 3 header; data from
+    row 4; an all-null row after the first data row on day 11; a footer row
+    after the data. n counts the rows between header and footer."""
+    day = _day_of_month()
+    per_batch = lots_rows.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.first("reference_date").alias("reference_date"),
+    )
+    sheet = F.when(_day_of_month() == 21, F.lit("Plan1")).otherwise(
+        F.concat(F.lit("Inspecao_"), F.regexp_replace("reference_date", "/", "_")))
+    null_row = (_day_of_month() == 11).cast("int")
+    header = per_batch.select(
+        "batch_id", sheet.alias("sheet_name"), F.lit(3).alias("row_no"),
+        F.array(*[F.lit(c) for c in K.CONTRACT_COLUMNS]).alias("cells"),
+    )
+    title = per_batch.select("batch_id", sheet.alias("sheet_name"), F.lit(1).alias("row_no"),
+                             F.array(F.lit("Inspeção diária de lotes"), F.lit(None).cast("string")).alias("cells"))
+    total = per_batch.select(
+        "batch_id", sheet.alias("sheet_name"), F.lit(2).alias("row_no"),
+        F.array(F.when(day != 9, F.concat(F.lit("Registros: "), (F.col("n") + null_row).cast("string")))
+                 .otherwise(F.lit("")), F.lit(None).cast("string")).alias("cells"),
+    )
+    footer = per_batch.select(
+        "batch_id", sheet.alias("sheet_name"), (F.col("n") + null_row + 4).cast("int").alias("row_no"),
+        F.array(F.lit("Total"), F.col("n").cast("string"), *[F.lit(None).cast("string")] * 6).alias("cells"),
+    )
+    blank_row = per_batch.where(day == 11).select(
+        "batch_id", sheet.alias("sheet_name"), F.lit(5).alias("row_no"),
+        F.array(*[F.lit(None).cast("string")] * 8).alias("cells"),
+    )
+    data = lots_rows.select(
+        "batch_id", sheet.alias("sheet_name"),
+        (F.col("row_idx") + 4 + F.when((day == 11) & (F.col("row_idx") >= 1), 1).otherwise(0)).cast("int").alias("row_no"),
+        F.array(*[F.col(c) for c in K.CONTRACT_COLUMNS]).alias("cells"),
+    )
+    return title.unionByName(total).unionByName(header).unionByName(blank_row) \
+        .unionByName(data).unionByName(footer)
+
+
+def headers(lots_rows: DataFrame) -> DataFrame:
+    """Header row per batch; no 'status' on day 3, an 'extra' column on
+    day 5, both on day 7."""
+    day = _day_of_month()
+    base = lots_rows.select("batch_id", "reference_date").distinct()
+    names = F.array(*[F.lit(c) for c in K.CONTRACT_COLUMNS])
+    drop = (day == 3) | (day == 7)
+    add = (day == 5) | (day == 7)
+    h = F.when(drop, F.array_remove(names, "status")).otherwise(names)
+    h = F.when(add, F.concat(h, F.array(F.lit("extra")))).otherwise(h)
+    return base.select("batch_id", h.alias("header"))
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured log events from the events table."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    return ev.select(
+        "event_id",
+        F.concat(F.lit("exec-"), (F.col("user_id") % 10).cast("string")).alias("execution_id"),
+        F.when(F.col("event_id") % 500 == 0, F.lit("bot-b")).otherwise(F.lit("bot-a")).alias("bot_id"),
+        F.when(F.col("event_type") == "error", F.lit("ERROR"))
+         .when(F.col("event_type") == "signup", F.lit("WARNING")).otherwise(F.lit("INFO")).alias("level"),
+        F.col("event_type").alias("message"),
+        F.col("ts").alias("timestamp"),
+    )
+
+
+RUN_STARTED_AT = "2024-01-10 00:00:00.5"
+
+
+def evidence_listing(outcomes_rows: DataFrame) -> DataFrame:
+    """The evidence files that exist; one per admitted row, missing when
+    k % 61 = 12."""
+    return outcomes_rows.where(F.col("lot_key") % 61 != 12).select("batch_id", F.col("evidence_path").alias("path"))
+
+
+def loose_divergences(evaluated_rows: DataFrame) -> DataFrame:
+    """D1 violations in the mixed shapes a report writer may receive,
+    chosen by lot_key % 6: 0 flat full, 1 flat 'regra'/'descricao', 2 only a
+    divergencia_rnXX column, 3 only campos_vazios, 4 nested list per row,
+    5 nothing but the lot id."""
+    from lotguard.operators.report import LOOSE_FIELDS
+
+    shape = (F.col("lot_key") % 6).cast("int")
+    v = evaluated_rows.where(F.size("violations") > 0).select("lote_id", "violations", shape.alias("_shape"))
+    none = F.lit(None).cast("string")
+    div_cols = ("divergencia_rn01",) + K.DIVERGENCE_COLUMNS
+    nested = v.where(F.col("_shape") == 4).select(
+        "lote_id",
+        *[none.alias(c) for c in LOOSE_FIELDS if c != "lote_id"],
+        *[none.alias(c) for c in div_cols],
+        none.alias("campos_vazios"),
+        F.transform("violations", lambda x: F.struct(
+            none.alias("lote_id"), x["regra"].alias("regra_violada"), none.alias("regra"),
+            x["descricao"].alias("descricao_do_erro"), none.alias("descricao"),
+            x["acao"].alias("acao_recomendada"), x["severidade"].alias("severidade"),
+        )).alias("divergencias"),
+    )
+    flat = v.where(F.col("_shape") != 4).select("lote_id", "_shape", F.inline("violations"))
+    s = F.col("_shape")
+    empties = F.regexp_extract("descricao", r"^Campos obrigatórios vazios: (.*)\.$", 1)
+    flat_rows = flat.select(
+        "lote_id",
+        F.when(s == 0, F.col("regra")).alias("regra_violada"),
+        F.when(s == 1, F.col("regra")).alias("regra"),
+        F.when(s == 0, F.col("descricao")).alias("descricao_do_erro"),
+        F.when(s == 1, F.col("descricao")).alias("descricao"),
+        F.when(s == 0, F.col("acao")).alias("acao_recomendada"),
+        F.when(s == 0, F.col("severidade")).alias("severidade"),
+        *[F.when((s == 2) & (F.lower("regra") == c.removeprefix("divergencia_")), F.col("descricao")).alias(c)
+          for c in div_cols],
+        F.when((s == 3) & (F.col("regra") == "RN02"), empties).alias("campos_vazios"),
+        F.lit(None).cast(
+            "array<struct<" + ",".join(f"{f}:string" for f in LOOSE_FIELDS) + ">>").alias("divergencias"),
+    )
+    return flat_rows.unionByName(nested)
