@@ -456,3 +456,38 @@ def q_guarded_rule(spark, d):
 def q_evidence_coverage(spark, d):
     out = FX.outcomes(spark, d)
     return A.evidence_coverage(out, td.evidence_listing(out))
+
+
+# --- streaming (rows-only) -----------------------------------------------------
+
+from lotguard.session import scratch_dir  # noqa: E402
+from lotguard.streaming import stream as ST  # noqa: E402
+
+
+def _landed(spark, d, with_copies: bool = False, short_declared: bool = False):
+    rows = _with_copies(spark, d) if with_copies else FX.handoff(spark, d)
+    if short_declared:
+        # Sheets of day-of-month 13 declare one item more than they deliver.
+        day13 = F.substring("reference_date", 1, 2) == "13"
+        rows = rows.withColumn("batch_total", F.when(day13, F.col("batch_total") + 1).otherwise(F.col("batch_total")))
+    rows = ST.with_event_time(rows)
+    path = ST.land(rows, scratch_dir(spark, "handoff-landing"))
+    return ST.source(spark, path, rows.schema)
+
+
+@register("stream_validate")
+def q_stream_validate(spark, d):
+    s = ST.validate_stream(_landed(spark, d), FX.reference(spark, d))
+    return ST.run_to_parquet(s, "stream-validate").select("item_id", "regra_violada", "descricao_do_erro")
+
+
+@register("stream_dedupe")
+def q_stream_dedupe(spark, d):
+    s = ST.dedupe_stream(_landed(spark, d, with_copies=True))
+    return ST.run_to_parquet(s, "stream-dedupe").select("item_id", "batch_id")
+
+
+@register("stream_completeness")
+def q_stream_completeness(spark, d):
+    s = ST.completeness_stream(ST.dedupe_stream(_landed(spark, d, with_copies=True, short_declared=True)))
+    return ST.run_to_parquet(s, "stream-completeness").select("batch_id", "received", "expected", "state")
