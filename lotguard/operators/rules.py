@@ -126,9 +126,21 @@ def rn07() -> Rule:
     )
 
 
+_RULES_CACHE: dict[int, list[Rule]] = {}
+
+
 def default_rules() -> list[Rule]:
-    """RN02, RN01, RN03, RN05, RN06, RN07 in evaluation order."""
-    return [rn02(), rn01(), rn03(), rn05(), rn06(), rn07()]
+    """RN02, RN01, RN03, RN05, RN06, RN07 in evaluation order.
+
+    The unresolved Column trees are built once per SparkContext (each is a few
+    hundred py4j calls) and shared by every plan."""
+    from pyspark import SparkContext
+
+    key = id(SparkContext._active_spark_context)
+    if key not in _RULES_CACHE:
+        _RULES_CACHE.clear()
+        _RULES_CACHE[key] = [rn02(), rn01(), rn03(), rn05(), rn06(), rn07()]
+    return list(_RULES_CACHE[key])
 
 
 # ---------------------------------------------------------------------------

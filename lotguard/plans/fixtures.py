@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lotguard.operators import admission as A
+from lotguard.plans.materialize import landed
 from lotguard.operators.rules import evaluate
 from lotguard.operators.validate import validate_handoff
 from lotguard.sources import testdata as td
 
 
 def lots(spark: SparkSession, d: str) -> DataFrame:
-    return td.lots(spark, d)
+    """D1, landed once."""
+    return landed(spark, d, "lots", lambda: td.lots(spark, d))
 
 
 def reference(spark: SparkSession, d: str) -> DataFrame:
-    return td.reference_lots(spark, d)
+    """D2, landed once."""
+    return landed(spark, d, "reference", lambda: td.reference_lots(spark, d))
 
 
 def evaluated(spark: SparkSession, d: str) -> DataFrame:
@@ -24,19 +27,20 @@ def evaluated(spark: SparkSession, d: str) -> DataFrame:
 
 
 def outcomes(spark: SparkSession, d: str) -> DataFrame:
-    """D3: admission outcome over D1."""
-    return A.admit(lots(spark, d))
+    """D3: admission outcome over D1 (the producer's result table)."""
+    return landed(spark, d, "outcomes", lambda: A.admit(lots(spark, d)))
 
 
 def handoff(spark: SparkSession, d: str) -> DataFrame:
-    """Published hand-off rows."""
-    return A.handoff(outcomes(spark, d), reference(spark, d))
+    """Published hand-off rows (the hand-off table)."""
+    return landed(spark, d, "handoff", lambda: A.handoff(outcomes(spark, d), reference(spark, d)))
 
 
 def handoff_all(spark: SparkSession, d: str) -> DataFrame:
     """Every admission outcome in hand-off form (rejected and failed
     registrations included, as in the exclusion scenario)."""
-    return A.handoff(outcomes(spark, d), reference(spark, d), published_only=False)
+    return landed(spark, d, "handoff_all",
+                  lambda: A.handoff(outcomes(spark, d), reference(spark, d), published_only=False))
 
 
 def consumer_evaluated(spark: SparkSession, d: str) -> DataFrame:
@@ -47,3 +51,9 @@ def consumer_evaluated(spark: SparkSession, d: str) -> DataFrame:
 def published_evaluated(spark: SparkSession, d: str) -> DataFrame:
     """Two-stage path on the published hand-off only."""
     return validate_handoff(handoff(spark, d))
+
+
+def land_all(spark: SparkSession, d: str) -> None:
+    """Land every shared input table."""
+    for fn in (lots, reference, outcomes, handoff, handoff_all):
+        fn(spark, d)

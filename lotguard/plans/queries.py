@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
+from lotguard.functions.exprs import strip
 from lotguard.operators import admission as A
 from lotguard.operators import rules as R
 from lotguard.operators import validate as VAL
@@ -51,7 +52,7 @@ for _key, _fn in (("rn01_date", R.rn01), ("rn02_required", R.rn02), ("rn03_refer
 @register("known_lots")
 def q_known_lots(spark, d):
     """Rows whose lot is in the reference list (left semi join)."""
-    lots = FX.lots(spark, d).withColumn("_k", F.regexp_replace("lote_id", r"(?U)^\s+|\s+$", ""))
+    lots = FX.lots(spark, d).withColumn("_k", strip("lote_id"))
     keys = R.reference_keys(FX.reference(spark, d)).withColumnRenamed("lote_id", "_k")
     return lots.join(keys, "_k", "left_semi").select("item_id", "lote_id")
 
