@@ -223,10 +223,14 @@ def evidence_coverage(outcomes: DataFrame, listing: DataFrame) -> DataFrame:
         .select("item_id", "evidence_name", F.coalesce("listed", F.lit(False)).alias("listed"))
 
 
-def publish(outcomes: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1 sink: write hand-off rows partitioned by batch_id with dynamic
-    partition overwrite, so a re-run replaces exactly the batches it carries
-    and the commit protocol makes each batch appear atomically."""
-    spark = outcomes.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    outcomes.write.mode(mode).partitionBy("batch_id").parquet(path)
+def publish(handoff_rows: DataFrame, path: str, fmt: str = "parquet", by_batch: bool = True) -> None:
+    """K1 sink. Partitioned by batch_id with dynamic partition overwrite, a
+    re-run replaces exactly the batches it carries and the commit protocol
+    makes each batch appear atomically. ``by_batch=False`` appends plain
+    files (a landing directory for a stream or a backlog reader)."""
+    writer = handoff_rows.write.format(fmt)
+    if by_batch:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+    else:
+        writer = writer.mode("append")
+    writer.save(path)

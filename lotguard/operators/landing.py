@@ -69,6 +69,23 @@ def fingerprint(content_col: str = "content"):
             F.concat(F.lit("batch-"), F.substring(sha, 1, 16)).alias("batch_id")]
 
 
+def fingerprint_files(spark, path: str, glob: str = "*", max_bytes: int | None = None) -> DataFrame:
+    """S6 over raw files: one row per file with base name, size, sha256, md5
+    and batch id. ``max_bytes`` keeps oversized files out of a single task
+    (they are listed with null digests rather than read whole)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    ok = F.lit(True) if max_bytes is None else (F.col("length") <= max_bytes)
+    content = F.when(ok, F.col("content"))
+    sha = F.sha2(content, 256)
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"),
+        F.col("length"),
+        sha.alias("sha256"),
+        F.md5(content).alias("md5"),
+        F.concat(F.lit("batch-"), F.substring(sha, 1, 16)).alias("batch_id"),
+    )
+
+
 def lineage(rows: DataFrame, source_hash: str = "source_hash") -> DataFrame:
     """source_row = row_idx + 4; item_id = hash:source_row."""
     source_row = (F.col("row_idx") + 4).cast("int")

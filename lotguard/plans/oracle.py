@@ -603,3 +603,4 @@ WHERE try_strptime(data, '%d/%m/%Y') IS NULL
    OR CAST(try_strptime(data, '%d/%m/%Y') AS DATE) > CAST(strptime(reference_date, '%d/%m/%Y') AS DATE)"""
 SQL["evidence_coverage"] = with_(LOTS, OUTCOMES) + """
 SELECT item_id, evidence_name, (lot_key % 61 <> 12) AS listed FROM outcomes_p"""
+SQL["read_pending"] = FULL + "SELECT batch_id, item_id FROM handoff"

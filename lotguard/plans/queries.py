@@ -196,6 +196,7 @@ from lotguard.operators import report as RP  # noqa: E402
 from lotguard.operators import runs as RU  # noqa: E402
 from lotguard.sources import testdata as td  # noqa: E402
 from lotguard.sources.tables import read_table  # noqa: E402
+from lotguard.session import scratch_dir  # noqa: E402
 
 
 @register("sheet_to_table")
@@ -287,6 +288,16 @@ def q_duplicate_items(spark, d):
     return QU.duplicate_items(_with_copies(spark, d))
 
 
+@register("read_pending")
+def q_read_pending(spark, d):
+    """S9 over the whole backlog: hand-off published as JSON files, read back
+    with the hand-off schema."""
+    rows = FX.handoff(spark, d)
+    path = scratch_dir(spark, "pending")
+    A.publish(rows, path, fmt="json", by_batch=False)
+    return QU.read_pending(spark, path, rows.schema, mode="all").select("batch_id", "item_id")
+
+
 # --- stored copies and read-back (D4, D5) ---------------------------------------
 
 def _stored(spark, d):

@@ -234,3 +234,46 @@ def test_stored_reader_is_lenient(spark, doc, expect):
 
     df = spark.createDataFrame([(doc,)], "raw string")
     assert [(r["lote_id"], r["linha"]) for r in parse_stored(df).collect()] == expect
+
+
+def test_read_pending_newest_and_all(spark, tmp_path):
+    import time as _t
+
+    schema = "batch_id string, item_id string"
+    old = spark.createDataFrame([("A", "a1"), ("A", "a2")], schema)
+    new = spark.createDataFrame([("B", "b1")], schema)
+    A.publish(old, str(tmp_path / "p"), fmt="json", by_batch=False)
+    _t.sleep(1.1)
+    A.publish(new, str(tmp_path / "p"), fmt="json", by_batch=False)
+    newest = QU.read_pending(spark, str(tmp_path / "p"), schema, mode="newest")
+    assert sorted(tuple(r) for r in newest.collect()) == [("B", "b1")]
+    assert QU.read_pending(spark, str(tmp_path / "p"), schema, mode="all").count() == 3
+
+
+def test_publish_by_batch_replaces_only_its_batches(spark, tmp_path):
+    schema = "batch_id string, item_id string"
+    path = str(tmp_path / "h")
+    A.publish(spark.createDataFrame([("A", "a1"), ("B", "b1")], schema), path)
+    A.publish(spark.createDataFrame([("B", "b2")], schema), path)
+    got = sorted((r["batch_id"], r["item_id"]) for r in spark.read.parquet(path).collect())
+    assert got == [("A", "a1"), ("B", "b2")]
+
+
+def test_report_sink_keeps_empty_tables(spark, tmp_path):
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in K.REGISTRATION_COLUMNS))
+    out = RP.write_report({"rejeicoes_cadastro": empty}, str(tmp_path), "relatorio_divergencias", "1")
+    back = spark.read.parquet(out["rejeicoes_cadastro"])
+    assert back.count() == 0 and back.columns == list(K.REGISTRATION_COLUMNS)
+
+
+def test_fingerprint_files(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "a.xlsx").write_bytes(b"abc")
+    (tmp_path / "b.txt").write_bytes(b"zzz")
+    got = L.fingerprint_files(spark, str(tmp_path), glob="*.xlsx").collect()
+    assert len(got) == 1
+    assert got[0]["source_file"] == "a.xlsx"
+    assert got[0]["sha256"] == hashlib.sha256(b"abc").hexdigest()
+    assert got[0]["md5"] == hashlib.md5(b"abc").hexdigest()
+    assert got[0]["batch_id"] == "batch-" + hashlib.sha256(b"abc").hexdigest()[:16]
