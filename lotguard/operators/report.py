@@ -60,8 +60,9 @@ def report_versions(runs: DataFrame, tz: str = K.TIMEZONE) -> DataFrame:
     local = F.from_utc_timestamp(F.col("started_at").cast("timestamp"), tz)
     with_day = runs.withColumn("day", F.date_format(local, "ddMMyyyy")) \
                    .withColumn("_us", F.unix_micros(F.col("started_at").cast("timestamp")))
+    # One-second blocks: at most 86 400 count rows per (report, day).
     n = number_within(with_day, ["report", "day"], "_us", out="_i", tiebreak=["run_key"],
-                      block_width=3_600_000_000)
+                      block_width=1_000_000)
     run_no = (F.col("_i") + 1).cast("int")
     name = F.concat("report", F.lit("_"), "day",
                     F.when(run_no > 1, F.concat(F.lit("_"), run_no.cast("string"))).otherwise(F.lit("")),
