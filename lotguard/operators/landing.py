@@ -20,7 +20,7 @@ def declared_totals(grid: DataFrame, presentation_rows: int = 2) -> DataFrame:
     rows, or null. An aggregate over at most ``presentation_rows`` rows per
     sheet."""
     pres = grid.where(F.col("row_no") <= presentation_rows)
-    text = F.concat_ws(" ", F.transform("cells", lambda c: F.coalesce(c, F.lit(""))))
+    text = F.concat_ws(" ", "cells")  # nulls skipped; the pattern allows any spacing
     per_sheet = pres.groupBy("batch_id").agg(
         F.array_join(F.array_sort(F.collect_list(F.struct("row_no", text.alias("t")))).getField("t"), " ").alias("_text")
     )

@@ -17,6 +17,7 @@ Context columns available to rule expressions:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,19 +58,21 @@ class Rule:
         )
 
     def entry(self) -> Column:
-        """Violation struct or null."""
-        hit = F.when(self.predicate, self.struct())
+        """A 0- or 1-element violation array (concatenated across rules; no
+        lambda functions, so the projection stays in generated code)."""
+        empty = F.array().cast(f"array<{VIOLATION_TYPE}>")
+        hit = F.when(self.predicate, F.array(self.struct())).otherwise(empty)
         if not self.guarded:
             return hit
         failed = self.struct(F.lit(K.GUARD_RULE), F.lit(K.GUARD_DESC), K.GUARD_ACTION, K.SEV_HIGH)
-        return F.when(self.predicate.isNull(), failed).otherwise(hit)
+        return F.when(self.predicate.isNull(), F.array(failed)).otherwise(hit)
 
 
 def rn02() -> Rule:
     empty = F.array_join(F.array(*[F.when(blank(c), F.lit(c)) for c in K.REQUIRED_COLUMNS]), ", ")
     return Rule(
         "RN02", 1,
-        F.exists(F.array(*[blank(c) for c in K.REQUIRED_COLUMNS]), lambda b: b),
+        reduce(lambda a, b: a | b, [blank(c) for c in K.REQUIRED_COLUMNS]),
         F.concat(F.lit(K.RN02_DESC_PREFIX), empty, F.lit(".")),
         K.RN02_ACTION, K.SEV_HIGH,
     )
@@ -218,7 +221,7 @@ def evaluate(
     ``status``, ``divergencia_rn05`` and the ordered ``violations`` array."""
     rules = rules if rules is not None else default_rules()
     ctx = prepare(lots, reference, reference_date)
-    violations = F.array_compact(F.array(*[r.entry() for r in sorted(rules, key=lambda r: r.ord)]))
+    violations = F.concat(*[r.entry() for r in sorted(rules, key=lambda r: r.ord)])
     rn05_text = F.when(F.col("_status_canon") == "OK", F.lit(K.RN05_OK_DESC)) \
                  .when(F.col("_status_canon") == "NOK", F.lit(K.RN05_NOK_DESC))
     return ctx.select(
@@ -252,19 +255,25 @@ def rule_hits(lots: DataFrame, reference: DataFrame | None, rule: Rule,
     )
 
 
+def consolidated_columns(v: Column) -> list[Column]:
+    """C1 texts from an ordered violation array. Field extraction on an array
+    of structs plus array_distinct / array_join / array_contains are all
+    code-generated (no lambda functions)."""
+    return [
+        F.array_join(F.array_distinct(v.getField("regra")), "; ").alias("regra_violada"),
+        F.array_join(v.getField("descricao"), " | ").alias("descricao_do_erro"),
+        F.array_join(F.array_distinct(v.getField("acao")), " | ").alias("acao_recomendada"),
+        F.when(F.array_contains(v.getField("severidade"), K.SEV_HIGH), F.lit(K.SEV_HIGH))
+         .otherwise(F.lit(K.SEV_MEDIUM)).alias("severidade"),
+    ]
+
+
 def consolidate(evaluated: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row per divergent input row. No shuffle: the violations are
     already on the row, in rule order."""
     keys = keys or ["item_id", "lote_id"]
     v = F.col("violations")
-    return evaluated.where(F.size(v) > 0).select(
-        *keys,
-        F.array_join(F.array_distinct(F.transform(v, lambda x: x["regra"])), "; ").alias("regra_violada"),
-        F.array_join(F.transform(v, lambda x: x["descricao"]), " | ").alias("descricao_do_erro"),
-        F.array_join(F.array_distinct(F.transform(v, lambda x: x["acao"])), " | ").alias("acao_recomendada"),
-        F.when(F.exists(v, lambda x: x["severidade"] == K.SEV_HIGH), F.lit(K.SEV_HIGH))
-         .otherwise(F.lit(K.SEV_MEDIUM)).alias("severidade"),
-    )
+    return evaluated.where(F.size(v) > 0).select(*keys, *consolidated_columns(v))
 
 
 def consolidate_long(violations: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -278,11 +287,7 @@ def consolidate_long(violations: DataFrame, keys: list[str] | None = None) -> Da
                                              "acao_recomendada", "severidade"))).alias("v")
     )
     v = F.col("v")
-    return grouped.select(
-        *keys,
-        F.array_join(F.array_distinct(F.transform(v, lambda x: x["regra_violada"])), "; ").alias("regra_violada"),
-        F.array_join(F.transform(v, lambda x: x["descricao_do_erro"]), " | ").alias("descricao_do_erro"),
-        F.array_join(F.array_distinct(F.transform(v, lambda x: x["acao_recomendada"])), " | ").alias("acao_recomendada"),
-        F.when(F.exists(v, lambda x: x["severidade"] == K.SEV_HIGH), F.lit(K.SEV_HIGH))
-         .otherwise(F.lit(K.SEV_MEDIUM)).alias("severidade"),
-    )
+    renamed = F.transform(v, lambda x: F.struct(
+        x["regra_violada"].alias("regra"), x["descricao_do_erro"].alias("descricao"),
+        x["acao_recomendada"].alias("acao"), x["severidade"].alias("severidade")))
+    return grouped.select(*keys, *consolidated_columns(renamed))

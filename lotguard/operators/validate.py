@@ -58,14 +58,14 @@ def not_valid_keys(evaluated: DataFrame) -> DataFrame:
 
 def human_review(evaluated: DataFrame) -> DataFrame:
     """One row per RN06 row."""
-    rn06 = F.filter(_v(), lambda x: x["regra"] == "RN06")
-    return evaluated.where(F.size(rn06) > 0).select(
+    rules = _v().getField("regra")
+    return evaluated.where(F.array_contains(rules, "RN06")).select(
         "item_id",
         "lote_id",
         "status_original",
         "status",
         "data",
-        rn06[0]["descricao"].alias("descricao_do_erro"),
+        F.element_at(_v().getField("descricao"), F.array_position(rules, "RN06").cast("int")).alias("descricao_do_erro"),
         F.lit("").alias("observacao_analista"),
     )
 
@@ -86,8 +86,8 @@ def item_state(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Final state per item (technical, rejected, ok, divergent)."""
     ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
     # The consolidated text is a projection of the same row (no join needed).
-    first = F.array_join(F.array_distinct(F.transform(_v(), lambda x: x["regra"])), "; ")
-    descs = F.array_join(F.transform(_v(), lambda x: x["descricao"]), " | ")
+    first = F.array_join(F.array_distinct(_v().getField("regra")), "; ")
+    descs = F.array_join(_v().getField("descricao"), " | ")
     err = F.coalesce(F.col("cadastro_error").cast("string"), F.lit("")) if "cadastro_error" in ev.columns else F.lit("")
     state = F.when(technical() | rejected() | (F.size(_v()) > 0), F.lit(K.STATE_ERROR)).otherwise(F.lit(K.STATE_DONE))
     etype = F.when(technical(), F.lit(K.ERROR_SYSTEM)) \
@@ -123,7 +123,7 @@ def validation_summary(evaluated: DataFrame) -> DataFrame:
     """G1 per batch in one pass (partial + final aggregate)."""
     ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
     n = F.size(_v())
-    has_rn06 = F.exists(_v(), lambda x: x["regra"] == "RN06")
+    has_rn06 = F.array_contains(_v().getField("regra"), "RN06")
     return ev.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("total_registros"),
         F.count_if(n > 0).alias("total_divergencias"),
@@ -170,7 +170,7 @@ def exception_rate(evaluated: DataFrame) -> DataFrame:
 def rule_distribution(evaluated: DataFrame) -> DataFrame:
     """Violations per rule; the explode feeds a partial aggregate, so the
     shuffle carries one row per (task, rule)."""
-    return evaluated.select(F.explode(F.transform(_v(), lambda x: x["regra"])).alias("regra")) \
+    return evaluated.select(F.explode(_v().getField("regra")).alias("regra")) \
         .groupBy("regra").agg(F.count(F.lit(1)).alias("n"))
 
 

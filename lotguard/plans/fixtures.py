@@ -57,3 +57,40 @@ def land_all(spark: SparkSession, d: str) -> None:
     """Land every shared input table."""
     for fn in (lots, reference, outcomes, handoff, handoff_all):
         fn(spark, d)
+
+
+def grid(spark: SparkSession, d: str) -> DataFrame:
+    """Raw sheet grid."""
+    return landed(spark, d, "sheet_grid", lambda: td.sheet_grid(lots(spark, d)))
+
+
+def headers(spark: SparkSession, d: str) -> DataFrame:
+    """Header row per sheet."""
+    return landed(spark, d, "headers", lambda: td.headers(lots(spark, d)))
+
+
+def queue(spark: SparkSession, d: str) -> DataFrame:
+    """The shared queue session."""
+    return landed(spark, d, "queue_session", lambda: td.queue_session(handoff(spark, d)))
+
+
+def stored(spark: SparkSession, d: str) -> DataFrame:
+    """Stored copies in the target system."""
+    return landed(spark, d, "stored", lambda: td.stored(handoff(spark, d)))
+
+
+def stored_json(spark: SparkSession, d: str) -> DataFrame:
+    """D5, JSON document form."""
+    return landed(spark, d, "stored_json", lambda: td.stored_json(stored(spark, d)))
+
+
+def loose(spark: SparkSession, d: str) -> DataFrame:
+    """Loose divergence records."""
+    return landed(spark, d, "loose_divergences", lambda: td.loose_divergences(evaluated(spark, d)))
+
+
+def land_fixtures(spark: SparkSession, d: str) -> None:
+    """Land every input fixture."""
+    land_all(spark, d)
+    for fn in (grid, headers, queue, stored, stored_json, loose):
+        fn(spark, d)

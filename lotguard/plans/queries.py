@@ -201,12 +201,12 @@ from lotguard.session import scratch_dir  # noqa: E402
 
 @register("sheet_to_table")
 def q_sheet_to_table(spark, d):
-    return L.sheet_to_table(td.sheet_grid(FX.lots(spark, d))).drop("sheet_row")
+    return L.sheet_to_table(FX.grid(spark, d)).drop("sheet_row")
 
 
 @register("declared_total_cap")
 def q_declared_total_cap(spark, d):
-    grid = td.sheet_grid(FX.lots(spark, d))
+    grid = FX.grid(spark, d)
     kept = L.sheet_to_table(grid).groupBy("batch_id").agg(F.count(F.lit(1)).alias("kept_rows"))
     return L.declared_totals(grid).join(kept, "batch_id", "left") \
         .select("batch_id", "declared", F.coalesce("kept_rows", F.lit(0)).alias("kept_rows"))
@@ -214,12 +214,12 @@ def q_declared_total_cap(spark, d):
 
 @register("reference_date")
 def q_reference_date(spark, d):
-    return L.sheet_reference_dates(td.sheet_grid(FX.lots(spark, d)))
+    return L.sheet_reference_dates(FX.grid(spark, d))
 
 
 @register("structure_check")
 def q_structure_check(spark, d):
-    return L.structure_check(td.headers(FX.lots(spark, d)))
+    return L.structure_check(FX.headers(spark, d))
 
 
 @register("fingerprint")
@@ -231,7 +231,7 @@ def q_fingerprint(spark, d):
 # --- queue, pending, uniqueness (D4, D8) ------------------------------------------
 
 def _queue(spark, d):
-    return td.queue_session(FX.handoff(spark, d))
+    return FX.queue(spark, d)
 
 
 @register("bounded_queue_read")
@@ -268,7 +268,7 @@ def q_abort_states(spark, d):
     """A failed consumer run (structure error of the sheet) turns every
     item of its batch into ERROR/SYSTEM with the run's error text."""
     states = VAL.item_state(FX.consumer_evaluated(spark, d))
-    errors = L.structure_check(td.headers(FX.lots(spark, d))).where(~F.col("ok")) \
+    errors = L.structure_check(FX.headers(spark, d)).where(~F.col("ok")) \
         .select("batch_id", F.col("message").alias("error"))
     return VAL.abort_states(states, errors)
 
@@ -301,7 +301,7 @@ def q_read_pending(spark, d):
 # --- stored copies and read-back (D4, D5) ---------------------------------------
 
 def _stored(spark, d):
-    return td.stored(FX.handoff(spark, d))
+    return FX.stored(spark, d)
 
 
 @register("readback_reconcile")
@@ -318,7 +318,7 @@ def q_latest_stored(spark, d):
 def q_stored_lots(spark, d):
     from lotguard.sources.stored import parse_stored
 
-    return parse_stored(td.stored_json(_stored(spark, d)))
+    return parse_stored(FX.stored_json(spark, d))
 
 
 # --- runs, events, reports -------------------------------------------------------
@@ -351,7 +351,7 @@ def q_report_versions(spark, d):
 
 @register("normalise_report_rows")
 def q_normalise_report_rows(spark, d):
-    return RP.normalise_report_rows(td.loose_divergences(FX.evaluated(spark, d)))
+    return RP.normalise_report_rows(FX.loose(spark, d))
 
 
 @register("audit_events")
@@ -394,7 +394,7 @@ def q_run_records(spark, d):
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.size("violations") > 0).alias("_d"),
     )
-    check = L.structure_check(td.headers(FX.lots(spark, d)))
+    check = L.structure_check(FX.headers(spark, d))
     j = agg.join(check, "batch_id")
     ok = F.col("ok")
     return j.select(
