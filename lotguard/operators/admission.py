@@ -48,43 +48,53 @@ def latest_stored(stored: DataFrame, key: str = "lote_id", ts: str = "criadoEm")
     return stored.groupBy(key).agg(best.alias("_b")).select(key, "_b.*")
 
 
-def reconcile(sent: DataFrame, stored: DataFrame) -> DataFrame:
-    """A5 per field: lote_id, side, campo, esperado, salvo.
-
-    side = 'missing' (sent, never stored), 'extra' (stored only) or 'diff'."""
+def reconcile(sent: DataFrame, stored: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """A5 per field: lote_id, side, campo, esperado, salvo (+ ``keys`` of the
+    sent row, e.g. item_id).
+
+    side = 'missing' (sent, never stored), 'extra' (stored only) or 'diff'.
+    Built as sent LEFT JOIN latest-stored (a hot lot ID is split by AQE's
+    skew handling) plus stored LEFT ANTI distinct sent IDs, instead of a full
+    outer join, which cannot be split."""
     fields = [c for c in K.CONTRACT_COLUMNS if c != "lote_id"]
-    s = sent.select(strip("lote_id").alias("lote_id"), *[serialised(c).alias(f"e_{c}") for c in fields]) \
-            .where(F.col("lote_id") != "").withColumn("_sent", F.lit(True))
+    s = sent.select(*keys, strip("lote_id").alias("lote_id"), *[serialised(c).alias(f"e_{c}") for c in fields]) \
+            .where(F.col("lote_id") != "")
     latest = latest_stored(stored.select("lote_id", "criadoEm", *fields)) \
         .select(strip("lote_id").alias("lote_id"), *[serialised(c).alias(f"s_{c}") for c in fields]) \
         .withColumn("_stored", F.lit(True))
-    j = s.join(latest, "lote_id", "full_outer")
-    side = F.when(F.col("_stored").isNull(), F.lit("missing")) \
-            .when(F.col("_sent").isNull(), F.lit("extra")).otherwise(F.lit("diff"))
+    j = s.join(latest, "lote_id", "left")
     pairs = F.array(*[
         F.struct(F.lit(c).alias("campo"), F.col(f"e_{c}").alias("esperado"), F.col(f"s_{c}").alias("salvo"))
         for c in fields
     ])
     diffs = F.filter(pairs, lambda x: ~x["esperado"].eqNullSafe(x["salvo"]))
-    whole = F.array(F.struct(F.lit("*").alias("campo"), F.lit(None).cast("string").alias("esperado"),
-                             F.lit(None).cast("string").alias("salvo")))
-    return j.select(
-        "lote_id", side.alias("side"),
-        F.when(side == "diff", diffs).otherwise(whole).alias("_d"),
-    ).select("lote_id", "side", F.inline("_d"))
+    none = F.lit(None).cast("string")
+    whole = F.array(F.struct(F.lit("*").alias("campo"), none.alias("esperado"), none.alias("salvo")))
+    missing = F.col("_stored").isNull()
+    sent_side = j.select(
+        *keys, "lote_id", F.when(missing, F.lit("missing")).otherwise(F.lit("diff")).alias("side"),
+        F.when(missing, whole).otherwise(diffs).alias("_d"),
+    ).select(*keys, "lote_id", "side", F.inline("_d"))
+    extra = latest.join(s.select("lote_id").distinct(), "lote_id", "left_anti").select(
+        *[none.alias(k) for k in keys], "lote_id", F.lit("extra").alias("side"),
+        F.lit("*").alias("campo"), none.alias("esperado"), none.alias("salvo"),
+    )
+    return sent_side.unionByName(extra)
 
 
 def readback_message(sent: DataFrame, stored: DataFrame) -> DataFrame:
-    """Per sent lot: the failure text the registration step raises, or null."""
-    r = reconcile(sent, stored).where(F.col("side") != "extra")
+    """Per sent item: the failure text the registration step raises, or no
+    row. Grouped by item (at most 7 fields each), never by a lot ID."""
+    r = reconcile(sent, stored, keys=("item_id",)).where(F.col("side") != "extra")
     detail = F.format_string("%s={'esperado': '%s', 'salvo': '%s'}", "campo", "esperado", "salvo")
-    return r.groupBy("lote_id").agg(
-        F.first("side").alias("_side"),
-        F.array_join(F.array_sort(F.collect_list(detail)), ", ").alias("_detail"),
+    order = F.array_position(F.array(*[F.lit(c) for c in K.CONTRACT_COLUMNS]), F.col("campo"))
+    return r.groupBy("item_id").agg(
+        F.max(F.col("side") == "missing").alias("_missing"),
+        F.array_sort(F.collect_list(F.struct(order.alias("o"), detail.alias("d")))).getField("d").alias("_detail"),
     ).select(
-        "lote_id",
-        F.when(F.col("_side") == "missing", F.lit(READBACK_MISSING))
-         .otherwise(F.concat(F.lit(READBACK_PREFIX), F.col("_detail"))).alias("readback_error"),
+        "item_id",
+        F.when(F.col("_missing"), F.lit(READBACK_MISSING))
+         .otherwise(F.concat(F.lit(READBACK_PREFIX), F.array_join("_detail", ", "))).alias("readback_error"),
     )
 
 
@@ -99,7 +109,7 @@ def admit(lots: DataFrame, stored: DataFrame | None = None,
     form = form_message()
     if stored is not None:
         rb = readback_message(rows, stored)
-        rows = rows.join(rb, "lote_id", "left")
+        rows = rows.join(rb, "item_id", "left")
         rb_err = F.col("readback_error")
     else:
         rb_err = F.lit(None).cast("string")

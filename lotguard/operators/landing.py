@@ -38,8 +38,9 @@ def sheet_to_table(grid: DataFrame, header_row: int = K.HEADER_ROW) -> DataFrame
     before blank-row removal), drop all-null rows and re-index 0..n-1 per
     sheet. Output: batch_id, row_idx, sheet_row and the 8 contract columns."""
     hdr = grid.where(F.col("row_no") == header_row).select("batch_id", F.col("cells").alias("_hdr"))
-    caps = declared_totals(grid, header_row - 1)
-    data = grid.where(F.col("row_no") > header_row).join(hdr, "batch_id").join(caps, "batch_id", "left") \
+    # One row per sheet (header + declared cap), joined to the data rows once.
+    meta = hdr.join(declared_totals(grid, header_row - 1), "batch_id", "left")
+    data = grid.where(F.col("row_no") > header_row).join(meta, "batch_id") \
         .where(F.col("declared").isNull() | (F.col("row_no") <= F.col("declared") + header_row))
     mapped = data.select(
         "batch_id", F.col("row_no").alias("sheet_row"),

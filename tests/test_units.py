@@ -167,8 +167,14 @@ def test_readback_reconcile(spark):
     got = sorted(tuple(r) for r in A.reconcile(sent, stored).collect())
     assert got == [("LG-1", "diff", "linha", "L1", "L9"), ("LG-3", "missing", "*", None, None),
                    ("LG-9", "extra", "*", None, None)]
-    msg = {r["lote_id"]: r["readback_error"] for r in A.readback_message(sent, stored).collect()}
-    assert msg["LG-1"] == "Cadastro web divergente da planilha: linha={'esperado': 'L1', 'salvo': 'L9'}"
+    msg = {r["item_id"]: r["readback_error"] for r in A.readback_message(sent, stored).collect()}
+    assert msg == {"i0": "Cadastro web divergente da planilha: linha={'esperado': 'L1', 'salvo': 'L9'}",
+                   "i2": "Cadastro não encontrado no armazenamento local."}
+    # The read-back failure turns an otherwise valid row into a technical failure.
+    out = {r["item_id"]: (r["cadastro_status"], r["evidence_name"])
+           for r in A.admit(sent.withColumn("source_row", F.lit(4)), stored=stored).collect()}
+    assert out["i0"] == ("FALHA_TECNICA", "erro_linha-4_LG-1.png")
+    assert out["i1"][0] == "SUCESSO"
 
 
 def test_normalise_report_rows_ladders(spark):
