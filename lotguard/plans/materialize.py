@@ -52,6 +52,19 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
 
 
 _KEYS: dict[str, str] = {}
+TARGET_FILE_BYTES = 512 << 20
+
+
+def _file_count(spark: SparkSession, df: DataFrame) -> int:
+    """Even files: one per core at least (so later scans are parallel; AQE
+    would otherwise coalesce a small final stage into one file), and about
+    TARGET_FILE_BYTES each by Catalyst's size estimate for large tables."""
+    cores = max(spark.sparkContext.defaultParallelism, 1)
+    try:
+        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # pragma: no cover - estimate unavailable
+        est = 0
+    return max(cores, min(-(-est // TARGET_FILE_BYTES), 1 << 20))
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -63,8 +76,6 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     path = f"{root}/lotguard-landed/{_KEYS[sf_dir]}-{_code_hash()}/{name}"
     fs, p = _fs(spark, path + "/_SUCCESS")
     if not fs.exists(p):
-        # Even files, one per core at least, so every later scan is parallel
-        # (AQE would otherwise coalesce a small final stage into one file).
-        parts = max(spark.sparkContext.defaultParallelism, 1)
-        build().repartition(parts).write.mode("overwrite").parquet(path)
+        df = build()
+        df.repartition(_file_count(spark, df)).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

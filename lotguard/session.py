@@ -24,15 +24,20 @@ _CONF = {
     # build side at run time; static estimates of derived tables are unreliable.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.shuffle.partitions": "8",
 }
 
 
 def get_session(master: str = "local[8]", app: str = "lotguard", **conf: str) -> SparkSession:
+    """Session with AQE on and the UI off. Shuffle partitions: the core count
+    in local mode (tests); on a cluster 4x the cores unless given, with AQE
+    coalescing small partitions at run time."""
     builder = SparkSession.builder.master(master).appName(app)
     for key, value in {**_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if "spark.sql.shuffle.partitions" not in conf:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.shuffle.partitions", str(cores if master.startswith("local") else 4 * cores))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
