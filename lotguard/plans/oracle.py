@@ -604,3 +604,22 @@ WHERE try_strptime(data, '%d/%m/%Y') IS NULL
 SQL["evidence_coverage"] = with_(LOTS, OUTCOMES) + """
 SELECT item_id, evidence_name, (lot_key % 61 <> 12) AS listed FROM outcomes_p"""
 SQL["read_pending"] = FULL + "SELECT batch_id, item_id FROM handoff"
+
+# --- streaming twins -------------------------------------------------------------
+SQL["stream_validate"] = _PUB + "SELECT item_id, regra_violada, descricao_do_erro FROM pcons"
+SQL["stream_dedupe"] = FULL + "SELECT item_id, batch_id FROM handoff"
+SQL["stream_completeness"] = FULL + """,
+landed AS (
+  SELECT batch_id, item_id, CAST(strptime(reference_date, '%d/%m/%Y') AS TIMESTAMP) AS event_time,
+    CASE WHEN substr(reference_date, 1, 2) = '13' THEN batch_total + 1 ELSE batch_total END AS batch_total
+  FROM handoff
+),
+per AS (
+  SELECT batch_id, event_time, CAST(count(DISTINCT item_id) AS BIGINT) AS received,
+    CAST(max(batch_total) AS INTEGER) AS expected
+  FROM landed GROUP BY batch_id, event_time
+)
+SELECT batch_id, received, expected,
+  CASE WHEN received = expected THEN 'released' WHEN received < expected THEN 'incomplete' ELSE 'overfull' END AS state
+FROM per
+WHERE event_time <= (SELECT max(event_time) FROM landed) - INTERVAL 1 DAY"""
