@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
-from lotguard.functions.exprs import strip
 
 
 def audit_events(outcomes: DataFrame, states: DataFrame) -> DataFrame:

@@ -181,13 +181,11 @@ REPORT_TABLES = ("resumo", "divergencias", "lotes_validados", "rejeicoes_cadastr
 def report_tables(evaluated: DataFrame) -> dict[str, DataFrame]:
     """K4: the six tables of the validation report, keyed by batch. Empty
     tables keep their columns (fixed projections)."""
-    from lotguard.operators.rules import consolidate as _consolidate
-
     ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
     keep = ["batch_id", "item_id"]
     return {
         "resumo": metrics_long(validation_summary(ev)),
-        "divergencias": _consolidate(ev, keys=["batch_id", "item_id", "lote_id"]),
+        "divergencias": consolidate(ev, keys=["batch_id", "item_id", "lote_id"]),
         "lotes_validados": ev.where((F.size(_v()) == 0) & ~F.col("_excluded"))
                              .select(*keep, *K.CONTRACT_COLUMNS, "status_original", "divergencia_rn05"),
         "rejeicoes_cadastro": registration_table(ev, "rejected"),
