@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,7 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
 
 
 _KEYS: dict[str, str] = {}
+_LOCKS: dict[str, threading.Lock] = {}
 TARGET_FILE_BYTES = 512 << 20
 
 
@@ -74,8 +76,10 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
         _KEYS[sf_dir] = _input_key(spark, sf_dir)
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/lotguard-landed/{_KEYS[sf_dir]}-{_code_hash()}/{name}"
-    fs, p = _fs(spark, path + "/_SUCCESS")
-    if not fs.exists(p):
-        df = build()
-        df.repartition(_file_count(spark, df)).write.mode("overwrite").parquet(path)
+    fs, done = _fs(spark, path + "/_SUCCESS")
+    # One writer per table in this driver: concurrent queries wait for it.
+    with _LOCKS.setdefault(path, threading.Lock()):
+        if not fs.exists(done):
+            df = build()
+            df.repartition(_file_count(spark, df)).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
