@@ -64,12 +64,29 @@ def completeness_stream(deduped: DataFrame) -> DataFrame:
     )
 
 
-def run_to_parquet(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+def completeness_accounting(arrived: DataFrame, emitted: DataFrame) -> DataFrame:
+    """Whole-result companion of ``completeness_stream`` (a batch query over
+    the landing table and the stream's sink). Stateful streaming drops items
+    that arrive after their batch's deadline; this lists, per batch, how many
+    distinct items arrived against how many the stream counted:
+    'pending' (not emitted yet), 'late_items' (arrived > counted) or 'ok'."""
+    got = arrived.groupBy("batch_id").agg(F.count_distinct("item_id").alias("arrived"))
+    out = got.join(emitted.select("batch_id", "received"), "batch_id", "left")
+    return out.select(
+        "batch_id", "arrived", F.coalesce("received", F.lit(0)).alias("counted"),
+        F.when(F.col("received").isNull(), F.lit("pending"))
+         .when(F.col("arrived") > F.col("received"), F.lit("late_items")).otherwise(F.lit("ok")).alias("state"),
+    )
+
+
+def run_to_parquet(stream: DataFrame, name: str, output_mode: str = "append",
+                   out: str | None = None, ckpt: str | None = None) -> DataFrame:
     """Run a streaming DataFrame to completion over the available input into
-    a parquet file sink; return the sink's contents as a batch DataFrame."""
+    a parquet file sink; return the sink's contents as a batch DataFrame.
+    Pass the same ``out``/``ckpt`` to resume a query where it stopped."""
     spark = stream.sparkSession
-    out = scratch_dir(spark, f"{name}-out")
-    ckpt = scratch_dir(spark, f"{name}-ckpt")
+    out = out or scratch_dir(spark, f"{name}-out")
+    ckpt = ckpt or scratch_dir(spark, f"{name}-ckpt")
     q = (stream.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
     q.awaitTermination()

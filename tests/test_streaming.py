@@ -24,3 +24,28 @@ def test_stream_completeness_flags_short_batches(spark):
     assert states.get("incomplete", 0) > 0 and states.get("released", 0) > 0
     # Re-delivered copies were removed before counting.
     assert s.where(F.col("received") > F.col("expected")).count() == 0
+
+
+def test_late_items_are_accounted_for(spark, tmp_path):
+    from lotguard.streaming import stream as ST
+
+    schema = "batch_id string, item_id string, batch_total int, reference_date string"
+    land = str(tmp_path / "land")
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def rows(data):
+        return ST.with_event_time(spark.createDataFrame(data, schema))
+
+    first = rows([("A", "a1", 2, "01/01/2026"), ("A", "a2", 2, "01/01/2026"),
+                  ("B", "b1", 1, "05/01/2026"), ("C", "c1", 1, "09/01/2026")])
+    ST.land(first, land)
+    src = lambda: ST.source(spark, land, first.schema)
+    ST.run_to_parquet(ST.completeness_stream(ST.dedupe_stream(src())), "c", out=out, ckpt=ckpt)
+    # A late copy of batch A arrives after A was finalised; a new batch D moves time on.
+    ST.land(rows([("A", "a3", 2, "01/01/2026"), ("D", "d1", 1, "20/01/2026")]), land)
+    emitted = ST.run_to_parquet(ST.completeness_stream(ST.dedupe_stream(src())), "c", out=out, ckpt=ckpt)
+    acc = {r["batch_id"]: (r["arrived"], r["counted"], r["state"])
+           for r in ST.completeness_accounting(spark.read.parquet(land), emitted).collect()}
+    assert acc["A"] == (3, 2, "late_items")
+    assert acc["B"][2] == "ok" and acc["C"][2] == "ok"
+    assert acc["D"][2] == "pending"

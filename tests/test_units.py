@@ -283,3 +283,36 @@ def test_fingerprint_files(spark, tmp_path):
     assert got[0]["sha256"] == hashlib.sha256(b"abc").hexdigest()
     assert got[0]["md5"] == hashlib.md5(b"abc").hexdigest()
     assert got[0]["batch_id"] == "batch-" + hashlib.sha256(b"abc").hexdigest()[:16]
+
+
+def test_events_since_truncates_start_to_the_second(spark):
+    from lotguard.operators import runs as RU
+
+    ev = spark.createDataFrame([
+        ("exec-1", "bot-a", "2024-01-10 00:00:00"),
+        ("exec-1", "bot-a", "2024-01-09 23:59:59"),
+        ("exec-1", "bot-b", "2024-01-10 00:00:01"),
+    ], "execution_id string, bot_id string, timestamp string") \
+        .withColumn("timestamp", F.to_timestamp_ntz("timestamp"))
+    win = RU.events_since(ev, "2024-01-10 00:00:00.5")
+    assert win.count() == 2
+    ctx = RU.log_context(win, "bot-a").first()
+    assert (ctx["n"], ctx["ok"]) == (2, False)
+
+
+def test_run_status_and_totals_ladder(spark):
+    from lotguard.operators import runs as RU
+
+    prod = spark.createDataFrame([("a", 25, 24, 1), ("b", 3, 0, 3), ("c", 2, 2, 0)],
+                                 "batch_id string, total long, itens_publicados_datapool long, erros_fluxo long")
+    got = {r[0]: r[1] for r in prod.select("batch_id", RU.producer_run_status()).collect()}
+    assert got == {"a": "PARTIALLY_COMPLETED", "b": "FAILED", "c": "SUCCESS"}
+    summaries = spark.createDataFrame([
+        ("a", "produtor", {"total": "25", "cadastros_falha": "1"}),
+        ("b", "validador", {"total_registros": "24", "total_falhas_tecnicas": "2"}),
+        ("c", "validador", {"total_items": "5", "failed_items": "1", "processed_items": "3"}),
+        ("d", "x", {}),
+    ], "batch_id string, stage string, summary map<string,string>")
+    tot = {r["batch_id"]: (r["total_items"], r["failed_items"], r["processed_items"])
+           for r in RU.run_totals(summaries).collect()}
+    assert tot == {"a": (25, 1, 24), "b": (24, 2, 22), "c": (5, 1, 3), "d": (0, 0, 0)}
