@@ -53,13 +53,24 @@ def normalise_report_rows(loose: DataFrame) -> DataFrame:
     )
 
 
+def utc_wallclock(df: DataFrame, c: str) -> Column:
+    """A UTC wall-clock TIMESTAMP_NTZ for column ``c``: NTZ values are taken
+    as UTC already; TIMESTAMP (instant) values are converted from the
+    session zone. Nothing downstream depends on the session time zone."""
+    if df.schema[c].dataType.simpleString() == "timestamp_ntz":
+        return F.col(c)
+    session_tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    return F.convert_timezone(F.lit(session_tz), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+
+
 def report_versions(runs: DataFrame, tz: str = K.TIMEZONE) -> DataFrame:
     """K6: never overwrite. Runs of the same report on the same local day
     get _2, _3, ... in start order. Input: report, started_at (UTC), run_key
     (unique tie-break). The numbering is skew-safe (see sequence.py)."""
-    local = F.from_utc_timestamp(F.col("started_at").cast("timestamp"), tz)
+    utc = utc_wallclock(runs, "started_at")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
     with_day = runs.withColumn("day", F.date_format(local, "ddMMyyyy")) \
-                   .withColumn("_us", F.unix_micros(F.col("started_at").cast("timestamp")))
+                   .withColumn("_us", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc))
     # One-second blocks: at most 86 400 count rows per (report, day).
     n = number_within(with_day, ["report", "day"], "_us", out="_i", tiebreak=["run_key"],
                       block_width=1_000_000)

@@ -132,7 +132,7 @@ def stored(handoff_rows: DataFrame) -> DataFrame:
     base = handoff_rows.select(
         *STORED_FIELDS, "item_id",
         k.alias("_k"),
-        F.to_timestamp(_batch_date()).alias("_day"),
+        _batch_date().cast("timestamp_ntz").alias("_day"),
     ).where(F.col("_k") % 29 != 3)
     created = F.col("_day") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("_k") % 1440).cast("int"))
     main = base.withColumn("linha", F.when(F.col("_k") % 31 == 4, F.lit("L9")).otherwise(F.col("linha"))) \
