@@ -9,16 +9,13 @@ from pyspark.sql import functions as F
 from lotguard.functions import constants as K
 
 
-def audit_events(outcomes: DataFrame, states: DataFrame) -> DataFrame:
-    """K8: per-item audit events of both stages (item_id, stage, level, event).
-
-    ``states`` carries datapool_state, error_type, finish_message and the
-    item's cadastro_status."""
+def producer_events(outcomes: DataFrame) -> DataFrame:
+    """K8, producer stage: one event per registration attempt."""
     st = F.col("cadastro_status")
     err = F.col("cadastro_error")
     ev = F.col("evidence_path")
     timeout = err.startswith(K.TIMEOUT_PREFIX)
-    producer = outcomes.select(
+    return outcomes.select(
         "item_id", F.lit("produtor").alias("stage"),
         F.when(st == K.OUTCOME_SUCCESS, F.lit("INFO")).when(st == K.OUTCOME_REJECTED, F.lit("WARNING"))
          .otherwise(F.lit("ERROR")).alias("level"),
@@ -28,11 +25,15 @@ def audit_events(outcomes: DataFrame, states: DataFrame) -> DataFrame:
                                  F.substring(err, len(K.TIMEOUT_PREFIX) + 1, 1 << 20)))
          .otherwise(F.concat(F.lit("CADASTRO_WEB_FALHOU erro="), err, F.lit(" evidencia="), ev)).alias("event"),
     )
+
+
+def consumer_events(states: DataFrame) -> DataFrame:
+    """K8, consumer stage: one event per final item state. ``states`` carries
+    datapool_state, error_type, finish_message and the item's cadastro_status."""
     s = F.col("datapool_state")
     et = F.col("error_type")
-    fm = F.col("finish_message")
-    rules = F.split(fm, ": ", 2).getItem(0)
-    consumer = states.select(
+    rules = F.split(F.col("finish_message"), ": ", 2).getItem(0)
+    return states.select(
         "item_id", F.lit("validador").alias("stage"),
         F.when(et == K.ERROR_SYSTEM, F.lit("ERROR")).when(s == K.STATE_DONE, F.lit("INFO"))
          .otherwise(F.lit("WARNING")).alias("level"),
@@ -42,7 +43,11 @@ def audit_events(outcomes: DataFrame, states: DataFrame) -> DataFrame:
          .when(s == K.STATE_DONE, F.lit("ITEM_VALIDADO_OK"))
          .otherwise(F.concat(F.lit("ITEM_VALIDADO_NOK regras="), rules)).alias("event"),
     )
-    return producer.unionByName(consumer)
+
+
+def audit_events(outcomes: DataFrame, states: DataFrame) -> DataFrame:
+    """K8: per-item audit events of both stages (item_id, stage, level, event)."""
+    return producer_events(outcomes).unionByName(consumer_events(states))
 
 
 def producer_run_status() -> Column:
@@ -93,3 +98,41 @@ def verification(batch_checks: DataFrame, checks: list[tuple[str, str, str]]) ->
     parts = ", ".join(f"'{name}', CAST({e} AS BIGINT), CAST({a} AS BIGINT)" for name, e, a in checks)
     long = batch_checks.selectExpr("batch_id", f"stack({len(checks)}, {parts}) AS (check, expected, actual)")
     return long.withColumn("ok", F.col("expected") == F.col("actual"))
+
+
+VERIFY_CHECKS = [
+    ("publicados_processados", "published", "n_states"),
+    ("sem_processing", "0", "n_processing"),
+    ("done_mais_error", "n_states", "n_done + n_error"),
+    ("divergentes_business", "n_divergent", "n_business"),
+    ("evidencias_nomeadas", "n_rows", "n_named"),
+    ("evidencias_comprovante", "published", "n_comprovante"),
+    ("evidencias_rejeicao", "rejected", "n_rejeicao"),
+]
+
+
+def verify_outputs(outcomes: DataFrame, states: DataFrame) -> DataFrame:
+    """Per batch, the post-run checks of a producer + consumer run.
+    ``outcomes`` are the producer's rows; ``states`` the consumer's final
+    states with the ``violations`` array kept."""
+    st = F.col("cadastro_status")
+    name = F.col("evidence_name")
+    prod = outcomes.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(st == K.OUTCOME_SUCCESS).alias("published"),
+        F.count_if(st == K.OUTCOME_REJECTED).alias("rejected"),
+        F.count_if((name != "") & (F.col("evidence_path") != "")).alias("n_named"),
+        F.count_if(name.startswith(K.EVIDENCE_OK)).alias("n_comprovante"),
+        F.count_if(name.startswith(K.EVIDENCE_REJECTED)).alias("n_rejeicao"),
+    )
+    s = F.col("datapool_state")
+    cons = states.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_states"),
+        F.count_if(s == K.STATE_PROCESSING).alias("n_processing"),
+        F.count_if(s == K.STATE_DONE).alias("n_done"),
+        F.count_if(s == K.STATE_ERROR).alias("n_error"),
+        F.count_if(F.col("error_type") == K.ERROR_BUSINESS).alias("n_business"),
+        F.count_if(F.size("violations") > 0).alias("n_divergent"),
+    )
+    zero = {c: 0 for c in ["n_states", "n_processing", "n_done", "n_error", "n_business", "n_divergent"]}
+    return verification(prod.join(cons, "batch_id", "left").fillna(zero), VERIFY_CHECKS)

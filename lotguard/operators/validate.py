@@ -27,9 +27,9 @@ def technical() -> Column:
 
 def with_exclusion(evaluated: DataFrame) -> DataFrame:
     """excluded = registration rejected or failed; still validated."""
-    if "cadastro_status" in evaluated.columns:
-        return evaluated.withColumn("_excluded", rejected() | technical())
-    return evaluated.withColumn("_excluded", F.lit(False))
+    if "cadastro_status" not in evaluated.columns:  # direct path: nothing was registered
+        evaluated = evaluated.withColumn("cadastro_status", F.lit(None).cast("string"))
+    return evaluated.withColumn("_excluded", rejected() | technical())
 
 
 def validate_handoff(items: DataFrame, reference: DataFrame | None = None) -> DataFrame:
@@ -73,8 +73,8 @@ def human_review(evaluated: DataFrame) -> DataFrame:
 def registration_table(evaluated: DataFrame, which: str) -> DataFrame:
     """Registration rejections or technical failures, 7 columns,
     missing values as ''."""
-    cond = rejected() if which == "rejected" else technical()
-    rows = evaluated.where(cond)
+    ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
+    rows = ev.where(rejected() if which == "rejected" else technical())
     return rows.select(*[
         F.coalesce(F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string"), F.lit("")).alias(c)
         if c != "source_row" else F.col(c)

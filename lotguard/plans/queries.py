@@ -414,44 +414,10 @@ def q_all_exceptions(spark, d):
     return prod.unionByName(cons)
 
 
-_CHECKS = [
-    ("publicados_processados", "published", "n_states"),
-    ("sem_processing", "0", "n_processing"),
-    ("done_mais_error", "n_states", "n_done + n_error"),
-    ("divergentes_business", "n_divergent", "n_business"),
-    ("evidencias_nomeadas", "n_rows", "n_named"),
-    ("evidencias_comprovante", "published", "n_comprovante"),
-    ("evidencias_rejeicao", "rejected", "n_rejeicao"),
-]
-
-
 @register("verify_run")
 def q_verify_run(spark, d):
-    out = FX.outcomes(spark, d)
-    st = F.col("cadastro_status")
-    name = F.col("evidence_name")
-    prod = out.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(st == K.OUTCOME_SUCCESS).alias("published"),
-        F.count_if(st == K.OUTCOME_REJECTED).alias("rejected"),
-        F.count_if((name != "") & (F.col("evidence_path") != "")).alias("n_named"),
-        F.count_if(name.startswith(K.EVIDENCE_OK)).alias("n_comprovante"),
-        F.count_if(name.startswith(K.EVIDENCE_REJECTED)).alias("n_rejeicao"),
-    )
-    ev = FX.published_evaluated(spark, d)
-    states = VAL.item_state(ev, keep=("violations",))
-    s = F.col("datapool_state")
-    cons = states.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_states"),
-        F.count_if(s == K.STATE_PROCESSING).alias("n_processing"),
-        F.count_if(s == K.STATE_DONE).alias("n_done"),
-        F.count_if(s == K.STATE_ERROR).alias("n_error"),
-        F.count_if(F.col("error_type") == K.ERROR_BUSINESS).alias("n_business"),
-        F.count_if(F.size("violations") > 0).alias("n_divergent"),
-    )
-    zero = {c: 0 for c in ["n_states", "n_processing", "n_done", "n_error", "n_business", "n_divergent"]}
-    both = prod.join(cons, "batch_id", "left").fillna(zero)
-    return RU.verification(both, _CHECKS)
+    states = VAL.item_state(FX.published_evaluated(spark, d), keep=("violations",))
+    return RU.verify_outputs(FX.outcomes(spark, d), states)
 
 
 @register("guarded_rule")
