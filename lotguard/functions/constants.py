@@ -29,6 +29,10 @@ REQUIRED_COLUMNS = (
 DEFAULT_REFERENCE_DATE = "14/06/2026"
 HEADER_ROW = 3  # rows 1-2 are presentation, row 3 is the header
 REFERENCE_SHEET = "Base_Referencia"
+REFERENCE_HEADER_ROW = 2  # row 1 is a title, row 2 the header
+REFERENCE_MISSING_COLUMN = (
+    "[RN03] Coluna 'lote_id' não encontrada na aba 'Base_Referencia'. Verifique o layout do arquivo."
+)
 
 # --- fixed values: status ---------------------------------------------------
 STATUS_DOMAIN = ("APROVADO", "REPROVADO", "PENDENTE")

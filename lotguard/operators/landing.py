@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
+from lotguard.functions.exprs import strip
 from lotguard.operators.sequence import number_within
 
 TOTAL_PATTERN = r"(?i)Registros:\s*(\d+)"
@@ -28,6 +29,27 @@ def declared_totals(grid: DataFrame, presentation_rows: int = 2) -> DataFrame:
     return per_sheet.select("batch_id", F.when(found != "", found.cast("int")).alias("declared"))
 
 
+def reference_list(grid: DataFrame, header_row: int = K.REFERENCE_HEADER_ROW) -> DataFrame:
+    """S4 from a reference-sheet grid: title row(s), header, data capped by
+    the declared total; the ``lote_id`` column stripped, nulls and blanks
+    dropped, distinct per batch. Output: batch_id, lote_id."""
+    hdr = grid.where(F.col("row_no") == header_row).select("batch_id", F.col("cells").alias("_hdr"))
+    meta = hdr.join(declared_totals(grid, header_row - 1), "batch_id", "left")
+    data = grid.where(F.col("row_no") > header_row).join(meta, "batch_id") \
+        .where(F.col("declared").isNull() | (F.col("row_no") <= F.col("declared") + header_row))
+    ids = data.select("batch_id", strip(_cell("lote_id")).alias("lote_id"))
+    return ids.where(F.col("lote_id").isNotNull() & (F.col("lote_id") != "")).distinct()
+
+
+def reference_layout_check(grid: DataFrame, header_row: int = K.REFERENCE_HEADER_ROW) -> DataFrame:
+    """S4 layout: a reference sheet without a lote_id column fails its batch
+    with the original message. Output: batch_id, ok, message."""
+    hdr = grid.where(F.col("row_no") == header_row)
+    ok = F.coalesce(F.array_contains("cells", "lote_id"), F.lit(False))
+    return hdr.select("batch_id", ok.alias("ok"),
+                      F.when(ok, F.lit("")).otherwise(F.lit(K.REFERENCE_MISSING_COLUMN)).alias("message"))
+
+
 def _cell(name: str):
     pos = F.array_position("_hdr", name).cast("int")
     return F.when(pos > 0, F.try_element_at("cells", pos))

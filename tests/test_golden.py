@@ -117,3 +117,42 @@ def test_report_tables_of_two_stage_run(spark):
     assert tables["falhas_tecnicas"].columns == list(K.REGISTRATION_COLUMNS)
     resumo = {r["metrica"]: r["valor"] for r in tables["resumo"].collect()}
     assert resumo["total_regras_violadas"] == 9
+
+
+def test_landing_contract_of_the_sample_sheet(spark):
+    """25 rows, source rows 4..28, deterministic unique item ids, 23
+    reference IDs read from a capped reference sheet."""
+    from lotguard.operators import landing as L
+
+    rows = golden_df(spark)
+    cells = F.array(*[F.col(c) for c in K.CONTRACT_COLUMNS])
+    grid = rows.select(F.lit("g").alias("batch_id"), F.lit("Inspecao_14_06_2026").alias("sheet_name"),
+                       (F.col("row_idx") + 4).alias("row_no"), cells.alias("cells")).unionByName(
+        spark.createDataFrame([
+            ("g", "Inspecao_14_06_2026", 1, ["Inspeção de lotes", None]),
+            ("g", "Inspecao_14_06_2026", 2, ["Registros: 25", None]),
+            ("g", "Inspecao_14_06_2026", 3, list(K.CONTRACT_COLUMNS)),
+            ("g", "Inspecao_14_06_2026", 29, ["Total", "25", None, None, None, None, None, None]),
+        ], "batch_id string, sheet_name string, row_no int, cells array<string>"))
+    table = L.lineage(L.sheet_to_table(grid).withColumn("source_hash", F.lit("h" * 64)))
+    got = table.select("source_row", "item_id").collect()
+    assert len(got) == 25
+    assert sorted(r["source_row"] for r in got) == list(range(4, 29))
+    assert len({r["item_id"] for r in got}) == 25
+    again = L.lineage(L.sheet_to_table(grid).withColumn("source_hash", F.lit("h" * 64)))
+    assert again.select("item_id").exceptAll(table.select("item_id")).count() == 0
+    assert L.sheet_reference_dates(grid).first()["reference_date"] == "14/06/2026"
+
+    ids = [f"LG-2026-00{n}" for n in range(101, 126) if n not in (103, 124)]
+    ref_grid = spark.createDataFrame(
+        [("g", "Base_Referencia", 1, ["Base de referência - Registros: 23"]),
+         ("g", "Base_Referencia", 2, ["lote_id", "descricao"])]
+        + [("g", "Base_Referencia", 3 + i, [f"  {x} ", "ok"]) for i, x in enumerate(ids)]
+        + [("g", "Base_Referencia", 26, ["LG-2026-00124", "beyond the declared total"]),
+           ("bad", "Base_Referencia", 2, ["codigo"])],
+        "batch_id string, sheet_name string, row_no int, cells array<string>")
+    ref = L.reference_list(ref_grid)
+    assert sorted(r["lote_id"] for r in ref.collect()) == ids
+    layout = {r["batch_id"]: (r["ok"], r["message"]) for r in L.reference_layout_check(ref_grid).collect()}
+    assert layout["g"] == (True, "")
+    assert layout["bad"] == (False, K.REFERENCE_MISSING_COLUMN)
