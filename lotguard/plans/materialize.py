@@ -54,6 +54,7 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
 
 _KEYS: dict[str, str] = {}
 _LOCKS: dict[str, threading.Lock] = {}
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
 TARGET_FILE_BYTES = 512 << 20
 
 
@@ -76,10 +77,16 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
         _KEYS[sf_dir] = _input_key(spark, sf_dir)
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/lotguard-landed/{_KEYS[sf_dir]}-{_code_hash()}/{name}"
+    key = (spark.sparkContext.applicationId, path)
+    if key in _FRAMES:
+        # A landed table never changes: reuse the handle (no new file listing
+        # or footer read per query).
+        return _FRAMES[key]
     fs, done = _fs(spark, path + "/_SUCCESS")
     # One writer per table in this driver: concurrent queries wait for it.
     with _LOCKS.setdefault(path, threading.Lock()):
         if not fs.exists(done):
             df = build()
             df.repartition(_file_count(spark, df)).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        _FRAMES[key] = spark.read.parquet(path)
+    return _FRAMES[key]
