@@ -188,8 +188,11 @@ def flag_known(lots: DataFrame, reference: DataFrame, out: str = "_known") -> Da
     )
 
 
-def prepare(lots: DataFrame, reference: DataFrame | None, reference_date: str | None = None) -> DataFrame:
-    """Add the context columns rules refer to."""
+def prepare(lots: DataFrame, reference: DataFrame | None, reference_date: str | None = None,
+            known: Column | None = None) -> DataFrame:
+    """Add the context columns rules refer to. ``known`` replaces the
+    reference join by a row-local membership expression when each row
+    carries its reference (as hand-off records do)."""
     if reference_date is not None:
         ref_text = F.lit(reference_date or K.DEFAULT_REFERENCE_DATE)
     elif "reference_date" in lots.columns:
@@ -201,7 +204,9 @@ def prepare(lots: DataFrame, reference: DataFrame | None, reference_date: str |
         "_status_norm": normalised_status("status"),
         "_ref_text": ref_text,
     }).withColumn("_ref_day", F.to_date("_ref_text", "d/M/yyyy"))
-    if reference is not None:
+    if known is not None:
+        out = out.withColumn("_known", F.coalesce(known, F.lit(False)))
+    elif reference is not None:
         out = flag_known(out, reference)
     else:
         out = out.withColumn("_known", F.lit(True))
@@ -216,11 +221,12 @@ def evaluate(
     reference: DataFrame | None,
     rules: list[Rule] | None = None,
     reference_date: str | None = None,
+    known: Column | None = None,
 ) -> DataFrame:
     """P8 fused form: every input row, plus ``status_original``, normalised
     ``status``, ``divergencia_rn05`` and the ordered ``violations`` array."""
     rules = rules if rules is not None else default_rules()
-    ctx = prepare(lots, reference, reference_date)
+    ctx = prepare(lots, reference, reference_date, known)
     violations = F.concat(*[r.entry() for r in sorted(rules, key=lambda r: r.ord)])
     rn05_text = F.when(F.col("_status_canon") == "OK", F.lit(K.RN05_OK_DESC)) \
                  .when(F.col("_status_canon") == "NOK", F.lit(K.RN05_NOK_DESC))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
-from lotguard.functions.exprs import or_default, truncate_message
+from lotguard.functions.exprs import or_default, strip, truncate_message
 from lotguard.operators.rules import consolidate, evaluate
 
 
@@ -33,12 +33,16 @@ def with_exclusion(evaluated: DataFrame) -> DataFrame:
 
 
 def validate_handoff(items: DataFrame, reference: DataFrame | None = None) -> DataFrame:
-    """Consumer validation of hand-off rows. The reference list defaults to the
-    one the hand-off itself carries (per batch, from reference_lotes_json)."""
+    """Consumer validation of hand-off rows.
+
+    Without an explicit reference list, RN03 uses the reference each record
+    carries (``reference_lotes_json``): a record's list always holds its own
+    lot when that lot is known, whether it carries the whole batch list or
+    only its own entry, so the check is row-local - no join, no shuffle."""
     if reference is None:
-        reference = items.select(
-            "batch_id", F.explode(F.from_json("reference_lotes_json", "array<string>")).alias("lote_id")
-        )
+        carried = F.from_json("reference_lotes_json", "array<string>")
+        known = F.array_contains(carried, strip("lote_id"))
+        return with_exclusion(evaluate(items, None, known=known))
     return with_exclusion(evaluate(items, reference))
 
 

@@ -156,3 +156,18 @@ def test_landing_contract_of_the_sample_sheet(spark):
     layout = {r["batch_id"]: (r["ok"], r["message"]) for r in L.reference_layout_check(ref_grid).collect()}
     assert layout["g"] == (True, "")
     assert layout["bad"] == (False, K.REFERENCE_MISSING_COLUMN)
+
+
+def test_consumer_rn03_is_row_local_for_both_handoff_formats(spark, tmp_path):
+    outcomes = A.admit(golden_df(spark))
+    A.handoff(outcomes, reference_df(spark)).write.parquet(str(tmp_path / "h"))
+    ours = spark.read.parquet(str(tmp_path / "h"))
+    # The original format: every record carries the whole sorted batch list.
+    full = ours.withColumn("reference_lotes_json",
+                           F.to_json(F.array_sort(F.array(*[F.lit(x) for x in sorted(
+                               r["lote_id"] for r in reference_df(spark).collect())]))))
+    a = R.consolidate(VAL.validate_handoff(ours))
+    b = R.consolidate(VAL.validate_handoff(full))
+    assert a.count() == 8 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = VAL.validate_handoff(ours)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
