@@ -261,6 +261,18 @@ def rule_hits(lots: DataFrame, reference: DataFrame | None, rule: Rule,
     )
 
 
+def select_where(df: DataFrame, cond: Column, *cols: Column | str) -> DataFrame:
+    """Project ``cols`` of the rows where ``cond`` holds.
+
+    Written as one Generate (inline of a 0- or 1-element array of structs)
+    rather than ``where(...).select(...)``: a filter on the ``violations``
+    column is pushed below the projection that computes it by inlining the
+    whole rule expression, so every rule would run twice per row (measured
+    3x slower). The Generate keeps that projection intact."""
+    fields = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return df.select(F.inline(F.when(cond, F.array(F.struct(*fields)))))
+
+
 def consolidated_columns(v: Column) -> list[Column]:
     """C1 texts from an ordered violation array. Field extraction on an array
     of structs plus array_distinct / array_join / array_contains are all
@@ -279,7 +291,7 @@ def consolidate(evaluated: DataFrame, keys: list[str] | None = None) -> DataFram
     already on the row, in rule order."""
     keys = keys or ["item_id", "lote_id"]
     v = F.col("violations")
-    return evaluated.where(F.size(v) > 0).select(*keys, *consolidated_columns(v))
+    return select_where(evaluated, F.size(v) > 0, *keys, *consolidated_columns(v))
 
 
 def consolidate_long(violations: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
 from lotguard.functions.exprs import or_default, strip, truncate_message
-from lotguard.operators.rules import consolidate, evaluate
+from lotguard.operators.rules import consolidate, evaluate, select_where
 
 
 
@@ -49,21 +49,21 @@ def validate_handoff(items: DataFrame, reference: DataFrame | None = None) -> Da
 def valid_lots(evaluated: DataFrame) -> DataFrame:
     """Rows without violations that were not excluded; status normalised."""
     ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
-    return ev.where((F.size(_v()) == 0) & ~F.col("_excluded")).select(
-        "item_id", *K.CONTRACT_COLUMNS, "status_original", "divergencia_rn05"
-    )
+    return select_where(ev, (F.size(_v()) == 0) & ~F.col("_excluded"),
+                        "item_id", *K.CONTRACT_COLUMNS, "status_original", "divergencia_rn05")
 
 
 def not_valid_keys(evaluated: DataFrame) -> DataFrame:
     """Divergent or excluded row keys (a boolean OR on the fused row)."""
     ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
-    return ev.where((F.size(_v()) > 0) | F.col("_excluded")).select("item_id")
+    return select_where(ev, (F.size(_v()) > 0) | F.col("_excluded"), "item_id")
 
 
 def human_review(evaluated: DataFrame) -> DataFrame:
     """One row per RN06 row."""
     rules = _v().getField("regra")
-    return evaluated.where(F.array_contains(rules, "RN06")).select(
+    return select_where(
+        evaluated, F.array_contains(rules, "RN06"),
         "item_id",
         "lote_id",
         "status_original",
@@ -190,8 +190,8 @@ def report_tables(evaluated: DataFrame) -> dict[str, DataFrame]:
     return {
         "resumo": metrics_long(validation_summary(ev)),
         "divergencias": consolidate(ev, keys=["batch_id", "item_id", "lote_id"]),
-        "lotes_validados": ev.where((F.size(_v()) == 0) & ~F.col("_excluded"))
-                             .select(*keep, *K.CONTRACT_COLUMNS, "status_original", "divergencia_rn05"),
+        "lotes_validados": select_where(ev, (F.size(_v()) == 0) & ~F.col("_excluded"),
+                                        *keep, *K.CONTRACT_COLUMNS, "status_original", "divergencia_rn05"),
         "rejeicoes_cadastro": registration_table(ev, "rejected"),
         "falhas_tecnicas": registration_table(ev, "technical"),
         "revisao_humana": human_review(ev),
