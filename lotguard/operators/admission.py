@@ -74,7 +74,7 @@ def reconcile(sent: DataFrame, stored: DataFrame, keys: tuple[str, ...] = ()) ->
     sent_side = j.select(
         *keys, "lote_id", F.when(missing, F.lit("missing")).otherwise(F.lit("diff")).alias("side"),
         F.when(missing, whole).otherwise(diffs).alias("_d"),
-    ).select(*keys, "lote_id", "side", F.inline("_d"))
+    ).select(*keys, "lote_id", "side", F.inline_outer("_d")).where(F.col("campo").isNotNull())
     extra = latest.join(s.select("lote_id").distinct(), "lote_id", "left_anti").select(
         *[none.alias(k) for k in keys], "lote_id", F.lit("extra").alias("side"),
         F.lit("*").alias("campo"), none.alias("esperado"), none.alias("salvo"),

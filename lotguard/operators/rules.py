@@ -242,7 +242,10 @@ def evaluate(
 def violations_long(evaluated: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Long violation table: one row per (row, violation), duplicates kept."""
     keys = keys or ["item_id", "lote_id"]
-    return evaluated.select(*keys, F.inline("violations")).select(
+    # inline_outer + a filter on the generated column: a plain inline on a
+    # column gets an inferred size(violations) > 0 filter that Catalyst pushes
+    # below the rule projection, evaluating every rule twice per row.
+    return evaluated.select(*keys, F.inline_outer("violations")).where(F.col("ord").isNotNull()).select(
         *keys,
         "ord",
         F.col("regra").alias("regra_violada"),

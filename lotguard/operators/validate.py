@@ -174,7 +174,7 @@ def exception_rate(evaluated: DataFrame) -> DataFrame:
 def rule_distribution(evaluated: DataFrame) -> DataFrame:
     """Violations per rule; the explode feeds a partial aggregate, so the
     shuffle carries one row per (task, rule)."""
-    return evaluated.select(F.explode(_v().getField("regra")).alias("regra")) \
+    return evaluated.select(F.explode_outer(_v().getField("regra")).alias("regra")).where(F.col("regra").isNotNull()) \
         .groupBy("regra").agg(F.count(F.lit(1)).alias("n"))
 
 
