@@ -71,9 +71,10 @@ def report_versions(runs: DataFrame, tz: str = K.TIMEZONE) -> DataFrame:
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
     with_day = runs.withColumn("day", F.date_format(local, "ddMMyyyy")) \
                    .withColumn("_us", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc))
-    # One-second blocks: at most 86 400 count rows per (report, day).
+    # One-minute blocks: at most 1 440 count rows per (report, day); a block
+    # holds the runs of one minute.
     n = number_within(with_day, ["report", "day"], "_us", out="_i", tiebreak=["run_key"],
-                      block_width=1_000_000)
+                      block_width=60_000_000)
     run_no = (F.col("_i") + 1).cast("int")
     name = F.concat("report", F.lit("_"), "day",
                     F.when(run_no > 1, F.concat(F.lit("_"), run_no.cast("string"))).otherwise(F.lit("")),
