@@ -20,6 +20,9 @@ _CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce small shuffle partitions only below 64 KB, so small stages keep
+    # one task per core (no effect once partitions are large).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Let AQE turn a join into a broadcast only after it has measured the
     # build side at run time; static estimates of derived tables are unreliable.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
