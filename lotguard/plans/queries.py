@@ -11,9 +11,17 @@ from pyspark.sql import functions as F
 from lotguard.functions import constants as K
 from lotguard.functions.exprs import strip
 from lotguard.operators import admission as A
+from lotguard.operators import landing as L
+from lotguard.operators import queue as QU
+from lotguard.operators import report as RP
 from lotguard.operators import rules as R
+from lotguard.operators import runs as RU
 from lotguard.operators import validate as VAL
 from lotguard.plans import fixtures as FX
+from lotguard.session import scratch_dir
+from lotguard.sources import testdata as td
+from lotguard.sources.tables import read_table
+from lotguard.streaming import stream as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -190,13 +198,6 @@ def q_not_valid_keys(spark, d):
 
 # --- landing (D6, D9, documents) ------------------------------------------------
 
-from lotguard.operators import landing as L  # noqa: E402
-from lotguard.operators import queue as QU  # noqa: E402
-from lotguard.operators import report as RP  # noqa: E402
-from lotguard.operators import runs as RU  # noqa: E402
-from lotguard.sources import testdata as td  # noqa: E402
-from lotguard.sources.tables import read_table  # noqa: E402
-from lotguard.session import scratch_dir  # noqa: E402
 
 
 @register("sheet_to_table")
@@ -436,10 +437,8 @@ def q_evidence_coverage(spark, d):
     return A.evidence_coverage(out, td.evidence_listing(out))
 
 
-# --- streaming (rows-only) -----------------------------------------------------
+# --- streaming (oracles are the batch twins) -------------------------------------
 
-from lotguard.session import scratch_dir  # noqa: E402
-from lotguard.streaming import stream as ST  # noqa: E402
 
 
 def _landed(spark, d, with_copies: bool = False, short_declared: bool = False):
