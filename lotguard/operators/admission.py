@@ -194,8 +194,8 @@ def handoff(outcomes: DataFrame, reference: DataFrame, execution_id: str = "exec
     and no record carries a batch-sized list.
     """
     rows = admitted(outcomes) if published_only else outcomes
-    rows = flag_known(rows, reference, out="_ref_hit")
-    rows = rows.join(batch_totals(rows), "batch_id")
+    totals = batch_totals(rows)  # counts do not need the reference join
+    rows = flag_known(rows, reference, out="_ref_hit").join(totals, "batch_id")
     ref_json = F.to_json(F.when(F.col("_ref_hit"), F.array(strip("lote_id")))
                           .otherwise(F.array().cast("array<string>")))
     values = {
