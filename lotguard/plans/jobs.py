@@ -61,8 +61,33 @@ def producer_job(spark: SparkSession, lots: DataFrame, reference: DataFrame, out
 
 def consumer_job(spark: SparkSession, handoff_path: str, out: str, run: str = "1",
                  reference: DataFrame | None = None) -> dict[str, str]:
-    """Consumer stage over a published hand-off."""
+    """Consumer stage over a published hand-off.
+
+    If the run fails (e.g. a reference date that cannot be parsed), every
+    item that has no final state yet is written as ERROR/SYSTEM with the
+    error text (C8) and the result carries status FAILED instead of raising,
+    as the original consumer does."""
     out = out.rstrip("/")
+    try:
+        paths = _consume(spark, handoff_path, out, run, reference)
+        paths["status"] = "COMPLETED"
+        return paths
+    except Exception as error:  # noqa: BLE001 - the run's failure is its result
+        message = str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
+        items = spark.read.parquet(handoff_path)
+        processing = items.select(
+            "item_id", "batch_id", F.lit(K.STATE_PROCESSING).alias("datapool_state"),
+            F.lit("").alias("error_type"), F.lit("").alias("finish_message"))
+        errors = items.select("batch_id").distinct().withColumn("error", F.lit(message))
+        return {
+            "status": "FAILED",
+            "error": message[:K.MESSAGE_LIMIT],
+            "states": _write(VAL.abort_states(processing, errors), f"{out}/states"),
+        }
+
+
+def _consume(spark: SparkSession, handoff_path: str, out: str, run: str,
+             reference: DataFrame | None) -> dict[str, str]:
     items = spark.read.parquet(handoff_path)
     paths = {"evaluated": _write(VAL.validate_handoff(items, reference), f"{out}/evaluated")}
     ev = spark.read.parquet(paths["evaluated"])

@@ -58,3 +58,14 @@ def test_direct_check_job(spark, tmp_path):
     assert spark.read.parquet(out["report/divergencias"]).count() == 9
     assert spark.read.parquet(out["report/lotes_validados"]).count() == 16
     assert spark.read.parquet(out["report/revisao_humana"]).count() == 2
+
+
+def test_consumer_failure_marks_items_as_system_errors(spark, tmp_path):
+    prod = jobs.producer_job(spark, golden_df(spark).withColumn("reference_date", F.lit("99/99/2026")),
+                             reference_df(spark), str(tmp_path / "p"))
+    cons = jobs.consumer_job(spark, prod["handoff"], str(tmp_path / "c"))
+    assert cons["status"] == "FAILED" and cons["error"]
+    states = spark.read.parquet(cons["states"])
+    by = {(r[0], r[1]): r[2] for r in states.groupBy("datapool_state", "error_type").count().collect()}
+    assert by == {("ERROR", "SYSTEM"): 24}
+    assert states.where(F.length("finish_message") > 1000).count() == 0
