@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lotguard.llm import ngram_join, suffix_dedup
+from lotguard.llm import ngram_join, quality_forest, suffix_dedup
 
-_MODULES = [suffix_dedup, ngram_join]
+_MODULES = [suffix_dedup, ngram_join, quality_forest]
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in getattr(m, "SQL", {}).items()}
