@@ -17,11 +17,14 @@ two unlike suffixes travel:
    identifier in its 400 bytes. Equal strings have equal buckets, and
    neighbouring positions mostly the same, so one row stands for a run of
    positions.
-3. Refinement of whole runs: rows of a bucket whose runs have equal
-   identifiers at all their offsets are repeated as a whole.
-4. Refinement of positions: a run unlike all others of a bucket that holds
-   others goes on position by position by 400-byte identifiers, together with
-   one run for each group of equal ones.
+3. Refinement of runs: rows of a bucket whose runs have equal identifiers at
+   all their offsets are repeated as a whole. A run unlike all others of a
+   bucket that holds others goes on, together with one run for each group of
+   equal ones.
+4. The same with shorter runs: those that go on are cut where the distance to
+   the bucket's q-gram passes a multiple of 26. Such a run's bucket is the
+   identifier of the 375 bytes that all its strings share.
+5. What still goes on does so position by position by 400-byte identifiers.
 
 A string counts as repeated when bucket and 400-byte identifier agree (128
 bits in all).
@@ -39,29 +42,33 @@ from pyspark.sql import functions as F
 
 from lotguard.llm.common import U64, mix, pair, ranges, runs_of, small_batches, table, text_key, written
 
-#: Bytes of a repeated string; bytes of the q-gram of the initial buckets.
-LENGTH, Q = 400, 100
+#: Bytes of a repeated string; bytes of the q-gram of the initial buckets;
+#: positions in a run of the second refinement.
+LENGTH, Q, BLOCK = 400, 100, 26
 _W = LENGTH - Q + 1  # q-grams in a string
 _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x632BE59BD9B4E019))
 #: Positions handled at once: memory stays bounded for texts of any size.
 SLICE = 1 << 18
 
 
-def identifiers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Identifiers of the 100 and of the 400 bytes from each position."""
+def _times5(h: np.ndarray, step: int) -> np.ndarray:
+    n = max(len(h) - 4 * step, 0)
+    out = h[:n]
+    for k in range(1, 5):
+        out = pair(out, h[k * step : k * step + n])
+    return out
 
-    def times5(h: np.ndarray, step: int) -> np.ndarray:
-        n = max(len(h) - 4 * step, 0)
-        out = h[:n]
-        for k in range(1, 5):
-            out = pair(out, h[k * step : k * step + n])
-        return out
 
-    def twice(h: np.ndarray, step: int) -> np.ndarray:
-        return pair(h[: max(len(h) - step, 0)], h[step:])
+def _twice(h: np.ndarray, step: int) -> np.ndarray:
+    return pair(h[: max(len(h) - step, 0)], h[step:])
 
-    h100 = twice(twice(times5(times5(_BYTE[data], 1), 5), 25), 50)
-    return h100, twice(twice(h100, 100), 200)
+
+def identifiers(data: np.ndarray) -> dict[int, np.ndarray]:
+    """Identifiers of the 25, 50, 100, 200 and 400 bytes from each position."""
+    out = {25: _times5(_times5(_BYTE[data], 1), 5)}
+    for n in (25, 50, 100, 200):
+        out[2 * n] = _twice(out[n], n)
+    return out
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -79,7 +86,8 @@ def position_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     empty = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return empty, empty, empty.astype(U64), empty.astype(U64), empty.astype(bool)
-    h100, h400 = identifiers(data)
+    ids = identifiers(data)
+    h100, h400 = ids[Q], ids[LENGTH]
     low = _sliding(h100, _W, np.minimum)
     n = len(low)
     sizes = np.diff(np.concatenate(([0], ends)))
@@ -130,25 +138,53 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each position of the runs that step 4 takes."""
+def _open_parts(batches: Iterator[pa.RecordBatch]):
+    """The open runs of the texts, about SLICE positions at once: t_id, first
+    positions, sizes, buckets, the identifiers in the bytes of the runs put
+    one after another, and where in these each run begins."""
     for batch in small_batches(batches, "body", SLICE):
-        for i in range(batch.num_rows):
-            body = np.frombuffer(batch.column(1)[i].as_py(), np.uint8)
-            runs = batch.column(2)[i].values
-            keep = np.flatnonzero(np.asarray(runs.field("open")))
-            lo, n = (np.asarray(runs.field(f))[keep].astype(np.int64) for f in ("lo", "n"))
-            bucket = np.asarray(runs.field("bucket"))[keep].view(U64)
-            share = np.cumsum(n + LENGTH) // (2 * SLICE)
-            for s, c in zip(*runs_of(share), strict=True):
-                a, k, b = lo[s : s + c], n[s : s + c], bucket[s : s + c]
-                _, h400 = identifiers(body[ranges(a, k + LENGTH - 1)])
-                begin = np.cumsum(k + LENGTH - 1) - (k + LENGTH - 1)
-                key = pair(h400[ranges(begin, k)], np.repeat(b, k))
-                yield pa.record_batch(
-                    [pa.array(key.view(np.int64)), pa.array(np.full(len(key), batch.column(0)[i].as_py(), np.int64)), pa.array(ranges(a, k).astype(np.int32))],
-                    names=["string", "t_id", "pos"],
-                )
+        for t_id, body, runs in zip(batch.column("t_id").to_pylist(), batch.column("body"), batch.column("runs"), strict=True):
+            keep = np.flatnonzero(np.asarray(runs.values.field("open")))
+            lo, n = (np.asarray(runs.values.field(f))[keep].astype(np.int64) for f in ("lo", "n"))
+            bucket = np.asarray(runs.values.field("bucket"))[keep].view(U64)
+            data = np.frombuffer(body.as_py(), np.uint8)
+            for s, c in zip(*runs_of(np.cumsum(n + LENGTH) // (2 * SLICE)), strict=True):
+                a, k = lo[s : s + c], n[s : s + c]
+                size = k + LENGTH - 1
+                yield t_id, a, k, bucket[s : s + c], identifiers(data[ranges(a, size)]), np.cumsum(size) - size
+
+
+def _short_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The open runs cut at fixed distances to the q-gram of their bucket."""
+    for t_id, lo, n, bucket, ids, begin in _open_parts(batches):
+        at, run = ranges(begin, n), np.repeat(np.arange(len(n)), n)
+        grams, owner = ranges(begin, n + _W - 1), np.repeat(np.arange(len(n)), n + _W - 1)
+        chosen = grams[ids[Q][grams] == bucket[owner]]
+        gram = chosen[np.searchsorted(chosen, at)]
+        away = gram - at
+        block = away // BLOCK
+        cut = np.concatenate(([True], (run[1:] != run[:-1]) | (gram[1:] != gram[:-1]) | (block[1:] != block[:-1])))
+        first = np.flatnonzero(cut)
+        whole = mix(np.add.reduceat(mix(ids[LENGTH][at] + away.astype(U64) * U64(0x9E3779B97F4A7C15)), first))
+        core = (gram - block * BLOCK)[first]
+        known = pair(pair(ids[200][core], ids[100][core + 200]), pair(ids[50][core + 300], ids[25][core + 350]))
+        key = pair(pair(known, bucket[run[first]]), block[first].astype(U64))
+        yield pa.record_batch(
+            [pa.array(np.full(len(first), t_id, np.int64)), pa.array((lo[run] + at - begin[run])[first].astype(np.int32)),
+             pa.array(np.diff(np.append(first, len(at))).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)),
+             pa.array(np.zeros(len(first), bool))],
+            names=["t_id", "lo", "n", "bucket", "whole", "twice"],
+        )
+
+
+def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each position of the open runs."""
+    for t_id, lo, n, bucket, ids, begin in _open_parts(batches):
+        key = pair(ids[LENGTH][ranges(begin, n)], np.repeat(bucket, n))
+        yield pa.record_batch(
+            [pa.array(key.view(np.int64)), pa.array(np.full(len(key), t_id, np.int64)), pa.array(ranges(lo, n).astype(np.int32))],
+            names=["string", "t_id", "pos"],
+        )
 
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,14 +192,13 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed, spans, digests, kept_all = [], [], [], []
         for i in range(batch.num_rows):
             body = np.frombuffer(batch.column("body")[i].as_py(), np.uint8)
-            runs = batch.column("runs")[i].values
-            lo, n = (np.asarray(runs.field(f)).astype(np.int64) for f in ("lo", "n"))
-            closed = np.asarray(runs.field("repeated"))
-            more = batch.column("positions")[i].values
-            more = np.asarray(more).astype(np.int64) if more is not None else np.zeros(0, np.int64)
+            closed = batch.column("closed")[i].values
+            lo, n = (np.asarray(closed.field(f)).astype(np.int64) for f in ("lo", "n"))
+            single = batch.column("positions")[i].values
+            single = np.asarray(single).astype(np.int64) if single is not None else np.zeros(0, np.int64)
             step = np.zeros(len(body) + 1, np.int64)
-            np.add.at(step, np.concatenate((lo[closed], more)), 1)
-            np.add.at(step, np.concatenate(((lo + n + LENGTH - 1)[closed], more + LENGTH)), -1)
+            np.add.at(step, np.concatenate((lo, single)), 1)
+            np.add.at(step, np.concatenate((lo + n + LENGTH - 1, single + LENGTH)), -1)
             gone = np.cumsum(step)[:-1] > 0
             kept = body[~gone].tobytes()
             removed.append(int(gone.sum()))
@@ -191,6 +226,33 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     runs = written(
         bodies.mapInArrow(_run_rows, "t_hash long, t_len int, lo int, n int, bucket long, whole long, twice boolean"), "runs"
     )
+    wanted = refined(runs, ["t_hash", "t_len"])
+    texts = written(
+        bodies.groupBy("t_hash", "t_len").agg(F.first("body").alias("body")).join(wanted, ["t_hash", "t_len"])
+        .withColumn("t_id", F.monotonically_increasing_id()), "repeated-texts"
+    )
+    going_on = F.exists("runs", lambda r: r["open"])
+    short = written(
+        texts.filter(going_on).select("t_id", "body", "runs")
+        .mapInArrow(_short_runs, "t_id long, lo int, n int, bucket long, whole long, twice boolean"), "short-runs"
+    )
+    closed = F.transform(F.filter("runs", lambda r: r["repeated"]), lambda r: F.struct(r["lo"].alias("lo"), r["n"].alias("n")))
+    again = refined(short, ["t_id"])
+    texts = written(
+        texts.withColumn("closed", closed).drop("runs").join(again, "t_id", "left")
+        .withColumn("closed", F.concat("closed", F.coalesce(closed, F.array().cast("array<struct<lo:int,n:int>>")))), "repeated-texts"
+    )
+    strings = texts.filter(going_on).select("t_id", "body", "runs").mapInArrow(_string_rows, "string long, t_id long, pos int")
+    found = strings.withColumn("same", F.count("*").over(Window.partitionBy("string"))).filter("same > 1")
+    positions = found.groupBy("t_id").agg(F.collect_list("pos").alias("positions"))
+    cut = texts.join(positions, "t_id", "left").select("t_hash", "t_len", "body", "closed", "positions")
+    return cut.mapInArrow(_cut_rows, "t_hash long, t_len int, n_removed long, n_spans long, kept_sha256 string, kept binary").filter("n_removed > 0")
+
+
+def refined(runs: DataFrame, of: list[str]) -> DataFrame:
+    """One refinement of the buckets of ``runs``: for each text (columns
+    ``of``) that has any, the runs that are repeated as a whole, and those
+    that are open, that is go on to the next refinement."""
     # Buckets with two rows at least; sums and extremes combine before the shuffle.
     buckets = (
         runs.groupBy("bucket")
@@ -199,24 +261,13 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
         .select("bucket", (F.col("a") != F.col("b")).alias("unlike"))
     )
     shared = written(runs.join(buckets, "bucket"), "shared-runs")
-    run_id = F.xxhash64("t_hash", "t_len", "lo")
+    run_id = F.xxhash64(*of, "lo")
     groups = shared.groupBy("bucket", "whole").agg(F.count("*").alias("same"), F.min(run_id).alias("one"))
-    # repeated: the whole run is found again. open: goes on by positions.
     status = shared.join(groups, ["bucket", "whole"]).select(
-        "t_hash", "t_len", "lo", "n", "bucket",
-        (F.col("same") > 1).alias("repeated"),
+        *of, "lo", "n", "bucket", (F.col("same") > 1).alias("repeated"),
         ((F.col("unlike") & (F.col("one") == run_id)) | (F.col("twice") & (F.col("same") == 1))).alias("open"),
     ).filter("repeated or open")
-    wanted = status.groupBy("t_hash", "t_len").agg(F.collect_set(F.struct("lo", "n", "bucket", "repeated", "open")).alias("runs"))
-    texts = written(
-        bodies.groupBy("t_hash", "t_len").agg(F.first("body").alias("body")).join(wanted, ["t_hash", "t_len"])
-        .withColumn("t_id", F.monotonically_increasing_id()), "repeated-texts"
-    )
-    strings = texts.filter(F.exists("runs", lambda r: r["open"])).select("t_id", "body", "runs").mapInArrow(_string_rows, "string long, t_id long, pos int")
-    again = strings.withColumn("same", F.count("*").over(Window.partitionBy("string"))).filter("same > 1")
-    positions = again.groupBy("t_id").agg(F.collect_list("pos").alias("positions"))
-    cut = texts.join(positions, "t_id", "left").select("t_hash", "t_len", "body", "runs", "positions")
-    return cut.mapInArrow(_cut_rows, "t_hash long, t_len int, n_removed long, n_spans long, kept_sha256 string, kept binary").filter("n_removed > 0")
+    return status.groupBy(*of).agg(F.collect_set(F.struct("lo", "n", "bucket", "repeated", "open")).alias("runs"))
 
 
 def dedup_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
