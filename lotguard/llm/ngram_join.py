@@ -14,13 +14,21 @@ linked sets of the band. (Where two cells hold one shingle at most, hardly
 anything would be asked of the others, so the third cell joins the signature,
 once whole and once without each of its shingles.)
 
-Sharers of a signature are not paired with each other. In a first round each is
-compared, on its whole text, with the smallest of them, the hub. What a later
-round takes up are signatures whose sharers still belong to several components,
-and only pairs across components: by the triangle inequality on the known
-distances to the hub many need no look; the others are compared. The result is
-exact: a pair that links shares a signature and is either in one component
-already or compared.
+Sharers of a signature are not paired with each other. Each is compared with
+the smallest of them, the hub, if a sketch (counts of shingles in 256 cells,
+whose difference is a lower bound) does not part them. Further rounds do the
+same with those that are not yet in their hub's component. What is left are
+pairs of different components; which of them still could link is found
+
+* for texts near their hub (up to twice the allowed difference), by what sets
+  them apart from it: of two such texts that link, one not linked to the hub,
+  more than 17 in 37 of the other's odd shingles are among the first's, so the
+  rarest of them (a prefix) join;
+* for signatures with texts far from the hub, by the sketches, in blocks of
+  bounded size inside a task.
+
+The result is exact: a pair that links shares a signature and is in one
+component already, or is among the pairs found, which are all compared.
 """
 
 from __future__ import annotations
@@ -29,45 +37,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotguard.llm.common import U64, mix, pair, small_batches, table, text_key, written
 from lotguard.llm.components import components
+from lotguard.llm.words import segment_hashes
 
-#: Words of a shingle.
-WORDS = 4
+#: Words of a shingle; cells of a sketch; rounds with further hubs; texts of a block.
+WORDS, CELLS, ROUNDS, BLOCK = 4, 256, 3, 1000
 #: Bytes of text handled at once.
 SLICE = 1 << 18
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
-_PLACES = 64
-_TABLE = mix(np.arange(1, 256 * _PLACES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
-
-
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of a UTF-8 buffer, A to Z lower-cased, and
-    the place of their first byte."""
-    inside = ~_SPACE[data]
-    at = np.flatnonzero(inside)
-    if not len(at):
-        return np.zeros(0, U64), at
-    first = np.flatnonzero(np.concatenate(([True], np.diff(at) > 1)))
-    length = np.diff(np.append(first, len(at)))
-    place = np.arange(len(at)) - np.repeat(first, length)
-    value = _TABLE[(place % _PLACES) * 256 + _LOWER[data[at]]]
-    if (far := place >= _PLACES).any():
-        value[far] = mix(value[far] + (place[far] // _PLACES).astype(U64))
-    return mix(np.add.reduceat(value, first) + length.astype(U64)), at[first]
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """The sorted set of shingle identifiers of each text. Under four words:
     one shingle of all; without words: none."""
     data = np.frombuffer(b"\n".join(texts), np.uint8)
-    words, at = word_hashes(data)
+    words, at = segment_hashes(data, lower=True)
     begin = np.cumsum([0] + [len(t) + 1 for t in texts])
     cut = np.searchsorted(at, begin)
     n = max(len(words) - WORDS + 1, 0)
@@ -194,6 +181,26 @@ def _sharers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches, "body", SLICE):
+        sets = shingle_sets(batch.column("body").to_pylist())
+        cells = [np.minimum(np.bincount((mix(x ^ U64(CELLS)) >> U64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes() for x in sets]
+        yield pa.record_batch(
+            [batch.column("t_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(cells, pa.binary())], names=["t_id", "size", "sketch"]
+        )
+
+
+def _cells(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """At least how many shingles set a and b apart."""
+    for batch in batches:
+        least = np.abs(_cells(batch.column("a_sketch")) - _cells(batch.column("b_sketch"))).sum(axis=1, dtype=np.int64)
+        yield pa.record_batch([*(batch.column(c) for c in ("a", "b", "a_size", "b_size")), pa.array(least)], names=["a", "b", "a_size", "b_size", "least"])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last: tuple[bytes, np.ndarray] | None = None
     for batch in small_batches(small_batches(batches, "a_body", SLICE), "b_body", 1 << 24):
@@ -203,19 +210,61 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             body = body.as_py()
             if last is None or last[0] != body:  # neighbouring rows mostly share it
                 last = body, shingle_sets([body])[0]
-            y = last[1]
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            union = len(x) + len(y) - common
-            rows.append((len(x), len(y), union - common, 100 * common >= 85 * union > 0))
-        sizes = [pa.array(c) for c in zip(*rows, strict=True)]
-        yield pa.record_batch([batch.column("a"), batch.column("b"), *sizes], names=["a", "b", "a_size", "b_size", "apart", "linked"])
+            odd = np.setxor1d(x, last[1], assume_unique=True).view(np.int64)
+            both = len(x) + len(last[1])
+            linked = both > 0 and 37 * len(odd) <= 3 * both
+            rows.append((len(x), len(last[1]), len(odd), linked, odd if len(odd) <= 2 * farthest(len(x), len(last[1])) else None))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
+        cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        yield pa.record_batch([batch.column("a"), batch.column("b"), *cols], names=["a", "b", "a_size", "b_size", "apart", "linked", "odd"])
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Exact comparison of pairs (a, b) of texts (t_id, body)."""
+    """Exact comparison of pairs (a, b) of texts (t_id, body): sizes, shingles
+    that set them apart (apart; odd, if at most twice what a link allows), linked."""
     left, right = (texts.select(F.col("t_id").alias(s), F.col("body").alias(f"{s}_body")) for s in "ab")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_body", "b_body")
-    return both.mapInArrow(_compare, "a long, b long, a_size long, b_size long, apart long, linked boolean")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_body", "b_body")
+    return both.mapInArrow(_compare, "a long, b long, a_size long, b_size long, apart long, linked boolean, odd array<long>")
+
+
+def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes and a lower bound of what sets them apart."""
+    left, right = (nodes.select(*(F.col(c).alias(f"{s}_{c}") for c in ("size", "sketch")), F.col("t_id").alias(s)) for s in "ab")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(_bounded, "a long, b long, a_size long, b_size long, least long")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by signature and pair of blocks: pairs with a text far
+    from the hub that the sketches don't part."""
+    held: list[pa.RecordBatch] = []
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        t, root, size, far, own = (np.asarray(rows.column(c)) for c in ("t_id", "root", "size", "far", "own"))
+        one = rows.column("i")[0] == rows.column("j")[0]
+        cells = _cells(rows.column("sketch").combine_chunks())
+        out: list[tuple[int, int]] = []
+        for k in np.flatnonzero(far):
+            other = np.flatnonzero((root != root[k]) & (~far | (t > t[k])) & (one | (own != own[k])))
+            for c in range(0, len(other), 4096):
+                o = other[c : c + 4096]
+                o = o[37 * np.abs(cells[o] - cells[k]).sum(axis=1, dtype=np.int64) <= 3 * (size[o] + size[k])]
+                out += [(min(t[k], t[x]), max(t[k], t[x])) for x in o]
+        return pa.record_batch([pa.array([int(p[i]) for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    def groups(rows: pa.Table) -> np.ndarray:
+        key = [np.asarray(rows.column(c)) for c in ("sig", "i", "j")]
+        return np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0))))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([*held, batch])
+        first = groups(rows)
+        for a, b in zip(first, first[1:], strict=False):
+            yield pairs(rows.slice(a, b - a))
+        held = rows.slice(first[-1]).combine_chunks().to_batches()
+    if held:
+        yield pairs(pa.Table.from_batches(held))
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,10 +274,9 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*cols, pa.array(sizes, pa.int64())], names=["k", "t_hash", "t_len", "n_shingles"])
 
 
-def links(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Texts that share a signature with an unlike text (t_id, t_hash, t_len),
-    and the compared pairs of them (a, b, a_size, b_size, apart, linked), which
-    hold enough links to join every component."""
+    and links (a, b) between them, enough to join every component."""
     bodies = docs.select(*text_key(F.col(f"`{text}`")), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("body"))
     found = bodies.mapInArrow(_signature_rows, "sig long, t_hash long, t_len int")
     shared = written(
@@ -239,27 +287,94 @@ def links(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     texts = written(
         bodies.join(nodes, ["t_hash", "t_len"]).groupBy("t_id").agg(F.first("body").alias("body")), "texts"
     )
-    is_hub = (F.col("t_hash") == F.col("hub_hash")) & (F.col("t_len") == F.col("hub_len"))
-    members = written(shared.join(nodes, ["t_hash", "t_len"]).select("sig", "t_id", is_hub.alias("is_hub")), "members")
-    hubs = members.filter("is_hub").select("sig", F.col("t_id").alias("hub"))
-    first = members.filter("not is_hub").join(hubs, "sig").select(F.col("t_id").alias("a"), F.col("hub").alias("b")).distinct()
-    near = written(compared(first, texts), "compared")
-
-    # Signatures whose sharers are still in several components.
-    roots = components(near.filter("linked").select("a", "b"))
-    placed = members.join(roots.withColumnRenamed("id", "t_id"), "t_id", "left").withColumn("root", F.coalesce("root", "t_id"))
-    several = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("sig")
-    apart = near.select(F.col("a").alias("t_id"), F.col("b").alias("hub"), F.col("a_size").alias("size"), "apart")
-    rest = written(placed.filter("not is_hub").join(several, "sig").join(hubs, "sig").join(apart, ["t_id", "hub"]).select("sig", "t_id", "root", "size", "apart"), "rest")
-    one, two = rest.alias("p"), rest.alias("q")
-    reach = F.expr("3 * (p.size + q.size) div 37")
-    across = one.join(
-        two,
-        (F.col("p.sig") == F.col("q.sig")) & (F.col("p.t_id") < F.col("q.t_id")) & (F.col("p.root") != F.col("q.root"))
-        & (F.abs(F.col("p.size") - F.col("q.size")) <= reach) & (F.abs(F.col("p.apart") - F.col("q.apart")) <= reach),
-    ).select(F.col("p.t_id").alias("a"), F.col("q.t_id").alias("b")).distinct()
-    more = written(compared(across, texts), "compared")
-    return nodes, near.unionByName(more)
+    sketched = written(texts.mapInArrow(_sketches, "t_id long, size long, sketch binary"), "sketches")
+    members = written(shared.join(nodes, ["t_hash", "t_len"]).select("sig", "t_id", "hub_hash", "hub_len"), "members")
+    hub = nodes.select(F.col("t_hash").alias("hub_hash"), F.col("t_len").alias("hub_len"), F.col("t_id").alias("hub"))
+    members = written(members.join(hub, ["hub_hash", "hub_len"]).select("sig", "t_id", "hub"), "members")
+
+    allowed = F.expr("3 * (a_size + b_size) div 37")
+    first = members.filter("t_id <> hub").select(F.col("t_id").alias("a"), F.col("hub").alias("b")).distinct()
+    first = written(bounded(first, sketched), "first")
+    near = written(compared(first.filter(F.col("least") <= 2 * allowed), texts), "near")
+    links = near.filter("linked").select("a", "b")
+    roots = components(links)
+    seen = near.select("a", "b")
+    for _ in range(ROUNDS):  # only saves work: what is left is looked at below
+        left = unlike_hub(members, roots)
+        lead = left.groupBy("sig").agg(F.min("t_id").alias("b"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+        lead = lead.join(roots.select(F.col("id").alias("b"), F.col("root").alias("of")), "b", "left").withColumn("of", F.coalesce("of", "b"))
+        pairs = left.join(lead.select("sig", "b", "of"), "sig").filter("root <> of").select(F.col("t_id").alias("a"), "b").distinct()
+        pairs = bounded(pairs.join(seen, ["a", "b"], "left_anti"), sketched).filter(F.col("least") <= allowed)
+        more = written(compared(pairs, texts).drop("odd"), "more")
+        new = more.filter("linked").select("a", "b")
+        if new.isEmpty():
+            break
+        seen = seen.unionByName(more.select("a", "b"))
+        links = written(links.unionByName(new), "links")
+        roots = components(links)
+    found = odd_pairs(near, roots).unionByName(far_pairs(members, first, near, roots, sketched)).distinct()
+    last = compared(bounded(found, sketched).filter(F.col("least") <= allowed), texts)
+    return nodes, written(links.unionByName(last.filter("linked").select("a", "b")), "links")
+
+
+def rooted(rows: DataFrame, roots: DataFrame, of: str, name: str) -> DataFrame:
+    """``rows`` with the root of column ``of``; a text without links is its own."""
+    return rows.join(roots.select(F.col("id").alias(of), F.col("root").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
+
+
+def unlike_hub(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Sharers of a signature (sig, t_id, root) outside their hub's component."""
+    return rooted(rooted(members, roots, "t_id", "root"), roots, "hub", "hub_root").filter("root <> hub_root").select("sig", "t_id", "root")
+
+
+def odd_pairs(near: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of texts near one hub, of different components, one not in the
+    hub's, that have a rare odd shingle in common.
+
+    With x not linked to the hub h: what x and y share of their odd shingles is
+    more than 17/37 of y's, and at least 37/40 of x's beyond 3 (|x| + |h|) / 37.
+    """
+    rows = rooted(rooted(near.filter("odd is not null and apart > 0"), roots, "a", "root"), roots, "b", "hub_root")
+    rows = rows.withColumn("minor", F.col("root") != F.col("hub_root"))
+    rows = rows.join(rows.filter("minor").select("b").distinct(), "b")
+    odd = written(
+        rows.select(
+            F.col("b").alias("hub"), "a", "root", "minor", F.col("a_size").alias("size"),
+            F.expr("apart - greatest(1, ceil((37 * apart - 3 * (a_size + b_size)) / 40)) + 1").alias("as_x"),
+            F.expr("apart - 17 * apart div 37").alias("as_y"), F.explode("odd").alias("shingle"),
+        ), "odd"
+    )
+    rare = odd.groupBy("hub", "shingle").agg(F.count("*").alias("many"))
+    by_rarity = Window.partitionBy("hub", "a").orderBy("many", "shingle")
+    placed = written(odd.join(rare, ["hub", "shingle"]).withColumn("place", F.row_number().over(by_rarity)), "odd")
+    x = placed.filter("minor and place <= as_x").alias("x")
+    y = placed.filter("place <= as_y").alias("y")
+    both = x.join(
+        y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root"))
+        & (37 * F.abs(F.col("x.size") - F.col("y.size")) <= 3 * (F.col("x.size") + F.col("y.size"))),
+    )
+    return both.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()
+
+
+def far_pairs(members: DataFrame, first: DataFrame, near: DataFrame, roots: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Pairs of sharers of a signature, of different components, one of them
+    far from the hub (set apart by more than twice what a link allows), that
+    their sketches don't part. A partner from near the hub is apart from it by
+    3 (2 |hub| - its size) / 37 at least."""
+    known = near.select("a", "b", "apart", F.col("odd").isNotNull().alias("close"))
+    kinds = first.join(known, ["a", "b"], "left").select(
+        F.col("a").alias("t_id"), F.col("b").alias("hub"), (~F.coalesce("close", F.lit(False))).alias("far"),
+        F.expr("coalesce(37 * apart >= 3 * (2 * b_size - a_size), true)").alias("partner"),
+    ).filter("far or partner")
+    rows = rooted(members.filter("t_id <> hub").join(kinds, ["t_id", "hub"]).select("sig", "t_id", "far"), roots, "t_id", "root")
+    rows = written(rows, "far")
+    several = rows.groupBy("sig").agg(F.count("*").alias("n"), F.max("far").alias("any"), F.min("root").alias("x"), F.max("root").alias("y"))
+    several = several.filter("any and x <> y").select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("t_id"), F.col("blocks")).cast("int")
+    dealt = rows.join(several, "sig").withColumn("b", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("sig", "t_id", "root", "far", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), (F.col("b") <= F.col("other")).alias("own"))
+    dealt = dealt.join(sketched, "t_id").select("sig", "i", "j", "t_id", "root", "far", "own", "size", "sketch")
+    return dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "t_id").mapInArrow(_blocks, "a long, b long").distinct()
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -271,8 +386,8 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     key names no component: it is passed over for the smallest, and the result
     is null where a component has no other. An empty table gives an empty one.
     """
-    nodes, near = links(docs, text)
-    roots = components(near.filter("linked").select("a", "b"))
+    nodes, links = linked_texts(docs, text)
+    roots = components(links)
     placed = nodes.join(roots.withColumnRenamed("id", "t_id"), "t_id", "left").select("t_hash", "t_len", F.coalesce("root", "t_id").alias("root"))
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     sized = docs.select(F.col(f"`{key}`").alias("k"), *text_key(t), t.cast("binary").alias("body")).mapInArrow(

@@ -73,6 +73,38 @@ def test_brute_force(spark, seed):
     assert [got[i] for i in range(len(texts))] == brute(list(range(len(texts))), texts)
 
 
+def borderline(seed):
+    """Clusters whose texts are near the limit from each other, in chains."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for size in (30, 60, 110, 300):
+        base = [word() for _ in range(size)]
+        for _ in range(3):
+            way = list(base)
+            for _ in range(12):
+                copy = list(way)
+                for _ in range(rng.randint(0, max(1, size // 45))):
+                    copy[rng.randrange(len(copy))] = word()
+                if rng.random() < 0.4:
+                    way = copy
+                if rng.random() < 0.2:
+                    copy = copy[: -rng.randint(1, 6)]
+                texts.append(" ".join(copy))
+        passage = base[: size // 2]
+        texts += [" ".join(passage + [word() for _ in range(rng.randint(2, size // 3))]) for _ in range(8)]
+    return texts
+
+
+@pytest.mark.parametrize("rounds,block", [(0, 1000), (0, 3), (3, 3)])
+def test_what_hubs_leave(spark, monkeypatch, rounds, block):
+    monkeypatch.setattr(J, "ROUNDS", rounds)
+    monkeypatch.setattr(J, "BLOCK", block)
+    texts = borderline(11)
+    got = {r["doc_id"]: (r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(J.joined(frame(spark, texts)))}
+    assert [got[i] for i in range(len(texts))] == brute(list(range(len(texts))), texts)
+
+
 def test_keys_null_and_repeated(spark):
     texts = corpus(5, 20)
     ids = [None if i % 5 == 0 else i // 2 for i in range(len(texts))]
