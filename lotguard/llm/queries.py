@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from lotguard.llm import ngram_join, quality_forest, sentencepiece_lattice, string_tiling, suffix_dedup
+from lotguard.llm import (
+    ngram_join,
+    quality_forest,
+    sentencepiece_lattice,
+    shard_differencing,
+    string_tiling,
+    suffix_dedup,
+    warc_zstd,
+)
 
-_MODULES = [suffix_dedup, ngram_join, quality_forest, string_tiling, sentencepiece_lattice]
+_MODULES = [suffix_dedup, ngram_join, quality_forest, string_tiling, sentencepiece_lattice, warc_zstd, shard_differencing]
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in getattr(m, "SQL", {}).items()}
