@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from lotguard.llm import (
+    chat_format,
     ngram_join,
     quality_forest,
+    sentence_spans,
     sentencepiece_lattice,
     shard_differencing,
     string_tiling,
     suffix_dedup,
+    toxicity_kn,
     warc_zstd,
 )
 
-_MODULES = [suffix_dedup, ngram_join, quality_forest, string_tiling, sentencepiece_lattice, warc_zstd, shard_differencing]
+_MODULES = [suffix_dedup, ngram_join, quality_forest, string_tiling, sentencepiece_lattice, warc_zstd, shard_differencing, chat_format, sentence_spans, toxicity_kn]
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in getattr(m, "SQL", {}).items()}
