@@ -18,14 +18,13 @@ def components(edges: DataFrame) -> DataFrame:
         # large-star: greater neighbours go to the least one
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small-star: lesser neighbours and the node go to the least one
-        large = written(large, "edges")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        now = written(small.select("e.a", "e.b").filter("a <> b").distinct(), "edges")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        if state == seen or not state[0]:
             break
         seen = state
     roots = now.select(F.col("a").alias("id"), F.col("b").alias("root"))

@@ -16,9 +16,9 @@ once whole and once without each of its shingles.)
 
 Sharers of a signature are not paired with each other. Each is compared with
 the smallest of them, the hub, if a sketch (counts of shingles in 256 cells,
-whose difference is a lower bound) does not part them. Further rounds do the
-same with those that are not yet in their hub's component. What is left are
-pairs of different components; which of them still could link is found
+whose difference is a lower bound) does not part them. Those that
+don't link with it are compared with the smallest of their own. What is left
+are pairs of different components; which of them still could link is found
 
 * for texts near their hub (up to twice the allowed difference), by what sets
   them apart from it: of two such texts that link, one not linked to the hub,
@@ -44,8 +44,8 @@ from lotguard.llm.common import U64, mix, pair, small_batches, table, text_key,
 from lotguard.llm.components import components
 from lotguard.llm.words import segment_hashes
 
-#: Words of a shingle; cells of a sketch; rounds with further hubs; texts of a block.
-WORDS, CELLS, ROUNDS, BLOCK = 4, 256, 3, 1000
+#: Words of a shingle; cells of a sketch; texts of a block.
+WORDS, CELLS, BLOCK = 4, 256, 1000
 #: Bytes of text handled at once.
 SLICE = 1 << 18
 
@@ -288,7 +288,7 @@ def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
         bodies.join(nodes, ["t_hash", "t_len"]).groupBy("t_id").agg(F.first("body").alias("body")), "texts"
     )
     sketched = written(texts.mapInArrow(_sketches, "t_id long, size long, sketch binary"), "sketches")
-    members = written(shared.join(nodes, ["t_hash", "t_len"]).select("sig", "t_id", "hub_hash", "hub_len"), "members")
+    members = shared.join(nodes, ["t_hash", "t_len"]).select("sig", "t_id", "hub_hash", "hub_len")
     hub = nodes.select(F.col("t_hash").alias("hub_hash"), F.col("t_len").alias("hub_len"), F.col("t_id").alias("hub"))
     members = written(members.join(hub, ["hub_hash", "hub_len"]).select("sig", "t_id", "hub"), "members")
 
@@ -297,21 +297,14 @@ def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
     first = written(bounded(first, sketched), "first")
     near = written(compared(first.filter(F.col("least") <= 2 * allowed), texts), "near")
     links = near.filter("linked").select("a", "b")
+    # Texts that share a signature and don't link with its hub: the smallest of them is a second hub.
+    linked = links.select(F.col("a").alias("t_id"), F.col("b").alias("hub"))
+    left = members.filter("t_id <> hub").join(linked, ["t_id", "hub"], "left_anti").select("sig", "t_id")
+    second = left.groupBy("sig").agg(F.min("t_id").alias("b"), F.count("*").alias("n")).filter("n > 1").select("sig", "b")
+    pairs = left.join(second, "sig").filter("t_id <> b").select(F.col("t_id").alias("a"), "b").distinct()
+    more = compared(bounded(pairs, sketched).filter(F.col("least") <= allowed), texts)
+    links = written(links.unionByName(more.filter("linked").select("a", "b")), "links")
     roots = components(links)
-    seen = near.select("a", "b")
-    for _ in range(ROUNDS):  # only saves work: what is left is looked at below
-        left = unlike_hub(members, roots)
-        lead = left.groupBy("sig").agg(F.min("t_id").alias("b"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-        lead = lead.join(roots.select(F.col("id").alias("b"), F.col("root").alias("of")), "b", "left").withColumn("of", F.coalesce("of", "b"))
-        pairs = left.join(lead.select("sig", "b", "of"), "sig").filter("root <> of").select(F.col("t_id").alias("a"), "b").distinct()
-        pairs = bounded(pairs.join(seen, ["a", "b"], "left_anti"), sketched).filter(F.col("least") <= allowed)
-        more = written(compared(pairs, texts).drop("odd"), "more")
-        new = more.filter("linked").select("a", "b")
-        if new.isEmpty():
-            break
-        seen = seen.unionByName(more.select("a", "b"))
-        links = written(links.unionByName(new), "links")
-        roots = components(links)
     found = odd_pairs(near, roots).unionByName(far_pairs(members, first, near, roots, sketched)).distinct()
     last = compared(bounded(found, sketched).filter(F.col("least") <= allowed), texts)
     return nodes, written(links.unionByName(last.filter("linked").select("a", "b")), "links")
@@ -322,11 +315,6 @@ def rooted(rows: DataFrame, roots: DataFrame, of: str, name: str) -> DataFrame:
     return rows.join(roots.select(F.col("id").alias(of), F.col("root").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
 
 
-def unlike_hub(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Sharers of a signature (sig, t_id, root) outside their hub's component."""
-    return rooted(rooted(members, roots, "t_id", "root"), roots, "hub", "hub_root").filter("root <> hub_root").select("sig", "t_id", "root")
-
-
 def odd_pairs(near: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of texts near one hub, of different components, one not in the
     hub's, that have a rare odd shingle in common.
@@ -337,12 +325,10 @@ def odd_pairs(near: DataFrame, roots: DataFrame) -> DataFrame:
     rows = rooted(rooted(near.filter("odd is not null and apart > 0"), roots, "a", "root"), roots, "b", "hub_root")
     rows = rows.withColumn("minor", F.col("root") != F.col("hub_root"))
     rows = rows.join(rows.filter("minor").select("b").distinct(), "b")
-    odd = written(
-        rows.select(
-            F.col("b").alias("hub"), "a", "root", "minor", F.col("a_size").alias("size"),
-            F.expr("apart - greatest(1, ceil((37 * apart - 3 * (a_size + b_size)) / 40)) + 1").alias("as_x"),
-            F.expr("apart - 17 * apart div 37").alias("as_y"), F.explode("odd").alias("shingle"),
-        ), "odd"
+    odd = rows.select(
+        F.col("b").alias("hub"), "a", "root", "minor", F.col("a_size").alias("size"),
+        F.expr("apart - greatest(1, ceil((37 * apart - 3 * (a_size + b_size)) / 40)) + 1").alias("as_x"),
+        F.expr("apart - 17 * apart div 37").alias("as_y"), F.explode("odd").alias("shingle"),
     )
     rare = odd.groupBy("hub", "shingle").agg(F.count("*").alias("many"))
     by_rarity = Window.partitionBy("hub", "a").orderBy("many", "shingle")

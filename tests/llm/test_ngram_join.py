@@ -96,9 +96,8 @@ def borderline(seed):
     return texts
 
 
-@pytest.mark.parametrize("rounds,block", [(0, 1000), (0, 3), (3, 3)])
-def test_what_hubs_leave(spark, monkeypatch, rounds, block):
-    monkeypatch.setattr(J, "ROUNDS", rounds)
+@pytest.mark.parametrize("block", [1000, 3])
+def test_what_hubs_leave(spark, monkeypatch, block):
     monkeypatch.setattr(J, "BLOCK", block)
     texts = borderline(11)
     got = {r["doc_id"]: (r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(J.joined(frame(spark, texts)))}
