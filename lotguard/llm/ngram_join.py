@@ -20,12 +20,11 @@ whose difference is a lower bound) does not part them. Those that
 don't link with it are compared with the smallest of their own. What is left
 are pairs of different components; which of them still could link is found
 
-* for texts near their hub (up to twice the allowed difference), by what sets
-  them apart from it: of two such texts that link, one not linked to the hub,
-  more than 17 in 37 of the other's odd shingles are among the first's, so the
-  rarest of them (a prefix) join;
-* for signatures with texts far from the hub, by the sketches, in blocks of
-  bounded size inside a task.
+* for a hub, among the texts near it (up to twice the allowed difference), one
+  of them outside the hub's component;
+* for a signature, among its texts, one of them far from the hub;
+
+by their sketches, in blocks of bounded size inside a task.
 
 The result is exact: a pair that links shares a signature and is in one
 component already, or is among the pairs found, which are all compared.
@@ -37,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotguard.llm.common import U64, mix, pair, small_batches, table, text_key, written
@@ -210,21 +209,20 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             body = body.as_py()
             if last is None or last[0] != body:  # neighbouring rows mostly share it
                 last = body, shingle_sets([body])[0]
-            odd = np.setxor1d(x, last[1], assume_unique=True).view(np.int64)
             both = len(x) + len(last[1])
-            linked = both > 0 and 37 * len(odd) <= 3 * both
-            rows.append((len(x), len(last[1]), len(odd), linked, odd if len(odd) <= 2 * farthest(len(x), len(last[1])) else None))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
+            apart = both - 2 * len(np.intersect1d(x, last[1], assume_unique=True))
+            rows.append((len(x), len(last[1]), apart, both > 0 and 37 * apart <= 3 * both, apart <= 2 * farthest(len(x), len(last[1]))))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
         cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        yield pa.record_batch([batch.column("a"), batch.column("b"), *cols], names=["a", "b", "a_size", "b_size", "apart", "linked", "odd"])
+        yield pa.record_batch([batch.column("a"), batch.column("b"), *cols], names=["a", "b", "a_size", "b_size", "apart", "linked", "close"])
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Exact comparison of pairs (a, b) of texts (t_id, body): sizes, shingles
-    that set them apart (apart; odd, if at most twice what a link allows), linked."""
+    that set them apart, linked, close (apart by at most twice what a link allows)."""
     left, right = (texts.select(F.col("t_id").alias(s), F.col("body").alias(f"{s}_body")) for s in "ab")
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_body", "b_body")
-    return both.mapInArrow(_compare, "a long, b long, a_size long, b_size long, apart long, linked boolean, odd array<long>")
+    return both.mapInArrow(_compare, "a long, b long, a_size long, b_size long, apart long, linked boolean, close boolean")
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -234,17 +232,17 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by signature and pair of blocks: pairs with a text far
-    from the hub that the sketches don't part."""
+    """From rows sorted by group and pair of blocks: pairs of unlike components,
+    one of them marked, that the sketches don't part."""
     held: list[pa.RecordBatch] = []
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
-        t, root, size, far, own = (np.asarray(rows.column(c)) for c in ("t_id", "root", "size", "far", "own"))
+        t, root, size, marked, own = (np.asarray(rows.column(c)) for c in ("t_id", "root", "size", "marked", "own"))
         one = rows.column("i")[0] == rows.column("j")[0]
         cells = _cells(rows.column("sketch").combine_chunks())
         out: list[tuple[int, int]] = []
-        for k in np.flatnonzero(far):
-            other = np.flatnonzero((root != root[k]) & (~far | (t > t[k])) & (one | (own != own[k])))
+        for k in np.flatnonzero(marked):
+            other = np.flatnonzero((root != root[k]) & (~marked | (t > t[k])) & (one | (own != own[k])))
             for c in range(0, len(other), 4096):
                 o = other[c : c + 4096]
                 o = o[37 * np.abs(cells[o] - cells[k]).sum(axis=1, dtype=np.int64) <= 3 * (size[o] + size[k])]
@@ -252,7 +250,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch([pa.array([int(p[i]) for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     def groups(rows: pa.Table) -> np.ndarray:
-        key = [np.asarray(rows.column(c)) for c in ("sig", "i", "j")]
+        key = [np.asarray(rows.column(c)) for c in ("kind", "group", "i", "j")]
         return np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0))))
 
     for batch in batches:
@@ -305,7 +303,7 @@ def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
     more = compared(bounded(pairs, sketched).filter(F.col("least") <= allowed), texts)
     links = written(links.unionByName(more.filter("linked").select("a", "b")), "links")
     roots = components(links)
-    found = odd_pairs(near, roots).unionByName(far_pairs(members, first, near, roots, sketched)).distinct()
+    found = unlike_pairs(members, first, near, roots, sketched)
     last = compared(bounded(found, sketched).filter(F.col("least") <= allowed), texts)
     return nodes, written(links.unionByName(last.filter("linked").select("a", "b")), "links")
 
@@ -315,52 +313,27 @@ def rooted(rows: DataFrame, roots: DataFrame, of: str, name: str) -> DataFrame:
     return rows.join(roots.select(F.col("id").alias(of), F.col("root").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
 
 
-def odd_pairs(near: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of texts near one hub, of different components, one not in the
-    hub's, that have a rare odd shingle in common.
-
-    With x not linked to the hub h: what x and y share of their odd shingles is
-    more than 17/37 of y's, and at least 37/40 of x's beyond 3 (|x| + |h|) / 37.
-    """
-    rows = rooted(rooted(near.filter("odd is not null and apart > 0"), roots, "a", "root"), roots, "b", "hub_root")
-    rows = rows.withColumn("minor", F.col("root") != F.col("hub_root"))
-    rows = rows.join(rows.filter("minor").select("b").distinct(), "b")
-    odd = rows.select(
-        F.col("b").alias("hub"), "a", "root", "minor", F.col("a_size").alias("size"),
-        F.expr("apart - greatest(1, ceil((37 * apart - 3 * (a_size + b_size)) / 40)) + 1").alias("as_x"),
-        F.expr("apart - 17 * apart div 37").alias("as_y"), F.explode("odd").alias("shingle"),
-    )
-    rare = odd.groupBy("hub", "shingle").agg(F.count("*").alias("many"))
-    by_rarity = Window.partitionBy("hub", "a").orderBy("many", "shingle")
-    placed = written(odd.join(rare, ["hub", "shingle"]).withColumn("place", F.row_number().over(by_rarity)), "odd")
-    x = placed.filter("minor and place <= as_x").alias("x")
-    y = placed.filter("place <= as_y").alias("y")
-    both = x.join(
-        y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root"))
-        & (37 * F.abs(F.col("x.size") - F.col("y.size")) <= 3 * (F.col("x.size") + F.col("y.size"))),
-    )
-    return both.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()
-
-
-def far_pairs(members: DataFrame, first: DataFrame, near: DataFrame, roots: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Pairs of sharers of a signature, of different components, one of them
-    far from the hub (set apart by more than twice what a link allows), that
-    their sketches don't part. A partner from near the hub is apart from it by
-    3 (2 |hub| - its size) / 37 at least."""
-    known = near.select("a", "b", "apart", F.col("odd").isNotNull().alias("close"))
-    kinds = first.join(known, ["a", "b"], "left").select(
-        F.col("a").alias("t_id"), F.col("b").alias("hub"), (~F.coalesce("close", F.lit(False))).alias("far"),
+def unlike_pairs(members: DataFrame, first: DataFrame, near: DataFrame, roots: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Pairs of different components that could link: among the texts near a
+    hub, with one outside the hub's component; among a signature's texts, with
+    one far from the hub (a partner near the hub is then apart from it by
+    3 (2 |hub| - its size) / 37 at least)."""
+    by_hub = rooted(rooted(near.filter("close"), roots, "a", "root"), roots, "b", "hub_root")
+    by_hub = by_hub.select(F.lit(0).alias("kind"), F.col("b").alias("group"), F.col("a").alias("t_id"), "root", (F.col("root") != F.col("hub_root")).alias("marked"))
+    kinds = first.join(near.select("a", "b", "apart", "close"), ["a", "b"], "left").select(
+        F.col("a").alias("t_id"), F.col("b").alias("hub"), (~F.coalesce("close", F.lit(False))).alias("marked"),
         F.expr("coalesce(37 * apart >= 3 * (2 * b_size - a_size), true)").alias("partner"),
-    ).filter("far or partner")
-    rows = rooted(members.filter("t_id <> hub").join(kinds, ["t_id", "hub"]).select("sig", "t_id", "far"), roots, "t_id", "root")
-    rows = written(rows, "far")
-    several = rows.groupBy("sig").agg(F.count("*").alias("n"), F.max("far").alias("any"), F.min("root").alias("x"), F.max("root").alias("y"))
-    several = several.filter("any and x <> y").select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    ).filter("marked or partner")
+    by_sig = rooted(members.filter("t_id <> hub").join(kinds, ["t_id", "hub"]), roots, "t_id", "root")
+    rows = written(by_hub.unionByName(by_sig.select(F.lit(1).alias("kind"), F.col("sig").alias("group"), "t_id", "root", "marked")), "unlike")
+    several = rows.groupBy("kind", "group").agg(F.count("*").alias("n"), F.max("marked").alias("any"), F.min("root").alias("x"), F.max("root").alias("y"))
+    several = several.filter("any and x <> y").select("kind", "group", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("t_id"), F.col("blocks")).cast("int")
-    dealt = rows.join(several, "sig").withColumn("b", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("sig", "t_id", "root", "far", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), (F.col("b") <= F.col("other")).alias("own"))
-    dealt = dealt.join(sketched, "t_id").select("sig", "i", "j", "t_id", "root", "far", "own", "size", "sketch")
-    return dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "t_id").mapInArrow(_blocks, "a long, b long").distinct()
+    dealt = rows.join(several, ["kind", "group"]).withColumn("b", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    block = ["kind", "group", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), (F.col("b") <= F.col("other")).alias("own")]
+    dealt = dealt.select(*block, "t_id", "root", "marked").join(sketched, "t_id")
+    by = ["kind", "group", "i", "j"]
+    return dealt.repartition(*by).sortWithinPartitions(*by, "t_id").mapInArrow(_blocks, "a long, b long").distinct()
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
