@@ -190,3 +190,13 @@ RUN_SUCCESS = "SUCCESS"
 RUN_PARTIAL = "PARTIALLY_COMPLETED"
 RUN_FAILED = "FAILED"
 TIMEZONE = "America/Manaus"
+
+# FIXED VALUES: stored-record fields and read-back failure texts.
+STORED_COLUMNS = ("id", "lote_id", "produto", "linha", "turno", "status", "responsavel", "data",
+                  "observacao", "criadoEm")
+READBACK_MISSING = "Cadastro não encontrado no armazenamento local."
+READBACK_PREFIX = "Cadastro web divergente da planilha: "
+
+# FIXED VALUES: backlog and reference-date failure texts.
+NO_PENDING = "Nenhum lote pendente em {path}."
+BAD_REFERENCE_DATE = "time data '{text}' does not match format '%d/%m/%Y'"

@@ -13,16 +13,17 @@ from lotguard.operators.rules import flag_known
 
 # FIXED VALUE of our own (the original surfaces a browser time-out text here).
 CATALOGUE_TIMEOUT = "Produto '{produto}' indisponível para seleção."
-READBACK_MISSING = "Cadastro não encontrado no armazenamento local."
-READBACK_PREFIX = "Cadastro web divergente da planilha: "
 
 LINEAGE = ("item_id", "batch_id", "source_file", "source_hash", "source_row", "reference_date")
 
 
 def serialise(lots: DataFrame) -> DataFrame:
-    """Hand-off text form of the 8 contract columns (null -> '', stripped)."""
+    """Hand-off text form of the 8 contract columns (null -> '', stripped;
+    date and timestamp cells as dd/mm/yyyy)."""
     keep = [c for c in lots.columns if c not in K.CONTRACT_COLUMNS]
-    return lots.select(*keep, *[serialised(c).alias(c) for c in K.CONTRACT_COLUMNS])
+    kinds = dict(lots.dtypes)
+    dated = {c: F.date_format(c, "dd/MM/yyyy") for c in K.CONTRACT_COLUMNS if kinds.get(c) in ("date", "timestamp", "timestamp_ntz")}
+    return lots.select(*keep, *[serialised(dated.get(c, c)).alias(c) for c in K.CONTRACT_COLUMNS])
 
 
 def form_message(lote_id: str = "lote_id", produto: str = "produto"):
@@ -41,10 +42,14 @@ def off_catalogue(produto: str = "produto"):
 
 
 def latest_stored(stored: DataFrame, key: str = "lote_id", ts: str = "criadoEm") -> DataFrame:
-    """Newest stored record per lot key (a per-key top-1, as a max over a
-    struct so it is a partial aggregate, not a window over a hot key)."""
-    others = [c for c in stored.columns if c not in (key, ts)]
-    best = F.max_by(F.struct(ts, *others), F.col(ts))
+    """Newest stored record per stripped lot key (a per-key top-1, as a max
+    over a struct so it is a partial aggregate, not a window over a hot key).
+    Records of one time are decided by ``position`` (the first of the list
+    counts) if there is that column, else by their values."""
+    stored = stored.withColumn(key, strip(key))
+    others = [c for c in stored.columns if c not in (key, ts, "position")]
+    tie = [-F.col("position")] if "position" in stored.columns else [F.col(c) for c in others]
+    best = F.max_by(F.struct(ts, *others), F.struct(F.col(ts), *tie))
     return stored.groupBy(key).agg(best.alias("_b")).select(key, "_b.*")
 
 
@@ -60,7 +65,7 @@ def reconcile(sent: DataFrame, stored: DataFrame, keys: tuple[str, ...] = ()) ->
     s = sent.select(*keys, strip("lote_id").alias("lote_id"), *[serialised(c).alias(f"e_{c}") for c in fields]) \
             .where(F.col("lote_id") != "")
     latest = latest_stored(stored.select("lote_id", "criadoEm", *fields)) \
-        .select(strip("lote_id").alias("lote_id"), *[serialised(c).alias(f"s_{c}") for c in fields]) \
+        .select("lote_id", *[serialised(c).alias(f"s_{c}") for c in fields]) \
         .withColumn("_stored", F.lit(True))
     j = s.join(latest, "lote_id", "left")
     pairs = F.array(*[
@@ -93,8 +98,8 @@ def readback_message(sent: DataFrame, stored: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(order.alias("o"), detail.alias("d")))).getField("d").alias("_detail"),
     ).select(
         "item_id",
-        F.when(F.col("_missing"), F.lit(READBACK_MISSING))
-         .otherwise(F.concat(F.lit(READBACK_PREFIX), F.array_join("_detail", ", "))).alias("readback_error"),
+        F.when(F.col("_missing"), F.lit(K.READBACK_MISSING))
+         .otherwise(F.concat(F.lit(K.READBACK_PREFIX), F.array_join("_detail", ", "))).alias("readback_error"),
     )
 
 
@@ -233,14 +238,22 @@ def evidence_coverage(outcomes: DataFrame, listing: DataFrame) -> DataFrame:
         .select("item_id", "evidence_name", F.coalesce("listed", F.lit(False)).alias("listed"))
 
 
+def clustered(handoff_rows: DataFrame, block: int = 1_000_000) -> DataFrame:
+    """Rows dealt by batch and block of ``block`` source rows."""
+    by = ["batch_id", F.floor(F.col("source_row") / block)] if "source_row" in handoff_rows.columns else ["batch_id"]
+    return handoff_rows.repartition(*by)
+
+
 def publish(handoff_rows: DataFrame, path: str, fmt: str = "parquet", by_batch: bool = True) -> None:
     """K1 sink. Partitioned by batch_id with dynamic partition overwrite, a
     re-run replaces exactly the batches it carries and the commit protocol
-    makes each batch appear atomically. ``by_batch=False`` appends plain
+    makes each batch appear atomically. Rows are clustered by batch first (and
+    by blocks of source rows, so that no batch is one task's), for a file per
+    batch and block rather than per batch and task. ``by_batch=False`` appends plain
     files (a landing directory for a stream or a backlog reader)."""
     writer = handoff_rows.write.format(fmt)
     if by_batch:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+        writer = clustered(handoff_rows).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
     else:
         writer = writer.mode("append")
     writer.save(path)

@@ -16,27 +16,48 @@ TOTAL_PATTERN = r"(?i)Registros:\s*(\d+)"
 DATE_PATTERN = r"(\d{2})_(\d{2})_(\d{4})"
 
 
+def first_sheet(grid: DataFrame) -> DataFrame:
+    """The rows of each workbook's first sheet. A workbook grid has
+    ``sheet_no`` (0 is the first) and ``sheet_name``; a grid without
+    ``sheet_no`` holds one sheet per batch."""
+    return grid.where(F.col("sheet_no") == 0) if "sheet_no" in grid.columns else grid
+
+
+def reference_sheet(grid: DataFrame) -> DataFrame:
+    """The rows of each workbook's reference sheet, found by its name."""
+    return grid.where(F.col("sheet_name") == K.REFERENCE_SHEET) if "sheet_no" in grid.columns else grid
+
+
 def declared_totals(grid: DataFrame, presentation_rows: int = 2) -> DataFrame:
     """Per sheet, the declared number of data rows in the presentation
-    rows, or null. An aggregate over at most ``presentation_rows`` rows per
-    sheet."""
+    rows, or null (also for a number beyond 64 bits, which no sheet reaches).
+    An aggregate over at most ``presentation_rows`` rows per sheet."""
+    return _declared(first_sheet(grid), presentation_rows)
+
+
+def _declared(grid: DataFrame, presentation_rows: int) -> DataFrame:
     pres = grid.where(F.col("row_no") <= presentation_rows)
     text = F.concat_ws(" ", "cells")  # nulls skipped; the pattern allows any spacing
     per_sheet = pres.groupBy("batch_id").agg(
         F.array_join(F.array_sort(F.collect_list(F.struct("row_no", text.alias("t")))).getField("t"), " ").alias("_text")
     )
     found = F.regexp_extract("_text", TOTAL_PATTERN, 1)
-    return per_sheet.select("batch_id", F.when(found != "", found.cast("int")).alias("declared"))
+    return per_sheet.select("batch_id", found.try_cast("bigint").alias("declared"))
+
+
+def _within_declared(header_row: int):
+    """Row below the header and within the declared total, if there is one."""
+    return F.col("declared").isNull() | (F.col("row_no") - header_row <= F.col("declared"))
 
 
 def reference_list(grid: DataFrame, header_row: int = K.REFERENCE_HEADER_ROW) -> DataFrame:
     """S4 from a reference-sheet grid: title row(s), header, data capped by
     the declared total; the ``lote_id`` column stripped, nulls and blanks
     dropped, distinct per batch. Output: batch_id, lote_id."""
+    grid = reference_sheet(grid)
     hdr = grid.where(F.col("row_no") == header_row).select("batch_id", F.col("cells").alias("_hdr"))
-    meta = hdr.join(declared_totals(grid, header_row - 1), "batch_id", "left")
-    data = grid.where(F.col("row_no") > header_row).join(meta, "batch_id") \
-        .where(F.col("declared").isNull() | (F.col("row_no") <= F.col("declared") + header_row))
+    meta = hdr.join(_declared(grid, header_row - 1), "batch_id", "left")
+    data = grid.where(F.col("row_no") > header_row).join(meta, "batch_id").where(_within_declared(header_row))
     ids = data.select("batch_id", strip(_cell("lote_id")).alias("lote_id"))
     return ids.where(F.col("lote_id").isNotNull() & (F.col("lote_id") != "")).distinct()
 
@@ -44,7 +65,7 @@ def reference_list(grid: DataFrame, header_row: int = K.REFERENCE_HEADER_ROW) ->
 def reference_layout_check(grid: DataFrame, header_row: int = K.REFERENCE_HEADER_ROW) -> DataFrame:
     """S4 layout: a reference sheet without a lote_id column fails its batch
     with the original message. Output: batch_id, ok, message."""
-    hdr = grid.where(F.col("row_no") == header_row)
+    hdr = reference_sheet(grid).where(F.col("row_no") == header_row)
     ok = F.coalesce(F.array_contains("cells", "lote_id"), F.lit(False))
     return hdr.select("batch_id", ok.alias("ok"),
                       F.when(ok, F.lit("")).otherwise(F.lit(K.REFERENCE_MISSING_COLUMN)).alias("message"))
@@ -59,11 +80,17 @@ def sheet_to_table(grid: DataFrame, header_row: int = K.HEADER_ROW) -> DataFrame
     """S1+S2+S3: promote the header row, cap at the declared total (counted
     before blank-row removal), drop all-null rows and re-index 0..n-1 per
     sheet. Output: batch_id, row_idx, sheet_row and the 8 contract columns."""
-    hdr = grid.where(F.col("row_no") == header_row).select("batch_id", F.col("cells").alias("_hdr"))
-    # One row per sheet (header + declared cap), joined to the data rows once.
-    meta = hdr.join(declared_totals(grid, header_row - 1), "batch_id", "left")
-    data = grid.where(F.col("row_no") > header_row).join(meta, "batch_id") \
-        .where(F.col("declared").isNull() | (F.col("row_no") <= F.col("declared") + header_row))
+    grid = first_sheet(grid)
+    # One row per sheet (header + declared cap) from one pass over its first
+    # rows, joined to the data rows once.
+    text = F.concat_ws(" ", "cells")
+    top = grid.where(F.col("row_no") <= header_row).groupBy("batch_id").agg(
+        F.max(F.when(F.col("row_no") == header_row, F.struct("cells"))).getField("cells").alias("_hdr"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("row_no") < header_row, F.struct("row_no", text.alias("t"))))).getField("t"), " ").alias("_text"),
+    )
+    meta = top.where(F.col("_hdr").isNotNull()).select(
+        "batch_id", "_hdr", F.regexp_extract("_text", TOTAL_PATTERN, 1).try_cast("bigint").alias("declared"))
+    data = grid.where(F.col("row_no") > header_row).join(meta, "batch_id").where(_within_declared(header_row))
     mapped = data.select(
         "batch_id", F.col("row_no").alias("sheet_row"),
         *[_cell(c).alias(c) for c in K.CONTRACT_COLUMNS],
@@ -81,7 +108,7 @@ def reference_date_of(sheet_name) -> F.Column:
 
 
 def sheet_reference_dates(grid: DataFrame) -> DataFrame:
-    return grid.select("batch_id", "sheet_name").distinct() \
+    return first_sheet(grid).select("batch_id", "sheet_name").distinct() \
         .select("batch_id", reference_date_of(F.col("sheet_name")).alias("reference_date"))
 
 
@@ -92,13 +119,12 @@ def fingerprint(content_col: str = "content"):
             F.concat(F.lit("batch-"), F.substring(sha, 1, 16)).alias("batch_id")]
 
 
-def fingerprint_files(spark, path: str, glob: str = "*", max_bytes: int | None = None) -> DataFrame:
+def fingerprint_files(spark, path: str, glob: str = "*") -> DataFrame:
     """S6 over raw files: one row per file with base name, size, sha256, md5
-    and batch id. ``max_bytes`` keeps oversized files out of a single task
-    (they are listed with null digests rather than read whole)."""
+    and batch id. Every file is digested whole; one that a task cannot hold
+    (the reader's limit is 2 GB) fails the read with the file's name."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    ok = F.lit(True) if max_bytes is None else (F.col("length") <= max_bytes)
-    content = F.when(ok, F.col("content"))
+    content = F.col("content")
     sha = F.sha2(content, 256)
     return files.select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"),
@@ -117,11 +143,14 @@ def lineage(rows: DataFrame, source_hash: str = "source_hash") -> DataFrame:
 
 
 def structure_check(headers: DataFrame) -> DataFrame:
-    """P0 for many sheets: missing and extra columns, each sorted; message
+    """P0 for many sheets: missing, extra and repeated columns, sorted; message
     as the original (empty when the contract holds)."""
     contract = F.array(*[F.lit(c) for c in K.CONTRACT_COLUMNS])
     missing = F.array_sort(F.array_except(contract, F.col("header")))
-    extra = F.array_sort(F.array_except(F.col("header"), contract))
+    # A name that comes again counts as an extra column: name.1, name.2, ...
+    named = F.transform(F.col("header"), lambda x, i: F.struct(x.alias("x"), F.size(F.filter(F.slice(F.col("header"), 1, i), lambda y: y == x)).alias("n")))
+    again = F.transform(F.filter(named, lambda e: e["n"] > 0), lambda e: F.concat(e["x"], F.lit("."), e["n"].cast("string")))
+    extra = F.array_sort(F.concat(F.array_except(F.col("header"), contract), again))
     detail = F.concat_ws(
         "; ",
         F.when(F.size(missing) > 0, F.concat(F.lit(K.MISSING_LABEL), F.array_join(missing, ", "))),

@@ -95,15 +95,14 @@ def duplicate_items(items: DataFrame) -> DataFrame:
 
 
 def read_pending(spark, path: str, schema: str, mode: str = "newest") -> DataFrame:
-    """Hand-off JSON files under ``path``. ``newest`` keeps the file with
-    the latest modification time (top-1 over the per-file table, never over
-    rows); ``all`` returns the whole backlog."""
-    df = spark.read.schema(schema).json(path).select(
-        "*", F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_mtime"),
-    )
-    if mode == "all":
-        return df.drop("_file", "_mtime")
-    files = df.groupBy("_file").agg(F.max("_mtime").alias("_mtime"))
-    newest = files.orderBy(F.desc("_mtime"), F.desc("_file")).limit(1).select("_file")
-    return df.join(newest, "_file", "left_semi").drop("_file", "_mtime")
+    """Hand-off JSON files under ``path``. ``newest`` is the whole batch
+    that was written last (by its latest file; ties by batch id), whatever
+    number of files it has; ``all`` is the backlog. A backlog without rows is
+    an error."""
+    df = spark.read.schema(schema).json(path).select("*", F.col("_metadata.file_modification_time").alias("_mtime"))
+    # One row comes to the driver: the newest batch of a per-batch aggregate.
+    newest = df.groupBy("batch_id").agg(F.max("_mtime").alias("_mtime")).orderBy(F.desc("_mtime"), F.desc("batch_id")).first()
+    if newest is None:
+        raise FileNotFoundError(K.NO_PENDING.format(path=path))
+    rows = df.drop("_mtime")
+    return rows if mode == "all" else rows.where(F.col("batch_id").eqNullSafe(F.lit(newest["batch_id"])))

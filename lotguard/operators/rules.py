@@ -203,7 +203,7 @@ def prepare(lots: DataFrame, reference: DataFrame | None, reference_date: str |
         "_status_canon": canonical_status("status"),
         "_status_norm": normalised_status("status"),
         "_ref_text": ref_text,
-    }).withColumn("_ref_day", F.to_date("_ref_text", "d/M/yyyy"))
+    }).withColumn("_ref_day", parse_day("_ref_text"))
     if known is not None:
         out = out.withColumn("_known", F.coalesce(known, F.lit(False)))
     elif reference is not None:

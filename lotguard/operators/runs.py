@@ -22,7 +22,7 @@ def producer_events(outcomes: DataFrame) -> DataFrame:
         F.when(st == K.OUTCOME_SUCCESS, F.concat(F.lit("CADASTRO_WEB_CONCLUIDO evidencia="), ev))
          .when(st == K.OUTCOME_REJECTED, F.concat(F.lit("CADASTRO_WEB_REJEITADO evidencia="), ev, F.lit(" motivo="), err))
          .when(timeout, F.concat(F.lit("TIMEOUT_AO_CARREGAR_COMPROVANTE evidencia="), ev, F.lit(" erro="),
-                                 F.substring(err, len(K.TIMEOUT_PREFIX) + 1, 1 << 20)))
+                                 F.substr(err, F.lit(len(K.TIMEOUT_PREFIX) + 1))))
          .otherwise(F.concat(F.lit("CADASTRO_WEB_FALHOU erro="), err, F.lit(" evidencia="), ev)).alias("event"),
     )
 

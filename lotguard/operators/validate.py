@@ -111,12 +111,14 @@ def abort_states(states: DataFrame, batch_errors: DataFrame) -> DataFrame:
     ``states`` has datapool_state per item; ``batch_errors`` (batch_id, error)
     lists failed runs. Items of a failed batch that had not been given a state
     before the failure are PROCESSING; a failure found before the item loop
-    (structure, integrity) leaves every item PROCESSING."""
+    (structure, integrity) leaves every item PROCESSING. Final states are never
+    overwritten, nor items of other batches."""
     failed = batch_errors.select("batch_id", F.col("error").alias("_run_error")).distinct()
     j = states.join(failed, "batch_id", "left")
-    hit = F.col("_run_error").isNotNull()
+    hit = F.col("_run_error").isNotNull() & (F.col("datapool_state") == K.STATE_PROCESSING)
+    kept = [c for c in states.columns if c not in ("datapool_state", "error_type", "finish_message")]
     return j.select(
-        "item_id",
+        *kept,
         F.when(hit, F.lit(K.STATE_ERROR)).otherwise(F.col("datapool_state")).alias("datapool_state"),
         F.when(hit, F.lit(K.ERROR_SYSTEM)).otherwise(F.col("error_type")).alias("error_type"),
         F.when(hit, truncate_message(F.col("_run_error"))).otherwise(F.col("finish_message")).alias("finish_message"),

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
+from lotguard.functions.exprs import or_default, parse_day
 from lotguard.operators import admission as A
 from lotguard.operators import landing as L
 from lotguard.operators import report as RP
@@ -30,6 +31,8 @@ from lotguard.operators import validate as VAL
 
 def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
     w = df.write.mode("overwrite")
+    if partition_by == ("batch_id",):
+        w = A.clustered(df).write.mode("overwrite")
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
@@ -59,40 +62,37 @@ def producer_job(spark: SparkSession, lots: DataFrame, reference: DataFrame, out
     return paths
 
 
+def batch_errors(items: DataFrame) -> DataFrame:
+    """Batches that cannot be consumed, with the error text: those with a
+    reference date that is no date."""
+    text = or_default("reference_date", K.DEFAULT_REFERENCE_DATE)
+    bad = items.where(parse_day(text).isNull()).groupBy("batch_id").agg(F.min(text).alias("_t"))
+    before, after = K.BAD_REFERENCE_DATE.split("{text}")
+    return bad.select("batch_id", F.concat(F.lit(before), "_t", F.lit(after)).alias("error"))
+
+
 def consumer_job(spark: SparkSession, handoff_path: str, out: str, run: str = "1",
                  reference: DataFrame | None = None) -> dict[str, str]:
     """Consumer stage over a published hand-off.
 
-    If the run fails (e.g. a reference date that cannot be parsed), every
-    item that has no final state yet is written as ERROR/SYSTEM with the
-    error text (C8) and the result carries status FAILED instead of raising,
-    as the original consumer does."""
+    A batch is a run of its own: one that cannot be consumed (a reference date
+    that is no date) leaves its items PROCESSING, which become ERROR/SYSTEM
+    with the error text (C8); the other batches are consumed as always.
+    ``status`` is COMPLETED, PARTIALLY_COMPLETED or FAILED (no batch could be
+    consumed; ``error`` then has one of the texts). Errors of the platform are
+    raised: they say nothing about the items."""
     out = out.rstrip("/")
-    try:
-        paths = _consume(spark, handoff_path, out, run, reference)
-        paths["status"] = "COMPLETED"
-        return paths
-    except Exception as error:  # noqa: BLE001 - the run's failure is its result
-        message = str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
-        items = spark.read.parquet(handoff_path)
-        processing = items.select(
-            "item_id", "batch_id", F.lit(K.STATE_PROCESSING).alias("datapool_state"),
-            F.lit("").alias("error_type"), F.lit("").alias("finish_message"))
-        errors = items.select("batch_id").distinct().withColumn("error", F.lit(message))
-        return {
-            "status": "FAILED",
-            "error": message[:K.MESSAGE_LIMIT],
-            "states": _write(VAL.abort_states(processing, errors), f"{out}/states"),
-        }
-
-
-def _consume(spark: SparkSession, handoff_path: str, out: str, run: str,
-             reference: DataFrame | None) -> dict[str, str]:
     items = spark.read.parquet(handoff_path)
-    paths = {"evaluated": _write(VAL.validate_handoff(items, reference), f"{out}/evaluated")}
+    paths = {"batch_errors": _write(batch_errors(items), f"{out}/batch_errors")}
+    errors = spark.read.parquet(paths["batch_errors"])
+    good = items.join(errors.select("batch_id"), "batch_id", "left_anti")
+    paths["evaluated"] = _write(VAL.validate_handoff(good, reference), f"{out}/evaluated")
     ev = spark.read.parquet(paths["evaluated"])
-    states = VAL.item_state(ev, keep=("cadastro_status", "violations"))
-    paths["states"] = _write(states.drop("violations"), f"{out}/states")
+    done = VAL.item_state(ev, keep=("cadastro_status",))
+    processing = items.join(errors.select("batch_id"), "batch_id", "left_semi").select(
+        "item_id", "batch_id", F.lit(K.STATE_PROCESSING).alias("datapool_state"), F.lit("").alias("error_type"),
+        F.lit("").alias("finish_message"), "cadastro_status")
+    paths["states"] = _write(done.unionByName(VAL.abort_states(processing, errors)), f"{out}/states")
     st = spark.read.parquet(paths["states"])
     paths["processed"] = _write(items.join(st.drop("cadastro_status", "batch_id"), "item_id"),
                                 f"{out}/processed")
@@ -102,6 +102,10 @@ def _consume(spark: SparkSession, handoff_path: str, out: str, run: str,
         .join(VAL.consumer_run_status(VAL.validation_summary(ev)), "batch_id")
     paths["consumer_summary"] = _write(summary, f"{out}/consumer_summary")
     paths["events"] = _write(RU.consumer_events(st), f"{out}/events/stage=validador")
+    failed = errors.select("error").first()  # one row
+    paths["status"] = "COMPLETED" if failed is None else "FAILED" if ev.isEmpty() else "PARTIALLY_COMPLETED"
+    if failed is not None:
+        paths["error"] = failed["error"][:K.MESSAGE_LIMIT]
     return paths
 
 

@@ -433,10 +433,10 @@ SQL["dedupe_items"] = FULL + "SELECT item_id, batch_id, source_row FROM handoff"
 SQL["duplicate_items"] = FULL + "SELECT item_id, CAST(2 AS BIGINT) AS n FROM handoff WHERE source_row % 5 = 0"
 SQL["abort_states"] = CONSUMER.rstrip("\n") + "," + _HDR + """
 SELECT s.item_id,
-  CASE WHEN st.ok = FALSE THEN 'ERROR' ELSE s.datapool_state END AS datapool_state,
-  CASE WHEN st.ok = FALSE THEN 'SYSTEM' ELSE s.error_type END AS error_type,
-  CASE WHEN st.ok = FALSE THEN left(st.message, 1000) ELSE s.finish_message END AS finish_message
-FROM cstate s LEFT JOIN structure st USING (batch_id)"""
+  CASE WHEN going AND st.ok = FALSE THEN 'ERROR' WHEN going THEN 'PROCESSING' ELSE s.datapool_state END AS datapool_state,
+  CASE WHEN going AND st.ok = FALSE THEN 'SYSTEM' WHEN going THEN '' ELSE s.error_type END AS error_type,
+  CASE WHEN going AND st.ok = FALSE THEN left(st.message, 1000) WHEN going THEN '' ELSE s.finish_message END AS finish_message
+FROM (SELECT *, CAST(split_part(item_id, ':', 2) AS BIGINT) % 2 = 0 AS going FROM cstate) s LEFT JOIN structure st USING (batch_id)"""
 
 # --- stored copies ------------------------------------------------------------
 _STORED = """
@@ -604,22 +604,21 @@ WHERE try_strptime(data, '%d/%m/%Y') IS NULL
 SQL["evidence_coverage"] = with_(LOTS, OUTCOMES) + """
 SELECT item_id, evidence_name, (lot_key % 61 <> 12) AS listed FROM outcomes_p"""
 SQL["read_pending"] = FULL + "SELECT batch_id, item_id FROM handoff"
+SQL["read_pending_newest"] = FULL + "SELECT batch_id, item_id FROM handoff WHERE batch_id = (SELECT max(batch_id) FROM handoff)"
 
 # --- streaming twins -------------------------------------------------------------
 SQL["stream_validate"] = _PUB + "SELECT item_id, regra_violada, descricao_do_erro FROM pcons"
 SQL["stream_dedupe"] = FULL + "SELECT item_id, batch_id FROM handoff"
 SQL["stream_completeness"] = FULL + """,
 landed AS (
-  SELECT batch_id, item_id, CAST(strptime(reference_date, '%d/%m/%Y') AS TIMESTAMP) AS event_time,
+  SELECT batch_id, item_id,
     CASE WHEN substr(reference_date, 1, 2) = '13' THEN batch_total + 1 ELSE batch_total END AS batch_total
   FROM handoff
 ),
 per AS (
-  SELECT batch_id, event_time, CAST(count(DISTINCT item_id) AS BIGINT) AS received,
-    CAST(max(batch_total) AS INTEGER) AS expected
-  FROM landed GROUP BY batch_id, event_time
+  SELECT batch_id, CAST(count(DISTINCT item_id) AS BIGINT) AS received, CAST(max(batch_total) AS INTEGER) AS expected
+  FROM landed GROUP BY batch_id
 )
 SELECT batch_id, received, expected,
   CASE WHEN received = expected THEN 'released' WHEN received < expected THEN 'incomplete' ELSE 'overfull' END AS state
-FROM per
-WHERE event_time <= (SELECT max(event_time) FROM landed) - INTERVAL 1 DAY"""
+FROM per"""

@@ -72,7 +72,8 @@ def q_reference_ids(spark, d):
 
 @register("lineage")
 def q_lineage(spark, d):
-    return FX.lots(spark, d).select("item_id", "batch_id", "source_row", "source_hash")
+    rows = FX.lots(spark, d).select("batch_id", "row_idx", "source_hash")
+    return L.lineage(rows).select("item_id", "batch_id", "source_row", "source_hash")
 
 
 @register("serialise")
@@ -116,7 +117,7 @@ def q_catalogue_check(spark, d):
 
 @register("admission_outcome")
 def q_admission_outcome(spark, d):
-    return FX.outcomes(spark, d).select("item_id", "cadastro_status", "cadastro_error", "cadastro_error_type")
+    return A.admit(FX.lots(spark, d)).select("item_id", "cadastro_status", "cadastro_error", "cadastro_error_type")
 
 
 @register("admitted")
@@ -141,7 +142,7 @@ def q_producer_summary(spark, d):
 
 @register("handoff_flat")
 def q_handoff_flat(spark, d):
-    return FX.handoff(spark, d)
+    return A.handoff(A.admit(FX.lots(spark, d)), FX.reference(spark, d))
 
 
 @register("handoff_envelope")
@@ -266,12 +267,17 @@ def q_still_pending(spark, d):
 
 @register("abort_states")
 def q_abort_states(spark, d):
-    """A failed consumer run (structure error of the sheet) turns every
-    item of its batch into ERROR/SYSTEM with the run's error text."""
-    states = VAL.item_state(FX.consumer_evaluated(spark, d))
+    """A failed consumer run (structure error of the sheet) turns the
+    items of its batch that are still PROCESSING (here those of even rows)
+    into ERROR/SYSTEM with the run's error text; final states stay."""
+    final = VAL.item_state(FX.consumer_evaluated(spark, d), keep=("source_row",))
+    going = F.col("source_row") % 2 == 0
+    states = final.select(
+        "item_id", "batch_id", F.when(going, F.lit(K.STATE_PROCESSING)).otherwise(F.col("datapool_state")).alias("datapool_state"),
+        *[F.when(going, F.lit("")).otherwise(F.col(c)).alias(c) for c in ("error_type", "finish_message")])
     errors = L.structure_check(FX.headers(spark, d)).where(~F.col("ok")) \
         .select("batch_id", F.col("message").alias("error"))
-    return VAL.abort_states(states, errors)
+    return VAL.abort_states(states, errors).drop("batch_id")
 
 
 def _with_copies(spark, d):
@@ -299,6 +305,17 @@ def q_read_pending(spark, d):
     return QU.read_pending(spark, path, rows.schema, mode="all").select("batch_id", "item_id")
 
 
+@register("read_pending_newest")
+def q_read_pending_newest(spark, d):
+    """The batch published last, whole."""
+    rows = FX.handoff(spark, d)
+    last = rows.agg(F.max("batch_id")).first()[0]
+    path = scratch_dir(spark, "pending")
+    A.publish(rows.where(F.col("batch_id") != last), path, fmt="json", by_batch=False)
+    A.publish(rows.where(F.col("batch_id") == last).repartition(3), path, fmt="json", by_batch=False)
+    return QU.read_pending(spark, path, rows.schema).select("batch_id", "item_id")
+
+
 # --- stored copies and read-back (D4, D5) ---------------------------------------
 
 def _stored(spark, d):
@@ -441,7 +458,7 @@ def q_evidence_coverage(spark, d):
 
 
 
-def _landed(spark, d, with_copies: bool = False, short_declared: bool = False):
+def _landed(spark, d, with_copies: bool = False, short_declared: bool = False, files_per_trigger: int | None = None):
     rows = _with_copies(spark, d) if with_copies else FX.handoff(spark, d)
     if short_declared:
         # Sheets of day-of-month 13 declare one item more than they deliver.
@@ -449,7 +466,7 @@ def _landed(spark, d, with_copies: bool = False, short_declared: bool = False):
         rows = rows.withColumn("batch_total", F.when(day13, F.col("batch_total") + 1).otherwise(F.col("batch_total")))
     rows = ST.with_event_time(rows)
     path = ST.land(rows, scratch_dir(spark, "handoff-landing"))
-    return ST.source(spark, path, rows.schema)
+    return ST.source(spark, path, rows.schema, files_per_trigger)
 
 
 @register("stream_validate")
@@ -466,5 +483,6 @@ def q_stream_dedupe(spark, d):
 
 @register("stream_completeness")
 def q_stream_completeness(spark, d):
-    s = ST.completeness_stream(ST.dedupe_stream(_landed(spark, d, with_copies=True, short_declared=True)))
-    return ST.run_to_parquet(s, "stream-completeness").select("batch_id", "received", "expected", "state")
+    """T3 after the deadline of all batches."""
+    s = ST.dedupe_stream(_landed(spark, d, with_copies=True, short_declared=True))
+    return ST.completeness(ST.run_to_parquet(s, "stream-ingest"), F.current_timestamp() + F.expr("interval 2 days"))

@@ -7,7 +7,6 @@ none, which is the local-test case.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,10 +46,13 @@ def get_session(master: str = "local[8]", app: str = "lotguard", **conf: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, creating a local one only if unset."""
+    """Return the session's checkpoint dir; in local mode one is created if unset,
+    on a cluster that is an error (no machine's own folder would do)."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="lotguard-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -61,6 +63,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint location."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
     return path

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STORED_COLUMNS = ("id", "lote_id", "produto", "linha", "turno", "status", "responsavel", "data",
-                  "observacao", "criadoEm")
-_SCHEMA = "array<struct<" + ",".join(f"{c}:string" for c in STORED_COLUMNS + ("numero",)) + ">>"
+from lotguard.functions.constants import STORED_COLUMNS
+
+_SCHEMA = "struct<" + ",".join(f"{c}:string" for c in STORED_COLUMNS + ("numero",)) + ">"
 
 
 def parse_stored(docs: DataFrame, raw: str = "raw") -> DataFrame:
-    """Each document is a JSON array of objects; anything else (an object,
-    invalid text) yields no rows. Fields default to '', lote_id falls back to
-    numero. All values are strings."""
+    """Each document is a JSON array; its objects are records, its other
+    elements are passed over one by one. Anything else (an object, invalid
+    text) yields no rows. Fields default to '', lote_id falls back to numero.
+    All values are strings."""
     is_array = F.coalesce(F.ltrim(F.col(raw)).startswith("["), F.lit(False))
-    parsed = F.when(is_array, F.from_json(F.col(raw), _SCHEMA, {"mode": "PERMISSIVE"}))
-    rows = docs.select(F.explode(parsed).alias("r")).select("r.*")
+    elements = F.when(is_array, F.from_json(F.col(raw), "array<string>", {"mode": "PERMISSIVE"}))
+    texts = docs.select(F.explode(elements).alias("e")).where(F.ltrim("e").startswith("{"))
+    rows = texts.select(F.from_json("e", _SCHEMA, {"mode": "PERMISSIVE"}).alias("r")).where("r is not null").select("r.*")
     out = []
     for c in STORED_COLUMNS:
         if c == "lote_id":

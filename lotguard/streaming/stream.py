@@ -9,7 +9,7 @@ arrived, then stop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotguard.operators.rules import consolidate, evaluate
@@ -18,9 +18,12 @@ from lotguard.session import scratch_dir
 EVENT_TIME = "event_time"
 
 
-def with_event_time(handoff_rows: DataFrame) -> DataFrame:
-    """Event time of a hand-off item = its sheet's reference day."""
-    return handoff_rows.withColumn(EVENT_TIME, F.to_timestamp(F.to_date("reference_date", "dd/MM/yyyy")))
+def with_event_time(handoff_rows: DataFrame, published_at: str | None = None) -> DataFrame:
+    """Event time of a hand-off item = the time of its publication (now, or as
+    given). Publications come in the order of time, so the watermark drops
+    nothing of a backlog, in however many triggers it is read."""
+    when = F.current_timestamp() if published_at is None else F.lit(published_at).cast("timestamp")
+    return handoff_rows.withColumn(EVENT_TIME, when)
 
 
 def land(rows: DataFrame, path: str) -> str:
@@ -48,28 +51,29 @@ def dedupe_stream(items: DataFrame, delay: str = "1 day") -> DataFrame:
     return items.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(["item_id"])
 
 
-def completeness_stream(deduped: DataFrame) -> DataFrame:
-    """Per batch, received vs declared total, emitted once the batch's
-    deadline (event time + watermark delay) has passed. Must follow
-    ``dedupe_stream`` so re-delivered items are not counted twice."""
-    agg = deduped.groupBy("batch_id", EVENT_TIME).agg(
-        F.count(F.lit(1)).alias("received"),
+def completeness(ingested: DataFrame, now: Column | None = None, delay: str = "1 day") -> DataFrame:
+    """T3 over the table that the ingest stream keeps (distinct items): per
+    batch, received against declared total. A batch is released as soon as
+    its count is reached; short of it, it is pending until its deadline (first
+    publication + ``delay``) and incomplete from then on. Every batch has a
+    row, whatever the triggers were."""
+    now = F.current_timestamp() if now is None else now
+    agg = ingested.groupBy("batch_id").agg(
+        F.count_distinct("item_id").alias("received"),
         F.max("batch_total").alias("expected"),
+        F.min(EVENT_TIME).alias("_first"),
     )
-    return agg.withColumn(
-        "state",
-        F.when(F.col("received") == F.col("expected"), F.lit("released"))
-         .when(F.col("received") < F.col("expected"), F.lit("incomplete"))
-         .otherwise(F.lit("overfull")),
-    )
+    state = F.when(F.col("received") == F.col("expected"), F.lit("released")) \
+             .when(F.col("received") > F.col("expected"), F.lit("overfull")) \
+             .when(F.col("_first") + F.expr(f"interval {delay}") <= now, F.lit("incomplete")).otherwise(F.lit("pending"))
+    return agg.select("batch_id", "received", "expected", state.alias("state"))
 
 
 def completeness_accounting(arrived: DataFrame, emitted: DataFrame) -> DataFrame:
-    """Whole-result companion of ``completeness_stream`` (a batch query over
-    the landing table and the stream's sink). Stateful streaming drops items
-    that arrive after their batch's deadline; this lists, per batch, how many
-    distinct items arrived against how many the stream counted:
-    'pending' (not emitted yet), 'late_items' (arrived > counted) or 'ok'."""
+    """Companion of ``completeness`` (a batch query over the landing folder
+    and its result): per batch, how many distinct items arrived against how
+    many were counted: 'pending' (not read yet), 'late_items' (arrived >
+    counted: later than the watermark) or 'ok'."""
     got = arrived.groupBy("batch_id").agg(F.count_distinct("item_id").alias("arrived"))
     out = got.join(emitted.select("batch_id", "received"), "batch_id", "left")
     return out.select(

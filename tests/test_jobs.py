@@ -69,3 +69,23 @@ def test_consumer_failure_marks_items_as_system_errors(spark, tmp_path):
     by = {(r[0], r[1]): r[2] for r in states.groupBy("datapool_state", "error_type").count().collect()}
     assert by == {("ERROR", "SYSTEM"): 24}
     assert states.where(F.length("finish_message") > 1000).count() == 0
+
+
+def test_a_bad_batch_fails_alone(spark, tmp_path):
+    rows = golden_df(spark)
+    bad = rows.withColumns({"batch_id": F.lit("bad"), "item_id": F.concat(F.lit("bad-"), "item_id"), "reference_date": F.lit("99/99/2026")})
+    prod = jobs.producer_job(spark, rows.unionByName(bad), reference_df(spark), str(tmp_path / "p"))
+    cons = jobs.consumer_job(spark, prod["handoff"], str(tmp_path / "c"))
+    assert cons["status"] == "PARTIALLY_COMPLETED" and "99/99/2026" in cons["error"]
+    states, processed = (spark.read.parquet(cons[k]) for k in ("states", "processed"))
+    both = ["item_id", "datapool_state", "error_type", "finish_message"]
+    assert states.select(both).exceptAll(processed.select(both)).count() == 0 and states.count() == processed.count() == 48
+    by = {tuple(r)[:3]: r["count"] for r in states.groupBy("batch_id", "datapool_state", "error_type").count().collect()}
+    assert by.pop(("bad", "ERROR", "SYSTEM")) == 24 and sorted(by.values()) == [8, 16]
+
+
+def test_platform_errors_are_raised(spark, tmp_path):
+    import pytest
+
+    with pytest.raises(Exception):
+        jobs.consumer_job(spark, str(tmp_path / "nothing"), str(tmp_path / "c"))

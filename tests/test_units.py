@@ -234,7 +234,8 @@ def test_bounded_read_and_integrity(spark):
 
 
 @pytest.mark.parametrize("doc,expect", [("[{\"numero\": \"N1\", \"linha\": \"L1\"}]", [("N1", "L1")]),
-                                        ("{\"lote_id\": \"x\"}", []), ("[{bad", [])])
+                                        ("{\"lote_id\": \"x\"}", []), ("[{bad", []), ("[null]", []),
+                                        ("[{\"lote_id\":\"x\"},5,[1],\"t\",null,{\"linha\":\"L2\"}]", [("x", ""), ("", "L2")])])
 def test_stored_reader_is_lenient(spark, doc, expect):
     from lotguard.sources.stored import parse_stored
 
@@ -254,6 +255,41 @@ def test_read_pending_newest_and_all(spark, tmp_path):
     newest = QU.read_pending(spark, str(tmp_path / "p"), schema, mode="newest")
     assert sorted(tuple(r) for r in newest.collect()) == [("B", "b1")]
     assert QU.read_pending(spark, str(tmp_path / "p"), schema, mode="all").count() == 3
+    A.publish(spark.createDataFrame([("C", f"c{i}") for i in range(10)], schema).repartition(4), str(tmp_path / "p"), fmt="json", by_batch=False)
+    assert QU.read_pending(spark, str(tmp_path / "p"), schema).count() == 10
+    (tmp_path / "e").mkdir()
+    with pytest.raises(FileNotFoundError, match="Nenhum lote pendente"):
+        QU.read_pending(spark, str(tmp_path / "e"), schema)
+
+
+def test_workbook_sheets_totals_and_dates(spark):
+    import datetime as dt
+
+    head = list(K.CONTRACT_COLUMNS)
+    rows = [("b", 0, "Inspecao_14_06_2026", 1, ["Registros: 99999999999"]), ("b", 0, "Inspecao_14_06_2026", 3, head),
+            ("b", 0, "Inspecao_14_06_2026", 4, ["LG-1"] + ["x"] * 7), ("b", 1, K.REFERENCE_SHEET, 1, ["Registros: 1"]),
+            ("b", 1, K.REFERENCE_SHEET, K.REFERENCE_HEADER_ROW, ["lote_id", "z"]),
+            ("b", 1, K.REFERENCE_SHEET, K.REFERENCE_HEADER_ROW + 1, [" LG-1 ", "z"]),
+            ("b", 1, K.REFERENCE_SHEET, K.REFERENCE_HEADER_ROW + 2, ["LG-2", "z"]),
+            ("c", 0, "Plan", 1, ["Registros: 99999999999999999999"]), ("c", 0, "Plan", 3, head), ("c", 0, "Plan", 4, ["LG-9"] * 8)]
+    grid = spark.createDataFrame(rows, "batch_id string, sheet_no int, sheet_name string, row_no int, cells array<string>")
+    assert [(r["batch_id"], r[K.CONTRACT_COLUMNS[0]]) for r in L.sheet_to_table(grid).orderBy("batch_id").collect()] == [("b", "LG-1"), ("c", "LG-9")]
+    assert {r[0]: r[1] for r in L.declared_totals(grid).collect()} == {"b": 99999999999, "c": None}
+    assert [tuple(r) for r in L.reference_list(grid).collect()] == [("b", "LG-1")]
+    assert {r[0]: r[1] for r in L.sheet_reference_dates(grid).collect()} == {"b": "14/06/2026", "c": ""}
+    twice = spark.createDataFrame([("b", head + ["lote_id", "x", "x"])], "batch_id string, header array<string>")
+    check = L.structure_check(twice).first()
+    assert not check["ok"] and check["message"].endswith("lote_id.1, x, x.1")
+    typed = spark.createDataFrame([(dt.date(2026, 6, 3), dt.datetime(2026, 1, 2, 3, 4), *["v"] * 6)],
+                                  "data date, lote_id timestamp, " + ", ".join(f"{c} string" for c in K.CONTRACT_COLUMNS if c not in ("data", "lote_id")))
+    got = A.serialise(typed).first()
+    assert (got["data"], got["lote_id"]) == ("03/06/2026", "02/01/2026")
+
+
+def test_latest_stored_strips_keys_and_breaks_ties(spark):
+    rows = [(" LG-1", "2026-01-01", "L1", 0), ("LG-1 ", "2026-01-02", "L2", 1), ("LG-1", "2026-01-02", "L3", 2)]
+    df = spark.createDataFrame(rows, "lote_id string, criadoEm string, linha string, position int")
+    assert [tuple(r) for r in A.latest_stored(df).collect()] == [("LG-1", "2026-01-02", "L2")]
 
 
 def test_publish_by_batch_replaces_only_its_batches(spark, tmp_path):
