@@ -3,73 +3,69 @@ shared queue, batch integrity and key uniqueness (S9, S10, K3, J5, G9, G10)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
 from lotguard.operators.sequence import number_within
 
 
+def _reads(queue: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items that each batch's consumer task reads as its own, and a row per
+    batch: need, own (items read), and the foreign item that ended the read
+    early, if any.
+
+    With ``_q`` the place of an item in its queue and ``_b`` that in its
+    batch, the items that follow a batch's first one without a foreign item
+    between are those with the first one's ``_q - _b``. Both places are
+    numbered in blocks, so no queue and no batch is one task's."""
+    placed = number_within(queue, ["queue_id"], "seq", out="_q")
+    placed = number_within(placed, ["batch_id"], "seq", out="_b")
+    plan = placed.groupBy("queue_id", "batch_id").agg(F.min("_q").alias("_first"), F.max("batch_total").alias("_need"))
+    own = placed.join(plan.select("batch_id", "_first", "_need"), "batch_id") \
+        .where((F.col("_q") - F.col("_b") == F.col("_first")) & (F.col("_b") < F.col("_need")))
+    got = own.groupBy("batch_id").agg(F.count(F.lit(1)).cast("int").alias("_own"))
+    ends = plan.join(got, "batch_id", "left").withColumn("_own", F.coalesce("_own", F.lit(0)))
+    stops = ends.where(F.col("_own") < F.col("_need")).select("queue_id", "batch_id", (F.col("_first") + F.col("_own")).alias("_q"))
+    found = placed.select("queue_id", "_q", F.col("item_id").alias("_foreign_item"), F.col("batch_id").alias("_foreign_batch"))
+    foreign = stops.join(found, ["queue_id", "_q"]).select("batch_id", "_foreign_item", "_foreign_batch")
+    return own, ends.select("batch_id", "_need", "_own").join(foreign, "batch_id", "left")
+
+
+def _task(batch: str = "batch_id"):
+    return F.concat(F.lit("task-"), batch).alias("task_id")
+
+
 def bounded_read(queue: DataFrame) -> DataFrame:
     """S10/W4 + G9: what a consumer task for each batch reads from its queue.
 
     The task for batch B starts at B's first item and reads up to
     ``batch_total`` items in FIFO (``seq``) order; it stops at the first item
-    of another batch (the original raises there). So a read is B's first
-    ``batch_total`` items plus, when B has fewer, exactly one foreign item:
-    the first item of the batch that follows B in the same queue.
+    of another batch (the original raises there), also where batches are
+    interleaved. So a read is a run of B's items and, when it is shorter than
+    the total and the queue goes on, one foreign item.
 
     Returns one row per (task_id, item_id) read, with ``foreign`` flagged.
     """
-    numbered = number_within(queue, ["batch_id"], "seq", out="_pos")
-    per_batch = queue.groupBy("queue_id", "batch_id").agg(
-        F.count(F.lit(1)).alias("_size"),
-        F.max("batch_total").alias("_need"),
-        F.min("seq").alias("_first_seq"),
-        F.min_by("item_id", "seq").alias("_first_item"),
-    )
-    # One row per batch; the window runs over batches of one queue, not items.
-    nxt = Window.partitionBy("queue_id").orderBy("_first_seq")
-    plan = per_batch.select(
-        "batch_id", "_size", "_need",
-        F.lead("batch_id").over(nxt).alias("_next_batch"),
-        F.lead("_first_item").over(nxt).alias("_next_item"),
-    )
-    own = numbered.join(plan.select("batch_id", "_need"), "batch_id") \
-        .where(F.col("_pos") < F.col("_need")) \
-        .select(F.concat(F.lit("task-"), "batch_id").alias("task_id"), "item_id", "batch_id",
-                F.lit(False).alias("foreign"))
-    spill = plan.where((F.col("_need") > F.col("_size")) & F.col("_next_item").isNotNull()).select(
-        F.concat(F.lit("task-"), "batch_id").alias("task_id"), F.col("_next_item").alias("item_id"),
-        F.col("_next_batch").alias("batch_id"), F.lit(True).alias("foreign"),
-    )
-    return own.unionByName(spill)
+    own, batches = _reads(queue)
+    spill = batches.where(F.col("_foreign_item").isNotNull()).select(
+        _task(), F.col("_foreign_item").alias("item_id"), F.col("_foreign_batch").alias("batch_id"), F.lit(True).alias("foreign"))
+    return own.select(_task(), "item_id", "batch_id", F.lit(False).alias("foreign")).unionByName(spill)
 
 
 def batch_integrity(queue: DataFrame) -> DataFrame:
-    """Per consumer task, the problem found while reading, if any:
-    foreign item, incomplete batch, or mixed batches. (task_id, batch_id,
-    problem, message)."""
-    reads = bounded_read(queue)
-    target = F.regexp_replace("task_id", "^task-", "")
-    per_task = reads.groupBy("task_id").agg(
-        F.count_if(~F.col("foreign")).alias("_own"),
-        F.max_by("batch_id", F.col("foreign").cast("int")).alias("_foreign_batch"),
-        F.max(F.col("foreign").cast("int")).alias("_has_foreign"),
-        F.count_distinct("batch_id").alias("_batches"),
-    )
-    need = queue.groupBy("batch_id").agg(F.max("batch_total").alias("_need"))
-    j = per_task.withColumn("batch_id", target).join(need, "batch_id")
-    problem = F.when(F.col("_has_foreign") == 1, F.lit("foreign_item")) \
-               .when(F.col("_own") != F.col("_need"), F.lit("incomplete")) \
-               .when(F.col("_batches") > 1, F.lit("mixed"))
-    message = F.when(F.col("_has_foreign") == 1,
-                     F.format_string(K.MSG_FOREIGN_ITEM.replace("{item}", "%s").replace("{target}", "%s"),
-                                     "_foreign_batch", "batch_id")) \
-               .when(F.col("_own") != F.col("_need"),
-                     F.format_string(K.MSG_INCOMPLETE.replace("{expected}", "%d").replace("{received}", "%d"),
-                                     "_need", "_own"))
-    return j.where(problem.isNotNull()).select("task_id", "batch_id", problem.alias("problem"), message.alias("message"))
+    """Per consumer task, the problem found while reading, if any: a
+    foreign item, or an incomplete batch at the queue's end. (task_id,
+    batch_id, problem, message)."""
+    _, batches = _reads(queue)
+    foreign = F.col("_foreign_item").isNotNull()
+    short = F.col("_own") != F.col("_need")
+    message = F.when(foreign, F.format_string(K.MSG_FOREIGN_ITEM.replace("{item}", "%s").replace("{target}", "%s"),
+                                              "_foreign_batch", "batch_id")) \
+               .when(short, F.format_string(K.MSG_INCOMPLETE.replace("{expected}", "%d").replace("{received}", "%d"),
+                                            "_need", "_own"))
+    problem = F.when(foreign, F.lit("foreign_item")).when(short, F.lit("incomplete"))
+    return batches.where(problem.isNotNull()).select(_task(), "batch_id", problem.alias("problem"), message.alias("message"))
 
 
 def processed_state(states: DataFrame, items: DataFrame) -> DataFrame:

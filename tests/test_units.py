@@ -243,6 +243,17 @@ def test_stored_reader_is_lenient(spark, doc, expect):
     assert [(r["lote_id"], r["linha"]) for r in parse_stored(df).collect()] == expect
 
 
+def test_interleaved_and_short_batches(spark):
+    rows = [("q", "A", "a1", 10, 2), ("q", "B", "b1", 20, 1), ("q", "A", "a2", 35, 2), ("q", "C", "c1", 40, 3), ("r", "D", "d1", 1, 1), ("r", "D", "d2", 2, 1),
+            ("r", "E", "e1", 3, 2), ("r", "E", "e2", 9, 2)]
+    q = spark.createDataFrame(rows, "queue_id string, batch_id string, item_id string, seq long, batch_total int")
+    reads = sorted((r["task_id"], r["item_id"], r["foreign"]) for r in QU.bounded_read(q).collect())
+    assert reads == [("task-A", "a1", False), ("task-A", "b1", True), ("task-B", "b1", False), ("task-C", "c1", False), ("task-D", "d1", False),
+                     ("task-E", "e1", False), ("task-E", "e2", False)]
+    found = {r["batch_id"]: (r["problem"], r["message"]) for r in QU.batch_integrity(q).collect()}
+    assert {b: p for b, (p, _) in found.items()} == {"A": "foreign_item", "C": "incomplete"} and all(m for _, m in found.values())
+
+
 def test_read_pending_newest_and_all(spark, tmp_path):
     import time as _t
 
