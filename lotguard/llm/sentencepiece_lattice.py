@@ -45,7 +45,7 @@ from lotguard.llm.common import U64, list_array, mix, ranges, small_batches, tab
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations of a text; seed of all draws.
 K, SEED = 2, 7
-SLICE = 1 << 18
+SLICE = 1 << 20
 #: Words whose lattices a worker keeps; occurrences that are drawn at once.
 CACHE, CHUNK = 100_000, 1 << 16
 _BASE = U64(0x9E3779B97F4A7C15 | 1)

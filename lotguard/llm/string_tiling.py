@@ -229,7 +229,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
 
 
 def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """A row for each contaminated document, with the items found in it."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).filter("contaminated")
 
 
 QUERIES = {"op4_string_tiling": op4_string_tiling}
