@@ -47,10 +47,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K, SEED = 2, 7
 SLICE = 1 << 20
 #: Words whose lattices a worker keeps; occurrences that are drawn at once.
-CACHE, CHUNK = 100_000, 1 << 16
+CACHE, CHUNK = 200_000, 1 << 16
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _C1, _C2, _C3 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0xC2B2AE3D27D4EB4F)
 _SLOTS = 20
+#: Characters before a word's end whose weights don't underflow as they are.
+_NEAR = 32
 #: No Gumbel variable drawn from a 53-bit uniform is larger.
 _LARGEST = 37.5
 #: Log-probability down to which a segmentation's first part is looked at first.
@@ -145,8 +147,9 @@ class Lattices:
         for i, p in enumerate(model["pieces"]):
             self.piece_bytes[i, : len(p)] = np.frombuffer(p, np.uint8)
         self.word = re.compile(r" *[^ \n]+| +|\n" if self.newline_apart else r" *[^ ]+| +")
-        self.grown = {"start": _Grown(), "first": _Grown(0), "target": _Grown(), "node": _Grown(), "logc": _Grown(kind=float)}
-        self.grown |= {"cum": _Grown(kind=float), "ids": _Grown(kind=np.int32), "id_at": _Grown(0)}
+        small = np.int32
+        self.grown = {"start": _Grown(), "first": _Grown(0, kind=small), "target": _Grown(kind=small), "node": _Grown(kind=small), "logc": _Grown(kind=float)}
+        self.grown |= {"cum": _Grown(kind=np.float32), "ids": _Grown(kind=small), "id_at": _Grown(0, kind=small)}
         self.clear()
 
     def clear(self) -> None:
@@ -208,22 +211,29 @@ class Lattices:
         start, length, lp = start[order], length[order], lp[order]
         count = np.bincount(start, minlength=n_nodes)
         first = np.concatenate(([0], np.cumsum(count)))
-        rest = np.zeros(n_nodes)
         left = end - np.arange(n_nodes)
-        by_left = np.argsort(left, kind="stable")
-        for s, c in zip(*_groups(left[by_left]), strict=True):
-            nodes = by_left[s : s + c]
-            if left[nodes[0]] == 0:
+        nodes = np.argsort(left, kind="stable")
+        nodes = nodes[left[nodes] > 0]
+        arcs = np.argsort(left[start], kind="stable")  # in the order of nodes
+        weight, log_weight, to = np.exp(lp[arcs]), lp[arcs], (start + length)[arcs]
+        upto = np.concatenate(([0], np.cumsum(count[nodes])))
+        total = np.ones(n_nodes)
+        rest = np.zeros(n_nodes)
+        near = left <= _NEAR
+        for s, c in zip(*_groups(left[nodes]), strict=True):
+            at, a, b = nodes[s : s + c], upto[s], upto[s + c]
+            if near[at[0]]:
+                total[at] = np.add.reduceat(weight[a:b] * total[to[a:b]], upto[s : s + c] - a)
                 continue
-            arcs = ranges(first[nodes], count[nodes])
-            v = lp[arcs] + rest[start[arcs] + length[arcs]]
-            begin_at = np.cumsum(count[nodes]) - count[nodes]
-            top = np.maximum.reduceat(v, begin_at)
-            rest[nodes] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, count[nodes])), begin_at))
+            if left[at[0]] == _NEAR + 1:
+                rest[near] = np.log(total[near])
+            v = log_weight[a:b] + rest[to[a:b]]
+            top = np.maximum.reduceat(v, upto[s : s + c] - a)
+            rest[at] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, count[at])), upto[s : s + c] - a))
+        rest[near] = np.log(total[near])
         logc = np.minimum(lp + rest[start + length] - rest[start], 0.0)
-        total = np.cumsum(np.exp(logc))
-        base = np.concatenate(([0.0], total))[first[:-1]]
-        cum = total - np.repeat(base, count)
+        running = np.cumsum(np.exp(logc))
+        cum = running - np.repeat(np.concatenate(([0.0], running))[first[:-1]], count)
         cum[(first[1:] - 1)[count > 0]] = 2.0  # the last arc takes what is left
         g = self.grown
         n0, a0, i0 = g["first"].size - 1, g["target"].size, g["ids"].size
@@ -237,12 +247,11 @@ class Lattices:
 
     def of(self, words: list[str]) -> np.ndarray:
         """The first node of each word's lattice."""
-        get = self.index.get
-        found = [get(w, -1) for w in words]
-        if -1 in found:
-            self.add(list(dict.fromkeys(w for w, i in zip(words, found, strict=True) if i < 0)))
-            found = [self.index[w] for w in words]
-        return self.start[np.array(found, np.int64)]
+        found = list(map(self.index.get, words))
+        if None in found:
+            self.add(list(dict.fromkeys(w for w, i in zip(words, found, strict=True) if i is None)))
+            found = list(map(self.index.__getitem__, words))
+        return self.start[np.fromiter(found, np.int64, len(found))]
 
     def draw(self, node: np.ndarray, key: np.ndarray, place: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
         """From each node a random walk to the end of its lattice: the arcs,
@@ -262,14 +271,14 @@ class Lattices:
             if not len(walk):
                 break
             u = uniform(key[walk], place[walk], turn, step)
-            arc = self.first[node]
+            arc = self.first[node].astype(np.int64)
             on = np.flatnonzero(u > self.cum[arc])
             while len(on):
                 arc[on] += 1
                 on = on[u[on] > self.cum[arc[on]]]
             steps.append((walk, arc))
             many[walk] += 1
-            node = self.target[arc]
+            node = self.target[arc].astype(np.int64)
             step += 1
         out = np.zeros(int(many.sum()), np.int64)
         begin = np.cumsum(many) - many
@@ -277,11 +286,13 @@ class Lattices:
             out[begin[w] + k] = arc
         return out, many
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The text of piece ids; the space put before a text is taken off."""
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """The texts of rows of piece ids, put one after another; the space
+        put before a text is taken off."""
         size = self.piece_len[ids]
         flat = self.piece_bytes[np.repeat(ids, size), ranges(np.zeros(len(ids), np.int64), size)].tobytes()
-        return flat[1:] if flat[:1] == b" " else flat
+        at = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+        return [flat[a + flat.startswith(b" ", a, b) : b] for a, b in zip(at, at[1:], strict=False)]
 
 
 def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -432,7 +443,7 @@ def sample_texts(lattices: Lattices, keys: np.ndarray, texts: list[str], k: int)
     for s in search:
         rows = []
         for value, logp, inclusion, arcs in s.results():
-            begin, end = lattices.id_at[arcs], lattices.id_at[arcs + 1]
+            begin, end = (lattices.id_at[a].astype(np.int64) for a in (arcs, arcs + 1))
             rows.append((value, logp, inclusion, lattices.ids[ranges(begin, end - begin)]))
         out.append(rows)
     return out
@@ -457,9 +468,10 @@ def _encoder(model, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                     row.append(i)
                     rank.append(n)
                     flat.append(sample)
-            back = [lattices.decode(s[3]) == texts[i].encode() for i, s in zip(row, flat, strict=True)]
             size = np.array([len(s[3]) for s in flat], np.int64)
             ids = np.concatenate([s[3] for s in flat]) if flat else np.zeros(0, np.int32)
+            raw = [t.encode() for t in texts]
+            back = [found == raw[i] for i, found in zip(row, lattices.decode(ids, size), strict=True)]
             yield pa.record_batch(
                 [batch.column("key").take(pa.array(row, pa.int32())), pa.array(rank, pa.int32()), list_array(pa.array(ids, pa.int32()), size),
                  *(pa.array([s[c] for s in flat], pa.float64()) for c in range(3)), pa.array(back, pa.bool_())],
@@ -495,8 +507,10 @@ def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", model: str =
         lattices = Lattices(shared.value)
         for batch in batches:
             column = batch.column(ids)
-            found = [None if x is None else lattices.decode(np.array(x, np.int64)).decode("utf-8", "replace") for x in column.to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, out])
+            rows = [np.array(x or [], np.int64) for x in column.to_pylist()]
+            found = lattices.decode(np.concatenate([*rows, np.zeros(0, np.int64)]), np.array([len(x) for x in rows], np.int64))
+            decoded = [t.decode("utf-8", "replace") if known.as_py() else None for t, known in zip(found, column.is_valid(), strict=True)]
+            yield pa.record_batch([*batch.columns, pa.array(decoded, pa.string())], names=[*batch.schema.names, out])
 
     return rows.mapInArrow(texts, rows.withColumn(out, F.lit("").cast("string")).schema)
 
