@@ -86,3 +86,22 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: str, limit: int = 1 <
         part = (np.cumsum(sizes) - sizes) // limit
         for s, n in zip(*runs_of(part), strict=True):
             yield batch.slice(int(s), int(n))
+
+
+def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of 2^bits bits, set where the first bits of the only column's
+    64-bit hashes say. At most 2^(bits - 6) rows come to the driver, 64 bits
+    each, whatever the number of hashes."""
+    place = F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - bits)
+    word = hashes.select(F.shiftright(place, 6).alias("line"), place.bitwiseAND(63).cast("int").alias("bit"))
+    lines = word.groupBy("line").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
+    out = np.zeros(1 << (bits - 6), np.int64)
+    for r in lines.toLocalIterator():
+        out[r["line"]] = r["set"]
+    return out
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
+    """Which hashes have their bit in the bitmap (its bytes)."""
+    at = (hashes >> U64(64 - size)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

@@ -39,12 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, mix, pair, small_batches, table, text_key, written
+from lotguard.llm.common import U64, bitmap, in_bitmap, mix, pair, small_batches, table, text_key, written
 from lotguard.llm.components import components
 from lotguard.llm.words import segment_hashes
 
-#: Words of a shingle; cells of a sketch; texts of a block.
-WORDS, CELLS, BLOCK = 4, 256, 1000
+#: Words of a shingle; cells of a sketch; texts of a block; log2 of a bitmap's bits (8 MiB).
+WORDS, CELLS, BLOCK, BITS = 4, 256, 1000, 26
 #: Bytes of text handled at once.
 SLICE = 1 << 18
 
@@ -265,6 +265,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs(pa.Table.from_batches(held))
 
 
+def having(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of ``nodes`` (with t_id). A bitmap of their hashes, of one size
+    for any number, spares most other texts the shuffle; the join decides."""
+    shared = bodies.sparkSession.sparkContext.broadcast(bitmap(nodes.select("t_hash"), BITS).tobytes())
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bits, np.asarray(batch.column("t_hash")).view(U64), BITS)))
+
+    return bodies.mapInArrow(rows, bodies.schema).join(nodes, ["t_hash", "t_len"])
+
+
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "body", SLICE):
         sizes = [len(s) for s in shingle_sets(batch.column("body").to_pylist())]
@@ -282,28 +295,33 @@ def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
         .mapInArrow(_sharers, "sig long, t_hash long, t_len int, hub_hash long, hub_len int"), "sharers"
     )
     nodes = written(shared.select("t_hash", "t_len").distinct().withColumn("t_id", F.monotonically_increasing_id()), "nodes")
-    texts = written(
-        bodies.join(nodes, ["t_hash", "t_len"]).groupBy("t_id").agg(F.first("body").alias("body")), "texts"
-    )
+    texts = written(having(bodies, nodes).groupBy("t_id").agg(F.first("body").alias("body")), "texts")
     sketched = written(texts.mapInArrow(_sketches, "t_id long, size long, sketch binary"), "sketches")
-    members = shared.join(nodes, ["t_hash", "t_len"]).select("sig", "t_id", "hub_hash", "hub_len")
-    hub = nodes.select(F.col("t_hash").alias("hub_hash"), F.col("t_len").alias("hub_len"), F.col("t_id").alias("hub"))
-    members = written(members.join(hub, ["hub_hash", "hub_len"]).select("sig", "t_id", "hub"), "members")
+    key, hub_key = ["t_hash", "t_len"], ["hub_hash", "hub_len"]
+    hubs = nodes.select(F.col("t_hash").alias("hub_hash"), F.col("t_len").alias("hub_len"), F.col("t_id").alias("b"))
+    pairs = shared.filter("t_hash <> hub_hash or t_len <> hub_len").select(*key, *hub_key).distinct()
+    pairs = written(pairs.join(nodes.withColumnRenamed("t_id", "a"), key).join(hubs, hub_key), "pairs")
 
     allowed = F.expr("3 * (a_size + b_size) div 37")
-    first = members.filter("t_id <> hub").select(F.col("t_id").alias("a"), F.col("hub").alias("b")).distinct()
-    first = written(bounded(first, sketched), "first")
+    first = written(bounded(pairs.select("a", "b"), sketched), "first")
     near = written(compared(first.filter(F.col("least") <= 2 * allowed), texts), "near")
     links = near.filter("linked").select("a", "b")
+    # What a text is to the hub of a signature that it shares; most are linked
+    # with it and near, and need no further look.
+    kinds = first.select("a", "b").join(near.select("a", "b", "a_size", "b_size", "apart", "linked", "close"), ["a", "b"], "left").select(
+        "a", "b", F.coalesce("linked", F.lit(False)).alias("linked"), (~F.coalesce("close", F.lit(False))).alias("marked"),
+        F.expr("coalesce(37 * apart >= 3 * (2 * b_size - a_size), true)").alias("partner"),
+    ).filter("not linked or marked or partner")
+    loose = shared.join(pairs.join(kinds, ["a", "b"]).drop("b"), [*key, *hub_key])
+    loose = written(loose.select("sig", F.col("a").alias("t_id"), "linked", "marked", "partner"), "loose")
     # Texts that share a signature and don't link with its hub: the smallest of them is a second hub.
-    linked = links.select(F.col("a").alias("t_id"), F.col("b").alias("hub"))
-    left = members.filter("t_id <> hub").join(linked, ["t_id", "hub"], "left_anti").select("sig", "t_id")
+    left = loose.filter("not linked").select("sig", "t_id")
     second = left.groupBy("sig").agg(F.min("t_id").alias("b"), F.count("*").alias("n")).filter("n > 1").select("sig", "b")
-    pairs = left.join(second, "sig").filter("t_id <> b").select(F.col("t_id").alias("a"), "b").distinct()
-    more = compared(bounded(pairs, sketched).filter(F.col("least") <= allowed), texts)
+    tried = left.join(second, "sig").filter("t_id <> b").select(F.col("t_id").alias("a"), "b").distinct()
+    more = compared(bounded(tried, sketched).filter(F.col("least") <= allowed), texts)
     links = written(links.unionByName(more.filter("linked").select("a", "b")), "links")
     roots = components(links)
-    found = unlike_pairs(members, first, near, roots, sketched)
+    found = unlike_pairs(loose, near, roots, sketched)
     last = compared(bounded(found, sketched).filter(F.col("least") <= allowed), texts)
     return nodes, written(links.unionByName(last.filter("linked").select("a", "b")), "links")
 
@@ -313,18 +331,14 @@ def rooted(rows: DataFrame, roots: DataFrame, of: str, name: str) -> DataFrame:
     return rows.join(roots.select(F.col("id").alias(of), F.col("root").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
 
 
-def unlike_pairs(members: DataFrame, first: DataFrame, near: DataFrame, roots: DataFrame, sketched: DataFrame) -> DataFrame:
+def unlike_pairs(loose: DataFrame, near: DataFrame, roots: DataFrame, sketched: DataFrame) -> DataFrame:
     """Pairs of different components that could link: among the texts near a
     hub, with one outside the hub's component; among a signature's texts, with
     one far from the hub (a partner near the hub is then apart from it by
     3 (2 |hub| - its size) / 37 at least)."""
     by_hub = rooted(rooted(near.filter("close"), roots, "a", "root"), roots, "b", "hub_root")
     by_hub = by_hub.select(F.lit(0).alias("kind"), F.col("b").alias("group"), F.col("a").alias("t_id"), "root", (F.col("root") != F.col("hub_root")).alias("marked"))
-    kinds = first.join(near.select("a", "b", "apart", "close"), ["a", "b"], "left").select(
-        F.col("a").alias("t_id"), F.col("b").alias("hub"), (~F.coalesce("close", F.lit(False))).alias("marked"),
-        F.expr("coalesce(37 * apart >= 3 * (2 * b_size - a_size), true)").alias("partner"),
-    ).filter("marked or partner")
-    by_sig = rooted(members.filter("t_id <> hub").join(kinds, ["t_id", "hub"]), roots, "t_id", "root")
+    by_sig = rooted(loose.filter("marked or partner"), roots, "t_id", "root")
     rows = written(by_hub.unionByName(by_sig.select(F.lit(1).alias("kind"), F.col("sig").alias("group"), "t_id", "root", "marked")), "unlike")
     several = rows.groupBy("kind", "group").agg(F.count("*").alias("n"), F.max("marked").alias("any"), F.min("root").alias("x"), F.max("root").alias("y"))
     several = several.filter("any and x <> y").select("kind", "group", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, list_array, pair, ranges, small_batches, table, text_key, written
+from lotguard.llm.common import U64, bitmap, in_bitmap, list_array, pair, ranges, small_batches, table, text_key, written
 from lotguard.llm.words import SPACE, segment_hashes
 
 #: Tokens of a seed and of the shortest tile; covered share of an item's tokens.
@@ -70,20 +70,15 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bit(value: np.ndarray) -> np.ndarray:
-    return (value >> U64(64 - BITS)).astype(np.int64)
-
-
-def _seed_hits(bitmap) -> object:
+def _seed_hits(shared) -> object:
     """The documents' windows that the bitmap lets pass, with their token hashes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap.value, np.uint8)
+        bits = np.frombuffer(shared.value, np.uint8)
         for batch in small_batches(batches, "body", SLICE):
             words, owner = _tokens(batch.column("body").to_pylist())
             value, at = seeds(words, owner, SEED)
-            b = _bit(value)
-            hit = np.flatnonzero((bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1)
+            hit = np.flatnonzero(in_bitmap(bits, value, BITS))
             at, value = at[hit], value[hit]
             start = np.searchsorted(owner, owner[at])
             keys = [pa.array(np.asarray(batch.column(c))[owner[at]]) for c in ("t_hash", "t_len")]
@@ -175,15 +170,7 @@ def tilings(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFr
     spark = docs.sparkSession
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body")
     items = written(benchmark.select("item_id", body).mapInArrow(_item_rows, "item_id long, tokens array<long>, seeds array<long>"), "items")
-    # The bitmap: at most 2^BITS bits, of which each row holds 64.
-    bit = F.shiftrightunsigned("seed", 64 - BITS)
-    lines = items.select(F.explode("seeds").alias("seed")).groupBy(F.shiftright(bit, 6).alias("line")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - BITS}) & 63 as int))")).alias("bits")
-    )
-    bitmap = np.zeros(1 << (BITS - 6), np.int64)
-    for r in lines.toLocalIterator():
-        bitmap[r["line"]] = r["bits"]
-    shared = spark.sparkContext.broadcast(bitmap.tobytes())
+    shared = spark.sparkContext.broadcast(bitmap(items.select(F.explode("seeds")), BITS).tobytes())
     t = F.col(f"`{text}`")
     bodies = docs.select(*text_key(t), F.coalesce(t, F.lit("")).cast("binary").alias("body"))
     hits = bodies.mapInArrow(_seed_hits(shared), "t_hash long, t_len int, pos int, seed long, tokens array<long>")
