@@ -254,15 +254,16 @@ def refined(runs: DataFrame, of: list[str]) -> DataFrame:
     ``of``) that has any, the runs that are repeated as a whole, and those
     that are open, that is go on to the next refinement."""
     # Buckets with two rows at least; sums and extremes combine before the shuffle.
-    buckets = (
+    # Both groupings are written, so that a hot bucket's rows can be split in the join.
+    buckets = written(
         runs.groupBy("bucket")
         .agg(F.count("*").alias("rows"), F.min("whole").alias("a"), F.max("whole").alias("b"), F.max("twice").alias("again"))
         .filter("rows > 1 or again")
-        .select("bucket", (F.col("a") != F.col("b")).alias("unlike"))
-    )
+        .select("bucket", (F.col("a") != F.col("b")).alias("unlike")), "buckets"
+    )
     shared = written(runs.join(buckets, "bucket"), "shared-runs")
     run_id = F.xxhash64(*of, "lo")
-    groups = shared.groupBy("bucket", "whole").agg(F.count("*").alias("same"), F.min(run_id).alias("one"))
+    groups = written(shared.groupBy("bucket", "whole").agg(F.count("*").alias("same"), F.min(run_id).alias("one")), "groups")
     status = shared.join(groups, ["bucket", "whole"]).select(
         *of, "lo", "n", "bucket", (F.col("same") > 1).alias("repeated"),
         ((F.col("unlike") & (F.col("one") == run_id)) | (F.col("twice") & (F.col("same") == 1))).alias("open"),

@@ -40,18 +40,18 @@ FOLDS, HELD_OUT, FIT_FOLD = 5, 0, 4
 SLICE = 1 << 18
 #: Distinct words that a task adds up, or keeps the ratios of, at once.
 CACHE = 200_000
+BEGIN, END = "\x02", "\x03"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _COLUMNS = ["count0", "count1", "total0", "total1", "types0", "types1"]
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the characters of ``words``, each with its end mark: for orders 0
-    to ORDER the hashes of the last characters (0 where a word is shorter),
-    the word each belongs to, and its place in the word (1 is the first)."""
-    marked = ["\x02" + w + "\x03" for w in words]
+def grams(marked: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the characters of strings: for orders 0 to ORDER the hashes of the
+    last characters (0 where a string is shorter), the string each belongs to,
+    and its place there."""
     chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
     size = np.array([len(w) for w in marked], np.int64)
-    owner = np.repeat(np.arange(len(words)), size)
+    owner = np.repeat(np.arange(len(marked)), size)
     place = np.arange(len(chars)) - np.repeat(np.cumsum(size) - size, size)
     value = mix(chars + U64(1))
     out = np.zeros((ORDER + 1, len(chars)), U64)
@@ -59,30 +59,57 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for n in range(1, ORDER + 1):
         # the characters n - 1 places back, bound to their distance
         step = np.zeros(len(chars), U64)
-        step[n - 1 :] = value[: len(chars) - n + 1]
+        step[n - 1 :] = value[: max(len(chars) - n + 1, 0)]
         back = back + mix(step + U64(n))
         out[n] = np.where(place >= n - 1, mix(back + U64(n << 32)), U64(0))
     return out, owner, place
 
 
+def _slot(value: np.ndarray, n: int, what: int) -> np.ndarray:
+    """The slot of a gram of order n (what 0), or of its context (what 1)."""
+    return (mix(value ^ U64(2 * n + what)) >> U64(64 - BITS)).astype(np.int64)
+
+
 def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From distinct words with their counts: for orders 2 to ORDER, grams with
-    their suffix and prefix, and counts in each class, added up by task."""
-    names = ["n", "gram", "suffix", "prefix", "first", "c0", "c1"]
+    """From distinct words with their counts in each class: the ORDER
+    characters that end at each, or all up to it from the word's beginning."""
+    held: dict[str, list[int]] = {}
+
+    def out() -> pa.RecordBatch:
+        cols = [list(held), [c[0] for c in held.values()], [c[1] for c in held.values()]]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["gram", "c0", "c1"])
+
     for batch in batches:
-        words = batch.column("word").to_pylist()
-        if not words:
+        for word, c0, c1 in zip(*(batch.column(c).to_pylist() for c in ("word", "c0", "c1")), strict=True):
+            marked = BEGIN + word + END
+            for i in range(2, len(marked) + 1):
+                count = held.setdefault(marked[max(i - ORDER, 0) : i], [0, 0])
+                count[0] += c0
+                count[1] += c1
+        if len(held) > CACHE:
+            yield out()
+            held = {}
+    yield out()
+
+
+def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counted grams as additions to the model's slots."""
+    names = ["slot", *_COLUMNS]
+    for batch in batches:
+        text = batch.column("gram").to_pylist()
+        if not text:
             continue
-        value, owner, place = grams(words)
-        counts = [np.asarray(batch.column(c))[owner] for c in ("c0", "c1")]
-        for n in range(2, ORDER + 1):
-            at = np.flatnonzero(place >= n - 1)
-            g = value[n, at]
-            kinds, one, back = np.unique(g, return_index=True, return_inverse=True)
-            added = [np.bincount(back, weights=c[at]).astype(np.int64) for c in counts]
-            some = at[one]
-            cols = [np.full(len(kinds), n, np.int32), kinds.view(np.int64), value[n - 1, some].view(np.int64), value[n - 1, some - 1].view(np.int64), place[some] == n - 1, *added]
-            yield pa.record_batch([pa.array(c) for c in cols], names=names)
+        value, _, place = grams(text)
+        size = np.array([len(g) for g in text], np.int64)
+        last = np.cumsum(size) - 1
+        c0, c1 = (np.asarray(batch.column(c)) for c in ("c0", "c1"))
+        zero = np.zeros(len(text), np.int64)
+        for n in range(1, ORDER + 1):
+            k = np.flatnonzero(size == n)
+            at, z = last[k], zero[k]
+            before = value[n - 1, at - 1] if n > 1 else np.zeros(len(k), U64)
+            for slot, cols in ((_slot(value[n, at], n, 0), [c0[k], c1[k], z, z, z, z]), (_slot(before, n, 1), [z, z, c0[k], c1[k], c0[k] > 0, c1[k] > 0])):
+                yield pa.record_batch([pa.array(np.asarray(c, np.int64)) for c in (slot, *cols)], names=names)
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,79 +129,48 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def _slot(value: Column, n: Column, what: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(value, n, F.lit(what)), 64 - BITS)
-
-
 def learn(labelled: DataFrame) -> np.ndarray:
     """The model from rows (text, toxic): an array of 2^BITS slots with
     _COLUMNS. A gram of the shared orders counts in both classes."""
     words = labelled.mapInArrow(_word_rows, "word string, c0 long, c1 long").groupBy("word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    kind = "n int, gram long, suffix long, prefix long, first boolean, c0 long, c1 long"
-    found = words.mapInArrow(_gram_rows, kind).groupBy("n", "gram", "suffix", "prefix", "first").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    found = written(found, "grams")
-    # distinct left neighbours of shorter grams; a word's beginning has none
-    # and keeps its counts. Below SHARED + 1 both classes share them.
-    seen = [F.col("c0") > 0, F.col("c1") > 0]
-    left = found.filter(F.col("n") <= ORDER).select((F.col("n") - 1).alias("n"), F.col("suffix").alias("gram"), *[s.cast("long").alias(f"c{y}") for y, s in enumerate(seen)])
-    left = left.groupBy("n", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"), F.count("*").alias("both"))
-    shorter = found.filter(F.col("n") < ORDER).select("n", "gram", "prefix", "first", "c0", "c1").join(
-        left.select("n", "gram", *[F.col(c).alias(f"left_{c}") for c in ("c0", "c1", "both")]), ["n", "gram"], "left"
-    )
-    shared = F.col("n") <= SHARED
-    counted = [F.when(F.col("first"), F.when(shared, F.col("c0") + F.col("c1")).otherwise(F.col(f"c{y}"))).otherwise(F.when(shared, F.col("left_both")).otherwise(F.col(f"left_c{y}"))) for y in (0, 1)]
-    shorter = shorter.select("n", "gram", "prefix", *[F.coalesce(c, F.lit(0)).alias(f"c{y}") for y, c in enumerate(counted)])
-    single = left.filter("n = 1").select("n", "gram", F.lit(0).cast("long").alias("prefix"), F.col("both").alias("c0"), F.col("both").alias("c1"))
-    every = found.filter(F.col("n") == ORDER).select("n", "gram", "prefix", "c0", "c1").unionByName(shorter).unionByName(single)
-    counts = every.select(_slot(F.col("gram"), F.col("n"), 0).alias("slot"), F.col("c0").alias("count0"), F.col("c1").alias("count1"), *[F.lit(0).alias(c) for c in _COLUMNS[2:]])
-    ends = every.select(
-        _slot(F.col("prefix"), F.col("n"), 1).alias("slot"), F.lit(0).alias("count0"), F.lit(0).alias("count1"), F.col("c0").alias("total0"), F.col("c1").alias("total1"),
-        (F.col("c0") > 0).cast("int").alias("types0"), (F.col("c1") > 0).cast("int").alias("types1"),
-    )
-    slots = counts.unionByName(ends).groupBy("slot").agg(*[F.sum(c).cast("float").alias(c) for c in _COLUMNS])
+    found = words.mapInArrow(_gram_rows, "gram string, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    found = written(found, "grams").withColumn("n", F.char_length("gram"))
+    # A shorter gram counts its distinct left neighbours; a word's beginning
+    # has none and keeps its counts. Up to SHARED both classes share them.
+    level = found.filter(F.col("n") == ORDER).drop("n")
+    counted = [level]
+    for n in range(ORDER - 1, 0, -1):
+        seen = [(F.col(c) > 0).cast("long") for c in ("c0", "c1")]
+        left = level.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.sum(seen[0]).alias("c0"), F.sum(seen[1]).alias("c1"), F.count("*").alias("both"))
+        first = found.filter(F.col("n") == n).select("gram", "c0", "c1", (F.col("c0") + F.col("c1")).alias("both"))
+        every = written(left.unionByName(first), f"order-{n}")
+        counted.append(every.select("gram", *[F.col("both" if n <= SHARED else c).alias(c) for c in ("c0", "c1")]))
+        level = every.drop("both")
+    union = counted[0]
+    for more in counted[1:]:
+        union = union.unionByName(more)
+    added = union.mapInArrow(_slot_rows, "slot long, " + ", ".join(f"{c} long" for c in _COLUMNS))
+    slots = added.groupBy("slot").agg(*[F.sum(c).cast("float").alias(c) for c in _COLUMNS])
     model = np.zeros((1 << BITS, len(_COLUMNS)), np.float32)
-    # at most 2^BITS rows, by parts
-    for part in slots.repartition(16).toArrow().to_batches():
+    # at most 2^BITS rows
+    for part in slots.toArrow().to_batches():
         model[np.asarray(part.column("slot"))] = np.stack([np.asarray(part.column(c)) for c in _COLUMNS], axis=1)
     return model
 
 
-def _xxhash(value: np.ndarray, n: int, what: int) -> np.ndarray:
-    """Spark's xxhash64 of a long, an int and an int, chained by seed."""
-    p1, p2, p3, p4, p5 = (U64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-    def rotl(x, r):
-        return (x << U64(r)) | (x >> U64(64 - r))
-
-    def end(h):
-        h = (h ^ (h >> U64(33))) * p2
-        h = (h ^ (h >> U64(29))) * p3
-        return h ^ (h >> U64(32))
-
-    h = np.full(len(value), 42, U64) + p5 + U64(8)
-    h ^= rotl(value * p2, 31) * p1
-    h = end(rotl(h, 27) * p1 + p4)
-    for x in (n, what):
-        h = h + p5 + U64(4)
-        h ^= np.array([x], U64) * p1
-        h = end(rotl(h, 23) * p2 + p3)
-    return h
-
-
 def ratios(model: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Log-likelihood ratio (toxic to ordinary) and characters of each word,
     its end mark included."""
     if not words:
         return np.zeros(0), np.zeros(0, np.int64)
-    value, owner, place = grams(words)
+    value, owner, place = grams([BEGIN + w + END for w in words])
     at = np.flatnonzero(place > 0)
     out = np.full((2, len(at)), 1e-6)  # characters that no model knows
     for n in range(1, ORDER + 1):
         far = np.flatnonzero(place[at] >= n - 1)
         here = at[far]
-        slot = (_xxhash(value[n, here], n, 0) >> U64(64 - BITS)).astype(np.int64)
-        before = value[n - 1, here - 1] if n > 1 else np.zeros(len(here), U64)
-        ctx = (_xxhash(before, n, 1) >> U64(64 - BITS)).astype(np.int64)
+        slot = _slot(value[n, here], n, 0)
+        ctx = _slot(value[n - 1, here - 1] if n > 1 else np.zeros(len(here), U64), n, 1)
         for y in (0, 1):
             count, total, types = model[slot, y], model[ctx, 2 + y], model[ctx, 4 + y]
             known = total > 0
