@@ -52,7 +52,6 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:12]
 
 
-_KEYS: dict[str, str] = {}
 _LOCKS: dict[str, threading.Lock] = {}
 _FRAMES: dict[tuple[str, str], DataFrame] = {}
 TARGET_FILE_BYTES = 512 << 20
@@ -73,10 +72,9 @@ def _file_count(spark: SparkSession, df: DataFrame) -> int:
 def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Read table ``name`` derived from ``sf_dir``; build and write it first
     if it is not there yet."""
-    if sf_dir not in _KEYS:
-        _KEYS[sf_dir] = _input_key(spark, sf_dir)
+    # Listed anew each time: a changed input has another key.
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/lotguard-landed/{_KEYS[sf_dir]}-{_code_hash()}/{name}"
+    path = f"{root}/lotguard-landed/{_input_key(spark, sf_dir)}-{_code_hash()}/{name}"
     key = (spark.sparkContext.applicationId, path)
     if key in _FRAMES:
         # A landed table never changes: reuse the handle (no new file listing
