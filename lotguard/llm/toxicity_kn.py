@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, WORD, mix, ranges, runs_of, small_batches, table, written
+from lotguard.llm.common import U64, WORD, bitmap, in_bitmap, mix, ranges, runs_of, small_batches, table, written
 
 ORDER, SHARED, DISCOUNT = 6, 2, 0.75
 WINDOW = 2
@@ -36,6 +36,8 @@ WINDOW = 2
 BITS = 21
 #: Labelled documents (those of the smallest hashes) that the logistic function is fitted on.
 FIT_ROWS = 20_000
+#: log2 of the bits of the bitmap of labelled keys (8 MiB).
+KEY_BITS = 26
 FOLDS, HELD_OUT, FIT_FOLD = 5, 0, 4
 SLICE = 1 << 18
 #: Distinct words that a task adds up, or keeps the ratios of, at once.
@@ -242,6 +244,15 @@ def _scorer(shared, weights: np.ndarray | None) -> Callable[[Iterator[pa.RecordB
     return rows
 
 
+def _likely(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bits, np.asarray(batch.column("h")).view(U64), KEY_BITS)))
+
+    return rows
+
+
 def logistic(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -700, 700)))
 
@@ -284,7 +295,11 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     lab = labels.filter(f"toxic is not null and {key} is not null").groupBy(key).agg(F.max("toxic").alias("toxic"))
     lab = lab.select(F.col(key).alias("k"), (F.col("toxic") > 0).cast("int").alias("toxic"), fold(F.col(key)).alias("fold")).filter(F.col("fold") != HELD_OUT)
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    train = written(rows.filter(fold(F.col("k")) != HELD_OUT).join(lab, "k"), "labelled")
+    # Most documents without a label are left out before the shuffle, by a
+    # bitmap of the labelled keys' hashes that has one size for any number.
+    labelled = spark.sparkContext.broadcast(bitmap(lab.select(F.xxhash64("k")), KEY_BITS).tobytes())
+    likely = rows.filter(fold(F.col("k")) != HELD_OUT).withColumn("h", F.xxhash64("k"))
+    train = written(likely.mapInArrow(_likely(labelled), likely.schema).drop("h").join(lab, "k"), "labelled")
     model = learn(train.filter(F.col("fold") != FIT_FOLD).select("text", "toxic"))
     shared = spark.sparkContext.broadcast(model.tobytes())
     kind = docs.schema[key].dataType.simpleString()
