@@ -45,9 +45,9 @@ from lotguard.llm.common import U64, list_array, mix, ranges, small_batches, tab
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations of a text; seed of all draws.
 K, SEED = 2, 7
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Words whose lattices a worker keeps; occurrences that are drawn at once.
-CACHE, CHUNK = 200_000, 1 << 16
+CACHE, CHUNK = 120_000, 1 << 16
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _C1, _C2, _C3 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0xC2B2AE3D27D4EB4F)
 _SLOTS = 20
