@@ -11,21 +11,33 @@ dealt by hash into bins of bounded size; each bin is differenced in its task
 into one partial partition; these are again differenced in bins, until one is
 left. The places of a bin in the result carry down to its groups by joins. The
 last vector is the shards' sums.
+
+A group that its bin could not offset is not put into one, but held for the
+next level. What it takes to offset all that is held is left over in the bins:
+as single groups and as bundles, which put all their members' largest sums
+into one shard.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import table, written
+from lotguard.llm.common import U64, mix, table, written
 
 SHARDS = 8
 #: Groups, or partial partitions, that one task differences at most (on average).
 BIN = 20_000
+#: Vectors besides its own that a bin leaves over at most; a level holds at
+#: most HELD (and at most a quarter of BIN) partial partitions for each bin.
+OVER, HELD = 256, 8
+#: Share by which more is left over than offsets what is held.
+MARGIN = 1.05
 #: Rows of all shards that are numbered together.
 BUCKET = 200_000
 _VECTOR = [f"s{i}" for i in range(SHARDS)]
@@ -69,38 +81,88 @@ def difference(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(heap[0][2], np.int64), place
 
 
-def _differenced(rows: pd.DataFrame) -> pd.DataFrame:
-    """One bin: a row for each member with its places, and the sums in a row
-    without member."""
-    rows = rows.sort_values("id", kind="stable")
-    sums, place = difference(rows[_VECTOR].to_numpy(np.int64))
-    out = pd.DataFrame(np.vstack((place, sums)), columns=_VECTOR)
-    out.insert(0, "id", [*rows["id"], None])
-    out.insert(0, "bin", int(rows["bin"].iloc[0]))
-    out["id"] = out["id"].astype("Int64")
-    return out
+def aligned(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bundle partial partitions: largest sums with largest sums. Returns what
+    ``difference`` does."""
+    order = np.argsort(-vectors, axis=1, kind="stable")
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.broadcast_to(np.arange(vectors.shape[1]), order.shape), axis=1)
+    return np.take_along_axis(vectors, order, axis=1).sum(axis=0), place
+
+
+def uneven(vectors: np.ndarray) -> np.ndarray:
+    """What the sums of each vector have above its smallest one."""
+    return vectors.sum(axis=1) - vectors.shape[1] * vectors.min(axis=1)
+
+
+def _differencer(share: float, over: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """For one bin: a row for each member with its places in a vector of the
+    next level (up), and the vectors in rows without member. Members with
+    ``share`` of what is uneven are left over, half of the vectors for single
+    ones and half for bundles; the others are differenced."""
+
+    def rows(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id", kind="stable")
+        vectors, ids = rows[_VECTOR].to_numpy(np.int64), rows["id"].to_numpy(np.int64)
+        which = np.zeros(len(ids), np.int64)  # the vector of each member; 0: differenced
+        drawn = np.argsort(mix(ids.astype(U64)), kind="stable")
+        upto = np.cumsum(uneven(vectors)[drawn])
+        if share and upto[-1]:
+            left = drawn[: np.searchsorted(upto, min(share, 1) * upto[-1]) + 1]
+            turn = np.arange(len(left))
+            single = over // 2
+            which[left] = 1 + np.where(turn < single, turn, single + (turn - single) % (over - single))
+        first, parts = int(rows["bin"].iloc[0]) * (over + 1), []
+        order = np.argsort(which, kind="stable")
+        for of in np.split(order, np.flatnonzero(np.diff(which[order])) + 1):
+            sums, place = (aligned if which[of[0]] else difference)(vectors[of])
+            part = pd.DataFrame(np.vstack((place, sums)), columns=_VECTOR)
+            part.insert(0, "id", pd.array([*ids[of], None], "Int64"))
+            part.insert(0, "up", first + int(which[of[0]]))
+            parts.append(part)
+        return pd.concat(parts)
+
+    return rows
 
 
 def placed(sizes: DataFrame) -> DataFrame:
     """(id, shard) for groups (id, size)."""
-    schema = "bin long, id long, " + ", ".join(f"{c} long" for c in _VECTOR)
+    schema = "up long, id long, " + ", ".join(f"{c} long" for c in _VECTOR)
     level = sizes.select("id", F.col("size").alias(_VECTOR[0]), *[F.lit(0).cast("long").alias(c) for c in _VECTOR[1:]])
+    least, most = F.least(*_VECTOR), F.greatest(*_VECTOR)
+    above = sum((F.col(c) for c in _VECTOR[1:]), F.col(_VECTOR[0])) - SHARDS * least
+    over, held_most = (max(min(n, BIN // 4), 1) for n in (OVER, HELD))
     levels = []
-    count = sizes.count()
+    count, last = sizes.count(), None
     while True:
-        bins = -(-count // BIN)
+        bins = -(-count // BIN) if last is None or count < last else 1
+        held, share = None, 0.0
+        if bins > 1:
+            # Fewer than held_most x bins can have so large a part of all that is uneven.
+            total = level.agg(F.sum(above)).first()[0]
+            large = (most - least) * held_most * bins > total
+            held = written(level.filter(large).withColumn("up", F.monotonically_increasing_id() + bins * (over + 1)), "held")
+            level = level.filter(~large)
+            vectors = held.select(*_VECTOR).toPandas().to_numpy(np.int64)
+            if len(vectors):
+                sums, _ = difference(vectors)
+                rest = total - int(uneven(vectors).sum())
+                share = MARGIN * float(sums.max() * SHARDS - sums.sum()) / max(rest, 1)
         dealt = level.withColumn("bin", F.pmod(F.xxhash64("id"), F.lit(bins)) if bins > 1 else F.lit(0).cast("long"))
-        done = written(dealt.groupBy("bin").applyInPandas(_differenced, schema), "differenced")
-        levels.append(done.filter("id is not null"))
+        done = written(dealt.groupBy("bin").applyInPandas(_differencer(share, over), schema), "differenced")
+        members, level = done.filter("id is not null"), done.filter("id is null").select(F.col("up").alias("id"), *_VECTOR)
         if bins <= 1:
+            levels.append(members)
             break
-        level = done.filter("id is null").select(F.col("bin").alias("id"), *_VECTOR)
-        count = bins
+        same = [F.lit(i).cast("long").alias(c) for i, c in enumerate(_VECTOR)]
+        levels.append(members.unionByName(held.select("up", "id", *same)))
+        level = level.unionByName(held.select(F.col("up").alias("id"), *_VECTOR))
+        count, last = level.count(), count
     # from the last bin down: place j of a bin stands for a shard
     places = levels[-1].select("id", F.array(*_VECTOR).alias("shards"))
     for done in reversed(levels[:-1]):
-        upper = places.select(F.col("id").alias("bin"), "shards")
-        places = done.join(upper, "bin").select("id", F.transform(F.array(*_VECTOR), lambda p: F.element_at("shards", (p + 1).cast("int"))).alias("shards"))
+        upper = places.select(F.col("id").alias("up"), "shards")
+        places = done.join(upper, "up").select("id", F.transform(F.array(*_VECTOR), lambda p: F.element_at("shards", (p + 1).cast("int"))).alias("shards"))
     return places.select("id", F.element_at("shards", 1).cast("int").alias("shard"))
 
 

@@ -74,3 +74,20 @@ def test_real(spark):
     for r in got:
         sums[r["shard"]] += r["size"]
     assert len(got) == 1000 and max(sums.values()) - min(sums.values()) <= 64
+
+
+def test_large_group_over_bins(spark, monkeypatch):
+    """Groups of 5, 10 and 40 % of all bytes: bins give the undivided result."""
+    rng = np.random.default_rng(2)
+    small = rng.lognormal(6, 1, 3000).astype(np.int64) + 1
+    for part, bins in ((0.05, 500), (0.1, 500), (0.1, 100), (0.4, 500)):
+        sizes = [*small.tolist(), int(small.sum() * part / (1 - part))]
+        frame = spark.createDataFrame(list(enumerate(sizes)), "id long, size long").repartition(4)
+        most = []
+        for limit in (20_000, bins):
+            monkeypatch.setattr(K, "BIN", limit)
+            got = rows(K.placed(frame))
+            assert sorted(r["id"] for r in got) == list(range(len(sizes)))
+            sums = np.bincount([r["shard"] for r in got], weights=[sizes[r["id"]] for r in got], minlength=8)
+            most.append(sums.max() * 8 / sums.sum())
+        assert most[1] < most[0] + 0.002, (part, bins, most)
