@@ -106,7 +106,7 @@ def position_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     chosen = np.flatnonzero(_sliding(padded, _W, np.maximum) == h100)
     order = np.lexsort((chosen, h100[chosen]))
     p, h = chosen[order], h100[chosen[order]]
-    again = np.sort(p[1:][(h[1:] == h[:-1]) & (np.diff(p) < _W)])
+    again = np.sort(p[1:][(h[1:] == h[:-1]) & (np.diff(p) <= _W)])
     lo = at[first]
     twice = np.searchsorted(again, lo + count - 1 + _W) > np.searchsorted(again, lo)
     return lo, count, bucket[first], mix(whole), twice

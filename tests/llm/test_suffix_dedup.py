@@ -97,3 +97,12 @@ def test_real_documents(spark):
     texts = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column(0).to_pylist()[:60] * 2
     got = sorted((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in rows(S.dedup_report(frame(spark, texts))))
     assert got == [(i, w[1], w[3]) for i, w in enumerate(brute(texts))]
+
+
+def test_repeated_blocks(spark):
+    """A block three times in one text, near the reach of a bucket's q-gram."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(n)) * 3 for n in range(298, 305)]
+    got = {r["doc_id"]: r for r in rows(S.dedup_report(frame(spark, texts)))}
+    for i, want in enumerate(brute(texts)):
+        assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) == want, i
