@@ -14,8 +14,9 @@ function of the two, fitted on labelled documents that the counts did not use,
 gives the score.
 
 Counts come from all labelled documents of the learning folds, by grouping
-with partial sums; they are then added up in 2^BITS slots by hash, so that the
-model sent to the tasks has the same size for any corpus.
+with partial sums. The model sent to the tasks has a row for each distinct gram
+and context, found by a 64-bit key, so it grows with what the corpus holds and
+no two of them share their counts.
 """
 
 from __future__ import annotations
@@ -32,8 +33,6 @@ from lotguard.llm.common import U64, WORD, bitmap, in_bitmap, mix, ranges, runs_
 
 ORDER, SHARED, DISCOUNT = 6, 2, 0.75
 WINDOW = 2
-#: log2 of the model's slots (six 4-byte numbers each).
-BITS = 21
 #: Labelled documents (those of the smallest hashes) that the logistic function is fitted on.
 FIT_ROWS = 20_000
 #: log2 of the bits of the bitmap of labelled keys (8 MiB).
@@ -44,7 +43,7 @@ SLICE = 1 << 18
 CACHE = 200_000
 BEGIN, END = "\x02", "\x03"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_COLUMNS = ["count0", "count1", "total0", "total1", "types0", "types1"]
+_COLUMNS = ("n0", "n1", "types0", "types1")
 
 
 def grams(marked: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,9 +66,35 @@ def grams(marked: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, owner, place
 
 
-def _slot(value: np.ndarray, n: int, what: int) -> np.ndarray:
-    """The slot of a gram of order n (what 0), or of its context (what 1)."""
-    return (mix(value ^ U64(2 * n + what)) >> U64(64 - BITS)).astype(np.int64)
+def _key(value: np.ndarray, n: int, what: int) -> np.ndarray:
+    """The key of a gram of order n (what 0), or of its context (what 1)."""
+    return mix(value ^ U64(2 * n + what))
+
+
+class Counts:
+    """Numbers by 64-bit key: rows sorted by key, and where the keys with the
+    same first bits begin. The last row, of zeros, stands for unknown keys."""
+
+    def __init__(self, keys: np.ndarray, numbers: np.ndarray):
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.numbers = np.concatenate((numbers[order], np.zeros((1, numbers.shape[1]), np.float32)))
+        self.bits = max(len(keys), 1).bit_length()
+        first = (self.keys >> U64(64 - self.bits)).astype(np.int64)
+        self.start = np.searchsorted(first, np.arange((1 << self.bits) + 1)).astype(np.int32)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        line = (keys >> U64(64 - self.bits)).astype(np.int64)
+        at, end = self.start[line].astype(np.int64), self.start[line + 1]
+        row = np.full(len(keys), len(self.keys))
+        todo = np.flatnonzero(at < end)
+        while len(todo):
+            hit = self.keys[at[todo]] == keys[todo]
+            row[todo[hit]] = at[todo[hit]]
+            todo = todo[~hit]
+            at[todo] += 1
+            todo = todo[at[todo] < end[todo]]
+        return self.numbers[row]
 
 
 def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,9 +119,10 @@ def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counted grams as additions to the model's slots."""
-    names = ["slot", *_COLUMNS]
+def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counted grams as additions to the model's rows: the counts of grams (what
+    0), and the totals and types of contexts (what 1)."""
+    names = ["what", "key", *_COLUMNS]
     for batch in batches:
         text = batch.column("gram").to_pylist()
         if not text:
@@ -110,8 +136,9 @@ def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k = np.flatnonzero(size == n)
             at, z = last[k], zero[k]
             before = value[n - 1, at - 1] if n > 1 else np.zeros(len(k), U64)
-            for slot, cols in ((_slot(value[n, at], n, 0), [c0[k], c1[k], z, z, z, z]), (_slot(before, n, 1), [z, z, c0[k], c1[k], c0[k] > 0, c1[k] > 0])):
-                yield pa.record_batch([pa.array(np.asarray(c, np.int64)) for c in (slot, *cols)], names=names)
+            for what, of, types in ((0, value[n, at], [z, z]), (1, before, [c0[k] > 0, c1[k] > 0])):
+                cols = [z + what, _key(of, n, what).view(np.int64), c0[k], c1[k], *types]
+                yield pa.record_batch([pa.array(np.asarray(c, np.int64)) for c in cols], names=names)
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,9 +158,9 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def learn(labelled: DataFrame) -> np.ndarray:
-    """The model from rows (text, toxic): an array of 2^BITS slots with
-    _COLUMNS. A gram of the shared orders counts in both classes."""
+def learn(labelled: DataFrame) -> tuple[Counts, Counts]:
+    """The model from rows (text, toxic): the counts of grams, and the totals
+    and types of contexts. A gram of the shared orders counts in both classes."""
     words = labelled.mapInArrow(_word_rows, "word string, c0 long, c1 long").groupBy("word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     found = words.mapInArrow(_gram_rows, "gram string, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     found = written(found, "grams").withColumn("n", F.char_length("gram"))
@@ -151,16 +178,17 @@ def learn(labelled: DataFrame) -> np.ndarray:
     union = counted[0]
     for more in counted[1:]:
         union = union.unionByName(more)
-    added = union.mapInArrow(_slot_rows, "slot long, " + ", ".join(f"{c} long" for c in _COLUMNS))
-    slots = added.groupBy("slot").agg(*[F.sum(c).cast("float").alias(c) for c in _COLUMNS])
-    model = np.zeros((1 << BITS, len(_COLUMNS)), np.float32)
-    # at most 2^BITS rows
-    for part in slots.toArrow().to_batches():
-        model[np.asarray(part.column("slot"))] = np.stack([np.asarray(part.column(c)) for c in _COLUMNS], axis=1)
-    return model
+    added = union.mapInArrow(_count_rows, "what long, key long, " + ", ".join(f"{c} long" for c in _COLUMNS))
+    model = added.groupBy("what", "key").agg(*[F.sum(c).cast("float").alias(c) for c in _COLUMNS])
+    model = written(model, "model")
+    out = []
+    for what, cols in ((0, _COLUMNS[:2]), (1, _COLUMNS)):
+        part = model.filter(F.col("what") == what).select("key", *cols).toArrow()
+        out.append(Counts(part.column("key").to_numpy().view(U64), np.column_stack([part.column(c).to_numpy() for c in cols])))
+    return out[0], out[1]
 
 
-def ratios(model: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def ratios(model: tuple[Counts, Counts], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Log-likelihood ratio (toxic to ordinary) and characters of each word,
     its end mark included."""
     if not words:
@@ -171,10 +199,10 @@ def ratios(model: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]
     for n in range(1, ORDER + 1):
         far = np.flatnonzero(place[at] >= n - 1)
         here = at[far]
-        slot = _slot(value[n, here], n, 0)
-        ctx = _slot(value[n - 1, here - 1] if n > 1 else np.zeros(len(here), U64), n, 1)
+        gram = model[0].of(_key(value[n, here], n, 0))
+        ctx = model[1].of(_key(value[n - 1, here - 1] if n > 1 else np.zeros(len(here), U64), n, 1))
         for y in (0, 1):
-            count, total, types = model[slot, y], model[ctx, 2 + y], model[ctx, 4 + y]
+            count, total, types = gram[:, y], ctx[:, y], ctx[:, 2 + y]
             known = total > 0
             p = out[y, far]
             mixed = (np.maximum(count - DISCOUNT, 0) + DISCOUNT * types * p) / np.where(known, total, 1)
@@ -186,7 +214,7 @@ def ratios(model: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]
 class _Ratios:
     """Ratios of words, kept between batches."""
 
-    def __init__(self, model: np.ndarray):
+    def __init__(self, model: tuple[Counts, Counts]):
         self.model = model
         self.clear()
 
@@ -232,7 +260,7 @@ def statistics(known: _Ratios, texts: list[str]) -> np.ndarray:
 
 def _scorer(shared, weights: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Ratios(np.frombuffer(shared.value, np.float32).reshape(-1, len(_COLUMNS)))
+        known = _Ratios(shared.value)
         for batch in small_batches(batches, "text", SLICE):
             x = statistics(known, batch.column("text").to_pylist())
             if weights is None:
@@ -301,7 +329,7 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     likely = rows.filter(fold(F.col("k")) != HELD_OUT).withColumn("h", F.xxhash64("k"))
     train = written(likely.mapInArrow(_likely(labelled), likely.schema).drop("h").join(lab, "k"), "labelled")
     model = learn(train.filter(F.col("fold") != FIT_FOLD).select("text", "toxic"))
-    shared = spark.sparkContext.broadcast(model.tobytes())
+    shared = spark.sparkContext.broadcast(model)
     kind = docs.schema[key].dataType.simpleString()
     fit = train.filter(F.col("fold") == FIT_FOLD).orderBy(F.xxhash64("k", "text")).limit(FIT_ROWS).select("k", "text", "toxic")
     x = fit.mapInArrow(_scorer(shared, None), f"k {kind}, toxic int, x0 double, x1 double").select("toxic", "x0", "x1").toPandas()

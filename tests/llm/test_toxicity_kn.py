@@ -98,3 +98,15 @@ def test_nulls_repeats_empty(spark, labels):
     assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got)
     assert len({r["score"] for r in got if r["doc_id"] == 2}) == 1
     assert rows(K.scored(docs.limit(0), lab)) == []
+
+
+def test_no_gram_shares_counts():
+    """More keys than the 2^21 slots that all corpora once had."""
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 1 << 64, 2_300_000, np.uint64, endpoint=False))
+    numbers = np.arange(2 * len(keys)).reshape(-1, 2) % 1009 + 1
+    mixed = rng.permutation(len(keys))
+    held = K.Counts(keys[mixed], numbers[mixed].astype(np.float32))
+    assert (held.of(keys[::3]) == numbers[::3]).all()
+    assert not held.of(keys[::3] + np.uint64(1)).any()
+    assert not K.Counts(keys[:0], np.zeros((0, 2), np.float32)).of(keys[:5]).any()
