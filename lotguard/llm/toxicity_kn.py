@@ -10,8 +10,8 @@ part, tells the classes apart, while what neither has seen weighs the same.
 
 A document's statistics are log-likelihood ratios per character: of the whole
 text, and of its most toxic ``WINDOW`` = 2 successive words. A logistic
-function of the two, fitted on labelled documents that the counts did not use,
-gives the score.
+function of the two gives the score. It is fitted on a bounded sample of labelled
+documents, with a model that leaves these out; the scores' model counts them too.
 
 Counts come from all labelled documents of the learning folds, by grouping
 with partial sums. The model sent to the tasks has a row for each distinct gram
@@ -142,26 +142,40 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[int]] = {}
+    """Counts of words by class: of rows that are not held (c0, c1), and of
+    those that are (held0, held1)."""
+    found: dict[str, list[int]] = {}
 
     def out() -> pa.RecordBatch:
-        cols = [list(held), [c[0] for c in held.values()], [c[1] for c in held.values()]]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["word", "c0", "c1"])
+        cols = [pa.array(list(found), pa.string()), *(pa.array([c[i] for c in found.values()], pa.int64()) for i in range(4))]
+        return pa.record_batch(cols, names=["word", "c0", "c1", "held0", "held1"])
 
     for batch in small_batches(batches, "text", SLICE):
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+        for text, toxic, held in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "held")), strict=True):
             for word, n in Counter(WORD.findall(text.translate(_LOWER))).items():
-                held.setdefault(word, [0, 0])[toxic] += n
-        if len(held) > CACHE:
+                found.setdefault(word, [0, 0, 0, 0])[toxic + 2 * held] += n
+        if len(found) > CACHE:
             yield out()
-            held = {}
+            found = {}
     yield out()
 
 
+def counted(labelled: DataFrame) -> DataFrame:
+    """Distinct words of rows (text, toxic, held) with their counts."""
+    cols = ["c0", "c1", "held0", "held1"]
+    found = labelled.select("text", "toxic", "held").mapInArrow(_word_rows, "word string, " + ", ".join(f"{c} long" for c in cols))
+    return written(found.groupBy("word").agg(*[F.sum(c).alias(c) for c in cols]), "words")
+
+
 def learn(labelled: DataFrame) -> tuple[Counts, Counts]:
-    """The model from rows (text, toxic): the counts of grams, and the totals
-    and types of contexts. A gram of the shared orders counts in both classes."""
-    words = labelled.mapInArrow(_word_rows, "word string, c0 long, c1 long").groupBy("word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    """The model from rows (text, toxic)."""
+    return model_of(counted(labelled.withColumn("held", F.lit(False))).select("word", "c0", "c1"))
+
+
+def model_of(words: DataFrame) -> tuple[Counts, Counts]:
+    """The model from distinct words with their counts: the counts of grams,
+    and the totals and types of contexts. A gram of the shared orders counts
+    in both classes."""
     found = words.mapInArrow(_gram_rows, "gram string, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     found = written(found, "grams").withColumn("n", F.char_length("gram"))
     # A shorter gram counts its distinct left neighbours; a word's beginning
@@ -312,8 +326,9 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """A row for each document: key, held_out (fold 0), score (0 to 1),
     predicted (1 if the score is 0.5 or more).
 
-    Counts come from labelled documents of folds 1 to 3, the logistic function
-    from those of fold 4; labels of fold 0 are never read. A key with several
+    Counts come from all labelled documents of folds 1 to 4, the logistic
+    function from FIT_ROWS of fold 4 at most and the counts of all others;
+    labels of fold 0 are never read. A key with several
     labels is toxic if one is; null labels and null keys don't count. Null
     texts count as empty and get the score of no evidence. Equal texts have
     equal scores. Further columns are not read. An empty table gives an empty
@@ -328,12 +343,18 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     labelled = spark.sparkContext.broadcast(bitmap(lab.select(F.xxhash64("k")), KEY_BITS).tobytes())
     likely = rows.filter(fold(F.col("k")) != HELD_OUT).withColumn("h", F.xxhash64("k"))
     train = written(likely.mapInArrow(_likely(labelled), likely.schema).drop("h").join(lab, "k"), "labelled")
-    model = learn(train.filter(F.col("fold") != FIT_FOLD).select("text", "toxic"))
-    shared = spark.sparkContext.broadcast(model)
+    drawn = F.xxhash64("k", "text")
+    tail = train.filter(F.col("fold") == FIT_FOLD).select("k", "text", "toxic", drawn.alias("h"))
+    bar = tail.select("h").orderBy("h").limit(FIT_ROWS).agg(F.max("h")).first()[0]
+    held = F.lit(False) if bar is None else (F.col("fold") == FIT_FOLD) & (drawn <= bar)
+    words = counted(train.withColumn("held", held))
     kind = docs.schema[key].dataType.simpleString()
-    fit = train.filter(F.col("fold") == FIT_FOLD).orderBy(F.xxhash64("k", "text")).limit(FIT_ROWS).select("k", "text", "toxic")
+    shared = spark.sparkContext.broadcast(model_of(words.filter("c0 + c1 > 0").select("word", "c0", "c1")))
+    fit = tail.orderBy("h").limit(FIT_ROWS).drop("h")
     x = fit.mapInArrow(_scorer(shared, None), f"k {kind}, toxic int, x0 double, x1 double").select("toxic", "x0", "x1").toPandas()
     weights = fit_logistic(x[["x0", "x1"]].to_numpy(float), x["toxic"].to_numpy(float))
+    every = words.select("word", *[(F.col(c) + F.col(h)).alias(c) for c, h in (("c0", "held0"), ("c1", "held1"))])
+    shared = spark.sparkContext.broadcast(model_of(every))
     out = rows.mapInArrow(_scorer(shared, weights), f"k {kind}, score double")
     return out.select(
         F.col("k").alias(key), (fold(F.col("k")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")

@@ -110,3 +110,16 @@ def test_no_gram_shares_counts():
     assert (held.of(keys[::3]) == numbers[::3]).all()
     assert not held.of(keys[::3] + np.uint64(1)).any()
     assert not K.Counts(keys[:0], np.zeros((0, 2), np.float32)).of(keys[:5]).any()
+
+
+def test_fold_4_is_evidence(spark, monkeypatch):
+    """A toxic word that only labelled documents of fold 4 have, beyond the sample or in it."""
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    data = [(i, f"good words number{i % 9} here" if i % 2 else ("zorquix again" if fold(i) == 4 else "idiot again")) for i in range(300)]
+    odd = next(i for i in range(300, 400) if fold(i) == 0)
+    docs = spark.createDataFrame([*data, (odd, "zorquix"), (odd + 1000, "hlemyrt")], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, 1, 1 - i % 2) for i in range(300)], "doc_id long, quality int, toxic int")
+    for limit in (K.FIT_ROWS, 10):
+        monkeypatch.setattr(K, "FIT_ROWS", limit)
+        got = {r["doc_id"]: r["score"] for r in rows(K.scored(docs, lab))}
+        assert got[odd] > 0.99 and got[odd] > got[odd + 1000], (limit, got[odd], got[odd + 1000])
