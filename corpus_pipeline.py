@@ -13,6 +13,10 @@ from lotguard.llm import ngram_join, quality_forest, sentencepiece_lattice, stri
 from lotguard.llm.common import table, written
 
 
+#: Near copies of the corpus: five-word shingles, similarity 0.8 (the op10 query has its own).
+NEAR = ngram_join.Likeness(words=5, most=4, of=5)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the forest reject go."""
     return quality_forest.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -20,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays."""
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, like=NEAR)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

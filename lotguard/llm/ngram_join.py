@@ -1,10 +1,11 @@
 """N-gram Jaccard join by PartEnum signatures (operator 10).
 
-A document is the set of its distinct 4-word shingles; two documents link when
-their Jaccard similarity is 0.85 or more. Sets fall into bands of sizes; a band
-ends where a set of its first size could still reach 0.85, so linked sets lie
-in the same band or in neighbouring ones. Linked sets of sizes a <= b differ in
-at most d = 3 (a + b) / 37 shingles.
+A document is the set of its distinct shingles; two documents link when their
+Jaccard similarity reaches a limit. ``Likeness`` has the words of a shingle and
+the limit; the figures here are the query's, 4 words and 0.85. Sets fall into
+bands of sizes; a band ends where a set of its first size could still reach
+0.85, so linked sets lie in the same band or in neighbouring ones. Linked sets
+of sizes a <= b differ in at most d = 3 (a + b) / 37 shingles.
 
 PartEnum: within a band the shingle domain is dealt by hash into first-level
 partitions, each into three cells. With more than d / 2 partitions, two linked
@@ -32,7 +33,8 @@ component already, or is among the pairs found, which are all compared.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,27 +45,43 @@ from lotguard.llm.common import U64, bitmap, in_bitmap, mix, pair, small_batches
 from lotguard.llm.components import components
 from lotguard.llm.words import segment_hashes
 
-#: Words of a shingle; cells of a sketch; texts of a block; log2 of a bitmap's bits (8 MiB).
-WORDS, CELLS, BLOCK, BITS = 4, 256, 1000, 26
+#: Cells of a sketch; texts of a block; log2 of a bitmap's bits (8 MiB).
+CELLS, BLOCK, BITS = 256, 1000, 26
 #: Bytes of text handled at once.
 SLICE = 1 << 18
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """The sorted set of shingle identifiers of each text. Under four words:
-    one shingle of all; without words: none."""
+class Likeness(NamedTuple):
+    """Words of a shingle, and the least similarity of linked sets, most / of."""
+
+    words: int = 4
+    most: int = 17
+    of: int = 20
+
+    @property
+    def apart(self) -> tuple[int, int]:
+        """The part of their sizes' sum in which linked sets can differ, as a fraction."""
+        return self.of - self.most, self.of + self.most
+
+
+QUERY = Likeness()
+
+
+def shingle_sets(texts: list[bytes], like: Likeness = QUERY) -> list[np.ndarray]:
+    """The sorted set of shingle identifiers of each text. Under ``like.words``
+    words: one shingle of all; without words: none."""
     data = np.frombuffer(b"\n".join(texts), np.uint8)
     words, at = segment_hashes(data, lower=True)
     begin = np.cumsum([0] + [len(t) + 1 for t in texts])
     cut = np.searchsorted(at, begin)
-    n = max(len(words) - WORDS + 1, 0)
-    two = pair(words[:-1], words[1:]) if len(words) > 1 else words[:0]
-    grams = pair(two[:n], two[2 : 2 + n]) if n else words[:0]
+    grams = words
+    for k in range(1, like.words):
+        grams = pair(grams[: max(len(words) - k, 0)], words[k:])
     out = []
     for i in range(len(texts)):
         a, b = cut[i], cut[i + 1]
-        if b - a >= WORDS:
-            out.append(np.unique(grams[a : b - WORDS + 1]))
+        if b - a >= like.words:
+            out.append(np.unique(grams[a : b - like.words + 1]))
         elif b > a:
             whole = U64(b - a)
             for w in words[a:b]:
@@ -74,33 +92,34 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def farthest(a, b):
+def farthest(a, b, like: Likeness = QUERY):
     """Shingles in which linked sets of sizes a and b can differ at most."""
-    return 3 * (a + b) // 37
+    n, d = like.apart
+    return n * (a + b) // d
 
 
-def bands(limit: int) -> np.ndarray:
+def bands(limit: int, like: Likeness = QUERY) -> np.ndarray:
     """Last sizes of the bands up to one that holds ``limit``."""
     last = [0]
     while last[-1] < limit:
-        last.append(20 * (last[-1] + 1) // 17)
-    return np.array([*last, 20 * (last[-1] + 1) // 17])
+        last.append(like.of * (last[-1] + 1) // like.most)
+    return np.array([*last, like.of * (last[-1] + 1) // like.most])
 
 
-def signatures(shingles: np.ndarray, last: np.ndarray) -> np.ndarray:
+def signatures(shingles: np.ndarray, last: np.ndarray, like: Likeness = QUERY) -> np.ndarray:
     """Signatures of one set, in its band and in the next one."""
     size = len(shingles)
     band = int(np.searchsorted(last, size))
     out = []
     for tag in (band, band + 1):
-        largest = min(20 * size // 17, int(last[tag]))
+        largest = min(like.of * size // like.most, int(last[tag]))
         if largest < size or (tag > band and largest <= last[band]):
             continue
-        parts = int(farthest(last[tag], last[tag])) // 2 + 1
-        used = farthest(size, largest) // 2 + 1
+        parts = int(farthest(last[tag], last[tag], like)) // 2 + 1
+        used = farthest(size, largest, like) // 2 + 1
         if tag == band:  # a smaller partner from the band before is nearer
-            used = min(max(used, farthest(size, size) // 2 + 1), parts)
-        if parts == 1 and farthest(last[tag], last[tag]) == 0:  # only equal sets link
+            used = min(max(used, farthest(size, size, like) // 2 + 1), parts)
+        if parts == 1 and farthest(last[tag], last[tag], like) == 0:  # only equal sets link
             out.append(mix(np.array([mix(shingles).sum() + U64(tag)], U64)))
             continue
         value = mix(shingles ^ U64(tag * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
@@ -121,19 +140,22 @@ def signatures(shingles: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, U64)
 
 
-def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last = bands(1)
-    for batch in small_batches(batches, "body", SLICE):
-        sets = shingle_sets(batch.column("body").to_pylist())
-        if (most := max(map(len, sets))) * 2 > last[-1]:
-            last = bands(most * 2)
-        found = [signatures(s, last) if len(s) else s for s in sets]
-        count = np.array([len(f) for f in found])
-        row = np.repeat(np.arange(len(found)), count)
-        keys = [np.asarray(batch.column(c))[row] for c in ("t_hash", "t_len")]
-        yield pa.record_batch(
-            [pa.array(np.concatenate(found).view(np.int64)), *map(pa.array, keys)], names=["sig", "t_hash", "t_len"]
-        )
+def _signature_rows(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = bands(1, like)
+        for batch in small_batches(batches, "body", SLICE):
+            sets = shingle_sets(batch.column("body").to_pylist(), like)
+            if (most := max(map(len, sets))) * 2 > last[-1]:
+                last = bands(most * 2, like)
+            found = [signatures(s, last, like) if len(s) else s for s in sets]
+            count = np.array([len(f) for f in found])
+            row = np.repeat(np.arange(len(found)), count)
+            keys = [np.asarray(batch.column(c))[row] for c in ("t_hash", "t_len")]
+            yield pa.record_batch(
+                [pa.array(np.concatenate(found).view(np.int64)), *map(pa.array, keys)], names=["sig", "t_hash", "t_len"]
+            )
+
+    return rows
 
 
 def _sharers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,13 +202,16 @@ def _sharers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "body", SLICE):
-        sets = shingle_sets(batch.column("body").to_pylist())
-        cells = [np.minimum(np.bincount((mix(x ^ U64(CELLS)) >> U64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes() for x in sets]
-        yield pa.record_batch(
-            [batch.column("t_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(cells, pa.binary())], names=["t_id", "size", "sketch"]
-        )
+def _sketches(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "body", SLICE):
+            sets = shingle_sets(batch.column("body").to_pylist(), like)
+            cells = [np.minimum(np.bincount((mix(x ^ U64(CELLS)) >> U64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes() for x in sets]
+            yield pa.record_batch(
+                [batch.column("t_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(cells, pa.binary())], names=["t_id", "size", "sketch"]
+            )
+
+    return rows
 
 
 def _cells(column: pa.Array) -> np.ndarray:
@@ -200,29 +225,33 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*(batch.column(c) for c in ("a", "b", "a_size", "b_size")), pa.array(least)], names=["a", "b", "a_size", "b_size", "least"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last: tuple[bytes, np.ndarray] | None = None
-    for batch in small_batches(small_batches(batches, "a_body", SLICE), "b_body", 1 << 24):
-        left = shingle_sets(batch.column("a_body").to_pylist())
-        rows = []
-        for x, body in zip(left, batch.column("b_body"), strict=True):
-            body = body.as_py()
-            if last is None or last[0] != body:  # neighbouring rows mostly share it
-                last = body, shingle_sets([body])[0]
-            both = len(x) + len(last[1])
-            apart = both - 2 * len(np.intersect1d(x, last[1], assume_unique=True))
-            rows.append((len(x), len(last[1]), apart, both > 0 and 37 * apart <= 3 * both, apart <= 2 * farthest(len(x), len(last[1]))))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
-        cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        yield pa.record_batch([batch.column("a"), batch.column("b"), *cols], names=["a", "b", "a_size", "b_size", "apart", "linked", "close"])
-
-
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _compare(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, d = like.apart
+        last: tuple[bytes, np.ndarray] | None = None
+        for batch in small_batches(small_batches(batches, "a_body", SLICE), "b_body", 1 << 24):
+            left = shingle_sets(batch.column("a_body").to_pylist(), like)
+            rows = []
+            for x, body in zip(left, batch.column("b_body"), strict=True):
+                body = body.as_py()
+                if last is None or last[0] != body:  # neighbouring rows mostly share it
+                    last = body, shingle_sets([body], like)[0]
+                both = len(x) + len(last[1])
+                apart = both - 2 * len(np.intersect1d(x, last[1], assume_unique=True))
+                rows.append((len(x), len(last[1]), apart, both > 0 and d * apart <= n * both, apart <= 2 * farthest(len(x), len(last[1]), like)))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+            cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.record_batch([batch.column("a"), batch.column("b"), *cols], names=["a", "b", "a_size", "b_size", "apart", "linked", "close"])
+
+    return rows
+
+
+def compared(pairs: DataFrame, texts: DataFrame, like: Likeness = QUERY) -> DataFrame:
     """Exact comparison of pairs (a, b) of texts (t_id, body): sizes, shingles
     that set them apart, linked, close (apart by at most twice what a link allows)."""
     left, right = (texts.select(F.col("t_id").alias(s), F.col("body").alias(f"{s}_body")) for s in "ab")
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_body", "b_body")
-    return both.mapInArrow(_compare, "a long, b long, a_size long, b_size long, apart long, linked boolean, close boolean")
+    return both.mapInArrow(_compare(like), "a long, b long, a_size long, b_size long, apart long, linked boolean, close boolean")
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -231,38 +260,42 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(_bounded, "a long, b long, a_size long, b_size long, least long")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by group and pair of blocks: pairs of unlike components,
-    one of them marked, that the sketches don't part."""
-    held: list[pa.RecordBatch] = []
-
-    def pairs(rows: pa.Table) -> pa.RecordBatch:
-        t, root, size, marked, own = (np.asarray(rows.column(c)) for c in ("t_id", "root", "size", "marked", "own"))
-        one = rows.column("i")[0] == rows.column("j")[0]
-        cells = _cells(rows.column("sketch").combine_chunks())
-        out: list[tuple[int, int]] = []
-        for k in np.flatnonzero(marked):
-            other = np.flatnonzero((root != root[k]) & (~marked | (t > t[k])) & (one | (own != own[k])))
-            for c in range(0, len(other), 4096):
-                o = other[c : c + 4096]
-                o = o[37 * np.abs(cells[o] - cells[k]).sum(axis=1, dtype=np.int64) <= 3 * (size[o] + size[k])]
-                out += [(min(t[k], t[x]), max(t[k], t[x])) for x in o]
-        return pa.record_batch([pa.array([int(p[i]) for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    def groups(rows: pa.Table) -> np.ndarray:
-        key = [np.asarray(rows.column(c)) for c in ("kind", "group", "i", "j")]
-        return np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0))))
+def _blocks(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From rows sorted by group and pair of blocks: pairs of unlike components,
+        one of them marked, that the sketches don't part."""
+        n, d = like.apart
+        held: list[pa.RecordBatch] = []
+
+        def pairs(rows: pa.Table) -> pa.RecordBatch:
+            t, root, size, marked, own = (np.asarray(rows.column(c)) for c in ("t_id", "root", "size", "marked", "own"))
+            one = rows.column("i")[0] == rows.column("j")[0]
+            cells = _cells(rows.column("sketch").combine_chunks())
+            out: list[tuple[int, int]] = []
+            for k in np.flatnonzero(marked):
+                other = np.flatnonzero((root != root[k]) & (~marked | (t > t[k])) & (one | (own != own[k])))
+                for c in range(0, len(other), 4096):
+                    o = other[c : c + 4096]
+                    o = o[d * np.abs(cells[o] - cells[k]).sum(axis=1, dtype=np.int64) <= n * (size[o] + size[k])]
+                    out += [(min(t[k], t[x]), max(t[k], t[x])) for x in o]
+            return pa.record_batch([pa.array([int(p[i]) for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        def groups(rows: pa.Table) -> np.ndarray:
+            key = [np.asarray(rows.column(c)) for c in ("kind", "group", "i", "j")]
+            return np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0))))
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([*held, batch])
-        first = groups(rows)
-        for a, b in zip(first, first[1:], strict=False):
-            yield pairs(rows.slice(a, b - a))
-        held = rows.slice(first[-1]).combine_chunks().to_batches()
-    if held:
-        yield pairs(pa.Table.from_batches(held))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*held, batch])
+            first = groups(rows)
+            for a, b in zip(first, first[1:], strict=False):
+                yield pairs(rows.slice(a, b - a))
+            held = rows.slice(first[-1]).combine_chunks().to_batches()
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    return rows
 
 
 def having(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -278,39 +311,43 @@ def having(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
     return bodies.mapInArrow(rows, bodies.schema).join(nodes, ["t_hash", "t_len"])
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "body", SLICE):
-        sizes = [len(s) for s in shingle_sets(batch.column("body").to_pylist())]
-        cols = [batch.column(c) for c in ("k", "t_hash", "t_len")]
-        yield pa.record_batch([*cols, pa.array(sizes, pa.int64())], names=["k", "t_hash", "t_len", "n_shingles"])
+def _sizes(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "body", SLICE):
+            sizes = [len(s) for s in shingle_sets(batch.column("body").to_pylist(), like)]
+            cols = [batch.column(c) for c in ("k", "t_hash", "t_len")]
+            yield pa.record_batch([*cols, pa.array(sizes, pa.int64())], names=["k", "t_hash", "t_len", "n_shingles"])
+
+    return rows
 
 
-def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+def linked_texts(docs: DataFrame, text: str = "text", like: Likeness = QUERY) -> tuple[DataFrame, DataFrame]:
     """Texts that share a signature with an unlike text (t_id, t_hash, t_len),
     and links (a, b) between them, enough to join every component."""
     bodies = docs.select(*text_key(F.col(f"`{text}`")), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("body"))
-    found = bodies.mapInArrow(_signature_rows, "sig long, t_hash long, t_len int")
+    found = bodies.mapInArrow(_signature_rows(like), "sig long, t_hash long, t_len int")
     shared = written(
         found.repartition("sig").sortWithinPartitions("sig", "t_hash", "t_len")
         .mapInArrow(_sharers, "sig long, t_hash long, t_len int, hub_hash long, hub_len int"), "sharers"
     )
     nodes = written(shared.select("t_hash", "t_len").distinct().withColumn("t_id", F.monotonically_increasing_id()), "nodes")
     texts = written(having(bodies, nodes).groupBy("t_id").agg(F.first("body").alias("body")), "texts")
-    sketched = written(texts.mapInArrow(_sketches, "t_id long, size long, sketch binary"), "sketches")
+    sketched = written(texts.mapInArrow(_sketches(like), "t_id long, size long, sketch binary"), "sketches")
     key, hub_key = ["t_hash", "t_len"], ["hub_hash", "hub_len"]
     hubs = nodes.select(F.col("t_hash").alias("hub_hash"), F.col("t_len").alias("hub_len"), F.col("t_id").alias("b"))
     pairs = shared.filter("t_hash <> hub_hash or t_len <> hub_len").select(*key, *hub_key).distinct()
     pairs = written(pairs.join(nodes.withColumnRenamed("t_id", "a"), key).join(hubs, hub_key), "pairs")
 
-    allowed = F.expr("3 * (a_size + b_size) div 37")
+    n, d = like.apart
+    allowed = F.expr(f"{n} * (a_size + b_size) div {d}")
     first = written(bounded(pairs.select("a", "b"), sketched), "first")
-    near = written(compared(first.filter(F.col("least") <= 2 * allowed), texts), "near")
+    near = written(compared(first.filter(F.col("least") <= 2 * allowed), texts, like), "near")
     links = near.filter("linked").select("a", "b")
     # What a text is to the hub of a signature that it shares; most are linked
     # with it and near, and need no further look.
     kinds = first.select("a", "b").join(near.select("a", "b", "a_size", "b_size", "apart", "linked", "close"), ["a", "b"], "left").select(
         "a", "b", F.coalesce("linked", F.lit(False)).alias("linked"), (~F.coalesce("close", F.lit(False))).alias("marked"),
-        F.expr("coalesce(37 * apart >= 3 * (2 * b_size - a_size), true)").alias("partner"),
+        F.expr(f"coalesce({d} * apart >= {n} * (2 * b_size - a_size), true)").alias("partner"),
     ).filter("not linked or marked or partner")
     loose = shared.join(pairs.join(kinds, ["a", "b"]).drop("b"), [*key, *hub_key])
     loose = written(loose.select("sig", F.col("a").alias("t_id"), "linked", "marked", "partner"), "loose")
@@ -318,11 +355,11 @@ def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
     left = loose.filter("not linked").select("sig", "t_id")
     second = left.groupBy("sig").agg(F.min("t_id").alias("b"), F.count("*").alias("n")).filter("n > 1").select("sig", "b")
     tried = left.join(second, "sig").filter("t_id <> b").select(F.col("t_id").alias("a"), "b").distinct()
-    more = compared(bounded(tried, sketched).filter(F.col("least") <= allowed), texts)
+    more = compared(bounded(tried, sketched).filter(F.col("least") <= allowed), texts, like)
     links = written(links.unionByName(more.filter("linked").select("a", "b")), "links")
     roots = components(links)
-    found = unlike_pairs(loose, near, roots, sketched)
-    last = compared(bounded(found, sketched).filter(F.col("least") <= allowed), texts)
+    found = unlike_pairs(loose, near, roots, sketched, like)
+    last = compared(bounded(found, sketched).filter(F.col("least") <= allowed), texts, like)
     return nodes, written(links.unionByName(last.filter("linked").select("a", "b")), "links")
 
 
@@ -331,11 +368,11 @@ def rooted(rows: DataFrame, roots: DataFrame, of: str, name: str) -> DataFrame:
     return rows.join(roots.select(F.col("id").alias(of), F.col("root").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
 
 
-def unlike_pairs(loose: DataFrame, near: DataFrame, roots: DataFrame, sketched: DataFrame) -> DataFrame:
+def unlike_pairs(loose: DataFrame, near: DataFrame, roots: DataFrame, sketched: DataFrame, like: Likeness) -> DataFrame:
     """Pairs of different components that could link: among the texts near a
     hub, with one outside the hub's component; among a signature's texts, with
     one far from the hub (a partner near the hub is then apart from it by
-    3 (2 |hub| - its size) / 37 at least)."""
+    that part of 2 |hub| - its size at least)."""
     by_hub = rooted(rooted(near.filter("close"), roots, "a", "root"), roots, "b", "hub_root")
     by_hub = by_hub.select(F.lit(0).alias("kind"), F.col("b").alias("group"), F.col("a").alias("t_id"), "root", (F.col("root") != F.col("hub_root")).alias("marked"))
     by_sig = rooted(loose.filter("marked or partner"), roots, "t_id", "root")
@@ -347,10 +384,10 @@ def unlike_pairs(loose: DataFrame, near: DataFrame, roots: DataFrame, sketched:
     block = ["kind", "group", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), (F.col("b") <= F.col("other")).alias("own")]
     dealt = dealt.select(*block, "t_id", "root", "marked").join(sketched, "t_id")
     by = ["kind", "group", "i", "j"]
-    return dealt.repartition(*by).sortWithinPartitions(*by, "t_id").mapInArrow(_blocks, "a long, b long").distinct()
+    return dealt.repartition(*by).sortWithinPartitions(*by, "t_id").mapInArrow(_blocks(like), "a long, b long").distinct()
 
 
-def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", like: Likeness = QUERY) -> DataFrame:
     """A row for each document: key, t_hash, t_len, n_shingles, component_id
     (the smallest key reachable by links, the document's own included).
 
@@ -359,12 +396,12 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     key names no component: it is passed over for the smallest, and the result
     is null where a component has no other. An empty table gives an empty one.
     """
-    nodes, links = linked_texts(docs, text)
+    nodes, links = linked_texts(docs, text, like)
     roots = components(links)
     placed = nodes.join(roots.withColumnRenamed("id", "t_id"), "t_id", "left").select("t_hash", "t_len", F.coalesce("root", "t_id").alias("root"))
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     sized = docs.select(F.col(f"`{key}`").alias("k"), *text_key(t), t.cast("binary").alias("body")).mapInArrow(
-        _sizes, "k long, t_hash long, t_len int, n_shingles long"
+        _sizes(like), "k long, t_hash long, t_len int, n_shingles long"
     )
     rows = written(
         sized.join(placed, ["t_hash", "t_len"], "left").select(
@@ -380,11 +417,11 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     )
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", like: Likeness = QUERY) -> DataFrame:
     """The documents without those that a component has besides its first (the
     smallest key, then the smallest text key; null keys last; one of repeated
     rows). Documents without words all stay."""
-    rows = joined(docs, key, text)
+    rows = joined(docs, key, text, like)
     order = F.struct(F.col(key).isNull().alias("none"), F.coalesce(key, F.lit(0)).alias("k"), "t_hash", "t_len")
     firsts = rows.filter("n_shingles > 0").groupBy("c1", "c2").agg(F.min(order).alias("o")).select("o.*")
     keyed = docs.select(

@@ -157,3 +157,23 @@ def test_real_documents(spark):
     t = pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pydict()
     got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(J.op10_ngram_jaccard_join(spark, "/root/testdata/sf0.001")))
     assert got == sorted(brute(t["doc_id"], t["text"]))
+
+
+def test_five_words_and_four_fifths(spark):
+    """Pairs on both sides of 0.8 with 5-word shingles, most of them under 0.85 with 4."""
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    texts = []
+    for n in (30, 80, 200):
+        for k in range(14):
+            base = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+            copy = list(base)
+            for p in rng.sample(range(0, n, 6), min(n // 6, max(1, n * (k + 4) // 500))):
+                copy[p] = "changed"
+            texts += [" ".join(base), " ".join(copy)]
+    words = [t.split() for t in texts]
+    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in words]
+    want = {i for i in range(len(texts)) if i % 2 == 0 or 5 * len(shingles[i] & shingles[i - 1]) < 4 * len(shingles[i] | shingles[i - 1])}
+    assert len(texts) // 2 < len(want) < len(texts)
+    assert {r["doc_id"] for r in rows(corpus_pipeline.near_duplicates(spark, frame(spark, texts), ""))} == want
