@@ -20,19 +20,19 @@ def _truthy(c: Column) -> Column:
 
 def normalise_report_rows(loose: DataFrame) -> DataFrame:
     """Flatten nested divergences (child keys win over the parent's
-    lote_id) and resolve rule id, description, action and severity through
+    lote_id; rule columns that their struct lacks are null) and resolve rule id, description, action and severity through
     the original fallback ladders. Missing and null fields are the same."""
     div_cols = [c for c in K.DIVERGENCE_COLUMNS]
     has_children = F.coalesce(F.size("divergencias") > 0, F.lit(False))
     flat = loose.where(~has_children).select(
         *[F.col(c) for c in LOOSE_FIELDS], *[F.col(c) for c in div_cols], F.col("campos_vazios"),
     )
+    child = loose.schema["divergencias"].dataType.elementType.fieldNames()
     nested = loose.where(has_children).select(F.col("lote_id").alias("_parent"), F.inline("divergencias")) \
         .select(
             F.coalesce("lote_id", "_parent").alias("lote_id"),
             *[F.col(c) for c in LOOSE_FIELDS if c != "lote_id"],
-            *[F.lit(None).cast("string").alias(c) for c in div_cols],
-            F.lit(None).cast("string").alias("campos_vazios"),
+            *[F.col(c) if c in child else F.lit(None).cast("string").alias(c) for c in [*div_cols, "campos_vazios"]],
         )
     rows = flat.unionByName(nested)
     first_div_rule = F.coalesce(*[F.when(_truthy(F.col(c)).isNotNull(), F.lit(c.removeprefix("divergencia_").upper()))

@@ -83,13 +83,14 @@ def events_since(events: DataFrame, started_at: str) -> DataFrame:
     return events.where(F.col("timestamp") >= start)
 
 
-def log_context(events: DataFrame, expected_bot: str) -> DataFrame:
-    """Per run, the event count and whether every event carries the
-    expected bot id."""
-    return events.groupBy("execution_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bool_and(F.coalesce(F.col("bot_id") == expected_bot, F.lit(False))).alias("ok"),
-    )
+def log_context(events: DataFrame, expected_bot: str, expected_execution: str | None = None) -> DataFrame:
+    """Per execution id, the event count and whether every event carries
+    the expected bot id; for the events of one run (``expected_execution``)
+    also its execution id, so that a run with other ids fails."""
+    ok = F.coalesce(F.col("bot_id") == expected_bot, F.lit(False))
+    if expected_execution is not None:
+        ok = ok & F.coalesce(F.col("execution_id") == expected_execution, F.lit(False))
+    return events.groupBy("execution_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(ok).alias("ok"))
 
 
 def verification(batch_checks: DataFrame, checks: list[tuple[str, str, str]]) -> DataFrame:

@@ -363,3 +363,21 @@ def test_run_status_and_totals_ladder(spark):
     tot = {r["batch_id"]: (r["total_items"], r["failed_items"], r["processed_items"])
            for r in RU.run_totals(summaries).collect()}
     assert tot == {"a": (25, 1, 24), "b": (24, 2, 22), "c": (5, 1, 3), "d": (0, 0, 0)}
+
+
+def test_nested_children_keep_rule_columns(spark):
+    fields = [*RP.LOOSE_FIELDS, *K.DIVERGENCE_COLUMNS, "campos_vazios"]
+    text = ", ".join(f"{f} string" for f in fields)
+    child = lambda **kw: tuple(kw.get(f) for f in fields)
+    kids = [child(divergencia_rn03="fora da base"), child(lote_id="L2", campos_vazios="turno"), child(regra_violada="RN07", divergencia_rn03="x")]
+    df = spark.createDataFrame([(*child(lote_id="P"), kids)], f"{text}, divergencias array<struct<{text.replace(' string', ':string')}>>")
+    got = sorted((r["lote_id"], r["regra_violada"], r["descricao_do_erro"]) for r in RP.normalise_report_rows(df).collect())
+    assert got == [("L2", "RN02", K.RN02_DESC_PREFIX + "turno"), ("P", "RN03", "fora da base"), ("P", "RN07", "x")]
+
+
+def test_log_context_of_a_run_with_two_execution_ids(spark):
+    from lotguard.operators import runs as RU
+
+    events = spark.createDataFrame([("e1", "bot-a"), ("e1", "bot-a"), ("e2", "bot-a"), (None, "bot-a")], "execution_id string, bot_id string")
+    got = {r["execution_id"]: (r["n"], r["ok"]) for r in RU.log_context(events, "bot-a", "e1").collect()}
+    assert got == {"e1": (2, True), "e2": (1, False), None: (1, False)}
