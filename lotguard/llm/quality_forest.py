@@ -164,6 +164,13 @@ def _sampler(share: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return rows
 
 
+def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the texts that pass the base rules."""
+    for batch in small_batches(batches, "body", SLICE):
+        keep = ~base_failed(statistics(batch.column("body").to_pylist()))
+        yield pa.record_batch([batch.column("t_hash")], names=["t_hash"]).filter(pa.array(keep))
+
+
 def _grow_group(rows: pd.DataFrame) -> pd.DataFrame:
     tree = int(rows["tree"].iloc[0])
     rows = rows.assign(order=rows["drawn"].to_numpy().view(U64)).drop_duplicates("order").nsmallest(SAMPLE, "order")
@@ -179,11 +186,13 @@ def _bodies(docs: DataFrame, text: str) -> DataFrame:
 def fit(docs: DataFrame, text: str = "text") -> list[tuple[int, np.ndarray]]:
     """The forest (points and nodes of each tree): TREES small arrays, whatever
     the size of the table. Each tree's candidates are about three times its
-    sample, drawn by hash, so that no more than that is shuffled."""
-    many = docs.count()
+    sample, drawn by hash from the distinct texts that pass the base rules, so
+    that no more than that is shuffled."""
+    bodies = _bodies(docs, text)
+    many = bodies.mapInArrow(_passing, "t_hash long").agg(F.approx_count_distinct("t_hash")).first()[0]
     if not many:
         return []
-    drawn = _bodies(docs, text).mapInArrow(_sampler(3 * SAMPLE / many), "tree int, drawn long, f0 double, f1 double, f2 double, f3 double")
+    drawn = bodies.mapInArrow(_sampler(3 * SAMPLE / many), "tree int, drawn long, f0 double, f1 double, f2 double, f3 double")
     grown = drawn.distinct().groupBy("tree").applyInPandas(_grow_group, "tree int, points int, nodes binary")
     return [(r["points"], np.frombuffer(r["nodes"]).reshape(-1, 5)) for r in sorted(grown.collect(), key=lambda r: r["tree"])]
 

@@ -90,3 +90,13 @@ def test_nulls_repeats_extra_columns(spark):
 def test_empty(spark):
     labels = spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int")
     assert rows(Q.judged(frame(spark, []), labels)) == [] and rows(Q.keep_good(frame(spark, []), labels)) == []
+
+
+def test_full_trees_with_many_copies(spark):
+    """One distinct passing text in ten rows: each tree still gets its sample."""
+    real = dict.fromkeys(t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist())
+    raw = [t.encode() for t in real]
+    good = [t for t, failed in zip(real, Q.base_failed(Q.statistics(raw)), strict=True) if not failed][:400]
+    assert len(good) == 400
+    forest = Q.fit(frame(spark, good + [good[0], "bad"] * 1800))
+    assert len(forest) == Q.TREES and all(points == Q.SAMPLE for points, _ in forest)
