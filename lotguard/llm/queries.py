@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from lotguard.llm import (
     chat_format,
+    filter_audit,
     ngram_join,
+    prefix_trie,
     quality_forest,
     sentence_spans,
     sentencepiece_lattice,
