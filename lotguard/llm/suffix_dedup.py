@@ -12,9 +12,9 @@ number, so that no global order is needed and only the buckets that still hold
 two unlike suffixes travel:
 
 1. q-gram identifiers. Identifiers of 5, 25, 50 and 100 bytes follow from one
-   another, each from the identifiers at later offsets, up to ``length`` = 400.
+   another, each from the identifiers at later offsets, up to ``length``.
 2. Initial buckets. The bucket of a position is the smallest 100-gram
-   identifier in its 400 bytes. Equal strings have equal buckets, and
+   identifier in its ``length`` bytes. Equal strings have equal buckets, and
    neighbouring positions mostly the same, so one row stands for a run of
    positions.
 3. Refinement of runs: rows of a bucket whose runs have equal identifiers at
@@ -23,11 +23,17 @@ two unlike suffixes travel:
    equal ones.
 4. The same with shorter runs: those that go on are cut where the distance to
    the bucket's q-gram passes a multiple of 26. Such a run's bucket is the
-   identifier of the 375 bytes that all its strings share.
-5. What still goes on does so position by position by 400-byte identifiers.
+   identifier of the bytes that all its strings share (375 of 400).
+5. What still goes on does so position by position by identifiers of whole strings.
 
-A string counts as repeated when bucket and 400-byte identifier agree (128
-bits in all).
+A string counts as repeated when bucket and its own identifier agree (128 bits
+in all). The length is a parameter (a multiple of 25, 150 at least; ``LENGTH`` = 400).
+
+With ``keep_first`` the first occurrence of a string stays: distinct texts
+count once each, in the order of their smallest document key, and only
+occurrences behind the first one are removed. Of equal runs the first then
+stands for all, and goes on if its own strings may repeat or other runs of its
+bucket differ; the others only hold later occurrences.
 """
 
 from __future__ import annotations
@@ -37,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotguard.llm.common import U64, mix, pair, ranges, runs_of, small_batches, table, text_key, written
@@ -45,10 +51,10 @@ from lotguard.llm.common import U64, mix, pair, ranges, runs_of, small_batches,
 #: Bytes of a repeated string; bytes of the q-gram of the initial buckets;
 #: positions in a run of the second refinement.
 LENGTH, Q, BLOCK = 400, 100, 26
-_W = LENGTH - Q + 1  # q-grams in a string
 _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x632BE59BD9B4E019))
 #: Positions handled at once: memory stays bounded for texts of any size.
 SLICE = 1 << 18
+_RUN = "lo int, n int, bucket long, whole long, twice boolean"
 
 
 def _times5(h: np.ndarray, step: int) -> np.ndarray:
@@ -63,14 +69,31 @@ def _twice(h: np.ndarray, step: int) -> np.ndarray:
     return pair(h[: max(len(h) - step, 0)], h[step:])
 
 
-def identifiers(data: np.ndarray) -> dict[int, np.ndarray]:
-    """Identifiers of the 25, 50, 100, 200 and 400 bytes from each position."""
+def identifiers(data: np.ndarray, length: int) -> dict[int, np.ndarray]:
+    """Identifiers of the 25, 50, 100, 200 and 400 bytes (as far as they are
+    needed) and of the ``length`` bytes from each position."""
     out = {25: _times5(_times5(_BYTE[data], 1), 5)}
     for n in (25, 50, 100, 200):
-        out[2 * n] = _twice(out[n], n)
+        if n == 25 or 2 * n <= max(length, Q):
+            out[2 * n] = _twice(out[n], n)
+    if length not in out:
+        out[length] = joined_identifiers(out, length, np.arange(max(len(data) - length + 1, 0)))
     return out
 
 
+def joined_identifiers(ids: dict[int, np.ndarray], length: int, at: np.ndarray) -> np.ndarray:
+    """Identifiers of the ``length`` bytes from the positions ``at``, from those
+    of their parts, the longest first."""
+    parts, begin = [], 0
+    for n in (400, 200, 100, 50, 25):
+        while n in ids and length - begin >= n:
+            parts.append(ids[n][at + begin])
+            begin += n
+    while len(parts) > 1:
+        parts = [pair(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
     out, step = values, 1
     while 2 * step <= width:
@@ -79,19 +102,19 @@ def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
     return best(out[:n], out[width - step : width - step + n]) if step < width else out
 
 
-def position_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+def position_runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """Runs of positions with one bucket in a buffer of texts that end at
     ``ends``: first position, positions, bucket, identifier, and whether equal
     strings may start within the run (its bucket's q-gram comes twice)."""
-    empty = np.zeros(0, np.int64)
-    if len(data) < LENGTH:
+    empty, width = np.zeros(0, np.int64), length - Q + 1  # q-grams in a string
+    if len(data) < length:
         return empty, empty, empty.astype(U64), empty.astype(U64), empty.astype(bool)
-    ids = identifiers(data)
-    h100, h400 = ids[Q], ids[LENGTH]
-    low = _sliding(h100, _W, np.minimum)
+    ids = identifiers(data, length)
+    h100, strings = ids[Q], ids[length]
+    low = _sliding(h100, width, np.minimum)
     n = len(low)
     sizes = np.diff(np.concatenate(([0], ends)))
-    valid = np.repeat(ends, sizes)[:n] >= np.arange(n) + LENGTH
+    valid = np.repeat(ends, sizes)[:n] >= np.arange(n) + length
     at = np.flatnonzero(valid)
     if not len(at):
         return empty, empty, empty.astype(U64), empty.astype(U64), empty.astype(bool)
@@ -100,156 +123,186 @@ def position_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(cut)
     count = np.diff(np.append(first, len(at)))
     inside = np.arange(len(at)) - np.repeat(first, count)
-    whole = np.add.reduceat(mix(h400[at] + inside.astype(U64) * U64(0x9E3779B97F4A7C15)), first)
+    whole = np.add.reduceat(mix(strings[at] + inside.astype(U64) * U64(0x9E3779B97F4A7C15)), first)
     # q-grams that are the smallest of some string; the same one again within reach?
-    padded = np.concatenate((np.zeros(_W - 1, U64), np.where(valid, low, U64(0)), np.zeros(_W - 1, U64)))
-    chosen = np.flatnonzero(_sliding(padded, _W, np.maximum) == h100)
+    padded = np.concatenate((np.zeros(width - 1, U64), np.where(valid, low, U64(0)), np.zeros(width - 1, U64)))
+    chosen = np.flatnonzero(_sliding(padded, width, np.maximum) == h100)
     order = np.lexsort((chosen, h100[chosen]))
     p, h = chosen[order], h100[chosen[order]]
-    again = np.sort(p[1:][(h[1:] == h[:-1]) & (np.diff(p) <= _W)])
+    again = np.sort(p[1:][(h[1:] == h[:-1]) & (np.diff(p) <= width)])
     lo = at[first]
-    twice = np.searchsorted(again, lo + count - 1 + _W) > np.searchsorted(again, lo)
+    twice = np.searchsorted(again, lo + count - 1 + width) > np.searchsorted(again, lo)
     return lo, count, bucket[first], mix(whole), twice
 
 
-def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "body", SLICE):
-        hashes, lengths = (np.asarray(batch.column(i)) for i in (0, 1))
-        texts = batch.column(2).to_pylist()
-        parts = []
-        if len(texts) == 1:  # a long text: in overlapping slices
-            whole = np.frombuffer(texts[0], np.uint8)
-            for s in range(0, max(len(whole) - LENGTH + 1, 0), SLICE):
-                piece = whole[s : s + SLICE + LENGTH - 1]
-                lo, n, b, w, t = position_runs(piece, np.array([len(piece)]))
-                parts.append((np.zeros(len(lo), np.int64), lo + s, n, b, w, t))
-        else:
-            ends = np.cumsum(lengths.astype(np.int64))
-            lo, n, b, w, t = position_runs(np.frombuffer(b"".join(texts), np.uint8), ends)
-            row = np.searchsorted(ends, lo, side="right")
-            parts.append((row, lo - (ends - lengths)[row], n, b, w, t))
-        if not parts:
-            continue
-        row, lo, n, b, w, t = (np.concatenate(x) for x in zip(*parts, strict=True))
-        yield pa.record_batch(
-            [pa.array(hashes[row]), pa.array(lengths[row]), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32)),
-             pa.array(b.view(np.int64)), pa.array(w.view(np.int64)), pa.array(t)],
-            names=["t_hash", "t_len", "lo", "n", "bucket", "whole", "twice"],
-        )
-
-
-def _open_parts(batches: Iterator[pa.RecordBatch]):
-    """The open runs of the texts, about SLICE positions at once: t_id, first
-    positions, sizes, buckets, the identifiers in the bytes of the runs put
+def _run_rows(of: list[str], length: int):
+    """The runs of each text; ``of`` are the columns that stand for it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "body", SLICE):
+            lengths = np.asarray(batch.column("t_len"))
+            texts = batch.column("body").to_pylist()
+            parts = []
+            if len(texts) == 1:  # a long text: in overlapping slices
+                whole = np.frombuffer(texts[0], np.uint8)
+                for s in range(0, max(len(whole) - length + 1, 0), SLICE):
+                    piece = whole[s : s + SLICE + length - 1]
+                    lo, n, b, w, t = position_runs(piece, np.array([len(piece)]), length)
+                    parts.append((np.zeros(len(lo), np.int64), lo + s, n, b, w, t))
+            else:
+                ends = np.cumsum(lengths.astype(np.int64))
+                lo, n, b, w, t = position_runs(np.frombuffer(b"".join(texts), np.uint8), ends, length)
+                row = np.searchsorted(ends, lo, side="right")
+                parts.append((row, lo - (ends - lengths)[row], n, b, w, t))
+            if not parts:
+                continue
+            row, lo, n, b, w, t = (np.concatenate(x) for x in zip(*parts, strict=True))
+            take = pa.array(row)
+            yield pa.record_batch(
+                [*(batch.column(c).take(take) for c in of), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32)),
+                 pa.array(b.view(np.int64)), pa.array(w.view(np.int64)), pa.array(t)],
+                names=[*of, "lo", "n", "bucket", "whole", "twice"],
+            )
+
+    return run
+
+
+def _open_parts(batches: Iterator[pa.RecordBatch], length: int):
+    """The open runs of the texts, about SLICE positions at once: the text's
+    id (an array of one), first positions, sizes, buckets, the identifiers in the bytes of the runs put
     one after another, and where in these each run begins."""
     for batch in small_batches(batches, "body", SLICE):
-        for t_id, body, runs in zip(batch.column("t_id").to_pylist(), batch.column("body"), batch.column("runs"), strict=True):
+        for row, (body, runs) in enumerate(zip(batch.column("body"), batch.column("runs"), strict=True)):
+            t_id = batch.column("t_id").slice(row, 1)
             keep = np.flatnonzero(np.asarray(runs.values.field("open")))
             lo, n = (np.asarray(runs.values.field(f))[keep].astype(np.int64) for f in ("lo", "n"))
             bucket = np.asarray(runs.values.field("bucket"))[keep].view(U64)
             data = np.frombuffer(body.as_py(), np.uint8)
-            for s, c in zip(*runs_of(np.cumsum(n + LENGTH) // (2 * SLICE)), strict=True):
+            for s, c in zip(*runs_of(np.cumsum(n + length) // (2 * SLICE)), strict=True):
                 a, k = lo[s : s + c], n[s : s + c]
-                size = k + LENGTH - 1
-                yield t_id, a, k, bucket[s : s + c], identifiers(data[ranges(a, size)]), np.cumsum(size) - size
+                size = k + length - 1
+                yield t_id, a, k, bucket[s : s + c], identifiers(data[ranges(a, size)], length), np.cumsum(size) - size
 
 
-def _short_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _short_runs(length: int):
     """The open runs cut at fixed distances to the q-gram of their bucket."""
-    for t_id, lo, n, bucket, ids, begin in _open_parts(batches):
-        at, run = ranges(begin, n), np.repeat(np.arange(len(n)), n)
-        grams, owner = ranges(begin, n + _W - 1), np.repeat(np.arange(len(n)), n + _W - 1)
-        chosen = grams[ids[Q][grams] == bucket[owner]]
-        gram = chosen[np.searchsorted(chosen, at)]
-        away = gram - at
-        block = away // BLOCK
-        cut = np.concatenate(([True], (run[1:] != run[:-1]) | (gram[1:] != gram[:-1]) | (block[1:] != block[:-1])))
-        first = np.flatnonzero(cut)
-        whole = mix(np.add.reduceat(mix(ids[LENGTH][at] + away.astype(U64) * U64(0x9E3779B97F4A7C15)), first))
-        core = (gram - block * BLOCK)[first]
-        known = pair(pair(ids[200][core], ids[100][core + 200]), pair(ids[50][core + 300], ids[25][core + 350]))
-        key = pair(pair(known, bucket[run[first]]), block[first].astype(U64))
-        yield pa.record_batch(
-            [pa.array(np.full(len(first), t_id, np.int64)), pa.array((lo[run] + at - begin[run])[first].astype(np.int32)),
-             pa.array(np.diff(np.append(first, len(at))).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)),
-             pa.array(np.zeros(len(first), bool))],
-            names=["t_id", "lo", "n", "bucket", "whole", "twice"],
-        )
-
-
-def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    width = length - Q + 1
+
+    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t_id, lo, n, bucket, ids, begin in _open_parts(batches, length):
+            at, run = ranges(begin, n), np.repeat(np.arange(len(n)), n)
+            grams, owner = ranges(begin, n + width - 1), np.repeat(np.arange(len(n)), n + width - 1)
+            chosen = grams[ids[Q][grams] == bucket[owner]]
+            gram = chosen[np.searchsorted(chosen, at)]
+            away = gram - at
+            block = away // BLOCK
+            cut = np.concatenate(([True], (run[1:] != run[:-1]) | (gram[1:] != gram[:-1]) | (block[1:] != block[:-1])))
+            first = np.flatnonzero(cut)
+            whole = mix(np.add.reduceat(mix(ids[length][at] + away.astype(U64) * U64(0x9E3779B97F4A7C15)), first))
+            known = joined_identifiers(ids, (length - BLOCK + 1) // 25 * 25, (gram - block * BLOCK)[first])
+            key = pair(pair(known, bucket[run[first]]), block[first].astype(U64))
+            yield pa.record_batch(
+                [t_id.take(pa.array(np.zeros(len(first), np.int32))), pa.array((lo[run] + at - begin[run])[first].astype(np.int32)),
+                 pa.array(np.diff(np.append(first, len(at))).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)),
+                 pa.array(np.zeros(len(first), bool))],
+                names=["t_id", "lo", "n", "bucket", "whole", "twice"],
+            )
+
+    return run_
+
+
+def _string_rows(length: int):
     """One row for each position of the open runs."""
-    for t_id, lo, n, bucket, ids, begin in _open_parts(batches):
-        key = pair(ids[LENGTH][ranges(begin, n)], np.repeat(bucket, n))
-        yield pa.record_batch(
-            [pa.array(key.view(np.int64)), pa.array(np.full(len(key), t_id, np.int64)), pa.array(ranges(lo, n).astype(np.int32))],
-            names=["string", "t_id", "pos"],
-        )
-
-
-def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "body", 4 * SLICE):
-        removed, spans, digests, kept_all = [], [], [], []
-        for i in range(batch.num_rows):
-            body = np.frombuffer(batch.column("body")[i].as_py(), np.uint8)
-            closed = batch.column("closed")[i].values
-            lo, n = (np.asarray(closed.field(f)).astype(np.int64) for f in ("lo", "n"))
-            single = batch.column("positions")[i].values
-            single = np.asarray(single).astype(np.int64) if single is not None else np.zeros(0, np.int64)
-            step = np.zeros(len(body) + 1, np.int64)
-            np.add.at(step, np.concatenate((lo, single)), 1)
-            np.add.at(step, np.concatenate((lo + n + LENGTH - 1, single + LENGTH)), -1)
-            gone = np.cumsum(step)[:-1] > 0
-            kept = body[~gone].tobytes()
-            removed.append(int(gone.sum()))
-            spans.append(int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and gone[0]))
-            digests.append(hashlib.sha256(kept).hexdigest())
-            kept_all.append(kept)
-        yield pa.record_batch(
-            [batch.column("t_hash"), batch.column("t_len"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests), pa.array(kept_all, pa.binary())],
-            names=["t_hash", "t_len", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
-
-
-def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t_id, lo, n, bucket, ids, begin in _open_parts(batches, length):
+            key = pair(ids[length][ranges(begin, n)], np.repeat(bucket, n))
+            yield pa.record_batch(
+                [pa.array(key.view(np.int64)), t_id.take(pa.array(np.zeros(len(key), np.int32))), pa.array(ranges(lo, n).astype(np.int32))],
+                names=["string", "t_id", "pos"],
+            )
+
+    return run
+
+
+def _cut_rows(of: list[str], length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "body", 4 * SLICE):
+            removed, spans, digests, kept_all = [], [], [], []
+            for i in range(batch.num_rows):
+                body = np.frombuffer(batch.column("body")[i].as_py(), np.uint8)
+                closed = batch.column("closed")[i].values
+                lo, n = (np.asarray(closed.field(f)).astype(np.int64) for f in ("lo", "n"))
+                single = batch.column("positions")[i].values
+                single = np.asarray(single).astype(np.int64) if single is not None else np.zeros(0, np.int64)
+                step = np.zeros(len(body) + 1, np.int64)
+                np.add.at(step, np.concatenate((lo, single)), 1)
+                np.add.at(step, np.concatenate((lo + n + length - 1, single + length)), -1)
+                gone = np.cumsum(step)[:-1] > 0
+                kept = body[~gone].tobytes()
+                removed.append(int(gone.sum()))
+                spans.append(int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and gone[0]))
+                digests.append(hashlib.sha256(kept).hexdigest())
+                kept_all.append(kept)
+            yield pa.record_batch(
+                [*(batch.column(c) for c in of), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string()), pa.array(kept_all, pa.binary())],
+                names=[*of, "n_removed", "n_spans", "kept_sha256", "kept"],
+            )
+
+    return run
+
+
+def _first_key(key: str):
+    """The order of documents: by key, a null one last."""
+    return F.coalesce(F.col(f"`{key}`").cast("long"), F.lit((1 << 63) - 1)).alias("first")
+
+
+def repeated_strings(docs: DataFrame, text: str = "text", length: int = LENGTH, keep_first: str | None = None) -> DataFrame:
     """Distinct texts that lose bytes: t_hash, t_len (see ``text_key``),
     n_removed, n_spans, kept_sha256, kept (binary).
 
-    Null texts count as empty; texts under 400 bytes never lose any; equal
-    texts (copies, repeated rows) repeat each other and so lose everything
-    from 400 bytes on. Other columns, whatever their names, are not read. An
-    empty table gives an empty result.
+    Null texts count as empty; texts under ``length`` bytes never lose any;
+    equal texts (copies, repeated rows) repeat each other and so lose
+    everything from ``length`` bytes on. Other columns, whatever their names,
+    are not read. An empty table gives an empty result.
+
+    With ``keep_first``, the name of an integer key, there is a row for each
+    document (column ``first``: its key, the greatest long for null) instead of
+    each text, and a string's first occurrence, by key, text hash and place,
+    stays. Rows equal in key and text count as one.
     """
-    spark = docs.sparkSession
-    bodies = docs.select(*text_key(F.col(f"`{text}`")), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("body"))
-    bodies = bodies.filter(F.col("t_len") >= LENGTH)
-    runs = written(
-        bodies.mapInArrow(_run_rows, "t_hash long, t_len int, lo int, n int, bucket long, whole long, twice boolean"), "runs"
-    )
-    wanted = refined(runs, ["t_hash", "t_len"])
-    texts = written(
-        bodies.groupBy("t_hash", "t_len").agg(F.first("body").alias("body")).join(wanted, ["t_hash", "t_len"])
-        .withColumn("t_id", F.monotonically_increasing_id()), "repeated-texts"
-    )
+    if length % 25 or length < Q + 50:
+        raise ValueError("the length must be a multiple of 25, and 150 at least")
+    bodies = docs.select(
+        *([_first_key(keep_first)] if keep_first else []), *text_key(F.col(f"`{text}`")), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("body"))
+    bodies = bodies.filter(F.col("t_len") >= length)
+    of, first = [c for c in bodies.columns if c != "body"], keep_first is not None
+    kinds = ", ".join(f"{c} {dict(bodies.dtypes)[c]}" for c in of)
+    runs = written(bodies.mapInArrow(_run_rows(of, length), f"{kinds}, {_RUN}"), "runs")
+    wanted = refined(runs, of, first)
+    t_id = F.struct(*of) if first else F.monotonically_increasing_id()
+    texts = written(bodies.groupBy(*of).agg(F.first("body").alias("body")).join(wanted, of).withColumn("t_id", t_id), "repeated-texts")
+    kind = dict(texts.dtypes)["t_id"]
     going_on = F.exists("runs", lambda r: r["open"])
-    short = written(
-        texts.filter(going_on).select("t_id", "body", "runs")
-        .mapInArrow(_short_runs, "t_id long, lo int, n int, bucket long, whole long, twice boolean"), "short-runs"
-    )
+    short = written(texts.filter(going_on).select("t_id", "body", "runs").mapInArrow(_short_runs(length), f"t_id {kind}, {_RUN}"), "short-runs")
     closed = F.transform(F.filter("runs", lambda r: r["repeated"]), lambda r: F.struct(r["lo"].alias("lo"), r["n"].alias("n")))
-    again = refined(short, ["t_id"])
+    again = refined(short, ["t_id"], first)
     texts = written(
         texts.withColumn("closed", closed).drop("runs").join(again, "t_id", "left")
         .withColumn("closed", F.concat("closed", F.coalesce(closed, F.array().cast("array<struct<lo:int,n:int>>")))), "repeated-texts"
     )
-    strings = texts.filter(going_on).select("t_id", "body", "runs").mapInArrow(_string_rows, "string long, t_id long, pos int")
-    found = strings.withColumn("same", F.count("*").over(Window.partitionBy("string"))).filter("same > 1")
+    strings = written(texts.filter(going_on).select("t_id", "body", "runs").mapInArrow(_string_rows(length), f"string long, t_id {kind}, pos int"), "strings")
+    # grouped counts, written, so that the rows of a string found very often can be split
+    counted = strings.groupBy("string").agg(F.count("*").alias("same"), *([F.min(F.struct("t_id", "pos")).alias("one")] if first else [])).filter("same > 1")
+    found = strings.join(written(counted, "repeated-strings"), "string")
+    if first:
+        found = found.filter(F.col("one") != F.struct("t_id", "pos"))
     positions = found.groupBy("t_id").agg(F.collect_list("pos").alias("positions"))
-    cut = texts.join(positions, "t_id", "left").select("t_hash", "t_len", "body", "closed", "positions")
-    return cut.mapInArrow(_cut_rows, "t_hash long, t_len int, n_removed long, n_spans long, kept_sha256 string, kept binary").filter("n_removed > 0")
+    cut = texts.join(positions, "t_id", "left").select(*of, "body", "closed", "positions")
+    return cut.mapInArrow(_cut_rows(of, length), f"{kinds}, n_removed long, n_spans long, kept_sha256 string, kept binary").filter("n_removed > 0")
 
 
-def refined(runs: DataFrame, of: list[str]) -> DataFrame:
+def refined(runs: DataFrame, of: list[str], keep_first: bool = False) -> DataFrame:
     """One refinement of the buckets of ``runs``: for each text (columns
     ``of``) that has any, the runs that are repeated as a whole, and those
     that are open, that is go on to the next refinement."""
@@ -262,12 +315,14 @@ def refined(runs: DataFrame, of: list[str]) -> DataFrame:
         .select("bucket", (F.col("a") != F.col("b")).alias("unlike")), "buckets"
     )
     shared = written(runs.join(buckets, "bucket"), "shared-runs")
-    run_id = F.xxhash64(*of, "lo")
+    run_id = F.struct(*of, "lo") if keep_first else F.xxhash64(*of, "lo")
     groups = written(shared.groupBy("bucket", "whole").agg(F.count("*").alias("same"), F.min(run_id).alias("one")), "groups")
-    status = shared.join(groups, ["bucket", "whole"]).select(
-        *of, "lo", "n", "bucket", (F.col("same") > 1).alias("repeated"),
-        ((F.col("unlike") & (F.col("one") == run_id)) | (F.col("twice") & (F.col("same") == 1))).alias("open"),
-    ).filter("repeated or open")
+    chosen = F.col("one") == run_id
+    if keep_first:
+        repeated, going_on = ~chosen, chosen & (F.col("unlike") | F.col("twice"))
+    else:
+        repeated, going_on = F.col("same") > 1, (F.col("unlike") & chosen) | (F.col("twice") & (F.col("same") == 1))
+    status = shared.join(groups, ["bucket", "whole"]).select(*of, "lo", "n", "bucket", repeated.alias("repeated"), going_on.alias("open")).filter("repeated or open")
     return status.groupBy(*of).agg(F.collect_set(F.struct("lo", "n", "bucket", "repeated", "open")).alias("runs"))
 
 
@@ -285,19 +340,25 @@ def dedup_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )
 
 
-def _utf8(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
-        yield pa.record_batch([batch.column("t_hash"), batch.column("t_len"), pa.array(texts, pa.string())], names=["t_hash", "t_len", "kept_text"])
+def _utf8(of: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
+            yield pa.record_batch([*(batch.column(c) for c in of), pa.array(texts, pa.string())], names=[*of, "kept_text"])
+
+    return run
 
 
-def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with the repeated bytes cut out of their text; a
-    character cut in two goes whole. Rows keep their columns; those of whose
-    text nothing but white space is left are dropped."""
-    cut = written(repeated_strings(docs, text).select("t_hash", "t_len", "kept").mapInArrow(_utf8, "t_hash long, t_len int, kept_text string"), "cut")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *text_key(F.col(f"`{text}`")))
-    out = keyed.join(cut, ["t_hash", "t_len"], "left").filter(r"kept_text is null or kept_text rlike '\\S'")
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, keep_first: str | None = None) -> DataFrame:
+    """The documents with the repeated bytes cut out of their text (see
+    ``repeated_strings``); a character cut in two goes whole. Rows keep their
+    columns; those of whose text nothing but white space is left are dropped."""
+    found = repeated_strings(docs, text, length, keep_first)
+    of = [c for c in found.columns if c in ("first", "t_hash", "t_len")]
+    kinds = ", ".join(f"{c} {dict(found.dtypes)[c]}" for c in of)
+    cut = written(found.select(*of, "kept").mapInArrow(_utf8(of), f"{kinds}, kept_text string"), "cut")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *([_first_key(keep_first)] if keep_first else []), *text_key(F.col(f"`{text}`")))
+    out = keyed.join(cut, of, "left").filter(r"kept_text is null or kept_text rlike '\\S'")
     return out.select(*[F.coalesce("kept_text", f"row.`{c}`").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 

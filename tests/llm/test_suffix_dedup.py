@@ -10,6 +10,19 @@ from helpers import rows
 from lotguard.llm import suffix_dedup as S
 
 
+def brute_first(texts, length):
+    """What is left of each text when a string's first occurrence stays."""
+    raw, seen, out = [(t or "").encode() for t in texts], set(), []
+    for b in raw:
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if b[i : i + length] in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(b[i : i + length])
+        out.append(bytes(c for c, g in zip(b, gone, strict=True) if not g))
+    return out
+
+
 def brute(texts):
     raw = [(t or "").encode() for t in texts]
     seen = Counter(b[i : i + 400] for b in raw for i in range(len(b) - 399))
@@ -106,3 +119,29 @@ def test_repeated_blocks(spark):
     got = {r["doc_id"]: r for r in rows(S.dedup_report(frame(spark, texts)))}
     for i, want in enumerate(brute(texts)):
         assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) == want, i
+
+
+def test_first_occurrence_stays(spark):
+    rng = random.Random(4)
+    texts = [t for t in corpus()] + ["".join(rng.choice("abcdefgh") for _ in range(n)) * 3 for n in (149, 150, 151, 152, 226)]
+    for length in (250, 175):
+        got = {r["first"]: r for r in rows(S.repeated_strings(frame(spark, texts), length=length, keep_first="doc_id"))}
+        for i, want in enumerate(brute_first(texts, length)):
+            size = len((texts[i] or "").encode())
+            assert bytes(got[i]["kept"]) == want if i in got else len(want) == size, (length, i)
+
+
+def test_passage_of_sixty_words(spark):
+    """Under 300 bytes, in two unlike documents: one copy stays."""
+    rng = random.Random(6)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 5))) for _ in range(n))
+    passage = text(60)
+    assert 250 < len(passage) < 300
+    docs = frame(spark, [text(200) + " " + passage + " " + text(90), None, "", text(30) + "\n" + passage + "\n" + text(150), text(200)], [7, None, 3, 2, 2])
+    out = rows(S.remove_repeats(docs, length=225, keep_first="doc_id"))
+    assert S.remove_repeats(docs, length=225, keep_first="doc_id").columns == docs.columns and len(out) == 5
+    assert [passage in (r["text"] or "") for r in out if r["doc_id"] in (2, 7) and len(r["text"]) > 900 or r["doc_id"] == 7].count(True) <= 1
+    whole = {r["doc_id"]: r["text"] for r in out if passage in (r["text"] or "")}
+    assert list(whole) == [2]
+    same = frame(spark, [passage * 2, passage * 2], [1, 1])  # rows equal in key and text count as one
+    assert [r["text"] for r in rows(S.remove_repeats(same, length=225, keep_first="doc_id"))] == [passage] * 2
