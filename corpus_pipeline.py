@@ -13,6 +13,9 @@ from lotguard.llm import ngram_join, quality_forest, sentencepiece_lattice, stri
 from lotguard.llm.common import table, written
 
 
+#: Bytes of a passage that the dedup stage cuts out where it comes again: about
+#: 50 short words (the op2 query has its own length).
+PASSAGE = 225
 #: Near copies of the corpus: five-word shingles, similarity 0.8 (the op10 query has its own).
 NEAR = ngram_join.Likeness(words=5, most=4, of=5)
 
@@ -28,8 +31,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes found twice are cut out of the texts."""
-    return suffix_dedup.remove_repeats(docs)
+    """Passages of ``PASSAGE`` bytes are cut out of all documents but the first."""
+    return suffix_dedup.remove_repeats(docs, length=PASSAGE, keep_first="doc_id")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
