@@ -102,6 +102,7 @@ MESSAGE_LIMIT = 1000
 MSG_INCOMPLETE = "Lote incompleto: esperados {expected}, recebidos {received}."
 MSG_FOREIGN_ITEM = "Item do lote '{item}' recebido durante o lote '{target}'."
 MSG_MIXED = "Foram consumidos lotes mistos: {batches}"
+MSG_EMPTY = "DataPool '{label}' sem itens pendentes."
 
 # --- fixed values: report normaliser ----------------------------------------
 REPORT_COLUMNS = (
@@ -200,3 +201,37 @@ READBACK_PREFIX = "Cadastro web divergente da planilha: "
 # FIXED VALUES: backlog and reference-date failure texts.
 NO_PENDING = "Nenhum lote pendente em {path}."
 BAD_REFERENCE_DATE = "time data '{text}' does not match format '%d/%m/%Y'"
+
+# FIXED VALUES: reports, run records and event codes.
+REPORT_TABLES = (
+    "resumo",
+    "divergencias",
+    "lotes_validados",
+    "rejeicoes_cadastro",
+    "falhas_tecnicas",
+    "revisao_humana",
+)
+DIVERGENCE_REPORT = "relatorio_divergencias"
+FLOW_REPORT = "relatorio_erros_fluxo_produtor"
+NO_FLOW_ERRORS = "O relatório de erros de fluxo exige ao menos um item."
+RECORD_SUCCESS = "SUCESSO"
+RECORD_FILE_ERROR = "ERRO_ARQUIVO"
+RECORD_STRUCTURE_ERROR = "ERRO_ESTRUTURA"
+RECORD_PROCESSING_ERROR = "ERRO_PROCESSAMENTO"
+MSG_FILE_MISSING = "Arquivo não encontrado: {file}"
+# Text of our own (the original passes on its reader's).
+MSG_FILE_EMPTY = "Planilha sem cabeçalho: {file}"
+EVENT_STARTED = "CADASTRO_WEB_INICIADO"
+EVENT_DONE = "CADASTRO_WEB_CONCLUIDO evidencia="
+EVENT_REJECTED = "CADASTRO_WEB_REJEITADO evidencia="
+EVENT_TIMEOUT = "TIMEOUT_AO_CARREGAR_COMPROVANTE evidencia="
+EVENT_FAILED = "CADASTRO_WEB_FALHOU erro="
+EVENT_ITEM_TECHNICAL = "ITEM_CADASTRO_FALHA_TECNICA"
+EVENT_ITEM_REJECTED = "ITEM_CADASTRO_REJEITADO"
+EVENT_ITEM_OK = "ITEM_VALIDADO_OK"
+EVENT_ITEM_NOK = "ITEM_VALIDADO_NOK regras="
+REVIEW_QUEUE = "revisao_humana"
+
+# FIXED VALUES: patterns of a sheet's presentation rows and name.
+TOTAL_PATTERN = r"(?i)Registros:\s*(\d+)"
+DATE_PATTERN = r"(\d{2})_(\d{2})_(\d{4})"

@@ -87,3 +87,13 @@ def lot_code(key: str | Column) -> Column:
 
 def truncate_message(c: Column) -> Column:
     return F.substring(c, 1, K.MESSAGE_LIMIT)
+
+
+def message_of(text: str, *values: Column | str) -> Column:
+    """A fixed text whose {names} stand for the values, in this order."""
+    parts: list[Column] = []
+    for value in values:
+        head, _, rest = text.partition("{")
+        text = rest.partition("}")[2]
+        parts += [F.lit(head), F.col(value) if isinstance(value, str) else value]
+    return F.concat(*[p.cast("string") for p in parts], F.lit(text))

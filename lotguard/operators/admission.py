@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotguard.functions import constants as K
 from lotguard.functions.exprs import or_default, safe_name, serialised, strip
 from lotguard.operators.rules import flag_known
+from lotguard.session import written
 
 # FIXED VALUE of our own (the original surfaces a browser time-out text here).
 CATALOGUE_TIMEOUT = "Produto '{produto}' indisponível para seleção."
@@ -45,10 +46,12 @@ def latest_stored(stored: DataFrame, key: str = "lote_id", ts: str = "criadoEm")
     """Newest stored record per stripped lot key (a per-key top-1, as a max
     over a struct so it is a partial aggregate, not a window over a hot key).
     Records of one time are decided by ``position`` (the first of the list
-    counts) if there is that column, else by their values."""
+    counts; of several documents' firsts that of the greatest ``doc_id``) if
+    there is that column, else by their values."""
     stored = stored.withColumn(key, strip(key))
-    others = [c for c in stored.columns if c not in (key, ts, "position")]
-    tie = [-F.col("position")] if "position" in stored.columns else [F.col(c) for c in others]
+    others = [c for c in stored.columns if c not in (key, ts, "position", "doc_id")]
+    place = [-F.col("position"), *([F.col("doc_id")] if "doc_id" in stored.columns else [])]
+    tie = place if "position" in stored.columns else [F.col(c) for c in others]
     best = F.max_by(F.struct(ts, *others), F.struct(F.col(ts), *tie))
     return stored.groupBy(key).agg(best.alias("_b")).select(key, "_b.*")
 
@@ -58,15 +61,16 @@ def reconcile(sent: DataFrame, stored: DataFrame, keys: tuple[str, ...] = ()) ->
     sent row, e.g. item_id).
 
     side = 'missing' (sent, never stored), 'extra' (stored only) or 'diff'.
-    Built as sent LEFT JOIN latest-stored (a hot lot ID is split by AQE's
-    skew handling) plus stored LEFT ANTI distinct sent IDs, instead of a full
-    outer join, which cannot be split."""
+    Built as sent LEFT JOIN latest-stored plus stored LEFT ANTI distinct sent
+    IDs, instead of a full outer join, which cannot be split. The latest stored
+    records are written before: both sides of the left join are then plain
+    shuffles, so that AQE can split a hot lot ID."""
     fields = [c for c in K.CONTRACT_COLUMNS if c != "lote_id"]
     s = sent.select(*keys, strip("lote_id").alias("lote_id"), *[serialised(c).alias(f"e_{c}") for c in fields]) \
             .where(F.col("lote_id") != "")
-    latest = latest_stored(stored.select("lote_id", "criadoEm", *fields)) \
-        .select("lote_id", *[serialised(c).alias(f"s_{c}") for c in fields]) \
-        .withColumn("_stored", F.lit(True))
+    known = [c for c in ("position", "doc_id") if c in stored.columns]
+    latest = written(latest_stored(stored.select("lote_id", "criadoEm", *fields, *known)).select(
+        "lote_id", *[serialised(c).alias(f"s_{c}") for c in fields], F.lit(True).alias("_stored")), "latest-stored")
     j = s.join(latest, "lote_id", "left")
     pairs = F.array(*[
         F.struct(F.lit(c).alias("campo"), F.col(f"e_{c}").alias("esperado"), F.col(f"s_{c}").alias("salvo"))
@@ -148,10 +152,11 @@ def admitted(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(F.col("cadastro_status") == K.OUTCOME_SUCCESS)
 
 
-def flow_errors(outcomes: DataFrame) -> DataFrame:
-    """Rows not published, in the fixed 15-column layout."""
+def flow_errors(outcomes: DataFrame, by_batch: bool = False) -> DataFrame:
+    """Rows not published, in the fixed 15-column layout (behind
+    batch_id, ``by_batch``)."""
     rows = outcomes.where(F.col("cadastro_status") != K.OUTCOME_SUCCESS)
-    return rows.select(*[
+    return rows.select(*(["batch_id"] if by_batch else []), *[
         (F.col(c) if c in rows.columns else F.lit(None).cast("string")).alias(c)
         for c in K.FLOW_ERROR_COLUMNS
     ])
@@ -196,10 +201,13 @@ def handoff(outcomes: DataFrame, reference: DataFrame, execution_id: str = "exec
     ``reference_lotes_json`` carries the reference snapshot restricted to the
     record's own lot (``["<id>"]`` when known, ``[]`` otherwise): the union
     over a batch is exactly the part of the reference list RN03 can consult,
-    and no record carries a batch-sized list.
+    and no record carries a batch-sized list. The whole sorted list is
+    published once (``store.reference_snapshot``).
     """
     rows = admitted(outcomes) if published_only else outcomes
-    totals = batch_totals(rows)  # counts do not need the reference join
+    # Counts do not need the reference join. Written, they are a plain side of
+    # their join, so that AQE can split a batch that holds many of the rows.
+    totals = written(batch_totals(rows), "batch-totals")
     rows = flag_known(rows, reference, out="_ref_hit").join(totals, "batch_id")
     ref_json = F.to_json(F.when(F.col("_ref_hit"), F.array(strip("lote_id")))
                           .otherwise(F.array().cast("array<string>")))
@@ -216,7 +224,7 @@ def handoff(outcomes: DataFrame, reference: DataFrame, execution_id: str = "exec
 def handoff_envelope(handoff_rows: DataFrame) -> DataFrame:
     """K1 summary of the nested publish shape per batch: total items, number of
     reference IDs, first and last item by source row. Aggregates only; the
-    items list itself is written partitioned by batch_id, never collected."""
+    items themselves are published as rows (``store.BatchTable``)."""
     ids = F.from_json("reference_lotes_json", "array<string>")
     refs = handoff_rows.select("batch_id", F.explode(ids).alias("rid")) \
         .groupBy("batch_id").agg(F.count_distinct("rid").alias("n_reference"))
@@ -236,24 +244,3 @@ def evidence_coverage(outcomes: DataFrame, listing: DataFrame) -> DataFrame:
     return outcomes.select("item_id", "evidence_name", "evidence_path") \
         .join(files, "evidence_path", "left") \
         .select("item_id", "evidence_name", F.coalesce("listed", F.lit(False)).alias("listed"))
-
-
-def clustered(handoff_rows: DataFrame, block: int = 1_000_000) -> DataFrame:
-    """Rows dealt by batch and block of ``block`` source rows."""
-    by = ["batch_id", F.floor(F.col("source_row") / block)] if "source_row" in handoff_rows.columns else ["batch_id"]
-    return handoff_rows.repartition(*by)
-
-
-def publish(handoff_rows: DataFrame, path: str, fmt: str = "parquet", by_batch: bool = True) -> None:
-    """K1 sink. Partitioned by batch_id with dynamic partition overwrite, a
-    re-run replaces exactly the batches it carries and the commit protocol
-    makes each batch appear atomically. Rows are clustered by batch first (and
-    by blocks of source rows, so that no batch is one task's), for a file per
-    batch and block rather than per batch and task. ``by_batch=False`` appends plain
-    files (a landing directory for a stream or a backlog reader)."""
-    writer = handoff_rows.write.format(fmt)
-    if by_batch:
-        writer = clustered(handoff_rows).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-    else:
-        writer = writer.mode("append")
-    writer.save(path)

@@ -9,12 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
-from lotguard.functions.exprs import strip
+from lotguard.functions.exprs import base_name, strip
 from lotguard.operators.sequence import number_within
 
-TOTAL_PATTERN = r"(?i)Registros:\s*(\d+)"
-DATE_PATTERN = r"(\d{2})_(\d{2})_(\d{4})"
-
 
 def first_sheet(grid: DataFrame) -> DataFrame:
     """The rows of each workbook's first sheet. A workbook grid has
@@ -41,7 +38,7 @@ def _declared(grid: DataFrame, presentation_rows: int) -> DataFrame:
     per_sheet = pres.groupBy("batch_id").agg(
         F.array_join(F.array_sort(F.collect_list(F.struct("row_no", text.alias("t")))).getField("t"), " ").alias("_text")
     )
-    found = F.regexp_extract("_text", TOTAL_PATTERN, 1)
+    found = F.regexp_extract("_text", K.TOTAL_PATTERN, 1)
     return per_sheet.select("batch_id", found.try_cast("bigint").alias("declared"))
 
 
@@ -89,7 +86,7 @@ def sheet_to_table(grid: DataFrame, header_row: int = K.HEADER_ROW) -> DataFrame
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("row_no") < header_row, F.struct("row_no", text.alias("t"))))).getField("t"), " ").alias("_text"),
     )
     meta = top.where(F.col("_hdr").isNotNull()).select(
-        "batch_id", "_hdr", F.regexp_extract("_text", TOTAL_PATTERN, 1).try_cast("bigint").alias("declared"))
+        "batch_id", "_hdr", F.regexp_extract("_text", K.TOTAL_PATTERN, 1).try_cast("bigint").alias("declared"))
     data = grid.where(F.col("row_no") > header_row).join(meta, "batch_id").where(_within_declared(header_row))
     mapped = data.select(
         "batch_id", F.col("row_no").alias("sheet_row"),
@@ -102,8 +99,8 @@ def sheet_to_table(grid: DataFrame, header_row: int = K.HEADER_ROW) -> DataFrame
 
 def reference_date_of(sheet_name) -> F.Column:
     """S5: 'dd/mm/yyyy' from the first dd_mm_yyyy in the sheet name, else ''."""
-    m = F.regexp_extract(sheet_name, DATE_PATTERN, 0)
-    return F.when(m != "", F.concat_ws("/", *[F.regexp_extract(sheet_name, DATE_PATTERN, i) for i in (1, 2, 3)])) \
+    m = F.regexp_extract(sheet_name, K.DATE_PATTERN, 0)
+    return F.when(m != "", F.concat_ws("/", *[F.regexp_extract(sheet_name, K.DATE_PATTERN, i) for i in (1, 2, 3)])) \
             .otherwise(F.lit(""))
 
 
@@ -127,7 +124,7 @@ def fingerprint_files(spark, path: str, glob: str = "*") -> DataFrame:
     content = F.col("content")
     sha = F.sha2(content, 256)
     return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"),
+        base_name("path").alias("source_file"),
         F.col("length"),
         sha.alias("sha256"),
         F.md5(content).alias("md5"),

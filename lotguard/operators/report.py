@@ -3,11 +3,16 @@ metric unpivot (N1, K4, K6, G5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import UTC, datetime
+from zoneinfo import ZoneInfo
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
+from lotguard.functions.exprs import base_name
 from lotguard.operators.sequence import number_within
+from lotguard.sources.files import create_if_absent, listing
 
 LOOSE_FIELDS = ("lote_id", "regra_violada", "regra", "descricao_do_erro", "descricao",
                 "acao_recomendada", "severidade")
@@ -63,31 +68,76 @@ def utc_wallclock(df: DataFrame, c: str) -> Column:
     return F.convert_timezone(F.lit(session_tz), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
 
 
-def report_versions(runs: DataFrame, tz: str = K.TIMEZONE) -> DataFrame:
+def report_versions(runs: DataFrame, tz: str = K.TIMEZONE, existing: DataFrame | None = None) -> DataFrame:
     """K6: never overwrite. Runs of the same report on the same local day
-    get _2, _3, ... in start order. Input: report, started_at (UTC), run_key
-    (unique tie-break). The numbering is skew-safe (see sequence.py)."""
+    get _2, _3, ... in start order, behind those there are already
+    (``existing``: report, day, run_no; see ``existing_reports``). Input: report,
+    started_at (UTC), run_key (unique tie-break). The numbering is skew-safe
+    (see sequence.py): one-minute blocks, then blocks inside a minute."""
     utc = utc_wallclock(runs, "started_at")
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
     with_day = runs.withColumn("day", F.date_format(local, "ddMMyyyy")) \
                    .withColumn("_us", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc))
-    # One-minute blocks: at most 1 440 count rows per (report, day); a block
-    # holds the runs of one minute.
+    # At most 1 440 count rows per (report, day); a block holds the runs of one minute.
     n = number_within(with_day, ["report", "day"], "_us", out="_i", tiebreak=["run_key"],
                       block_width=60_000_000)
-    run_no = (F.col("_i") + 1).cast("int")
+    run_no = F.col("_i") + 1
+    if existing is not None:
+        last = existing.groupBy("report", "day").agg(F.max("run_no").alias("_last"))
+        n = n.join(last, ["report", "day"], "left")
+        run_no = run_no + F.coalesce("_last", F.lit(0))
+    run_no = run_no.cast("int")
     name = F.concat("report", F.lit("_"), "day",
                     F.when(run_no > 1, F.concat(F.lit("_"), run_no.cast("string"))).otherwise(F.lit("")),
                     F.lit(".xlsx"))
     return n.select("run_key", "report", "day", run_no.alias("run_no"), name.alias("file_name"))
 
 
-def write_report(tables: dict[str, DataFrame], path: str, report: str, run: str) -> dict[str, str]:
-    """K4 sink: each table as parquet under report=<r>/run=<n>/<table>.
-    Empty tables keep their schema (parquet writes the footer)."""
+_NAME = r"^(.*)_(\d{8})(?:_(\d+))?\.xlsx$"
+
+
+def existing_reports(spark: SparkSession, root: str) -> DataFrame:
+    """K6: (report, day, run_no) of the reports there are under ``root``, from the
+    names of their claims."""
+    name = base_name("path")
+    no = F.regexp_extract(name, _NAME, 3)
+    return listing(spark, f"{root.rstrip('/')}/_claims").select(
+        F.regexp_extract(name, _NAME, 1).alias("report"), F.regexp_extract(name, _NAME, 2).alias("day"),
+        F.when(no == "", 1).otherwise(no.try_cast("int")).alias("run_no"))
+
+
+def claim_report(spark: SparkSession, root: str, report: str, started_at: datetime | None = None, tz: str = K.TIMEZONE) -> str:
+    """K6: the next free name of a report on the local day of ``started_at`` (UTC;
+    now if not given). A name is taken by creating its claim, which fails if
+    there is one: of two runs that try at once, one takes the next number."""
+    root = root.rstrip("/")
+    moment = started_at or datetime.now(UTC)
+    moment = moment if moment.tzinfo else moment.replace(tzinfo=UTC)
+    day = moment.astimezone(ZoneInfo(tz)).strftime("%d%m%Y")
+    last = existing_reports(spark, root).where((F.col("report") == report) & (F.col("day") == day)).agg(F.max("run_no")).first()[0]
+    no = (last or 0) + 1
+    while True:
+        name = f"{report}_{day}.xlsx" if no == 1 else f"{report}_{day}_{no}.xlsx"
+        if create_if_absent(spark, f"{root}/_claims/{name}", name):
+            return name
+        no += 1
+
+
+def write_report(tables: dict[str, DataFrame], root: str, report: str, started_at: datetime | None = None) -> dict[str, str]:
+    """K4 sink: each table as parquet under report=<report>/file=<name>/<table>,
+    with a name of its own (``claim_report``). Nothing is overwritten; empty
+    tables keep their schema (parquet writes the footer)."""
+    spark = next(iter(tables.values())).sparkSession
+    name = claim_report(spark, root, report, started_at)
     out = {}
-    for name, df in tables.items():
-        target = f"{path.rstrip('/')}/report={report}/run={run}/{name}"
-        df.write.mode("overwrite").parquet(target)
-        out[name] = target
+    for table, df in tables.items():
+        out[table] = f"{root.rstrip('/')}/report={report}/file={name}/{table}"
+        df.write.mode("errorifexists").parquet(out[table])
     return out
+
+
+def write_flow_errors(tables: dict[str, DataFrame], root: str, started_at: datetime | None = None) -> dict[str, str]:
+    """K5 sink: refuses a report without any flow error, as the original does."""
+    if tables["erros_fluxo"].isEmpty():
+        raise ValueError(K.NO_FLOW_ERRORS)
+    return write_report(tables, root, K.FLOW_REPORT, started_at)

@@ -17,6 +17,7 @@ Context columns available to rule expressions:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,7 @@ from lotguard.functions.exprs import (
     canonical_status,
     filled,
     in_domain,
+    message_of,
     normalised_status,
     or_default,
     parse_day,
@@ -129,7 +131,7 @@ def rn07() -> Rule:
     )
 
 
-_RULES_CACHE: dict[int, list[Rule]] = {}
+_RULES_CACHE: dict[str, list[Rule]] = {}
 
 
 def default_rules() -> list[Rule]:
@@ -139,7 +141,8 @@ def default_rules() -> list[Rule]:
     hundred py4j calls) and shared by every plan."""
     from pyspark import SparkContext
 
-    key = id(SparkContext._active_spark_context)
+    active = SparkContext._active_spark_context
+    key = active.applicationId if active is not None else ""
     if key not in _RULES_CACHE:
         _RULES_CACHE.clear()
         _RULES_CACHE[key] = [rn02(), rn01(), rn03(), rn05(), rn06(), rn07()]
@@ -188,13 +191,53 @@ def flag_known(lots: DataFrame, reference: DataFrame, out: str = "_known") -> Da
     )
 
 
+def checked_reference_date(text: str) -> str:
+    """The reference date given for a whole run, the default if blank. One
+    that is no date fails the run, before any row is looked at."""
+    text = text or K.DEFAULT_REFERENCE_DATE
+    try:
+        datetime.strptime(text, "%d/%m/%Y")
+    except ValueError:
+        raise ValueError(K.BAD_REFERENCE_DATE.format(text=text)) from None
+    return text
+
+
+def bad_reference_dates(rows: DataFrame) -> DataFrame:
+    """Batches with a ``reference_date`` that is no date, with the error text
+    (batch_id, error). Their rows can't be judged: RN01 would flag each of them."""
+    text = or_default("reference_date", K.DEFAULT_REFERENCE_DATE)
+    bad = rows.where(parse_day(text).isNull()).groupBy("batch_id").agg(F.min(text).alias("_t"))
+    return bad.select("batch_id", message_of(K.BAD_REFERENCE_DATE, "_t").alias("error"))
+
+
+def review_routing(evaluated: DataFrame) -> DataFrame:
+    """P5: the rows whose status is outside of the domain, as they go to the
+    review queue: all their columns, with ``divergencia_rn04`` (the text),
+    ``status_ambiguo`` and ``fila_destino``."""
+    v = F.col("violations")
+    at = F.array_position(v.getField("regra"), "RN06").cast("int")
+    rest = [c for c in evaluated.columns if c != "violations"]
+    return select_where(evaluated, at > 0, *rest, F.element_at(v.getField("descricao"), at).alias("divergencia_rn04"),
+                        F.lit(True).alias("status_ambiguo"), F.lit(K.REVIEW_QUEUE).alias("fila_destino"))
+
+
+def normalise_status(lots: DataFrame) -> DataFrame:
+    """P4, table form: every row, with ``status`` stripped, upper-cased and mapped,
+    ``status_original`` as it was, and the text in ``divergencia_rn05`` where OK
+    or NOK was mapped."""
+    canon = canonical_status("status")
+    text = F.when(canon == "OK", F.lit(K.RN05_OK_DESC)).when(canon == "NOK", F.lit(K.RN05_NOK_DESC))
+    return lots.select(*[c for c in lots.columns if c != "status"], F.col("status").alias("status_original"),
+                       normalised_status("status").alias("status"), text.alias("divergencia_rn05"))
+
+
 def prepare(lots: DataFrame, reference: DataFrame | None, reference_date: str | None = None,
             known: Column | None = None) -> DataFrame:
     """Add the context columns rules refer to. ``known`` replaces the
     reference join by a row-local membership expression when each row
     carries its reference (as hand-off records do)."""
     if reference_date is not None:
-        ref_text = F.lit(reference_date or K.DEFAULT_REFERENCE_DATE)
+        ref_text = F.lit(checked_reference_date(reference_date))
     elif "reference_date" in lots.columns:
         ref_text = or_default("reference_date", K.DEFAULT_REFERENCE_DATE)
     else:

@@ -1,5 +1,4 @@
-"""Run records, audit events, run status and totals, log windows and the
-post-run verification (K7, K8, S12, G6, G7, G11, G12)."""
+"""Run records, run status and totals."""
 
 from __future__ import annotations
 
@@ -7,47 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotguard.functions import constants as K
-
-
-def producer_events(outcomes: DataFrame) -> DataFrame:
-    """K8, producer stage: one event per registration attempt."""
-    st = F.col("cadastro_status")
-    err = F.col("cadastro_error")
-    ev = F.col("evidence_path")
-    timeout = err.startswith(K.TIMEOUT_PREFIX)
-    return outcomes.select(
-        "item_id", F.lit("produtor").alias("stage"),
-        F.when(st == K.OUTCOME_SUCCESS, F.lit("INFO")).when(st == K.OUTCOME_REJECTED, F.lit("WARNING"))
-         .otherwise(F.lit("ERROR")).alias("level"),
-        F.when(st == K.OUTCOME_SUCCESS, F.concat(F.lit("CADASTRO_WEB_CONCLUIDO evidencia="), ev))
-         .when(st == K.OUTCOME_REJECTED, F.concat(F.lit("CADASTRO_WEB_REJEITADO evidencia="), ev, F.lit(" motivo="), err))
-         .when(timeout, F.concat(F.lit("TIMEOUT_AO_CARREGAR_COMPROVANTE evidencia="), ev, F.lit(" erro="),
-                                 F.substr(err, F.lit(len(K.TIMEOUT_PREFIX) + 1))))
-         .otherwise(F.concat(F.lit("CADASTRO_WEB_FALHOU erro="), err, F.lit(" evidencia="), ev)).alias("event"),
-    )
-
-
-def consumer_events(states: DataFrame) -> DataFrame:
-    """K8, consumer stage: one event per final item state. ``states`` carries
-    datapool_state, error_type, finish_message and the item's cadastro_status."""
-    s = F.col("datapool_state")
-    et = F.col("error_type")
-    rules = F.split(F.col("finish_message"), ": ", 2).getItem(0)
-    return states.select(
-        "item_id", F.lit("validador").alias("stage"),
-        F.when(et == K.ERROR_SYSTEM, F.lit("ERROR")).when(s == K.STATE_DONE, F.lit("INFO"))
-         .otherwise(F.lit("WARNING")).alias("level"),
-        F.when(et == K.ERROR_SYSTEM, F.lit("ITEM_CADASTRO_FALHA_TECNICA"))
-         .when(F.coalesce(F.col("cadastro_status") == K.OUTCOME_REJECTED, F.lit(False)),
-               F.lit("ITEM_CADASTRO_REJEITADO"))
-         .when(s == K.STATE_DONE, F.lit("ITEM_VALIDADO_OK"))
-         .otherwise(F.concat(F.lit("ITEM_VALIDADO_NOK regras="), rules)).alias("event"),
-    )
-
-
-def audit_events(outcomes: DataFrame, states: DataFrame) -> DataFrame:
-    """K8: per-item audit events of both stages (item_id, stage, level, event)."""
-    return producer_events(outcomes).unionByName(consumer_events(states))
+from lotguard.functions.exprs import message_of
 
 
 def producer_run_status() -> Column:
@@ -76,64 +35,28 @@ def summary_map(df: DataFrame, keys: list[str]) -> Column:
     return F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k).cast("string"))])
 
 
-def events_since(events: DataFrame, started_at: str) -> DataFrame:
-    """Events at or after the run start truncated to the second (log
-    lines carry whole seconds only)."""
-    start = F.date_trunc("second", F.lit(started_at).cast("timestamp_ntz"))
-    return events.where(F.col("timestamp") >= start)
-
-
-def log_context(events: DataFrame, expected_bot: str, expected_execution: str | None = None) -> DataFrame:
-    """Per execution id, the event count and whether every event carries
-    the expected bot id; for the events of one run (``expected_execution``)
-    also its execution id, so that a run with other ids fails."""
-    ok = F.coalesce(F.col("bot_id") == expected_bot, F.lit(False))
-    if expected_execution is not None:
-        ok = ok & F.coalesce(F.col("execution_id") == expected_execution, F.lit(False))
-    return events.groupBy("execution_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(ok).alias("ok"))
-
-
-def verification(batch_checks: DataFrame, checks: list[tuple[str, str, str]]) -> DataFrame:
-    """Long table (batch_id, check, expected, actual, ok) from a per-batch
-    row with expected/actual columns, via stack (no join, no shuffle)."""
-    parts = ", ".join(f"'{name}', CAST({e} AS BIGINT), CAST({a} AS BIGINT)" for name, e, a in checks)
-    long = batch_checks.selectExpr("batch_id", f"stack({len(checks)}, {parts}) AS (check, expected, actual)")
-    return long.withColumn("ok", F.col("expected") == F.col("actual"))
-
-
-VERIFY_CHECKS = [
-    ("publicados_processados", "published", "n_states"),
-    ("sem_processing", "0", "n_processing"),
-    ("done_mais_error", "n_states", "n_done + n_error"),
-    ("divergentes_business", "n_divergent", "n_business"),
-    ("evidencias_nomeadas", "n_rows", "n_named"),
-    ("evidencias_comprovante", "published", "n_comprovante"),
-    ("evidencias_rejeicao", "rejected", "n_rejeicao"),
-]
-
-
-def verify_outputs(outcomes: DataFrame, states: DataFrame) -> DataFrame:
-    """Per batch, the post-run checks of a producer + consumer run.
-    ``outcomes`` are the producer's rows; ``states`` the consumer's final
-    states with the ``violations`` array kept."""
-    st = F.col("cadastro_status")
-    name = F.col("evidence_name")
-    prod = outcomes.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(st == K.OUTCOME_SUCCESS).alias("published"),
-        F.count_if(st == K.OUTCOME_REJECTED).alias("rejected"),
-        F.count_if((name != "") & (F.col("evidence_path") != "")).alias("n_named"),
-        F.count_if(name.startswith(K.EVIDENCE_OK)).alias("n_comprovante"),
-        F.count_if(name.startswith(K.EVIDENCE_REJECTED)).alias("n_rejeicao"),
-    )
-    s = F.col("datapool_state")
-    cons = states.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_states"),
-        F.count_if(s == K.STATE_PROCESSING).alias("n_processing"),
-        F.count_if(s == K.STATE_DONE).alias("n_done"),
-        F.count_if(s == K.STATE_ERROR).alias("n_error"),
-        F.count_if(F.col("error_type") == K.ERROR_BUSINESS).alias("n_business"),
-        F.count_if(F.size("violations") > 0).alias("n_divergent"),
-    )
-    zero = {c: 0 for c in ["n_states", "n_processing", "n_done", "n_error", "n_business", "n_divergent"]}
-    return verification(prod.join(cons, "batch_id", "left").fillna(zero), VERIFY_CHECKS)
+def run_records(expected: DataFrame, files: DataFrame, structure: DataFrame, errors: DataFrame, totals: DataFrame) -> DataFrame:
+    """K7/G6 of the direct path: one record per expected file, read or not.
+
+    ``expected``: batch_id, arquivo_processado, timestamp_inicio, timestamp_fim;
+    ``files``: batch_id, hash_md5 and, where a file is there but can't be read as
+    a sheet, ``unreadable`` (the error's text); ``structure``: batch_id, ok,
+    message (P0); ``errors``: batch_id, error of batches whose rules couldn't
+    run; ``totals``: batch_id, n_rows, n_divergent. A record's status is that of
+    the first step that failed; only a record of a run that succeeded counts
+    divergences, and one that failed before its rows were read counts no rows."""
+    found = files.select("batch_id", "hash_md5", F.col("unreadable").alias("_unreadable"), F.lit(True).alias("_there"))
+    checks = structure.select("batch_id", F.col("ok").alias("_ok"), F.col("message").alias("_structure"))
+    j = expected.join(found, "batch_id", "left").join(checks, "batch_id", "left") \
+        .join(errors.select("batch_id", F.col("error").alias("_error")), "batch_id", "left").join(totals, "batch_id", "left")
+    missing, unreadable = F.col("_there").isNull(), F.col("_unreadable").isNotNull() | F.col("_ok").isNull()
+    status = F.when(missing | unreadable, F.lit(K.RECORD_FILE_ERROR)).when(~F.col("_ok"), F.lit(K.RECORD_STRUCTURE_ERROR)) \
+              .when(F.col("_error").isNotNull(), F.lit(K.RECORD_PROCESSING_ERROR)).otherwise(F.lit(K.RECORD_SUCCESS))
+    text = F.when(missing, message_of(K.MSG_FILE_MISSING, "arquivo_processado")) \
+            .when(unreadable, F.coalesce("_unreadable", message_of(K.MSG_FILE_EMPTY, "arquivo_processado"))) \
+            .when(~F.col("_ok"), F.col("_structure")).otherwise(F.col("_error"))
+    n = lambda c, *of: F.when(F.col("status_execucao").isin(*of), F.coalesce(c, F.lit(0))).otherwise(F.lit(0)).cast("long")
+    return j.withColumns({"status_execucao": status, "erro": text}).select(
+        "batch_id", "timestamp_inicio", "timestamp_fim", "arquivo_processado", "hash_md5",
+        n("n_rows", K.RECORD_SUCCESS, K.RECORD_PROCESSING_ERROR).alias("total_registros"), n("n_divergent", K.RECORD_SUCCESS).alias("total_divergencias"),
+        "status_execucao", "erro")

@@ -39,3 +39,30 @@ def number_within(
         .withColumn(out, (F.col("_seq_off") + F.col("_seq_loc") - 1).cast("int"))
         .drop(blk, "_seq_off", "_seq_loc")
     )
+
+
+def next_within(
+    df: DataFrame,
+    by: list[str],
+    order: str,
+    columns: list[str],
+    out: str = "next",
+    block_width: int = DEFAULT_BLOCK_WIDTH,
+) -> DataFrame:
+    """Add ``out``: a struct of ``columns`` of the row that follows in the
+    ``by`` group by the integer column ``order`` (unique in the group), null for
+    the last one. A window only runs inside a block of the order; what follows
+    a block's last row comes from the first rows of the blocks."""
+    blk = "_nx_blk"
+    item = F.struct(*columns)
+    blocked = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_width)).cast("long"))
+    firsts = blocked.groupBy(*by, blk).agg(F.min_by(item, order).alias("_nx_first"))
+    after = Window.partitionBy(*by).orderBy(blk)
+    edges = firsts.select(*by, blk, F.lead("_nx_first").over(after).alias("_nx_edge"))
+    local = Window.partitionBy(*by, blk).orderBy(order)
+    return (
+        blocked.withColumn("_nx_in", F.lead(item).over(local))
+        .join(edges, [*by, blk])
+        .withColumn(out, F.coalesce("_nx_in", "_nx_edge"))
+        .drop(blk, "_nx_in", "_nx_edge")
+    )

@@ -11,12 +11,10 @@ from lotguard.functions.exprs import or_default, strip, truncate_message
 from lotguard.operators.rules import consolidate, evaluate, select_where
 
 
-
 def _v() -> Column:
     return F.col("violations")
 
 
-
 def rejected() -> Column:
     return F.coalesce(F.col("cadastro_status") == K.OUTCOME_REJECTED, F.lit(False))
 
@@ -59,11 +57,12 @@ def not_valid_keys(evaluated: DataFrame) -> DataFrame:
     return select_where(ev, (F.size(_v()) > 0) | F.col("_excluded"), "item_id")
 
 
-def human_review(evaluated: DataFrame) -> DataFrame:
-    """One row per RN06 row."""
+def human_review(evaluated: DataFrame, by_batch: bool = False) -> DataFrame:
+    """One row per RN06 row (behind batch_id, ``by_batch``)."""
     rules = _v().getField("regra")
     return select_where(
         evaluated, F.array_contains(rules, "RN06"),
+        *(["batch_id"] if by_batch else []),
         "item_id",
         "lote_id",
         "status_original",
@@ -74,12 +73,12 @@ def human_review(evaluated: DataFrame) -> DataFrame:
     )
 
 
-def registration_table(evaluated: DataFrame, which: str) -> DataFrame:
+def registration_table(evaluated: DataFrame, which: str, by_batch: bool = False) -> DataFrame:
     """Registration rejections or technical failures, 7 columns,
-    missing values as ''."""
+    missing values as '' (behind batch_id, ``by_batch``)."""
     ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
     rows = ev.where(rejected() if which == "rejected" else technical())
-    return rows.select(*[
+    return rows.select(*(["batch_id"] if by_batch else []), *[
         F.coalesce(F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string"), F.lit("")).alias(c)
         if c != "source_row" else F.col(c)
         for c in K.REGISTRATION_COLUMNS
@@ -125,6 +124,13 @@ def abort_states(states: DataFrame, batch_errors: DataFrame) -> DataFrame:
     )
 
 
+def error_states(errors: DataFrame) -> DataFrame:
+    """ERROR/SYSTEM states of items (item_id, error) that a failed session
+    had read."""
+    return errors.select("item_id", F.lit(K.STATE_ERROR).alias("datapool_state"), F.lit(K.ERROR_SYSTEM).alias("error_type"),
+                         truncate_message(F.col("error")).alias("finish_message"))
+
+
 def validation_summary(evaluated: DataFrame) -> DataFrame:
     """G1 per batch in one pass (partial + final aggregate)."""
     ev = evaluated if "_excluded" in evaluated.columns else with_exclusion(evaluated)
@@ -180,10 +186,6 @@ def rule_distribution(evaluated: DataFrame) -> DataFrame:
         .groupBy("regra").agg(F.count(F.lit(1)).alias("n"))
 
 
-REPORT_TABLES = ("resumo", "divergencias", "lotes_validados", "rejeicoes_cadastro", "falhas_tecnicas",
-                 "revisao_humana")
-
-
 def report_tables(evaluated: DataFrame) -> dict[str, DataFrame]:
     """K4: the six tables of the validation report, keyed by batch. Empty
     tables keep their columns (fixed projections)."""
@@ -194,7 +196,7 @@ def report_tables(evaluated: DataFrame) -> dict[str, DataFrame]:
         "divergencias": consolidate(ev, keys=["batch_id", "item_id", "lote_id"]),
         "lotes_validados": select_where(ev, (F.size(_v()) == 0) & ~F.col("_excluded"),
                                         *keep, *K.CONTRACT_COLUMNS, "status_original", "divergencia_rn05"),
-        "rejeicoes_cadastro": registration_table(ev, "rejected"),
-        "falhas_tecnicas": registration_table(ev, "technical"),
-        "revisao_humana": human_review(ev),
+        "rejeicoes_cadastro": registration_table(ev, "rejected", by_batch=True),
+        "falhas_tecnicas": registration_table(ev, "technical", by_batch=True),
+        "revisao_humana": human_review(ev, by_batch=True),
     }

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotguard.operators import admission as A
-from lotguard.plans.materialize import landed
+from lotguard.plans import jobs
+from lotguard.plans.materialize import landed, landed_run
 from lotguard.operators.rules import evaluate
 from lotguard.operators.validate import validate_handoff
 from lotguard.sources import testdata as td
@@ -74,6 +76,16 @@ def queue(spark: SparkSession, d: str) -> DataFrame:
     return landed(spark, d, "queue_session", lambda: td.queue_session(handoff(spark, d)))
 
 
+def queue_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """The consumer tasks of the queue session."""
+    return landed(spark, d, "queue_tasks", lambda: td.queue_tasks(queue(spark, d)))
+
+
+def taken_up_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions without an order."""
+    return landed(spark, d, "taken_up_sessions", lambda: td.taken_up_sessions(queue(spark, d)))
+
+
 def stored(spark: SparkSession, d: str) -> DataFrame:
     """Stored copies in the target system."""
     return landed(spark, d, "stored", lambda: td.stored(handoff(spark, d)))
@@ -89,8 +101,43 @@ def loose(spark: SparkSession, d: str) -> DataFrame:
     return landed(spark, d, "loose_divergences", lambda: td.loose_divergences(evaluated(spark, d)))
 
 
+
+
+def expected_files(spark: SparkSession, d: str) -> DataFrame:
+    """The sheets that should be there."""
+    return landed(spark, d, "expected_files", lambda: td.expected_files(lots(spark, d)))
+
+
+def job_runs(spark: SparkSession, d: str) -> tuple[dict[str, str], dict[str, str]]:
+    """A producer and a consumer run over D1 and D2, written once."""
+
+    def run(folder: str) -> dict:
+        prod = jobs.producer_job(spark, lots(spark, d), reference(spark, d), f"{folder}/producer")
+        return {"producer": prod, "consumer": jobs.consumer_job(spark, prod["handoff"], f"{folder}/consumer")}
+
+    both = landed_run(spark, d, "job_runs", run)
+    return both["producer"], both["consumer"]
+
+
+def run_outputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The written tables of ``job_runs``, with a file for each evidence path."""
+    producer, consumer = job_runs(spark, d)
+    evidence = spark.read.parquet(producer["outcomes"]).select(F.col("evidence_path").alias("path"))
+    return jobs.written_outputs(spark, producer, consumer, evidence)
+
+
+def run_events(spark: SparkSession, d: str) -> DataFrame:
+    """Log events of many runs."""
+    return td.run_events(spark, d)
+
+
+def run_starts(spark: SparkSession, d: str) -> DataFrame:
+    """The runs' starts and execution ids."""
+    return landed(spark, d, "run_starts", lambda: td.run_starts(run_events(spark, d)))
+
+
 def land_fixtures(spark: SparkSession, d: str) -> None:
-    """Land every input fixture."""
+    """Land every input fixture."""
     land_all(spark, d)
-    for fn in (grid, headers, queue, stored, stored_json, loose):
+    for fn in (grid, headers, queue, queue_tasks, taken_up_sessions, stored, stored_json, loose, expected_files, run_starts, job_runs):
         fn(spark, d)

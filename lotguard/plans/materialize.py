@@ -13,13 +13,16 @@ from the raw inputs.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lotguard.session import ensure_checkpoint_dir
+from lotguard.sources.files import create_if_absent, exists, hadoop
 
 _PKG = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _CODE_HASH: str | None = None
@@ -38,14 +41,8 @@ def _code_hash() -> str:
     return _CODE_HASH
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def _input_key(spark: SparkSession, sf_dir: str) -> str:
-    fs, root = _fs(spark, sf_dir)
+    fs, root = hadoop(spark, sf_dir)
     h = hashlib.sha256(sf_dir.encode())
     for st in sorted(fs.listStatus(root), key=lambda s: s.getPath().getName()):
         h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()};".encode())
@@ -54,19 +51,6 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
 
 _LOCKS: dict[str, threading.Lock] = {}
 _FRAMES: dict[tuple[str, str], DataFrame] = {}
-TARGET_FILE_BYTES = 512 << 20
-
-
-def _file_count(spark: SparkSession, df: DataFrame) -> int:
-    """Even files: one per core at least (so later scans are parallel; AQE
-    would otherwise coalesce a small final stage into one file), and about
-    TARGET_FILE_BYTES each by Catalyst's size estimate for large tables."""
-    cores = max(spark.sparkContext.defaultParallelism, 1)
-    try:
-        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - estimate unavailable
-        est = 0
-    return max(cores, min(-(-est // TARGET_FILE_BYTES), 1 << 20))
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -80,11 +64,24 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
         # A landed table never changes: reuse the handle (no new file listing
         # or footer read per query).
         return _FRAMES[key]
-    fs, done = _fs(spark, path + "/_SUCCESS")
+    fs, done = hadoop(spark, path + "/_SUCCESS")
     # One writer per table in this driver: concurrent queries wait for it.
     with _LOCKS.setdefault(path, threading.Lock()):
         if not fs.exists(done):
-            df = build()
-            df.repartition(_file_count(spark, df)).write.mode("overwrite").parquet(path)
+            # Evened out by size at run time; at least a file per core is left to
+            # the minimum of coalescing (see session.py).
+            build().hint("rebalance").write.mode("overwrite").parquet(path)
         _FRAMES[key] = spark.read.parquet(path)
     return _FRAMES[key]
+
+
+def landed_run(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], dict]) -> dict:
+    """What ``build(folder)`` returns (a dict of paths and ids of a job's written
+    outputs); it runs once for these inputs and this code."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/lotguard-landed/{_input_key(spark, sf_dir)}-{_code_hash()}/{name}"
+    with _LOCKS.setdefault(path, threading.Lock()):
+        if not exists(spark, f"{path}/done.json"):
+            # a folder of its own for each attempt: a broken one is never read
+            create_if_absent(spark, f"{path}/done.json", json.dumps(build(f"{path}/{uuid.uuid4().hex}")))
+        return json.loads(spark.read.text(f"{path}/done.json").first()[0])

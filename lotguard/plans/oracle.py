@@ -368,44 +368,71 @@ FROM documents"""
 
 # --- queue ------------------------------------------------------------------------
 _QUEUE = """
-qs AS (
+qs0 AS (
   SELECT strftime(strptime(reference_date, '%d/%m/%Y'), '%Y-%m') AS queue_id,
-    CAST(strftime(strptime(reference_date, '%d/%m/%Y'), '%Y%m%d') AS BIGINT) * 1000000 + source_row AS seq,
-    item_id, batch_id, source_row,
-    CASE WHEN CAST(substr(reference_date, 1, 2) AS INTEGER) = 13 THEN batch_total + 1 ELSE batch_total END AS batch_total
+    CAST(strftime(strptime(reference_date, '%d/%m/%Y'), '%Y%m%d') AS BIGINT) AS dkey,
+    CAST(substr(reference_date, 1, 2) AS INTEGER) AS dd, item_id, batch_id, source_row, batch_total
   FROM handoff
 ),
-qn AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY seq) - 1 AS pos FROM qs),
-qb AS (
-  SELECT queue_id, batch_id, count(*) AS size, max(batch_total) AS need, min(seq) AS first_seq,
-    arg_min(item_id, seq) AS first_item
-  FROM qs GROUP BY queue_id, batch_id
+qs AS (
+  SELECT queue_id, item_id, batch_id, dd, CASE WHEN dd = 13 THEN batch_total + 1 ELSE batch_total END AS batch_total,
+    row_number() OVER (PARTITION BY queue_id ORDER BY CASE WHEN dd = 20 THEN dkey - 1 ELSE dkey END,
+      CASE WHEN dd IN (19, 20) THEN 2 * source_row + CAST(dd = 20 AS INTEGER) ELSE source_row END) - 1 AS place
+  FROM qs0
 ),
-qp AS (
-  SELECT batch_id, size, need,
-    lead(batch_id) OVER (PARTITION BY queue_id ORDER BY first_seq) AS next_batch,
-    lead(first_item) OVER (PARTITION BY queue_id ORDER BY first_seq) AS next_item
-  FROM qb
+qg AS (
+  SELECT *, sum(CASE WHEN new_run THEN 1 ELSE 0 END) OVER (PARTITION BY queue_id ORDER BY place) AS run_no
+  FROM (SELECT *, coalesce(lag(batch_id) OVER (PARTITION BY queue_id ORDER BY place) <> batch_id, TRUE) AS new_run FROM qs)
 ),
-reads AS (
-  SELECT 'task-' || qn.batch_id AS task_id, qn.item_id, qn.batch_id, FALSE AS is_foreign
-  FROM qn JOIN qp USING (batch_id) WHERE qn.pos < qp.need
+qn AS (SELECT *, max(place) OVER (PARTITION BY queue_id, run_no) + 1 AS run_end FROM qg),
+qb AS (
+  SELECT queue_id, batch_id, min(place) AS first_place, max(batch_total) AS total, max(dd) AS dd FROM qs GROUP BY queue_id, batch_id
+),
+qt AS (
+  SELECT 'task-' || batch_id AS task_id, queue_id, first_place AS start_place,
+    CASE WHEN dd % 7 = 3 THEN '' WHEN dd = 22 THEN batch_id || '-x' ELSE batch_id END AS p_batch,
+    CASE WHEN dd % 7 = 3 THEN 0 WHEN dd = 8 THEN (total + 1) // 2 ELSE total END AS p_total
+  FROM qb WHERE dd <> 26
+  UNION ALL
+  SELECT 'task-' || batch_id || '-rest', queue_id, first_place + (total + 1) // 2, '', 0 FROM qb WHERE dd = 8 AND total > 1
   UNION ALL
-  SELECT 'task-' || batch_id, next_item, next_batch, TRUE FROM qp WHERE need > size AND next_item IS NOT NULL
+  SELECT 'task-behind-' || queue_id, queue_id, max(place) + 6, '', 0 FROM qs GROUP BY queue_id
+),
+qr0 AS (
+  SELECT t.task_id, t.queue_id, t.start_place, coalesce(nullif(t.p_batch, ''), f.batch_id, '') AS target,
+    CASE WHEN t.p_total > 0 THEN t.p_total ELSE coalesce(f.batch_total, 0) END AS need,
+    CASE WHEN f.batch_id = coalesce(nullif(t.p_batch, ''), f.batch_id) THEN f.run_end - t.start_place ELSE 0 END AS there
+  FROM qt t LEFT JOIN qn f ON f.queue_id = t.queue_id AND f.place = t.start_place
 ),
-integ0 AS (
-  SELECT r.task_id, substr(r.task_id, 6) AS batch_id, count_if(NOT r.is_foreign) AS own,
-    bool_or(r.is_foreign) AS has_foreign, max(CASE WHEN r.is_foreign THEN r.batch_id END) AS foreign_batch
-  FROM reads r GROUP BY r.task_id
+qr AS (SELECT *, CASE WHEN need > 0 THEN least(need, coalesce(there, 0)) ELSE coalesce(there, 0) END AS own FROM qr0),
+sess AS (
+  SELECT r.*, CASE WHEN own < need OR need <= 0 THEN n.batch_id END AS foreign_batch
+  FROM qr r LEFT JOIN qs n ON n.queue_id = r.queue_id AND n.place = r.start_place + r.own
 ),
-integ AS (
-  SELECT i.task_id, i.batch_id,
-    CASE WHEN has_foreign THEN 'foreign_item' WHEN own <> p.need THEN 'incomplete' END AS problem,
-    CASE WHEN has_foreign THEN 'Item do lote ''' || foreign_batch || ''' recebido durante o lote ''' || i.batch_id || '''.'
-         WHEN own <> p.need THEN 'Lote incompleto: esperados ' || CAST(p.need AS VARCHAR) || ', recebidos ' || CAST(own AS VARCHAR) || '.'
+sess_p AS (
+  SELECT *,
+    CASE WHEN foreign_batch IS NOT NULL THEN 'foreign_item' WHEN own = 0 THEN 'empty' WHEN need <> 0 AND own <> need THEN 'incomplete' END AS problem,
+    CASE WHEN foreign_batch IS NOT NULL THEN 'Item do lote ''' || foreign_batch || ''' recebido durante o lote ''' || target || '''.'
+         WHEN own = 0 THEN 'DataPool ''' || queue_id || ''' sem itens pendentes.'
+         WHEN need <> 0 AND own <> need THEN 'Lote incompleto: esperados ' || CAST(need AS VARCHAR) || ', recebidos ' || CAST(own AS VARCHAR) || '.'
     END AS message
-  FROM integ0 i JOIN qp p USING (batch_id)
-)"""
+  FROM sess
+),
+reads AS (
+  SELECT s.task_id, q.item_id, q.place >= s.start_place + s.own AS is_foreign, s.start_place, s.problem, s.message
+  FROM sess_p s JOIN qs q ON q.queue_id = s.queue_id AND q.place >= s.start_place
+    AND q.place < s.start_place + s.own + CASE WHEN s.foreign_batch IS NULL THEN 0 ELSE 1 END
+),
+taken AS (
+  SELECT 'session-' || queue_id || '-' || CAST((dd + 1) // 2 AS VARCHAR) AS task_id, batch_id, (dd + 1) // 2 = 3 AS short FROM qs
+),
+taken_p AS (
+  SELECT task_id, min(batch_id) AS batch_id, CASE WHEN bool_or(short) THEN 'incomplete' ELSE 'mixed' END AS problem,
+    CASE WHEN bool_or(short) THEN 'Lote incompleto: esperados ' || CAST(count(*) + 1 AS VARCHAR) || ', recebidos ' || CAST(count(*) AS VARCHAR) || '.'
+         ELSE 'Foram consumidos lotes mistos: [''' || string_agg(DISTINCT batch_id, ''', ''' ORDER BY batch_id) || ''']' END AS message
+  FROM taken GROUP BY task_id HAVING bool_or(short) OR count(DISTINCT batch_id) > 1
+),
+item_err AS (SELECT item_id, arg_min(message, (start_place, task_id)) AS message FROM reads WHERE problem IS NOT NULL GROUP BY item_id)"""
 
 _PUB = with_(
     LOTS, OUTCOMES, HANDOFF,
@@ -422,13 +449,20 @@ pstate AS (
   FROM handoff h LEFT JOIN pcons c ON c.item_id = h.item_id
 )
 """
-SQL["bounded_queue_read"] = _PUB + "SELECT task_id, item_id FROM reads"
-SQL["batch_integrity"] = _PUB + "SELECT task_id, batch_id, problem, message FROM integ WHERE problem IS NOT NULL"
-SQL["processed_state"] = _PUB + """
-SELECT item_id, datapool_state, error_type, finish_message FROM pstate
-WHERE batch_id NOT IN (SELECT batch_id FROM integ WHERE problem IS NOT NULL)"""
+SQL["bounded_queue_read"] = _PUB + 'SELECT task_id, item_id, is_foreign AS "foreign" FROM reads'
+SQL["batch_integrity"] = _PUB + """
+SELECT task_id, target AS batch_id, problem, message FROM sess_p WHERE problem IS NOT NULL
+UNION ALL SELECT task_id, batch_id, problem, message FROM taken_p"""
+SQL["processed_state"] = _PUB + f"""
+SELECT h.{", h.".join(K.HANDOFF_FIELDS)},
+  CASE WHEN e.item_id IS NOT NULL THEN 'ERROR' ELSE p.datapool_state END AS datapool_state,
+  CASE WHEN e.item_id IS NOT NULL THEN 'SYSTEM' ELSE p.error_type END AS error_type,
+  CASE WHEN e.item_id IS NOT NULL THEN left(e.message, 1000) ELSE p.finish_message END AS finish_message
+FROM handoff h JOIN pstate p USING (item_id) LEFT JOIN item_err e USING (item_id)
+WHERE h.item_id IN (SELECT item_id FROM reads)"""
 SQL["still_pending"] = _PUB + """
-SELECT DISTINCT batch_id FROM handoff WHERE batch_id IN (SELECT batch_id FROM integ WHERE problem IS NOT NULL)"""
+SELECT DISTINCT batch_id FROM handoff
+WHERE batch_id NOT IN (SELECT batch_id FROM handoff WHERE item_id IN (SELECT item_id FROM reads))"""
 SQL["dedupe_items"] = FULL + "SELECT item_id, batch_id, source_row FROM handoff"
 SQL["duplicate_items"] = FULL + "SELECT item_id, CAST(2 AS BIGINT) AS n FROM handoff WHERE source_row % 5 = 0"
 SQL["abort_states"] = CONSUMER.rstrip("\n") + "," + _HDR + """
@@ -477,19 +511,56 @@ UNION ALL
 SELECT lote_id, 'extra', '*', NULL, NULL FROM lat WHERE lote_id NOT IN (SELECT lote_id FROM handoff)"""
 SQL["latest_stored"] = FULL.rstrip("\n") + "," + _STORED + "\nSELECT lote_id, criadoEm, linha FROM lat"
 SQL["stored_lots"] = FULL.rstrip("\n") + "," + _STORED + """
-SELECT id, lote_id, produto, linha, turno, status, responsavel, data, observacao, criadoEm FROM d5"""
-
+SELECT id, lote_id, produto, linha, turno, status, responsavel, data, observacao, criadoEm FROM d5
+UNION ALL
+SELECT item_id || '#3', lote_id, produto, 'L7', turno, status, responsavel, data, observacao,
+  strftime(dday + to_minutes(CAST(k % 1440 AS BIGINT)), '%Y-%m-%dT%H:%M:%S')
+FROM d5b WHERE k % 73 = 7"""
+SQL["latest_stored_listed"] = FULL.rstrip("\n") + "," + _STORED + "\nSELECT lote_id, criadoEm, linha FROM lat"
+SQL["admission_readback"] = FULL.rstrip("\n") + "," + _STORED + f"""
+SELECT o.item_id,
+  CASE WHEN o.cadastro_status <> 'SUCESSO' THEN o.cadastro_status WHEN rb IS NOT NULL THEN 'FALHA_TECNICA' ELSE 'SUCESSO' END AS cadastro_status,
+  CASE WHEN o.cadastro_status <> 'SUCESSO' THEN o.cadastro_error ELSE coalesce(rb, '') END AS cadastro_error,
+  CASE WHEN o.cadastro_status <> 'SUCESSO' THEN o.cadastro_error_type WHEN rb IS NOT NULL THEN 'SYSTEM' ELSE '' END AS cadastro_error_type,
+  CASE WHEN o.cadastro_status = 'SUCESSO' AND rb IS NOT NULL THEN replace(o.evidence_name, 'comprovante_', 'erro_') ELSE o.evidence_name END AS evidence_name
+FROM (
+  SELECT o.*, CASE WHEN o.lote_id = '' THEN NULL
+    WHEN l.lote_id IS NULL THEN {q(K.READBACK_MISSING)}
+    WHEN l.linha <> o.linha THEN {q(K.READBACK_PREFIX)} || 'linha={{''esperado'': ''' || o.linha || ''', ''salvo'': ''' || l.linha || '''}}' END AS rb
+  FROM outcomes o LEFT JOIN lat l ON l.lote_id = o.lote_id
+) o"""
 # --- runs and events ------------------------------------------------------------
 _EVENTS = """
-WITH rev AS (
-  SELECT event_id, 'exec-' || CAST(user_id % 10 AS VARCHAR) AS execution_id,
-    CASE WHEN event_id % 500 = 0 THEN 'bot-b' ELSE 'bot-a' END AS bot_id, ts
-  FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'
-)
+WITH rev0 AS (
+  SELECT event_id, 'run-' || CAST(user_id % 10 AS VARCHAR) AS run_id, 'exec-' || CAST(user_id % 10 AS VARCHAR) AS wanted,
+    CASE WHEN user_id % 10 = 7 AND event_id % 5 = 1 THEN 'exec-x' ELSE 'exec-' || CAST(user_id % 10 AS VARCHAR) END AS execution_id,
+    CASE WHEN user_id % 10 = 3 AND event_id % 5 = 0 THEN 'bot-b' ELSE 'bot-a' END AS bot_id, ts
+  FROM events
+),
+rstart AS (
+  SELECT run_id, date_trunc('second', min(ts)) + INTERVAL 500 MILLISECOND AS started_at FROM rev0
+  WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY run_id
+),
+rev AS (SELECT r.* FROM rev0 r JOIN rstart s USING (run_id) WHERE r.ts >= date_trunc('second', s.started_at))
 """
-SQL["run_events_window"] = _EVENTS + "SELECT execution_id, CAST(count(*) AS BIGINT) AS n FROM rev GROUP BY 1"
-SQL["verify_log_context"] = _EVENTS + \
-    "SELECT execution_id, CAST(count(*) AS BIGINT) AS n, bool_and(bot_id = 'bot-a') AS ok FROM rev GROUP BY 1"
+SQL["run_events_window"] = _EVENTS + "SELECT run_id, CAST(count(*) AS BIGINT) AS n, min(event_id) AS first_event FROM rev GROUP BY 1"
+SQL["verify_log_context"] = _EVENTS + """
+SELECT run_id, CAST(count(*) AS BIGINT) AS n, bool_and(bot_id = 'bot-a' AND execution_id = wanted) AS ok FROM rev GROUP BY 1
+UNION ALL SELECT 'run-idle', 0, FALSE"""
+SQL["event_log"] = with_(LOTS, OUTCOMES) + """
+, ends AS (
+  SELECT source_row, lote_id,
+    CASE cadastro_status WHEN 'SUCESSO' THEN 'INFO' WHEN 'REJEITADO_NEGOCIO' THEN 'WARNING' ELSE 'ERROR' END AS level,
+    CASE cadastro_status WHEN 'SUCESSO' THEN 'CADASTRO_WEB_CONCLUIDO' WHEN 'REJEITADO_NEGOCIO' THEN 'CADASTRO_WEB_REJEITADO'
+         ELSE CASE WHEN starts_with(cadastro_error, 'TIMEOUT: ') THEN 'TIMEOUT_AO_CARREGAR_COMPROVANTE' ELSE 'CADASTRO_WEB_FALHOU' END END AS code
+  FROM outcomes
+  UNION ALL SELECT source_row, lote_id, 'INFO', 'CADASTRO_WEB_INICIADO' FROM outcomes
+), lines AS (
+  SELECT *, TIMESTAMP '2024-01-10 00:00:00' + to_days(CAST(source_row % 3 AS INTEGER)) + to_seconds(source_row) AS moment FROM ends
+)
+SELECT '1' AS run, strftime(moment, '%Y-%m-%d') AS day, level, code, 'bot-produtor' AS bot_id, CAST(count(*) AS BIGINT) AS n,
+  CAST(sum(source_row) AS BIGINT) AS rows, CAST(count(lote_id) AS BIGINT) AS n_lote, min(strftime(moment, '%H:%M:%S')) AS first_time
+FROM lines WHERE moment >= TIMESTAMP '2024-01-11 00:00:07' GROUP BY ALL"""
 SQL["report_versions"] = """
 WITH r AS (
   SELECT event_id AS run_key,
@@ -502,23 +573,34 @@ SELECT run_key, report, day, run_no,
   report || '_' || day || CASE WHEN run_no > 1 THEN '_' || CAST(run_no AS VARCHAR) ELSE '' END || '.xlsx' AS file_name
 FROM n"""
 
+SQL["report_claims"] = _PUB + f"""
+, sheets AS (
+  SELECT 'resumo' AS sheet, (SELECT CAST(count(DISTINCT batch_id) * {len(K.SUMMARY_METRICS)} AS BIGINT) FROM handoff) AS n
+  UNION ALL SELECT 'divergencias', (SELECT CAST(count(*) AS BIGINT) FROM pcons)
+  UNION ALL SELECT 'falhas_tecnicas', CAST(0 AS BIGINT)
+)
+SELECT file_name, sheet, n FROM sheets, (VALUES ('relatorio_divergencias_14062026.xlsx'), ('relatorio_divergencias_14062026_2.xlsx'),
+  ('relatorio_divergencias_15062026.xlsx')) AS f (file_name)"""
+
 _LVIOL = viol_cte("lviol", "ev", "item_id, lote_id, lot_key")
 SQL["normalise_report_rows"] = with_(LOTS, ev_cte("ev", "lots"), _LVIOL) + f"""
 SELECT coalesce(lote_id, '') AS lote_id,
-  CASE WHEN lot_key % 6 IN (0, 1, 4) THEN regra_violada
-       WHEN lot_key % 6 = 2 AND regra_violada <> 'RN01' THEN regra_violada
+  CASE WHEN lot_key % 6 IN (0, 1) OR lot_key % 12 = 4 THEN regra_violada
+       WHEN (lot_key % 6 = 2 OR lot_key % 12 = 10) AND regra_violada <> 'RN01' THEN regra_violada
        WHEN lot_key % 6 = 3 AND regra_violada = 'RN02' THEN 'RN02'
        ELSE {q(K.UNCLASSIFIED_RULE)} END AS regra_violada,
-  CASE WHEN lot_key % 6 IN (0, 1, 4) THEN descricao_do_erro
-       WHEN lot_key % 6 = 2 AND regra_violada <> 'RN01' THEN descricao_do_erro
+  CASE WHEN lot_key % 6 IN (0, 1) OR lot_key % 12 = 4 THEN descricao_do_erro
+       WHEN (lot_key % 6 = 2 OR lot_key % 12 = 10) AND regra_violada <> 'RN01' THEN descricao_do_erro
        WHEN lot_key % 6 = 3 AND regra_violada = 'RN02' THEN rtrim(descricao_do_erro, '.')
        ELSE {q(K.NO_DESCRIPTION)} END AS descricao_do_erro,
-  CASE WHEN lot_key % 6 IN (0, 4) THEN acao_recomendada ELSE {q(K.DEFAULT_ACTION)} END AS acao_recomendada,
-  CASE WHEN lot_key % 6 IN (0, 4) THEN severidade ELSE {q(K.SEV_MEDIUM)} END AS severidade
+  CASE WHEN lot_key % 6 = 0 OR lot_key % 12 = 4 THEN acao_recomendada ELSE {q(K.DEFAULT_ACTION)} END AS acao_recomendada,
+  CASE WHEN lot_key % 6 = 0 OR lot_key % 12 = 4 THEN severidade ELSE {q(K.SEV_MEDIUM)} END AS severidade
 FROM lviol"""
 
 SQL["audit_events"] = CONSUMER + """
-SELECT item_id, 'produtor' AS stage,
+SELECT item_id, 'produtor' AS stage, batch_id, lote_id, source_row, 'INFO' AS level, 'CADASTRO_WEB_INICIADO' AS event FROM outcomes_p
+UNION ALL
+SELECT item_id, 'produtor', batch_id, lote_id, source_row,
   CASE cadastro_status WHEN 'SUCESSO' THEN 'INFO' WHEN 'REJEITADO_NEGOCIO' THEN 'WARNING' ELSE 'ERROR' END AS level,
   CASE WHEN cadastro_status = 'SUCESSO' THEN 'CADASTRO_WEB_CONCLUIDO evidencia=' || evidence_path
        WHEN cadastro_status = 'REJEITADO_NEGOCIO' THEN 'CADASTRO_WEB_REJEITADO evidencia=' || evidence_path || ' motivo=' || cadastro_error
@@ -526,7 +608,7 @@ SELECT item_id, 'produtor' AS stage,
        ELSE 'CADASTRO_WEB_FALHOU erro=' || cadastro_error || ' evidencia=' || evidence_path END AS event
 FROM outcomes_p
 UNION ALL
-SELECT s.item_id, 'validador',
+SELECT s.item_id, 'validador', s.batch_id, h.lote_id, h.source_row,
   CASE WHEN s.error_type = 'SYSTEM' THEN 'ERROR' WHEN s.datapool_state = 'DONE' THEN 'INFO' ELSE 'WARNING' END,
   CASE WHEN s.error_type = 'SYSTEM' THEN 'ITEM_CADASTRO_FALHA_TECNICA'
        WHEN h.cadastro_status = 'REJEITADO_NEGOCIO' THEN 'ITEM_CADASTRO_REJEITADO'
@@ -552,49 +634,87 @@ UNION ALL
 SELECT batch_id, 'validador', CAST(count(*) AS BIGINT), CAST(count(*) - count_if(datapool_state = 'DONE') AS BIGINT),
   CAST(count_if(datapool_state = 'DONE') AS BIGINT) FROM cstate GROUP BY batch_id"""
 SQL["run_records"] = with_(LOTS, ev_cte("ev", "lots"), viol_cte("viol", "ev"), _HDR) + """
-SELECT l.batch_id, any_value(l.source_file) AS arquivo_processado,
-  CAST(CASE WHEN any_value(s.ok) THEN count(*) ELSE 0 END AS BIGINT) AS total_registros,
-  CAST(CASE WHEN any_value(s.ok) THEN count(DISTINCT v.item_id) ELSE 0 END AS BIGINT) AS total_divergencias,
-  CASE WHEN any_value(s.ok) THEN 'SUCESSO' ELSE 'ERRO_ESTRUTURA' END AS status_execucao,
-  CASE WHEN any_value(s.ok) THEN NULL ELSE any_value(s.message) END AS erro
-FROM lots l JOIN structure s USING (batch_id) LEFT JOIN (SELECT DISTINCT item_id FROM viol) v USING (item_id)
-GROUP BY l.batch_id"""
+, r0 AS (
+  SELECT l.batch_id, any_value(l.source_file) AS f, any_value(l.reference_date) AS rd, CAST(substr(any_value(l.reference_date), 1, 2) AS INTEGER) AS dd,
+    count(*) AS n, count(v.item_id) AS dv
+  FROM lots l LEFT JOIN (SELECT DISTINCT item_id FROM viol) v USING (item_id) GROUP BY l.batch_id
+), r1 AS (
+  SELECT r0.*, s.message, CASE WHEN dd IN (15, 16, 17) THEN 'ERRO_ARQUIVO' WHEN NOT s.ok THEN 'ERRO_ESTRUTURA' WHEN dd = 25 THEN 'ERRO_PROCESSAMENTO' ELSE 'SUCESSO' END AS st
+  FROM r0 JOIN structure s USING (batch_id)
+)
+SELECT batch_id, strftime(strptime(rd, '%d/%m/%Y'), '%Y-%m-%dT08:00:00') AS timestamp_inicio, strftime(strptime(rd, '%d/%m/%Y'), '%Y-%m-%dT08:01:30') AS timestamp_fim,
+  f AS arquivo_processado, CASE WHEN dd = 15 THEN NULL ELSE md5(batch_id) END AS hash_md5,
+  CAST(CASE WHEN st IN ('SUCESSO', 'ERRO_PROCESSAMENTO') THEN n ELSE 0 END AS BIGINT) AS total_registros,
+  CAST(CASE WHEN st = 'SUCESSO' THEN dv ELSE 0 END AS BIGINT) AS total_divergencias, st AS status_execucao,
+  CASE WHEN dd = 15 THEN 'Arquivo não encontrado: ' || f WHEN dd = 16 THEN 'File is not a zip file' WHEN dd = 17 THEN 'Planilha sem cabeçalho: ' || f
+       WHEN st = 'ERRO_ESTRUTURA' THEN message WHEN st = 'ERRO_PROCESSAMENTO' THEN 'time data ''99/99/9999'' does not match format ''%d/%m/%Y''' END AS erro
+FROM r1"""
 SQL["all_exceptions"] = _PUB + """
 SELECT item_id, 'produtor' AS origin FROM outcomes WHERE cadastro_status <> 'SUCESSO'
 UNION ALL SELECT item_id, 'validador' FROM pcons"""
-SQL["verify_run"] = _PUB + """,
-vp AS (
-  SELECT batch_id, count(*) AS n_rows, count_if(cadastro_status = 'SUCESSO') AS published,
-    count_if(cadastro_status = 'REJEITADO_NEGOCIO') AS rejected,
-    count_if(evidence_name <> '' AND evidence_path <> '') AS n_named,
-    count_if(starts_with(evidence_name, 'comprovante_')) AS n_comprovante,
-    count_if(starts_with(evidence_name, 'rejeicao_')) AS n_rejeicao
-  FROM outcomes_p GROUP BY batch_id
-),
-vc AS (
-  SELECT s.batch_id, count(*) AS n_states, count_if(datapool_state = 'PROCESSING') AS n_processing,
-    count_if(datapool_state = 'DONE') AS n_done, count_if(datapool_state = 'ERROR') AS n_error,
-    count_if(error_type = 'BUSINESS') AS n_business, count(c.item_id) AS n_divergent
-  FROM pstate s LEFT JOIN pcons c USING (item_id) GROUP BY s.batch_id
+
+# Measures of a batch as they are (vm), and what the faults of a day make of them (vf).
+_VERIFY = _PUB + f""",
+vo AS (
+  SELECT batch_id, any_value({_DAY}) AS dd, count(*) AS n_rows, count_if(cadastro_status = 'SUCESSO') AS published,
+    count_if(cadastro_status = 'REJEITADO_NEGOCIO') AS rejected, count_if(cadastro_status <> 'SUCESSO') AS flow
+  FROM outcomes GROUP BY batch_id
 ),
-vb AS (
-  SELECT p.*, coalesce(c.n_states, 0) AS n_states, coalesce(c.n_processing, 0) AS n_processing,
-    coalesce(c.n_done, 0) AS n_done, coalesce(c.n_error, 0) AS n_error, coalesce(c.n_business, 0) AS n_business,
-    coalesce(c.n_divergent, 0) AS n_divergent
-  FROM vp p LEFT JOIN vc c USING (batch_id)
+vp AS (
+  SELECT s.batch_id, count(*) AS n, count_if(h.source_row % 2 = 0) AS n_even,
+    count_if(datapool_state = 'DONE') AS done, count_if(datapool_state = 'DONE' AND h.source_row % 2 = 0) AS done_even,
+    count_if(datapool_state = 'ERROR') AS err, count_if(datapool_state = 'ERROR' AND h.source_row % 2 = 0) AS err_even,
+    count_if(c.item_id IS NOT NULL AND contains(c.regra_violada, 'RN06')) AS review,
+    count_if(c.item_id IS NOT NULL AND contains(c.regra_violada, 'RN06') AND h.source_row % 2 = 0) AS review_even
+  FROM pstate s JOIN handoff h USING (item_id) LEFT JOIN pcons c USING (item_id) GROUP BY s.batch_id
 ),
-vl AS (
-  SELECT batch_id, 'publicados_processados' AS "check", published AS expected, n_states AS actual FROM vb
-  UNION ALL SELECT batch_id, 'sem_processing', 0, n_processing FROM vb
-  UNION ALL SELECT batch_id, 'done_mais_error', n_states, n_done + n_error FROM vb
-  UNION ALL SELECT batch_id, 'divergentes_business', n_divergent, n_business FROM vb
-  UNION ALL SELECT batch_id, 'evidencias_nomeadas', n_rows, n_named FROM vb
-  UNION ALL SELECT batch_id, 'evidencias_comprovante', published, n_comprovante FROM vb
-  UNION ALL SELECT batch_id, 'evidencias_rejeicao', rejected, n_rejeicao FROM vb
-)
-SELECT batch_id, "check", CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual,
-  CAST(expected AS BIGINT) = CAST(actual AS BIGINT) AS ok
-FROM vl"""
+vm AS (
+  SELECT o.*, coalesce(p.n, 0) AS n, coalesce(n_even, 0) AS n_even, coalesce(done, 0) AS done, coalesce(done_even, 0) AS done_even,
+    coalesce(err, 0) AS err, coalesce(err_even, 0) AS err_even, coalesce(review, 0) AS review, coalesce(review_even, 0) AS review_even
+  FROM vo o LEFT JOIN vp p USING (batch_id)
+)"""
+
+
+def _verify_rows(fault: bool) -> str:
+    """A row per batch and check; a fault changes one side on its day."""
+
+    def side(value: str, **days: str) -> str:
+        arms = " ".join(f"WHEN dd = {d[1:]} THEN {v}" for d, v in days.items()) if fault else ""
+        return f"CASE {arms} ELSE {value} END" if arms else value
+
+    at, has = "CASE WHEN n > 0 THEN {} ELSE 0 END", "n > 0"
+    states = side("n", d1="n - n_even")
+    done = side("done", d1="done - done_even", d2="done - done_even", d3="done - done_even")
+    error = side("err", d1="err - err_even", d2="err - err_even", d3="err - err_even")
+    shown = side("err", d14="err - err_even")
+    checks = [
+        ("publicados_processados", "published", states),
+        ("sem_processing", "0", side("0", d2="n_even")),
+        ("done_mais_error", states, f"({done}) + ({error})"),
+        ("divergentes_business", shown, side("err", d1="err - err_even", d4="err - err_even + n_even")),
+        ("pendente_removido", "0", side("0", d6=at.format(1))),
+        ("resumo_produtor", "published", side("published", d7="published + 1")),
+        ("erros_fluxo", side("flow", d8="flow + 2"), "flow"),
+        ("resumo_validador", states, side("n", d10=at.format("n + 3"))),
+        ("evidencias_nomeadas", states, side("n", d1="n - n_even", d5="n - n_even")),
+        ("evidencias_arquivos", "n_rows", side("n_rows", d11="n_rows - published", d12="n_rows - rejected")),
+        ("evidencias_comprovante", "published", side("published", d11="0")),
+        ("evidencias_rejeicao", "rejected", side("rejected", d12="0")),
+        ("relatorio_resumo", str(len(K.SUMMARY_METRICS)), side(at.format(len(K.SUMMARY_METRICS)), d13=at.format(len(K.SUMMARY_METRICS) - 1))),
+        ("relatorio_divergencias", "err", shown),
+        ("relatorio_lotes_validados", "done", side("done", d16="done - done_even")),
+        ("relatorio_rejeicoes_cadastro", side("0", d17=at.format(1)), "0"),
+        ("relatorio_falhas_tecnicas", side("0", d18=at.format(1)), "0"),
+        ("relatorio_revisao_humana", "review", side("review", d19="review - review_even")),
+        ("log_contexto", "0", side("0", d20="n")),
+        ("log_produtor", "1", side("1", d23="0")),
+        ("log_validador", "1", side(at.format(1), d24="0")),
+    ]
+    return "\nUNION ALL ".join(f"""SELECT batch_id, '{c}' AS "check", CAST({e} AS BIGINT) AS expected, CAST({a} AS BIGINT) AS actual FROM vm""" for c, e, a in checks)
+
+
+SQL["verify_run"] = _VERIFY + f"SELECT *, expected = actual AS ok FROM ({_verify_rows(False)})"
+SQL["verify_faults"] = _VERIFY + f"SELECT * FROM ({_verify_rows(True)}) WHERE expected <> actual"
 SQL["guarded_rule"] = BASE + """
 SELECT item_id,
   CASE WHEN try_strptime(data, '%d/%m/%Y') IS NULL THEN 'ERRO_PROCESSAMENTO' ELSE 'RN01_FUTURA' END AS regra_violada
@@ -606,6 +726,36 @@ SELECT item_id, evidence_name, (lot_key % 61 <> 12) AS listed FROM outcomes_p"""
 SQL["read_pending"] = FULL + "SELECT batch_id, item_id FROM handoff"
 SQL["read_pending_newest"] = FULL + "SELECT batch_id, item_id FROM handoff WHERE batch_id = (SELECT max(batch_id) FROM handoff)"
 
+SQL["pending_envelope"] = FULL + """
+SELECT batch_id, CAST(count(*) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS received, TRUE AS ok,
+  (SELECT CAST(count(*) AS BIGINT) FROM ref) AS n_reference, (SELECT min(lote_id) FROM ref) AS first_reference, (SELECT max(lote_id) FROM ref) AS last_reference
+FROM handoff GROUP BY batch_id"""
+SQL["processed_batches"] = _PUB + f"""
+SELECT h.batch_id, CAST(count(*) AS BIGINT) AS total, any_value({_DAY}) % 2 = 0 OR any_value({_DAY}) = 7 AS open,
+  CAST(CASE WHEN any_value({_DAY}) % 2 = 1 THEN count(*) ELSE 0 END AS BIGINT) AS n_processed,
+  CAST(CASE WHEN any_value({_DAY}) % 2 = 1 THEN count_if(datapool_state = 'ERROR') ELSE 0 END AS BIGINT) AS n_error
+FROM handoff h JOIN pstate USING (item_id) GROUP BY h.batch_id"""
+
+SQL["normalise_status"] = BASE + f"""
+SELECT item_id, status AS status_original, s_norm AS status,
+  CASE s_canon WHEN 'OK' THEN {q(K.RN05_OK_DESC)} WHEN 'NOK' THEN {q(K.RN05_NOK_DESC)} END AS divergencia_rn05 FROM ev"""
+SQL["review_routing"] = BASE + f"""
+SELECT item_id, lote_id, s_norm AS status, {rule_desc('RN06')} AS divergencia_rn04, TRUE AS status_ambiguo, 'revisao_humana' AS fila_destino
+FROM ev WHERE {rule_pred('RN06')}"""
+SQL["serialise_typed"] = BASE + """
+SELECT item_id, coalesce(strftime(try_strptime(data, '%d/%m/%Y'), '%d/%m/%Y'), '') AS data, reference_date AS observacao FROM lots"""
+_REFSHEET = f"""
+rs0 AS (
+  SELECT batch_id, row_idx, lote_id, {_DAY} AS dd, unnest(CASE WHEN row_idx % 3 = 0 THEN [0, 1] ELSE [0] END) AS twice FROM lots
+),
+rs AS (
+  SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY row_idx, twice) AS line, count(*) OVER (PARTITION BY batch_id) AS lines FROM rs0
+)"""
+SQL["reference_sheet_ids"] = with_(LOTS, _REFSHEET) + """
+SELECT DISTINCT batch_id, trim(lote_id) AS lote_id FROM rs
+WHERE dd <> 14 AND coalesce(trim(lote_id), '') <> '' AND line <= lines - CASE WHEN dd = 12 THEN 1 ELSE 0 END"""
+SQL["reference_layout"] = BASE + f"""
+SELECT DISTINCT batch_id, {_DAY} <> 14 AS ok, CASE WHEN {_DAY} <> 14 THEN '' ELSE {q(K.REFERENCE_MISSING_COLUMN)} END AS message FROM lots"""
 # --- streaming twins -------------------------------------------------------------
 SQL["stream_validate"] = _PUB + "SELECT item_id, regra_violada, descricao_do_erro FROM pcons"
 SQL["stream_dedupe"] = FULL + "SELECT item_id, batch_id FROM handoff"

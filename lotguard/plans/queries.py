@@ -4,6 +4,8 @@ returns a DataFrame over whole derived tables."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +13,18 @@ from pyspark.sql import functions as F
 from lotguard.functions import constants as K
 from lotguard.functions.exprs import strip
 from lotguard.operators import admission as A
+from lotguard.operators import eventlog as EL
 from lotguard.operators import landing as L
 from lotguard.operators import queue as QU
 from lotguard.operators import report as RP
 from lotguard.operators import rules as R
 from lotguard.operators import runs as RU
 from lotguard.operators import validate as VAL
+from lotguard.operators import verify as VF
+from lotguard.operators.store import BatchTable, commit_processed, open_batches, pending_check, read_pending
 from lotguard.plans import fixtures as FX
-from lotguard.session import scratch_dir
+from lotguard.plans import jobs
+from lotguard.session import scratch_dir, written
 from lotguard.sources import testdata as td
 from lotguard.sources.tables import read_table
 from lotguard.streaming import stream as ST
@@ -238,31 +244,40 @@ def _queue(spark, d):
 
 @register("bounded_queue_read")
 def q_bounded_queue_read(spark, d):
-    return QU.bounded_read(_queue(spark, d)).select("task_id", "item_id")
+    return QU.bounded_read(_queue(spark, d), FX.queue_tasks(spark, d)).select("task_id", "item_id", "foreign")
 
 
 @register("batch_integrity")
 def q_batch_integrity(spark, d):
-    return QU.batch_integrity(_queue(spark, d))
+    return QU.batch_integrity(_queue(spark, d), FX.queue_tasks(spark, d), FX.taken_up_sessions(spark, d))
 
 
-def _failed_batches(spark, d):
-    return QU.batch_integrity(_queue(spark, d)).select("batch_id", F.col("message").alias("error"))
+def _session(spark, d):
+    """The items that the tasks of the queue session read, written once."""
+    placed = written(QU.placed_items(_queue(spark, d)), "placed")
+    return written(QU.acquired_items(placed, QU.replay(placed, FX.queue_tasks(spark, d))), "acquired")
+
+
+def _session_states(spark, d):
+    """Items of failed sessions are ERROR/SYSTEM, others have their own state."""
+    got = _session(spark, d)
+    failed = QU.item_errors(got)
+    good = got.where("problem is null").select("item_id").distinct().join(failed.select("item_id"), "item_id", "left_anti")
+    states = VAL.item_state(FX.published_evaluated(spark, d)).join(good, "item_id", "left_semi")
+    return states.select("item_id", "datapool_state", "error_type", "finish_message").unionByName(VAL.error_states(failed))
 
 
 @register("processed_state")
 def q_processed_state(spark, d):
-    """K3: final states of the batches whose consumption succeeded."""
-    states = VAL.item_state(FX.published_evaluated(spark, d))
-    ok = states.join(_failed_batches(spark, d), "batch_id", "left_anti")
-    return ok.select("item_id", "datapool_state", "error_type", "finish_message")
+    """K3: all columns of the items that sessions read, with their final state."""
+    return QU.processed_state(_session_states(spark, d), FX.handoff(spark, d))
 
 
 @register("still_pending")
 def q_still_pending(spark, d):
-    pending = FX.handoff(spark, d).select("batch_id")
-    processed = pending.distinct().join(_failed_batches(spark, d), "batch_id", "left_anti")
-    return QU.still_pending(pending, processed)
+    """Batches of which no item has been read."""
+    read = FX.handoff(spark, d).join(_session(spark, d).select("item_id").distinct(), "item_id", "left_semi")
+    return QU.still_pending(FX.handoff(spark, d), read.select("batch_id").distinct())
 
 
 @register("abort_states")
@@ -295,25 +310,59 @@ def q_duplicate_items(spark, d):
     return QU.duplicate_items(_with_copies(spark, d))
 
 
+def _published(spark, d):
+    """The hand-off in two publishes, that of the greatest batch last; a third
+    one breaks off before its commit."""
+    rows = FX.handoff(spark, d)
+    last = rows.agg(F.max("batch_id")).first()[0]
+    pending = BatchTable(spark, scratch_dir(spark, "pending"))
+    pending.publish(rows.where(F.col("batch_id") != last), FX.reference(spark, d))
+    pending.publish(rows.where(F.col("batch_id") == last).repartition(3), FX.reference(spark, d))
+    pending.stage(rows.withColumn("batch_id", F.lit("broken-off")), "p9-broken-off")
+    return pending
+
+
 @register("read_pending")
 def q_read_pending(spark, d):
-    """S9 over the whole backlog: hand-off published as JSON files, read back
-    with the hand-off schema."""
-    rows = FX.handoff(spark, d)
-    path = scratch_dir(spark, "pending")
-    A.publish(rows, path, fmt="json", by_batch=False)
-    return QU.read_pending(spark, path, rows.schema, mode="all").select("batch_id", "item_id")
+    """S9 over the whole backlog."""
+    return read_pending(_published(spark, d), mode="all").select("batch_id", "item_id")
 
 
 @register("read_pending_newest")
 def q_read_pending_newest(spark, d):
     """The batch published last, whole."""
-    rows = FX.handoff(spark, d)
-    last = rows.agg(F.max("batch_id")).first()[0]
-    path = scratch_dir(spark, "pending")
-    A.publish(rows.where(F.col("batch_id") != last), path, fmt="json", by_batch=False)
-    A.publish(rows.where(F.col("batch_id") == last).repartition(3), path, fmt="json", by_batch=False)
-    return QU.read_pending(spark, path, rows.schema).select("batch_id", "item_id")
+    return read_pending(_published(spark, d)).select("batch_id", "item_id")
+
+
+@register("pending_envelope")
+def q_pending_envelope(spark, d):
+    """Each committed batch with its total, what is there of it, and the
+    reference list of its publish (count, first and last of the sorted ids)."""
+    pending = _published(spark, d)
+    ids = pending.reference().groupBy("publish").agg(
+        F.count(F.lit(1)).alias("n_reference"), F.min("lote_id").alias("first_reference"), F.max("lote_id").alias("last_reference"))
+    both = pending_check(pending).join(pending.manifest().select("batch_id", "publish"), "batch_id")
+    return both.join(ids, "publish").drop("publish")
+
+
+@register("processed_batches")
+def q_processed_batches(spark, d):
+    """Batches of odd days are processed in one commit and are no longer
+    open; those of day 7 are published again afterwards and are open again."""
+    rows, day = FX.handoff(spark, d), F.substring("reference_date", 1, 2).cast("int")
+    folder = scratch_dir(spark, "batches")
+    pending, processed = BatchTable(spark, f"{folder}/pending"), BatchTable(spark, f"{folder}/processed")
+    pending.publish(rows)
+    states = VAL.item_state(FX.published_evaluated(spark, d)).drop("batch_id")
+    read = read_pending(pending, processed, mode="all").where(day % 2 == 1)
+    commit_processed(processed, QU.processed_state(states, read))
+    pending.publish(rows.where(day == 7))
+    still = open_batches(pending, processed).select("batch_id", F.lit(True).alias("open"))
+    done = processed.rows().groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_processed"), F.count_if(F.col("datapool_state") == K.STATE_ERROR).alias("n_error"))
+    both = pending.manifest().select("batch_id", "total").join(still, "batch_id", "left").join(done, "batch_id", "left")
+    zero = F.lit(0).cast("long")
+    return both.select("batch_id", "total", F.coalesce("open", F.lit(False)).alias("open"),
+                       F.coalesce("n_processed", zero).alias("n_processed"), F.coalesce("n_error", zero).alias("n_error"))
 
 
 # --- stored copies and read-back (D4, D5) ---------------------------------------
@@ -336,23 +385,41 @@ def q_latest_stored(spark, d):
 def q_stored_lots(spark, d):
     from lotguard.sources.stored import parse_stored
 
-    return parse_stored(FX.stored_json(spark, d))
+    return parse_stored(FX.stored_json(spark, d)).drop("doc_id", "position")
 
 
 # --- runs, events, reports -------------------------------------------------------
 
 def _events(spark, d):
-    return RU.events_since(td.run_events(spark, d), td.RUN_STARTED_AT)
+    """Each run's events since its own start."""
+    events = FX.run_events(spark, d)
+    return EL.events_of_runs(EL.events_since(events, td.RUN_STARTED_AT), FX.run_starts(spark, d))
 
 
 @register("run_events_window")
 def q_run_events_window(spark, d):
-    return _events(spark, d).groupBy("execution_id").agg(F.count(F.lit(1)).alias("n"))
+    return _events(spark, d).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
 
 
 @register("verify_log_context")
 def q_verify_log_context(spark, d):
-    return RU.log_context(_events(spark, d), "bot-a")
+    """Runs with another bot, another execution or no event fail."""
+    return EL.log_context(_events(spark, d), "bot-a", FX.run_starts(spark, d))
+
+
+@register("event_log")
+def q_event_log(spark, d):
+    """The producer's events as JSON lines over three days, and the lines
+    since a moment of the second one."""
+    row = F.col("source_row")
+    at = F.timestamp_seconds(F.lit(1704844800) + 86400 * (row % 3) + row)
+    lines = EL.log_lines(EL.producer_events(FX.outcomes(spark, d)), "exec-1", jobs.PRODUCER_BOT, at)
+    root = scratch_dir(spark, "log")
+    EL.write_event_log(lines, root, "1")
+    got = EL.read_event_log(spark, root, "2024-01-11 00:00:07.5")
+    return got.groupBy("run", "day", "level", F.split("message", " ").getItem(0).alias("code"), "bot_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("source_row").cast("long").alias("rows"), F.count("lote_id").alias("n_lote"),
+        F.min(F.date_format("timestamp", "HH:mm:ss")).alias("first_time"))
 
 
 @register("report_versions")
@@ -367,6 +434,19 @@ def q_report_versions(spark, d):
     return RP.report_versions(runs)
 
 
+@register("report_claims")
+def q_report_claims(spark, d):
+    """K6/K4: three runs, two of them on one local day; each leaves its report."""
+    tables = VAL.report_tables(FX.published_evaluated(spark, d))
+    tables = {t: tables[t] for t in ("resumo", "divergencias", "falhas_tecnicas")}
+    root, parts = scratch_dir(spark, "reports"), []
+    for moment in (datetime(2026, 6, 14, 12), datetime(2026, 6, 15, 3), datetime(2026, 6, 15, 4)):
+        for table, path in RP.write_report(tables, root, K.DIVERGENCE_REPORT, moment).items():
+            name = path.split("/file=")[1].split("/")[0]
+            parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("file_name"), F.lit(table).alias("sheet"), "n"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("normalise_report_rows")
 def q_normalise_report_rows(spark, d):
     return RP.normalise_report_rows(FX.loose(spark, d))
@@ -374,8 +454,8 @@ def q_normalise_report_rows(spark, d):
 
 @register("audit_events")
 def q_audit_events(spark, d):
-    states = VAL.item_state(FX.consumer_evaluated(spark, d), keep=("cadastro_status",))
-    return RU.audit_events(FX.outcomes(spark, d), states)
+    states = VAL.item_state(FX.consumer_evaluated(spark, d), keep=("cadastro_status", "lote_id", "source_row"))
+    return EL.audit_events(FX.outcomes(spark, d), states)
 
 
 @register("run_status")
@@ -404,24 +484,17 @@ def q_run_totals(spark, d):
 
 @register("run_records")
 def q_run_records(spark, d):
-    """K7/G6 direct path: one run record per sheet; a sheet whose header
-    breaks the contract ends in ERRO_ESTRUTURA with zero totals."""
-    ev = FX.evaluated(spark, d)
-    agg = ev.groupBy("batch_id").agg(
-        F.first("source_file").alias("arquivo_processado"),
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.size("violations") > 0).alias("_d"),
-    )
-    check = L.structure_check(FX.headers(spark, d))
-    j = agg.join(check, "batch_id")
-    ok = F.col("ok")
-    return j.select(
-        "batch_id", "arquivo_processado",
-        F.when(ok, F.col("_n")).otherwise(F.lit(0).cast("long")).alias("total_registros"),
-        F.when(ok, F.col("_d")).otherwise(F.lit(0).cast("long")).alias("total_divergencias"),
-        F.when(ok, F.lit("SUCESSO")).otherwise(F.lit("ERRO_ESTRUTURA")).alias("status_execucao"),
-        F.when(ok, F.lit(None).cast("string")).otherwise(F.col("message")).alias("erro"),
-    )
+    """K7/G6 direct path: one record per expected file: files that are missing or
+    no workbook, sheets without a header or with a broken one, reference dates
+    that are no date."""
+    expected = FX.expected_files(spark, d)
+    dated = td.with_bad_reference(FX.lots(spark, d))
+    errors = R.bad_reference_dates(dated)
+    ev = R.evaluate(dated.join(errors.select("batch_id"), "batch_id", "left_anti"), FX.reference(spark, d))
+    per = ev.groupBy("batch_id").agg(F.count_if(F.size("violations") > 0).alias("n_divergent"))
+    totals = dated.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows")).join(per, "batch_id", "left")
+    check = L.structure_check(FX.headers(spark, d)).join(expected.where(F.col("day") == 17).select("batch_id"), "batch_id", "left_anti")
+    return RU.run_records(expected, td.found_files(expected), check, errors, totals)
 
 
 @register("all_exceptions")
@@ -434,8 +507,17 @@ def q_all_exceptions(spark, d):
 
 @register("verify_run")
 def q_verify_run(spark, d):
-    states = VAL.item_state(FX.published_evaluated(spark, d), keep=("violations",))
-    return RU.verify_outputs(FX.outcomes(spark, d), states)
+    """G11 over the written outputs of a producer and a consumer run."""
+    return VF.verify(FX.run_outputs(spark, d))
+
+
+@register("verify_faults")
+def q_verify_faults(spark, d):
+    """G11 over the same outputs with a fault for each check: the checks that
+    found one."""
+    outputs = FX.run_outputs(spark, d)
+    days = FX.expected_files(spark, d).select("batch_id", "day")
+    return VF.verify(td.faulty_outputs(outputs, days)).where(~F.col("ok")).drop("ok")
 
 
 @register("guarded_rule")
@@ -454,6 +536,53 @@ def q_evidence_coverage(spark, d):
     return A.evidence_coverage(out, td.evidence_listing(out))
 
 
+@register("normalise_status")
+def q_normalise_status(spark, d):
+    """P4, table form: every row, mapped or not."""
+    return R.normalise_status(FX.lots(spark, d)).select("item_id", "status_original", "status", "divergencia_rn05")
+
+
+@register("review_routing")
+def q_review_routing(spark, d):
+    """P5: rows on their way to the review queue."""
+    return R.review_routing(FX.evaluated(spark, d)).select(
+        "item_id", "lote_id", "status", "divergencia_rn04", "status_ambiguo", "fila_destino")
+
+
+@register("serialise_typed")
+def q_serialise_typed(spark, d):
+    """S8 with typed date cells."""
+    lots = FX.lots(spark, d)
+    typed = lots.withColumns({"data": F.try_to_date("data", "d/M/yyyy"), "observacao": F.try_to_date("reference_date", "d/M/yyyy").cast("timestamp_ntz")})
+    return A.serialise(typed).select("item_id", "data", "observacao")
+
+
+@register("reference_sheet_ids")
+def q_reference_sheet_ids(spark, d):
+    """S4 from the workbooks' reference sheets."""
+    return L.reference_list(FX.grid(spark, d))
+
+
+@register("reference_layout")
+def q_reference_layout(spark, d):
+    return L.reference_layout_check(FX.grid(spark, d))
+
+
+@register("admission_readback")
+def q_admission_readback(spark, d):
+    """A3 with A5: outcomes of rows that were looked up in the target system."""
+    return A.admit(FX.lots(spark, d), FX.stored(spark, d)).select("item_id", "cadastro_status", "cadastro_error", "cadastro_error_type", "evidence_name")
+
+
+@register("latest_stored_listed")
+def q_latest_stored_listed(spark, d):
+    """W6 over the listed documents: of records of one time the first counts."""
+    from lotguard.sources.stored import parse_stored
+
+    rows = parse_stored(FX.stored_json(spark, d)).select("lote_id", "criadoEm", "linha", "doc_id", "position")
+    return A.latest_stored(rows)
+
+
 # --- streaming (oracles are the batch twins) -------------------------------------
 
 

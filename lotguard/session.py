@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CONF = {
     "spark.ui.enabled": "false",
@@ -66,3 +66,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared checkpoint location and read it back: its
+    lineage ends there, and what reads it twice computes it once."""
+    path = f"{scratch_dir(df.sparkSession, name)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

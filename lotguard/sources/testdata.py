@@ -7,6 +7,8 @@ filtered out to make a check cheaper.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,8 +155,12 @@ def stored(handoff_rows: DataFrame) -> DataFrame:
 def stored_json(stored_rows: DataFrame, chunk: int = 64) -> DataFrame:
     """D5 JSON form: browser-storage documents, each a JSON array of at most
     ``chunk`` objects (so no document grows with a batch). Objects use
-    'numero' instead of 'lote_id' for k%83=8. Adds one invalid and one
+    'numero' instead of 'lote_id' for k%83=8. For k%73=7 a second record of the
+    same time (linha L7) follows in the list. Adds one invalid and one
     non-array document per chunk group of k%997=0 rows."""
+    later = stored_rows.where((F.col("_k") % 73 == 7) & F.col("id").endswith("#0"))
+    later = later.withColumns({"id": F.regexp_replace("id", "#0$", "#3"), "linha": F.lit("L7")})
+    stored_rows = stored_rows.unionByName(later)
     obj = F.when(
         F.col("_k") % 83 == 8,
         F.to_json(F.struct("id", F.col("lote_id").alias("numero"), *STORED_FIELDS[1:], "criadoEm")),
@@ -172,56 +178,101 @@ def stored_json(stored_rows: DataFrame, chunk: int = 64) -> DataFrame:
 
 def queue_session(handoff_rows: DataFrame) -> DataFrame:
     """The shared queue. Queue (task) = batch month; FIFO position seq =
-    batch date then source row; batch_total + 1 on day-of-month 13."""
+    batch date then source row; batch_total + 1 on day-of-month 13. The batches
+    of days 19 and 20 are published at once: their items alternate."""
     date_key = F.date_format(_batch_date(), "yyyyMMdd").cast("long")
+    day = _day_of_month()
+    second = (day == 20).cast("int")
+    seq = F.when(day.isin(19, 20), (date_key - second) * F.lit(1_000_000) + 2 * F.col("source_row") + second) \
+           .otherwise(date_key * F.lit(1_000_000) + F.col("source_row"))
     return handoff_rows.select(
         F.date_format(_batch_date(), "yyyy-MM").alias("queue_id"),
-        (date_key * F.lit(1_000_000) + F.col("source_row")).alias("seq"),
+        seq.alias("seq"),
         "item_id", "batch_id", "source_row",
-        F.when(_day_of_month() == 13, F.col("batch_total") + 1).otherwise(F.col("batch_total")).alias("batch_total"),
+        F.when(day == 13, F.col("batch_total") + 1).otherwise(F.col("batch_total")).alias("batch_total"),
+        day.alias("day"),
     )
 
 
-def sheet_grid(lots_rows: DataFrame) -> DataFrame:
-    """Raw sheet grid (batch_id, sheet_name, row_no, cells).
+def queue_tasks(queue: DataFrame) -> DataFrame:
+    """The consumer tasks of D8, by the day of the batch that they start at.
+
+    A task has the parameters its publisher gave it (the batch, the total it
+    declared); none on days 3, 10, 17, 24 and 31; on day 8 the total is half of
+    the declared one, and a second task without parameters takes the rest; on
+    day 22 the batch is another one; nobody starts on day 26. One task a queue
+    starts behind its end."""
+    placed = number_within(queue, ["queue_id"], "seq", out="place")
+    first = placed.groupBy("queue_id", "batch_id").agg(
+        F.min("place").alias("start"), F.max("batch_total").alias("total"), F.max("day").alias("day"))
+    none, day = F.lit(None), F.col("day")
+    bare = day % 7 == 3
+    half = F.ceil(F.col("total") / 2).cast("int")
+    task = F.concat(F.lit("task-"), "batch_id")
+    main = first.where(day != 26).select(
+        task.alias("task_id"), "queue_id", "start",
+        F.when(bare, none).when(day == 22, F.concat("batch_id", F.lit("-x"))).otherwise(F.col("batch_id")).alias("batch_id"),
+        F.when(bare, none).when(day == 8, half).otherwise(F.col("total")).cast("int").alias("batch_total"))
+    rest = first.where((day == 8) & (F.col("total") > 1)).select(
+        F.concat(task, F.lit("-rest")).alias("task_id"), "queue_id", (F.col("start") + half).cast("int").alias("start"),
+        F.lit("").alias("batch_id"), F.lit(0).alias("batch_total"))
+    behind = placed.groupBy("queue_id").agg((F.max("place") + 6).alias("start")).select(
+        F.concat(F.lit("task-behind-"), "queue_id").alias("task_id"), "queue_id", "start", none.cast("string").alias("batch_id"), none.cast("int").alias("batch_total"))
+    return main.unionByName(rest).unionByName(behind)
+
+
+def taken_up_sessions(queue: DataFrame) -> DataFrame:
+    """Sessions taken up again, one a queue and a pair of days (1 and 2, 3
+    and 4, ...), with the items of both and the total that the pair has; one
+    more than that for days 5 and 6."""
+    pair = F.floor((F.col("day") + 1) / 2)
+    rows = queue.select(F.concat_ws("-", F.lit("session"), "queue_id", pair.cast("string")).alias("task_id"), "item_id", "batch_id", pair.alias("_pair"))
+    total = rows.groupBy("task_id").agg((F.count(F.lit(1)) + F.max(F.when(F.col("_pair") == 3, 1).otherwise(0))).cast("int").alias("batch_total"))
+    return rows.drop("_pair").join(total, "task_id")
+
 
-    Row 1 title; row 2 'Registros: n' (blank on day 9); row 3 header; data from
-    row 4; an all-null row after the first data row on day 11; a footer row
-    after the data. n counts the rows between header and footer."""
+def sheet_grid(lots_rows: DataFrame) -> DataFrame:
+    """Raw workbook grids (batch_id, sheet_no, sheet_name, row_no, cells).
+
+    Sheet 0, the inspection: row 1 title; row 2 'Registros: n' (blank on day 9);
+    row 3 header; data from row 4; an all-null row after the first data row on
+    day 11; a footer row after the data. n counts the rows between header and
+    footer. Sheet 1, the reference list: row 1 'Registros: n' (one less than
+    there are on day 12); row 2 header (without lote_id on day 14); the lot ids
+    between spaces, those of every third row twice."""
     day = _day_of_month()
     per_batch = lots_rows.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("row_idx") % 3 == 0).alias("twice"),
         F.first("reference_date").alias("reference_date"),
     )
     sheet = F.when(_day_of_month() == 21, F.lit("Plan1")).otherwise(
         F.concat(F.lit("Inspecao_"), F.regexp_replace("reference_date", "/", "_")))
     null_row = (_day_of_month() == 11).cast("int")
-    header = per_batch.select(
-        "batch_id", sheet.alias("sheet_name"), F.lit(3).alias("row_no"),
-        F.array(*[F.lit(c) for c in K.CONTRACT_COLUMNS]).alias("cells"),
-    )
-    title = per_batch.select("batch_id", sheet.alias("sheet_name"), F.lit(1).alias("row_no"),
-                             F.array(F.lit("Inspeção diária de lotes"), F.lit(None).cast("string")).alias("cells"))
-    total = per_batch.select(
-        "batch_id", sheet.alias("sheet_name"), F.lit(2).alias("row_no"),
-        F.array(F.when(day != 9, F.concat(F.lit("Registros: "), (F.col("n") + null_row).cast("string")))
-                 .otherwise(F.lit("")), F.lit(None).cast("string")).alias("cells"),
-    )
-    footer = per_batch.select(
-        "batch_id", sheet.alias("sheet_name"), (F.col("n") + null_row + 4).cast("int").alias("row_no"),
-        F.array(F.lit("Total"), F.col("n").cast("string"), *[F.lit(None).cast("string")] * 6).alias("cells"),
-    )
-    blank_row = per_batch.where(day == 11).select(
-        "batch_id", sheet.alias("sheet_name"), F.lit(5).alias("row_no"),
-        F.array(*[F.lit(None).cast("string")] * 8).alias("cells"),
-    )
-    data = lots_rows.select(
-        "batch_id", sheet.alias("sheet_name"),
-        (F.col("row_idx") + 4 + F.when((day == 11) & (F.col("row_idx") >= 1), 1).otherwise(0)).cast("int").alias("row_no"),
-        F.array(*[F.col(c) for c in K.CONTRACT_COLUMNS]).alias("cells"),
-    )
-    return title.unionByName(total).unionByName(header).unionByName(blank_row) \
-        .unionByName(data).unionByName(footer)
+    text = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, no: int, name, row_no, cells) -> DataFrame:
+        return df.select("batch_id", F.lit(no).alias("sheet_no"), name.alias("sheet_name"), row_no.cast("int").alias("row_no"), cells.alias("cells"))
+
+    header = rows(per_batch, 0, sheet, F.lit(3), F.array(*[F.lit(c) for c in K.CONTRACT_COLUMNS]))
+    title = rows(per_batch, 0, sheet, F.lit(1), F.array(F.lit("Inspeção diária de lotes"), text))
+    total = rows(per_batch, 0, sheet, F.lit(2), F.array(
+        F.when(day != 9, F.concat(F.lit("Registros: "), (F.col("n") + null_row).cast("string"))).otherwise(F.lit("")), text))
+    footer = rows(per_batch, 0, sheet, F.col("n") + null_row + 4, F.array(F.lit("Total"), F.col("n").cast("string"), *[text] * 6))
+    blank_row = rows(per_batch.where(day == 11), 0, sheet, F.lit(5), F.array(*[text] * 8))
+    data = rows(lots_rows, 0, sheet, F.col("row_idx") + 4 + F.when((day == 11) & (F.col("row_idx") >= 1), 1).otherwise(0),
+                F.array(*[F.col(c) for c in K.CONTRACT_COLUMNS]))
+    base = F.lit(K.REFERENCE_SHEET)
+    declared = F.col("n") + F.col("twice") - (day == 12).cast("int")
+    ref_total = rows(per_batch, 1, base, F.lit(1), F.array(F.concat(F.lit("Registros: "), declared.cast("string"))))
+    ref_header = rows(per_batch, 1, base, F.lit(2), F.array(F.lit("codigo"), F.when(day == 14, F.lit("lote")).otherwise(F.lit("lote_id"))))
+    # every third row (0, 3, ...) takes two lines, the row itself first
+    line = F.col("row_idx") + F.floor((F.col("row_idx") + 2) / 3) + 3
+    cells = F.array(F.col("row_idx").cast("string"), F.concat(F.lit(" "), "lote_id", F.lit(" ")))
+    ref_data = rows(lots_rows, 1, base, line, cells)
+    ref_twice = rows(lots_rows.where(F.col("row_idx") % 3 == 0), 1, base, line + 1, cells)
+    parts = [title, total, header, blank_row, data, footer, ref_total, ref_header, ref_data, ref_twice]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def headers(lots_rows: DataFrame) -> DataFrame:
@@ -238,12 +289,15 @@ def headers(lots_rows: DataFrame) -> DataFrame:
 
 
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Structured log events from the events table."""
+    """Log events of ten runs from the events table. Some events of run 3
+    carry another bot, some of run 7 another execution."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    no = F.col("user_id") % 10
     return ev.select(
         "event_id",
-        F.concat(F.lit("exec-"), (F.col("user_id") % 10).cast("string")).alias("execution_id"),
-        F.when(F.col("event_id") % 500 == 0, F.lit("bot-b")).otherwise(F.lit("bot-a")).alias("bot_id"),
+        F.concat(F.lit("run-"), no.cast("string")).alias("run_id"),
+        F.when((no == 7) & (F.col("event_id") % 5 == 1), F.lit("exec-x")).otherwise(F.concat(F.lit("exec-"), no.cast("string"))).alias("execution_id"),
+        F.when((no == 3) & (F.col("event_id") % 5 == 0), F.lit("bot-b")).otherwise(F.lit("bot-a")).alias("bot_id"),
         F.when(F.col("event_type") == "error", F.lit("ERROR"))
          .when(F.col("event_type") == "signup", F.lit("WARNING")).otherwise(F.lit("INFO")).alias("level"),
         F.col("event_type").alias("message"),
@@ -254,6 +308,19 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 RUN_STARTED_AT = "2024-01-10 00:00:00.5"
 
 
+def run_starts(events: DataFrame) -> DataFrame:
+    """The runs (run_id, execution_id, started_at). A run starts half a
+    second into the second of its first event since RUN_STARTED_AT, so that this
+    event may lie before the start, but not before its second; a further run
+    has no events."""
+    since = F.date_trunc("second", F.lit(RUN_STARTED_AT).cast("timestamp_ntz"))
+    first = events.where(F.col("timestamp") >= since).groupBy("run_id").agg(F.min("timestamp").alias("t"))
+    runs = first.select("run_id", F.regexp_replace("run_id", "run", "exec").alias("execution_id"),
+                        (F.date_trunc("second", "t") + F.expr("INTERVAL 0.5 SECOND")).alias("started_at"))
+    idle = events.sparkSession.range(1).select(F.lit("run-idle").alias("run_id"), F.lit("exec-idle").alias("execution_id"), since.alias("started_at"))
+    return runs.unionByName(idle)
+
+
 def evidence_listing(outcomes_rows: DataFrame) -> DataFrame:
     """The evidence files that exist; one per admitted row, missing when
     k % 61 = 12."""
@@ -263,24 +330,29 @@ def evidence_listing(outcomes_rows: DataFrame) -> DataFrame:
 def loose_divergences(evaluated_rows: DataFrame) -> DataFrame:
     """D1 violations in the mixed shapes a report writer may receive,
     chosen by lot_key % 6: 0 flat full, 1 flat 'regra'/'descricao', 2 only a
-    divergencia_rnXX column, 3 only campos_vazios, 4 nested list per row,
-    5 nothing but the lot id."""
+    divergencia_rnXX column, 3 only campos_vazios, 4 nested list per row (its
+    children full, or for lot_key % 12 = 10 with a divergencia_rnXX only), 5
+    nothing but the lot id."""
     from lotguard.operators.report import LOOSE_FIELDS
 
     shape = (F.col("lot_key") % 6).cast("int")
-    v = evaluated_rows.where(F.size("violations") > 0).select("lote_id", "violations", shape.alias("_shape"))
+    v = evaluated_rows.where(F.size("violations") > 0).select("lote_id", "violations", shape.alias("_shape"), (F.col("lot_key") % 12 == 10).alias("_bare"))
     none = F.lit(None).cast("string")
-    div_cols = ("divergencia_rn01",) + K.DIVERGENCE_COLUMNS
+    div_cols = K.DIVERGENCE_COLUMNS
+    fields = (*LOOSE_FIELDS, *div_cols, "campos_vazios")
+
+    def child(x: Column) -> Column:
+        full = {"regra_violada": x["regra"], "descricao_do_erro": x["descricao"], "acao_recomendada": x["acao"], "severidade": x["severidade"]}
+        bare = {c: F.when(F.lower(x["regra"]) == c.removeprefix("divergencia_"), x["descricao"]) for c in div_cols}
+        return F.struct(*[F.when(F.col("_bare"), bare[f]).alias(f) if f in bare else F.when(~F.col("_bare"), full[f]).alias(f) if f in full else none.alias(f)
+                          for f in fields])
+
     nested = v.where(F.col("_shape") == 4).select(
         "lote_id",
         *[none.alias(c) for c in LOOSE_FIELDS if c != "lote_id"],
         *[none.alias(c) for c in div_cols],
         none.alias("campos_vazios"),
-        F.transform("violations", lambda x: F.struct(
-            none.alias("lote_id"), x["regra"].alias("regra_violada"), none.alias("regra"),
-            x["descricao"].alias("descricao_do_erro"), none.alias("descricao"),
-            x["acao"].alias("acao_recomendada"), x["severidade"].alias("severidade"),
-        )).alias("divergencias"),
+        F.transform("violations", child).alias("divergencias"),
     )
     flat = v.where(F.col("_shape") != 4).select("lote_id", "_shape", F.inline("violations"))
     s = F.col("_shape")
@@ -296,7 +368,68 @@ def loose_divergences(evaluated_rows: DataFrame) -> DataFrame:
         *[F.when((s == 2) & (F.lower("regra") == c.removeprefix("divergencia_")), F.col("descricao")).alias(c)
           for c in div_cols],
         F.when((s == 3) & (F.col("regra") == "RN02"), empties).alias("campos_vazios"),
-        F.lit(None).cast(
-            "array<struct<" + ",".join(f"{f}:string" for f in LOOSE_FIELDS) + ">>").alias("divergencias"),
+        F.lit(None).cast("array<struct<" + ",".join(f"{f}:string" for f in fields) + ">>").alias("divergencias"),
     )
     return flat_rows.unionByName(nested)
+
+
+def expected_files(lots_rows: DataFrame) -> DataFrame:
+    """The sheets that should be there, one a batch, with the start and end
+    of their check."""
+    day = _batch_date()
+    return lots_rows.groupBy("batch_id").agg(F.first("source_file").alias("arquivo_processado"), F.first("reference_date").alias("reference_date")).select(
+        "batch_id", "arquivo_processado", F.date_format(day, "yyyy-MM-dd'T08:00:00'").alias("timestamp_inicio"),
+        F.date_format(day, "yyyy-MM-dd'T08:01:30'").alias("timestamp_fim"), _day_of_month().alias("day"))
+
+
+def found_files(expected: DataFrame) -> DataFrame:
+    """The files that are there: none on day 15; on day 16 no workbooks."""
+    return expected.where(F.col("day") != 15).select(
+        "batch_id", F.md5("batch_id").alias("hash_md5"), F.when(F.col("day") == 16, F.lit("File is not a zip file")).alias("unreadable"))
+
+
+def with_bad_reference(lots_rows: DataFrame) -> DataFrame:
+    """D1 with a reference date that is no date on day 25."""
+    return lots_rows.withColumn("reference_date", F.when(_day_of_month() == 25, F.lit("99/99/9999")).otherwise(F.col("reference_date")))
+
+
+def _row_no(item_id: str = "item_id") -> Column:
+    return F.substring_index(item_id, ":", -1).cast("int")
+
+
+def faulty_outputs(tables: dict[str, DataFrame], days: DataFrame) -> dict[str, DataFrame]:
+    """A run's written outputs, damaged by the day of their batch, a fault
+    for each check (rows of even source rows; whole batches for the others).
+    ``days``: batch_id, day."""
+    out = {name: df.join(days, "batch_id") for name, df in tables.items()}
+    day, even = F.col("day"), lambda c: F.col(c) % 2 == 0
+
+    def lost(name: str, on: int, rows: Column | None = None) -> None:
+        out[name] = out[name].where(~((day == on) & (F.lit(True) if rows is None else rows)))
+
+    def changed(name: str, column: str, on: int, value, rows: Column | None = None) -> None:
+        here = (day == on) & (F.lit(True) if rows is None else rows)
+        out[name] = out[name].withColumn(column, F.when(here, value).otherwise(F.col(column)))
+
+    lost("processed", 1, even("source_row"))
+    changed("processed", "datapool_state", 2, F.lit(K.STATE_PROCESSING), even("source_row"))
+    changed("processed", "datapool_state", 3, F.lit("LOST"), even("source_row"))
+    changed("processed", "error_type", 4, F.lit(K.ERROR_BUSINESS), even("source_row"))
+    changed("processed", "evidence_path", 5, F.lit(""), even("source_row"))
+    again = out["processed"].where(day == 6).groupBy("batch_id", "day").agg(F.count(F.lit(1)).alias("total"))
+    out["open_batches"] = out["open_batches"].select("batch_id", "day", "total").unionByName(again)
+    changed("producer_summary", "itens_publicados_datapool", 7, F.col("itens_publicados_datapool") + 1)
+    changed("producer_summary", "erros_fluxo", 8, F.col("erros_fluxo") + 2)
+    changed("consumer_summary", "total_registros", 10, F.col("total_registros") + 3)
+    lost("evidence", 11, F.col("name").startswith(K.EVIDENCE_OK))
+    lost("evidence", 12, F.col("name").startswith(K.EVIDENCE_REJECTED))
+    lost("report/resumo", 13, F.col("metrica") == K.SUMMARY_METRICS[2])
+    lost("report/divergencias", 14, _row_no() % 2 == 0)
+    lost("report/lotes_validados", 16, _row_no() % 2 == 0)
+    changed("consumer_summary", "total_rejeicoes_cadastro", 17, F.lit(1))
+    changed("consumer_summary", "total_falhas_tecnicas", 18, F.lit(1))
+    lost("report/revisao_humana", 19, _row_no() % 2 == 0)
+    changed("log", "ok", 20, F.lit(False), F.col("stage") == "validador")
+    lost("log", 23, F.col("stage") == "produtor")
+    lost("log", 24, F.col("stage") == "validador")
+    return out

@@ -108,13 +108,13 @@ def test_report_tables_of_two_stage_run(spark):
     outcomes = A.admit(golden_df(spark))
     ev = VAL.validate_handoff(A.handoff(outcomes, reference_df(spark)))
     tables = VAL.report_tables(ev)
-    assert set(tables) == set(VAL.REPORT_TABLES)
+    assert set(tables) == set(K.REPORT_TABLES)
     counts = {k: v.count() for k, v in tables.items()}
     assert counts["divergencias"] == 8
     assert counts["lotes_validados"] == 16
     assert counts["rejeicoes_cadastro"] == 0 and counts["falhas_tecnicas"] == 0
     assert counts["revisao_humana"] == 2
-    assert tables["falhas_tecnicas"].columns == list(K.REGISTRATION_COLUMNS)
+    assert tables["falhas_tecnicas"].columns == ["batch_id", *K.REGISTRATION_COLUMNS]
     resumo = {r["metrica"]: r["valor"] for r in tables["resumo"].collect()}
     assert resumo["total_regras_violadas"] == 9
 

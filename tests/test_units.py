@@ -254,23 +254,217 @@ def test_interleaved_and_short_batches(spark):
     assert {b: p for b, (p, _) in found.items()} == {"A": "foreign_item", "C": "incomplete"} and all(m for _, m in found.values())
 
 
-def test_read_pending_newest_and_all(spark, tmp_path):
-    import time as _t
-
-    schema = "batch_id string, item_id string"
-    old = spark.createDataFrame([("A", "a1"), ("A", "a2")], schema)
-    new = spark.createDataFrame([("B", "b1")], schema)
-    A.publish(old, str(tmp_path / "p"), fmt="json", by_batch=False)
-    _t.sleep(1.1)
-    A.publish(new, str(tmp_path / "p"), fmt="json", by_batch=False)
-    newest = QU.read_pending(spark, str(tmp_path / "p"), schema, mode="newest")
-    assert sorted(tuple(r) for r in newest.collect()) == [("B", "b1")]
-    assert QU.read_pending(spark, str(tmp_path / "p"), schema, mode="all").count() == 3
-    A.publish(spark.createDataFrame([("C", f"c{i}") for i in range(10)], schema).repartition(4), str(tmp_path / "p"), fmt="json", by_batch=False)
-    assert QU.read_pending(spark, str(tmp_path / "p"), schema).count() == 10
-    (tmp_path / "e").mkdir()
+def test_tasks_with_parameters(spark):
+    """A parameter overrides the first item's batch and total; a read stops at a
+    foreign item, at its total, or where the queue ends."""
+    rows = [("q", i, f"i{i}", b, t) for i, (b, t) in enumerate([("A", 3), ("A", 3), ("A", 3), ("B", 1), ("A", 9), ("C", 0), ("C", 0), ("D", -1), (None, None)])]
+    q = spark.createDataFrame(rows, "queue_id string, seq long, item_id string, batch_id string, batch_total int")
+    tasks = spark.createDataFrame([
+        ("whole", "q", 0, None, None), ("half", "q", 0, "A", 2), ("rest", "q", 2, "", 0), ("more", "q", 0, "A", 5), ("other", "q", 3, "A", 1),
+        ("free", "q", 5, None, 0), ("negative", "q", 7, None, 0), ("last", "q", 8, None, 0), ("behind", "q", 9, "Z", 4), ("nowhere", "x", 0, None, 0)],
+        "task_id string, queue_id string, start long, batch_id string, batch_total int")
+    placed = QU.placed_items(q)
+    got = {r["task_id"]: (r["batch_id"], r["own"], r["stop"] - r["start"], r["problem"]) for r in QU.replay(placed, tasks).collect()}
+    assert got == {
+        "whole": ("A", 3, 3, None), "half": ("A", 2, 2, None), "rest": ("A", 1, 2, "foreign_item"), "more": ("A", 3, 4, "foreign_item"),
+        "other": ("A", 0, 1, "foreign_item"), "free": ("C", 2, 3, "foreign_item"), "negative": ("D", 1, 2, "foreign_item"), "last": ("", 1, 1, None),
+        "behind": ("Z", 0, 0, "empty"), "nowhere": ("", 0, 0, "empty")}
+    reads = QU.bounded_read(q, tasks).where("task_id in ('rest', 'more')").orderBy("task_id", "item_id").collect()
+    assert [(r["task_id"], r["item_id"], r["foreign"]) for r in reads] == [
+        ("more", "i0", False), ("more", "i1", False), ("more", "i2", False), ("more", "i3", True), ("rest", "i2", False), ("rest", "i3", True)]
+    errors = {r["item_id"]: r["error"] for r in QU.item_errors(QU.acquired_items(placed, QU.replay(placed, tasks))).collect()}
+    assert set(errors) == {"i0", "i1", "i2", "i3", "i5", "i6", "i7", "i8"}
+    assert errors["i3"] == K.MSG_FOREIGN_ITEM.format(item="B", target="A") and errors["i7"] == K.MSG_FOREIGN_ITEM.format(item="D", target="C")
+    empty = QU.placed_items(q.where("false"))
+    assert QU.replay(empty, tasks).where("problem <> 'empty'").count() == 0 and QU.replay(empty).count() == 0
+
+
+def test_replay_over_block_borders(spark, monkeypatch):
+    """Blocks of four places: a plain replay in Python says the same."""
+    import random
+
+    monkeypatch.setattr(QU, "BLOCK", 4)
+    rnd = random.Random(2)
+    rows, batch = [], "A"
+    for queue in ("q", "r"):
+        for i in range(60):
+            batch = rnd.choice([batch, batch, batch, "A", "B", "C"])
+            rows.append((queue, 3 * i + (queue == "r"), f"{queue}{i}", batch, 5))
+    tasks = [(f"t{n}", rnd.choice("qr"), rnd.randrange(64), rnd.choice([None, "A", "B"]), rnd.choice([0, 2, 9])) for n in range(80)]
+    want = {}
+    for task, queue, start, named, total in tasks:
+        own, target, stop = 0, named, start
+        for _, _, _, b, t in [r for r in rows if r[0] == queue][start:]:
+            target = target or b
+            if own == (total or t):
+                break
+            stop += 1
+            if b != target:
+                break
+            own += 1
+        want[task] = (own, stop)
+    q = spark.createDataFrame(rows, "queue_id string, seq long, item_id string, batch_id string, batch_total int")
+    t = spark.createDataFrame(tasks, "task_id string, queue_id string, start long, batch_id string, batch_total int")
+    placed = QU.placed_items(q)
+    assert {r["task_id"]: (r["own"], r["stop"]) for r in QU.replay(placed, t).collect()} == want
+    got = {r[0]: r[1] for r in QU.acquired_items(placed, QU.replay(placed, t)).groupBy("task_id").count().collect()}
+    assert got == {x: stop - start for x, _, start, _, _ in tasks for _, stop in [want[x]] if stop > start}
+
+
+def test_sessions_without_order(spark):
+    rows = [("s1", "a", "A", 2), ("s1", "b", "B", 2), ("s2", "c", "C", 3), ("s3", "d", "D", 1), ("s4", "e", "E", 0), ("s4", "f", "E", 0)]
+    df = spark.createDataFrame(rows, "task_id string, item_id string, batch_id string, batch_total int")
+    got = {r["task_id"]: (r["problem"], r["message"]) for r in QU.mixed_sessions(df).collect()}
+    assert got == {"s1": ("mixed", "Foram consumidos lotes mistos: ['A', 'B']"), "s2": ("incomplete", "Lote incompleto: esperados 3, recebidos 1.")}
+
+
+def _table(spark, path):
+    from lotguard.operators.store import BatchTable
+
+    return BatchTable(spark, str(path))
+
+
+def test_batch_table_commits(spark, tmp_path):
+    from lotguard.operators import store as S
+
+    schema = "batch_id string, source_row int, item_id string"
+    rows = lambda *data: spark.createDataFrame(list(data), schema)
+    pending, processed = _table(spark, tmp_path / "p"), _table(spark, tmp_path / "d")
     with pytest.raises(FileNotFoundError, match="Nenhum lote pendente"):
-        QU.read_pending(spark, str(tmp_path / "e"), schema)
+        S.read_pending(pending, processed)
+    reference = spark.createDataFrame([(" L2 ",), ("L1",), ("L1",), ("",), (None,)], "lote_id string")
+    pending.publish(rows(("A", 4, "a1"), ("A", 5, "a2"), ("B", 4, "b1")), reference)
+    pending.publish(rows(("C", 4, "c1")))
+    pending.stage(rows(("D", 4, "d1"), ("A", 4, "half")), "p9-not-committed")
+    assert [tuple(r) for r in S.read_pending(pending).select("batch_id", "item_id").collect()] == [("C", "c1")]
+    assert sorted(r["item_id"] for r in S.read_pending(pending, mode="all").collect()) == ["a1", "a2", "b1", "c1"]
+    assert [r["lote_id"] for r in pending.reference().orderBy("lote_id").collect()] == ["L1", "L2"]
+    assert all(r["ok"] for r in S.pending_check(pending).collect())
+    # a batch is processed: it is no longer pending, nothing is deleted
+    done = S.read_pending(pending, processed, mode="all").where("batch_id in ('A', 'C')").withColumn("datapool_state", F.lit("DONE"))
+    S.commit_processed(processed, done)
+    assert [r["batch_id"] for r in S.open_batches(pending, processed).collect()] == ["B"]
+    # published again, it is pending again, by its latest rows only
+    pending.publish(rows(("A", 4, "a9")))
+    assert sorted(r["batch_id"] for r in S.open_batches(pending, processed).collect()) == ["A", "B"]
+    assert [r["item_id"] for r in S.read_pending(pending, processed).collect()] == ["a9"]
+    assert sorted(r["item_id"] for r in pending.rows().collect()) == ["a9", "b1", "c1"]
+    S.commit_processed(processed, S.read_pending(pending, processed, mode="all").withColumn("datapool_state", F.lit("ERROR")))
+    got = {(r["batch_id"], r["item_id"]): r["datapool_state"] for r in processed.rows().collect()}
+    assert got == {("A", "a9"): "ERROR", ("B", "b1"): "ERROR", ("C", "c1"): "DONE"}
+
+
+def test_lost_rows_of_a_batch_are_noticed(spark, tmp_path):
+    from lotguard.operators import store as S
+
+    pending = _table(spark, tmp_path / "p")
+    publish = pending.publish(spark.createDataFrame([("A", i, f"a{i}") for i in range(50)], "batch_id string, source_row int, item_id string"))
+    some = pending.rows().where("source_row <> 7").persist()
+    assert some.count() == 49
+    some.write.mode("overwrite").parquet(f"{pending.root}/data/publish={publish}")
+    some.unpersist()
+    with pytest.raises(ValueError, match="Lote incompleto: esperados 50, recebidos 49"):
+        S.read_pending(pending)
+    assert [r["ok"] for r in S.pending_check(pending).collect()] == [False]
+
+
+def test_envelope_files(spark, tmp_path):
+    import json
+    import os
+
+    from lotguard.operators import store as S
+
+    for n, batch in enumerate(["batch-2", "batch-1"]):
+        items = [{"item_id": f"{batch}:{i}", "batch_id": batch, "lote_id": "L", "source_file": "s.xlsx"} for i in range(2 + n)]
+        path = tmp_path / f"{batch}.pending.json"
+        path.write_text(json.dumps({"batch_id": batch, "reference_lote_ids": ["L"], "total": len(items), "items": items}, indent=2))
+        os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
+    (tmp_path / "batch-0.processed.json").write_text("{}")
+    got = S.read_envelope_files(spark, str(tmp_path))
+    assert {(r["batch_id"], r["envelope_total"], r["linha"]) for r in got.collect()} == {("batch-1", 3, None)} and got.count() == 3
+    assert S.read_envelope_files(spark, str(tmp_path), mode="all").count() == 5
+    with pytest.raises(FileNotFoundError, match="Nenhum lote pendente"):
+        S.read_envelope_files(spark, str(tmp_path / "none"))
+
+
+def test_report_claims(spark, tmp_path):
+    from datetime import datetime
+    from threading import Thread
+
+    root = str(tmp_path / "r")
+    noon = datetime(2026, 6, 14, 12)
+    assert [RP.claim_report(spark, root, "r", noon) for _ in range(3)] == ["r_14062026.xlsx", "r_14062026_2.xlsx", "r_14062026_3.xlsx"]
+    assert RP.claim_report(spark, root, "r", datetime(2026, 6, 15, 3)) == "r_14062026_4.xlsx"  # still the 14th there
+    names: list[str] = []
+    writers = [Thread(target=lambda: names.append(RP.claim_report(spark, root, "s", noon))) for _ in range(6)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    assert len(set(names)) == 6
+    old = RP.existing_reports(spark, root)
+    runs = spark.createDataFrame([(1, "r", noon)], "k int, report string, started_at timestamp_ntz").withColumnRenamed("k", "run_key")
+    assert RP.report_versions(runs, existing=old).first()["file_name"] == "r_14062026_5.xlsx"
+
+
+def test_flow_error_report_refuses_empty_input(spark, tmp_path):
+    empty = spark.createDataFrame([], "item_id string")
+    with pytest.raises(ValueError, match="exige ao menos um item"):
+        RP.write_flow_errors({"resumo": empty, "erros_fluxo": empty}, str(tmp_path))
+
+
+def test_bad_reference_date_fails_the_run(spark):
+    df = lots(spark, [CLEAN])
+    with pytest.raises(ValueError, match="99/99/2026"):
+        R.evaluate(df, None, reference_date="99/99/2026")
+    assert R.evaluate(df, None, reference_date="").count() == 1
+    two = df.withColumn("reference_date", F.lit("x")).unionByName(df.withColumns({"reference_date": F.lit(""), "batch_id": F.lit("b2")}))
+    assert [tuple(r) for r in R.bad_reference_dates(two).collect()] == [("b1", K.BAD_REFERENCE_DATE.format(text="x"))]
+
+
+def test_event_log_lines(spark, tmp_path):
+    from lotguard.operators import eventlog as EL
+
+    root = str(tmp_path / "log")
+    events = spark.createDataFrame([("INFO", "CADASTRO_WEB_INICIADO", "b", "L1", 4, "2026-08-03 01:52:35.9")], "level string, event string, batch_id string, lote_id string, source_row int, at string")
+    lines = EL.log_lines(events.withColumn("at", F.to_timestamp("at")), "exec-1", "bot-a", "at")
+    path = EL.write_event_log(lines, root, "r1")
+    with pytest.raises(Exception, match="already exists"):
+        EL.write_event_log(lines, root, "r1")
+    more = tmp_path / "log" / "run=r1" / "day=2026-08-03" / "x.json"
+    more.write_text('\n{"timestamp": "2026-08-02T21:52:35-0400", "bot_id": "bot-b"}\n\nno json\n{"bot_id": "bot-c"}\n{"timestamp": "2026-08-02T21:52:34-0400"}\n')
+    got = EL.read_event_log(spark, root, "2026-08-03 01:52:35.956434").collect()
+    fine = sorted((r["bot_id"], str(r["timestamp"])) for r in got if r["_corrupt"] is None)
+    assert fine == [("bot-a", "2026-08-03 01:52:35"), ("bot-b", "2026-08-03 01:52:35")]
+    assert sorted(r["_corrupt"] for r in got if r["_corrupt"] is not None) == ["", "no json"]
+    own = [r for r in got if r["bot_id"] == "bot-a"][0]
+    assert (own["execution_id"], own["batch_id"], own["lote_id"], own["source_row"], own["message"], own["run"]) == ("exec-1", "b", "L1", 4, "CADASTRO_WEB_INICIADO", "r1")
+    assert "day=2026-08-03" in [r["path"] for r in __import__("lotguard.sources.files", fromlist=["x"]).listing(spark, path).collect()][0]
+
+
+def test_log_context_of_runs(spark):
+    from lotguard.operators import eventlog as EL
+
+    events = spark.createDataFrame([("r1", "e1", "bot-a"), ("r1", "e1", "bot-a"), ("r2", "e2", "bot-a"), ("r2", "e9", "bot-a"), ("r3", "e3", "bot-b"), ("r4", None, "bot-a")],
+                                   "run_id string, execution_id string, bot_id string")
+    runs = spark.createDataFrame([(f"r{i}", f"e{i}") for i in range(1, 6)], "run_id string, execution_id string")
+    got = {r["run_id"]: (r["n"], r["ok"]) for r in EL.log_context(events, "bot-a", runs).collect()}
+    assert got == {"r1": (2, True), "r2": (2, False), "r3": (1, False), "r4": (1, False), "r5": (0, False)}
+
+
+def test_verify_needs_every_table(spark):
+    from lotguard.operators import verify as VF
+
+    with pytest.raises(KeyError, match="processed"):
+        VF.verify({"outcomes": spark.createDataFrame([], "batch_id string")})
+
+
+def test_next_within(spark):
+    from lotguard.operators.sequence import next_within
+
+    df = spark.createDataFrame([("a", 1), ("a", 9), ("a", 10), ("b", 3), ("a", 40)], "g string, o long")
+    got = {(r["g"], r["o"]): r["next"] and r["next"]["o"] for r in next_within(df, ["g"], "o", ["o"], block_width=4).collect()}
+    assert got == {("a", 1): 9, ("a", 9): 10, ("a", 10): 40, ("a", 40): None, ("b", 3): None}
 
 
 def test_workbook_sheets_totals_and_dates(spark):
@@ -303,18 +497,9 @@ def test_latest_stored_strips_keys_and_breaks_ties(spark):
     assert [tuple(r) for r in A.latest_stored(df).collect()] == [("LG-1", "2026-01-02", "L2")]
 
 
-def test_publish_by_batch_replaces_only_its_batches(spark, tmp_path):
-    schema = "batch_id string, item_id string"
-    path = str(tmp_path / "h")
-    A.publish(spark.createDataFrame([("A", "a1"), ("B", "b1")], schema), path)
-    A.publish(spark.createDataFrame([("B", "b2")], schema), path)
-    got = sorted((r["batch_id"], r["item_id"]) for r in spark.read.parquet(path).collect())
-    assert got == [("A", "a1"), ("B", "b2")]
-
-
 def test_report_sink_keeps_empty_tables(spark, tmp_path):
     empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in K.REGISTRATION_COLUMNS))
-    out = RP.write_report({"rejeicoes_cadastro": empty}, str(tmp_path), "relatorio_divergencias", "1")
+    out = RP.write_report({"rejeicoes_cadastro": empty}, str(tmp_path), "relatorio_divergencias")
     back = spark.read.parquet(out["rejeicoes_cadastro"])
     assert back.count() == 0 and back.columns == list(K.REGISTRATION_COLUMNS)
 
@@ -333,7 +518,7 @@ def test_fingerprint_files(spark, tmp_path):
 
 
 def test_events_since_truncates_start_to_the_second(spark):
-    from lotguard.operators import runs as RU
+    from lotguard.operators import eventlog as EL
 
     ev = spark.createDataFrame([
         ("exec-1", "bot-a", "2024-01-10 00:00:00"),
@@ -341,9 +526,9 @@ def test_events_since_truncates_start_to_the_second(spark):
         ("exec-1", "bot-b", "2024-01-10 00:00:01"),
     ], "execution_id string, bot_id string, timestamp string") \
         .withColumn("timestamp", F.to_timestamp_ntz("timestamp"))
-    win = RU.events_since(ev, "2024-01-10 00:00:00.5")
+    win = EL.events_since(ev, "2024-01-10 00:00:00.5")
     assert win.count() == 2
-    ctx = RU.log_context(win, "bot-a").first()
+    ctx = EL.log_context(win, "bot-a").first()
     assert (ctx["n"], ctx["ok"]) == (2, False)
 
 
@@ -373,11 +558,3 @@ def test_nested_children_keep_rule_columns(spark):
     df = spark.createDataFrame([(*child(lote_id="P"), kids)], f"{text}, divergencias array<struct<{text.replace(' string', ':string')}>>")
     got = sorted((r["lote_id"], r["regra_violada"], r["descricao_do_erro"]) for r in RP.normalise_report_rows(df).collect())
     assert got == [("L2", "RN02", K.RN02_DESC_PREFIX + "turno"), ("P", "RN03", "fora da base"), ("P", "RN07", "x")]
-
-
-def test_log_context_of_a_run_with_two_execution_ids(spark):
-    from lotguard.operators import runs as RU
-
-    events = spark.createDataFrame([("e1", "bot-a"), ("e1", "bot-a"), ("e2", "bot-a"), (None, "bot-a")], "execution_id string, bot_id string")
-    got = {r["execution_id"]: (r["n"], r["ok"]) for r in RU.log_context(events, "bot-a", "e1").collect()}
-    assert got == {"e1": (2, True), "e2": (1, False), None: (1, False)}
