@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lotguard.functions import constants as K
 from lotguard.functions.exprs import base_name, strip
 from lotguard.operators.sequence import number_within
+from lotguard.session import written
 
 
 def first_sheet(grid: DataFrame) -> DataFrame:
@@ -92,7 +93,8 @@ def sheet_to_table(grid: DataFrame, header_row: int = K.HEADER_ROW) -> DataFrame
         "batch_id", F.col("row_no").alias("sheet_row"),
         *[_cell(c).alias(c) for c in K.CONTRACT_COLUMNS],
     )
-    kept = mapped.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in K.CONTRACT_COLUMNS]))
+    # Written: numbering reads the rows twice, the join behind them is made once.
+    kept = written(mapped.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in K.CONTRACT_COLUMNS])), "sheet-rows")
     return number_within(kept, ["batch_id"], "sheet_row", out="row_idx") \
         .select("batch_id", "row_idx", "sheet_row", *K.CONTRACT_COLUMNS)
 

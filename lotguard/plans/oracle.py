@@ -772,3 +772,25 @@ per AS (
 SELECT batch_id, received, expected,
   CASE WHEN received = expected THEN 'released' WHEN received < expected THEN 'incomplete' ELSE 'overfull' END AS state
 FROM per"""
+
+
+_PUBLISHED = FULL + """,
+pb0 AS (
+  SELECT item_id, batch_id, source_row, CAST(substr(reference_date, 1, 2) AS INTEGER) AS dd, batch_total FROM handoff
+),
+pb AS (
+  SELECT item_id, batch_id, dd % 4 * 24 + CASE WHEN dd = 13 AND source_row % 2 = 0 THEN 72 WHEN dd = 14 AND source_row % 2 = 0 THEN 12 ELSE 0 END AS h,
+    batch_total + CASE WHEN dd IN (6, 13) THEN 1 ELSE 0 END AS total
+  FROM pb0
+),
+pf AS (SELECT *, min(h) OVER (PARTITION BY batch_id) AS first_h FROM pb),
+clk AS (SELECT max(h) AS h FROM (SELECT h FROM pb UNION ALL SELECT p.h + 48 FROM pb p JOIN pb0 b USING (item_id) WHERE b.source_row % 5 = 0))
+"""
+SQL["stream_ingest"] = _PUBLISHED + """
+SELECT item_id, batch_id, strftime(TIMESTAMP '2024-01-10 00:00:00' + to_hours(CAST(h AS INTEGER)), '%Y-%m-%d %H:%M') AS published FROM pb"""
+SQL["stream_batches"] = _PUBLISHED + """
+SELECT batch_id, CAST(count_if(h <= first_h + 24) AS BIGINT) AS received, CAST(max(total) AS INTEGER) AS expected,
+  CASE WHEN count_if(h <= first_h + 24) = max(total) THEN 'released' WHEN count_if(h <= first_h + 24) > max(total) THEN 'overfull'
+       WHEN min(first_h) + 24 < (SELECT h FROM clk) THEN 'incomplete' ELSE 'pending' END AS state,
+  CAST(count_if(h > first_h + 24) AS BIGINT) AS late
+FROM pf GROUP BY batch_id"""

@@ -28,6 +28,7 @@ from lotguard.session import scratch_dir, written
 from lotguard.sources import testdata as td
 from lotguard.sources.tables import read_table
 from lotguard.streaming import stream as ST
+from lotguard.streaming.ingest import Ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -615,3 +616,44 @@ def q_stream_completeness(spark, d):
     """T3 after the deadline of all batches."""
     s = ST.dedupe_stream(_landed(spark, d, with_copies=True, short_declared=True))
     return ST.completeness(ST.run_to_parquet(s, "stream-ingest"), F.current_timestamp() + F.expr("interval 2 days"))
+
+
+def _publications(spark, d, files_per_trigger: int | None = None):
+    """D4 as it is published over days: a batch's items on the day of its day of
+    the month (modulo 4), copies of every fifth row two days later; items of
+    even rows come three days late for day 13, half a day late for day 14. Short
+    batches of days 6 and 13 declare one item more."""
+    rows = FX.handoff(spark, d)
+    day = F.substring("reference_date", 1, 2).cast("int")
+    even = F.col("source_row") % 2 == 0
+    hours = F.col("_day") % 4 * 24 + F.when((F.col("_day") == 13) & even, 72).when((F.col("_day") == 14) & even, 12).otherwise(0)
+    rows = rows.withColumn("_day", day).withColumn("batch_total", F.col("batch_total") + F.when(day.isin(6, 13), 1).otherwise(0))
+    both = rows.withColumn("_h", hours).unionByName(rows.where(F.col("source_row") % 5 == 0).withColumn("_h", hours + 48))
+    both = both.select("item_id", "batch_id", "batch_total", "source_row", F.timestamp_seconds(F.lit(1704844800) + 3600 * F.col("_h")).alias(ST.EVENT_TIME))
+    both = written(both, "publications")
+    path = scratch_dir(spark, "publications-landing")
+    moments = [r[0] for r in both.select(ST.EVENT_TIME).distinct().orderBy(ST.EVENT_TIME).collect()]  # a handful
+    for moment in moments:
+        ST.land(both.where(F.col(ST.EVENT_TIME) == F.lit(moment)).coalesce(2), path)
+    return ST.source(spark, path, both.schema, files_per_trigger)
+
+
+def _ingested(spark, d):
+    """T2/T3 in several triggers."""
+    ingest = Ingest(spark, scratch_dir(spark, "ingest"))
+    ingest.run(_publications(spark, d, files_per_trigger=4))
+    return ingest
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, d):
+    """Copies that come days later are not ingested again."""
+    return _ingested(spark, d).items().select("item_id", "batch_id", F.date_format(ST.EVENT_TIME, "yyyy-MM-dd HH:mm").alias("published"))
+
+
+@register("stream_batches")
+def q_stream_batches(spark, d):
+    """What each batch came to, with its late items."""
+    ingest = _ingested(spark, d)
+    late = ingest.late_items().groupBy("batch_id").agg(F.count(F.lit(1)).alias("late"))
+    return ingest.batches().join(late, "batch_id", "left").select("batch_id", "received", "expected", "state", F.coalesce("late", F.lit(0)).alias("late"))

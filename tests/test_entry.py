@@ -23,3 +23,18 @@ def test_entry_contract(spark):
     q, sql = mod.queries(), mod.oracle_sql()
     own = set(q) - set(mod.LLM_QUERIES)
     assert own == set(QUERIES) and own <= set(sql) and set(sql) <= set(q)
+
+
+def test_core_stays_without_the_optional_part(spark, monkeypatch):
+    import builtins
+
+    real = builtins.__import__
+
+    def broken(name, *args, **kwargs):
+        if name == "corpus_pipeline" or name.startswith("zstandard"):
+            raise ImportError(f"no {name}")
+        return real(name, *args, **kwargs)
+
+    monkeypatch.setattr(builtins, "__import__", broken)
+    mod = _entry()
+    assert mod.LLM_MISSING is not None and set(mod.queries()) == set(QUERIES)

@@ -45,3 +45,29 @@ def test_rules_are_evaluated_once_per_row(spark, key):
     filters = [line for line in p.splitlines() if "Filter" in line]
     assert not any("Campos obrigat" in line for line in filters), key
     assert p.count("Campos obrigat") <= 1, key
+
+
+@pytest.mark.parametrize("key", ["readback_reconcile", "handoff_flat"])
+def test_joins_on_hot_keys_can_be_split(spark, key):
+    """The aggregated side of a join on a key that many rows can have (lot,
+    batch) is a written table: a scan, not an aggregate whose partitioning the
+    join would have to keep."""
+    p = plan_of(QUERIES[key](spark, SF_SMALL))
+    joins = [i for i, line in enumerate(p.splitlines()) if "LeftOuter" in line or "Inner" in line]
+    assert joins
+    text = p.split("Initial Plan")[-1]
+    table = {"readback_reconcile": "latest-stored", "handoff_flat": "batch-totals"}[key]
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and table in line)
+    exchange = max(i for i in range(scan) if "Exchange" in lines[i])
+    assert not any("Aggregate" in line for line in lines[exchange:scan])
+
+
+def test_listing_opens_no_file(spark, tmp_path):
+    from lotguard.sources.files import listing
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.png").write_bytes(b"abc")
+    df = listing(spark, str(tmp_path))
+    assert "content" not in plan_of(df).split("ReadSchema")[-1]
+    assert [(r["path"].rsplit("/", 1)[1], r["length"]) for r in df.collect()] == [("x.png", 3)]
