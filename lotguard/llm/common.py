@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import re
+import sys
+import types
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs that are over and whose plans
+    nobody holds any more, instead of at the driver's next full collection."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
+def kept_in_worker(name: str, version: int, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a Python worker and kept for its later
+    tasks, one version of a name at a time. (Functions come to workers by value,
+    so that a module's own globals would be made anew in each task.)"""
+    home = sys.modules.setdefault("lotguard_worker_state", types.ModuleType("lotguard_worker_state"))
+    held = vars(home).get(name)
+    if held is None or held[0] != version:
+        held = vars(home)[name] = (version, make())
+    return held[1]
+
+
 def text_key(text: Column) -> list[Column]:
     """Key of a whole text: 64-bit hash and byte length (null counts as empty)."""
     t = F.coalesce(text, F.lit(""))
@@ -53,6 +74,13 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (x ^ (x >> U64(29))) * _M3
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 to base^(n - 1) modulo 2^64."""
+    out = np.ones(max(n, 1), U64)
+    out[1:] = U64(base)
+    return np.multiply.accumulate(out)[:n]
+
+
 def runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the runs of equal values."""
     if not len(values):

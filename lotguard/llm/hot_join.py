@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 SHARES = 1000
 
 
-def hot_join(rows: DataFrame, keys: DataFrame, on: str, weight: str, total: int) -> DataFrame:
-    """``rows`` joined with ``keys`` by the column ``on`` (inner; nulls find
+def hot_join(rows: DataFrame, keys: DataFrame, on: str | list[str], weight: str, total: int) -> DataFrame:
+    """``rows`` joined with ``keys`` by the columns ``on`` (inner; nulls find
     nothing). A key is once in ``keys``, whose column ``weight`` says how many
     of the ``total`` rows have it.
 
@@ -20,6 +20,7 @@ def hot_join(rows: DataFrame, keys: DataFrame, on: str, weight: str, total: int)
     rows. Both inputs should be written tables, as they are read twice.
     """
     hot = F.col(weight) > total / SHARES
+    on = [on] if isinstance(on, str) else on
     few = F.broadcast(keys.filter(hot).drop(weight))
-    rest = rows.join(few.select(on), on, "left_anti").join(keys.filter(~hot).drop(weight), on)
+    rest = rows.join(few.select(*on), on, "left_anti").join(keys.filter(~hot).drop(weight), on)
     return rows.join(few, on).unionByName(rest)

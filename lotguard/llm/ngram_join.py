@@ -38,11 +38,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, bitmap, in_bitmap, mix, pair, small_batches, table, text_key, written
+from lotguard.llm.common import U64, bitmap, forget_shuffles, in_bitmap, mix, pair, small_batches, table, text_key, written
 from lotguard.llm.components import components
+from lotguard.llm.hot_join import hot_join
 from lotguard.llm.words import segment_hashes
 
 #: Cells of a sketch; texts of a block; log2 of a bitmap's bits (8 MiB).
@@ -204,8 +206,8 @@ def _sharers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sketches(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "body", SLICE):
-            sets = shingle_sets(batch.column("body").to_pylist(), like)
+        for batch, texts in _bodies(batches, "body"):
+            sets = shingle_sets(texts, like)
             cells = [np.minimum(np.bincount((mix(x ^ U64(CELLS)) >> U64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes() for x in sets]
             yield pa.record_batch(
                 [batch.column("t_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(cells, pa.binary())], names=["t_id", "size", "sketch"]
@@ -229,13 +231,14 @@ def _compare(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, d = like.apart
         last: tuple[bytes, np.ndarray] | None = None
-        for batch in small_batches(small_batches(batches, "a_body", SLICE), "b_body", 1 << 24):
-            left = shingle_sets(batch.column("a_body").to_pylist(), like)
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch, texts in _bodies(small_batches(batches, "b_body", 1 << 23), "a_body"):
+            left = shingle_sets(texts, like)
             rows = []
             for x, body in zip(left, batch.column("b_body"), strict=True):
                 body = body.as_py()
                 if last is None or last[0] != body:  # neighbouring rows mostly share it
-                    last = body, shingle_sets([body], like)[0]
+                    last = body, shingle_sets([unpack(body)], like)[0]
                 both = len(x) + len(last[1])
                 apart = both - 2 * len(np.intersect1d(x, last[1], assume_unique=True))
                 rows.append((len(x), len(last[1]), apart, both > 0 and d * apart <= n * both, apart <= 2 * farthest(len(x), len(last[1]), like)))
@@ -247,7 +250,7 @@ def _compare(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 
 def compared(pairs: DataFrame, texts: DataFrame, like: Likeness = QUERY) -> DataFrame:
-    """Exact comparison of pairs (a, b) of texts (t_id, body): sizes, shingles
+    """Exact comparison of pairs (a, b) of packed texts (t_id, body): sizes, shingles
     that set them apart, linked, close (apart by at most twice what a link allows)."""
     left, right = (texts.select(F.col("t_id").alias(s), F.col("body").alias(f"{s}_body")) for s in "ab")
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_body", "b_body")
@@ -299,16 +302,27 @@ def _blocks(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def having(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The texts of ``nodes`` (with t_id). A bitmap of their hashes, of one size
-    for any number, spares most other texts the shuffle; the join decides."""
+    """The texts of ``nodes`` once each (t_id, body), compressed for the shuffles
+    to come. A bitmap of their hashes, of one size for any number, spares most
+    other texts the shuffle; the join decides."""
     shared = bodies.sparkSession.sparkContext.broadcast(bitmap(nodes.select("t_hash"), BITS).tobytes())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
+        bits, pack = np.frombuffer(shared.value, np.uint8), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            yield batch.filter(pa.array(in_bitmap(bits, np.asarray(batch.column("t_hash")).view(U64), BITS)))
+            batch = batch.filter(pa.array(in_bitmap(bits, np.asarray(batch.column("t_hash")).view(U64), BITS)))
+            packed = pa.array([pack(b) for b in batch.column("body").to_pylist()], pa.binary())
+            yield batch.set_column(batch.schema.get_field_index("body"), "body", packed)
+
+    key = ["t_hash", "t_len"]
+    return bodies.mapInArrow(rows, bodies.schema).groupBy(*key).agg(F.first("body").alias("body")).join(nodes, key).select("t_id", "body")
 
-    return bodies.mapInArrow(rows, bodies.schema).join(nodes, ["t_hash", "t_len"])
+
+def _bodies(batches: Iterator[pa.RecordBatch], name: str, limit: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Batches of about ``limit`` bytes of text, and their unpacked texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in small_batches(batches, name, limit // 2):
+        yield batch, [unpack(b) for b in batch.column(name).to_pylist()]
 
 
 def _sizes(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -330,8 +344,9 @@ def linked_texts(docs: DataFrame, text: str = "text", like: Likeness = QUERY) ->
         found.repartition("sig").sortWithinPartitions("sig", "t_hash", "t_len")
         .mapInArrow(_sharers, "sig long, t_hash long, t_len int, hub_hash long, hub_len int"), "sharers"
     )
+    forget_shuffles(docs.sparkSession)  # the signatures: most of what is moved
     nodes = written(shared.select("t_hash", "t_len").distinct().withColumn("t_id", F.monotonically_increasing_id()), "nodes")
-    texts = written(having(bodies, nodes).groupBy("t_id").agg(F.first("body").alias("body")), "texts")
+    texts = written(having(bodies, nodes), "texts")
     sketched = written(texts.mapInArrow(_sketches(like), "t_id long, size long, sketch binary"), "sketches")
     key, hub_key = ["t_hash", "t_len"], ["hub_hash", "hub_len"]
     hubs = nodes.select(F.col("t_hash").alias("hub_hash"), F.col("t_len").alias("hub_len"), F.col("t_id").alias("b"))
@@ -342,6 +357,7 @@ def linked_texts(docs: DataFrame, text: str = "text", like: Likeness = QUERY) ->
     allowed = F.expr(f"{n} * (a_size + b_size) div {d}")
     first = written(bounded(pairs.select("a", "b"), sketched), "first")
     near = written(compared(first.filter(F.col("least") <= 2 * allowed), texts, like), "near")
+    forget_shuffles(docs.sparkSession)
     links = near.filter("linked").select("a", "b")
     # What a text is to the hub of a signature that it shares; most are linked
     # with it and near, and need no further look.
@@ -410,11 +426,11 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", like: Liken
             F.coalesce("root", "t_hash").alias("c1"), F.when(F.col("root").isNull(), F.col("t_len")).otherwise(-1).alias("c2"),
         ), "placed"
     )
-    least = rows.filter("n_shingles > 0").groupBy("c1", "c2").agg(F.min("k").alias("least"))
-    return rows.join(least, ["c1", "c2"], "left").select(
-        F.col("k").alias(key), "t_hash", "t_len", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("k")).alias("component_id"), "c1", "c2",
-    )
+    some = rows.filter("n_shingles > 0")
+    least = written(some.groupBy("c1", "c2").agg(F.min("k").alias("component_id"), F.count("*").alias("uses")), "least")
+    found = hot_join(some, least, ["c1", "c2"], "uses", rows.count())
+    every = found.unionByName(rows.filter("n_shingles = 0").withColumn("component_id", F.col("k")))
+    return every.select(F.col("k").alias(key), "t_hash", "t_len", "n_shingles", "component_id", "c1", "c2")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", like: Likeness = QUERY) -> DataFrame:
