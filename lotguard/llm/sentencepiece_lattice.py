@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,14 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, list_array, mix, ranges, small_batches, table
+from lotguard.llm.common import U64, kept_in_worker, list_array, mix, powers, ranges, small_batches, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations of a text; seed of all draws.
 K, SEED = 2, 7
-SLICE = 1 << 18
-#: Words whose lattices a worker keeps; occurrences that are drawn at once.
-CACHE, CHUNK = 120_000, 1 << 16
+SLICE = 1 << 19
+#: Bytes of word lattices that a worker keeps; occurrences that are drawn at once.
+CACHE, CHUNK = 48 << 20, 1 << 16
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _C1, _C2, _C3 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0xC2B2AE3D27D4EB4F)
 _SLOTS = 20
@@ -58,6 +57,9 @@ _LARGEST = 37.5
 #: Log-probability down to which a segmentation's first part is looked at first.
 _DEEP = -45.0
 _SPACE = "▁"
+#: Odd multiplier of the words' running hashes; what stands for each byte.
+_TIMES = 0x9E3779B97F4A7C15
+_BYTES = mix(np.arange(1, 257, dtype=U64))
 
 
 def load_model(path: str = MODEL) -> dict:
@@ -104,6 +106,7 @@ class _Grown:
 
     def clear(self) -> None:
         self.size = 0
+        self.data = self.data[: 1 << 16].copy()
         self.add(self.from_start)
 
     def add(self, more: np.ndarray) -> None:
@@ -121,6 +124,7 @@ class Lattices:
     and ids[id_at[a] : id_at[a + 1]]."""
 
     def __init__(self, model: dict):
+        self.times = self.back = np.zeros(0, U64)
         self.logp = model["logp"]
         self.byte_id = {model["pieces"][i][0]: int(i) for i in np.flatnonzero(model["kinds"] == 2)}
         known: dict[int, int] = {}
@@ -146,18 +150,21 @@ class Lattices:
         self.piece_bytes = np.zeros((len(model["pieces"]), size), np.uint8)
         for i, p in enumerate(model["pieces"]):
             self.piece_bytes[i, : len(p)] = np.frombuffer(p, np.uint8)
-        self.word = re.compile(r" *[^ \n]+| +|\n" if self.newline_apart else r" *[^ ]+| +")
         small = np.int32
         self.grown = {"start": _Grown(), "first": _Grown(0, kind=small), "target": _Grown(kind=small), "node": _Grown(kind=small), "logc": _Grown(kind=float)}
         self.grown |= {"cum": _Grown(kind=np.float32), "ids": _Grown(kind=small), "id_at": _Grown(0, kind=small)}
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[int, int] = {}
         for g in self.grown.values():
             g.clear()
         self._name()
 
+    def held(self) -> int:
+        """Bytes of the arrays in use."""
+        return sum(g.size * g.data.itemsize for g in self.grown.values())
+
     def _name(self) -> None:
         self.start, self.first, self.target, self.node, self.logc, self.cum, self.ids, self.id_at = (g.data for g in self.grown.values())
 
@@ -172,7 +179,8 @@ class Lattices:
             k[again[hit]] = self.crowded_at[c[hit]]
         return k
 
-    def add(self, words: list[str]) -> None:
+    def add(self, words: list[str], names: list[int]) -> None:
+        """Put in the lattices of words, under the names given."""
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         size = np.array([len(w) for w in words], np.int64)
         begin = np.cumsum(size + 1) - (size + 1)  # one node more than characters
@@ -212,6 +220,8 @@ class Lattices:
         count = np.bincount(start, minlength=n_nodes)
         first = np.concatenate(([0], np.cumsum(count)))
         left = end - np.arange(n_nodes)
+        if left.max(initial=0) < 1 << 15:  # short integers are sorted faster
+            left = left.astype(np.int16)
         nodes = np.argsort(left, kind="stable")
         nodes = nodes[left[nodes] > 0]
         arcs = np.argsort(left[start], kind="stable")  # in the order of nodes
@@ -238,20 +248,48 @@ class Lattices:
         g = self.grown
         n0, a0, i0 = g["first"].size - 1, g["target"].size, g["ids"].size
         at_ids = np.cumsum(n_ids) - n_ids
-        self.index.update(zip(words, range(g["start"].size, g["start"].size + len(words)), strict=True))
+        self.index.update(zip(names, range(g["start"].size, g["start"].size + len(words)), strict=True))
         new = {"start": begin + n0, "first": first[1:] + a0, "target": start + length + n0, "node": start + n0, "logc": logc, "cum": cum}
         new |= {"ids": ids[ranges(at_ids[order], n_ids[order])], "id_at": i0 + np.cumsum(n_ids[order])}
         for name, values in new.items():
             g[name].add(values)
         self._name()
 
-    def of(self, words: list[str]) -> np.ndarray:
-        """The first node of each word's lattice."""
-        found = list(map(self.index.get, words))
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The first node of each word's lattice, text after text, and where a
+        text's words begin. A word is a run of characters with the spaces before
+        it; spaces at a text's end, and line feeds if no piece holds one among
+        others, are words too. Each text has a space put before it. Words are
+        told apart by their hashes, running sums over the texts' bytes."""
+        raw = [b" " + t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        flat = b"".join(raw)
+        data = np.frombuffer(flat, np.uint8)
+        ends = np.cumsum(np.array([len(r) for r in raw], np.int64))
+        space = data == 0x20
+        begins = space.copy()
+        begins[1:] &= ~space[:-1]
+        if self.newline_apart:
+            feed = np.flatnonzero(data == 0x0A)
+            begins[feed] = True
+            begins[np.minimum(feed + 1, len(data) - 1)] |= feed + 1 < len(data)
+        begins[(ends - [len(r) for r in raw])[[len(r) > 0 for r in raw]]] = True
+        at = np.flatnonzero(begins)
+        upto = np.append(at[1:], len(data))
+        n = len(data)
+        if len(self.times) < n:
+            self.times, self.back = powers(_TIMES, n), powers(pow(_TIMES, -1, 1 << 64), n)
+        sums = np.concatenate((np.zeros(1, U64), np.cumsum(_BYTES[data] * self.times[:n], dtype=U64)))
+        value = mix((sums[upto] - sums[at]) * self.back[at] + (upto - at).astype(U64))
+        unlike, one, which = np.unique(value, return_index=True, return_inverse=True)
+        names = unlike.tolist()
+        found = list(map(self.index.get, names))
         if None in found:
-            self.add(list(dict.fromkeys(w for w, i in zip(words, found, strict=True) if i is None)))
-            found = list(map(self.index.__getitem__, words))
-        return self.start[np.fromiter(found, np.int64, len(found))]
+            new = [i for i, f in enumerate(found) if f is None]
+            spans = zip(at[one[new]].tolist(), upto[one[new]].tolist(), strict=True)
+            self.add([flat[a:b].decode("utf-8", "surrogatepass") for a, b in spans], [names[i] for i in new])
+            found = list(map(self.index.__getitem__, names))
+        place = np.array(found, np.int64)
+        return self.start[place[which]], np.concatenate(([0], np.searchsorted(at, ends)))
 
     def draw(self, node: np.ndarray, key: np.ndarray, place: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
         """From each node a random walk to the end of its lattice: the arcs,
@@ -325,7 +363,8 @@ class _Search:
 
     def push(self, sample: int, places: np.ndarray, keys: np.ndarray) -> None:
         need = self.k + 1 - len(self.found)
-        for t in np.argsort(-keys, kind="stable")[:need].tolist():
+        most = np.argpartition(-keys, need)[:need] if len(keys) > need else np.arange(len(keys))
+        for t in most[np.argsort(-keys[most], kind="stable")].tolist():
             heapq.heappush(self.heap, (-float(keys[t]), sample, int(places[t]), ()))
 
     def worst(self) -> float:
@@ -417,11 +456,9 @@ def _set_keys(searches: list[_Search], begins: list[int], deep: float) -> None:
 def sample_texts(lattices: Lattices, keys: np.ndarray, texts: list[str], k: int) -> list[list[tuple]]:
     """For each text its segmentations in falling order: perturbed value,
     log-probability, inclusion, ids."""
-    if len(lattices.index) > CACHE:
+    if lattices.held() > CACHE:
         lattices.clear()
-    words = [lattices.word.findall(" " + t) if t else [] for t in texts]
-    nodes = lattices.of([w for ws in words for w in ws])
-    cut = np.cumsum([0] + [len(ws) for ws in words])
+    nodes, cut = lattices.words(texts)
     search = [_Search(lattices, keys[i], nodes[cut[i] : cut[i + 1]], k) for i in range(len(texts))]
     for s in search:
         s.first()
@@ -449,15 +486,9 @@ def sample_texts(lattices: Lattices, keys: np.ndarray, texts: list[str], k: int)
     return out
 
 
-_LATTICES: dict[int, Lattices] = {}
-
-
 def _encoder(model, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = _LATTICES.get(id(model.value))
-        if lattices is None:
-            _LATTICES.clear()
-            lattices = _LATTICES[id(model.value)] = Lattices(model.value)
+        lattices = kept_in_worker("lattices", hash(model.value["logp"].tobytes()), lambda: Lattices(model.value))
         for batch in small_batches(batches, "text", SLICE):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = mix(np.asarray(batch.column("seed")).view(U64))
@@ -500,7 +531,9 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K,
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
-    """``rows`` with the text of each row's ids (null for null)."""
+    """``rows`` with the text of each row's ids (null for null). A column that is
+    called ``out`` already is replaced."""
+    rows = rows.drop(out)
     shared = rows.sparkSession.sparkContext.broadcast(load_model(model))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
