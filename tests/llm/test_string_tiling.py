@@ -38,6 +38,11 @@ def plain(a, b, least=5):
                 covered += n
 
 
+def covered(a, b):
+    """The covered share of item tokens b; short items by equality only."""
+    return float(a == b) if len(b) < T.SEED else plain(a, b) / len(b)
+
+
 def test_tile():
     rng = random.Random(1)
     for _ in range(150):
@@ -60,7 +65,7 @@ def data():
         w = it.split(" ")
         h = len(w) // 2
         docs += [text(20) + " " + it.upper() + " " + text(9), " ".join(w[h:]) + " " + text(3) + " " + " ".join(w[:h]), " ".join(w[: h - 1]), " | ".join(w), " ".join(w[::-1])]
-    return docs + docs[3:9], items
+    return docs + docs[3:9] + [items[5], f"- {items[5]}!", items[5] + " more"], items
 
 
 def frames(spark, docs, items, ids=None):
@@ -74,7 +79,7 @@ def test_against_plain_tiling(spark):
     docs, items = data()
     got = {r["doc_id"]: r for r in rows(T.contaminated(*frames(spark, docs, items)))}
     for k, d in enumerate(docs):
-        share = {i: plain(tokens(d), t) / len(t) for i, it in enumerate(items) if (t := tokens(it))}
+        share = {i: covered(tokens(d), t) for i, it in enumerate(items) if (t := tokens(it))}
         found = sorted(i for i, s in share.items() if s >= T.COVER and i != 1)
         r = got[k]
         assert r["items"] == found, (k, d, found, r)
@@ -89,7 +94,7 @@ def test_null_repeated_and_clean(spark):
     assert len(rows(T.contaminated(d, b))) == len(docs)
     kept = T.clean(d, b)
     assert kept.columns == d.columns
-    flags = [any(t and plain(tokens(x), t) / len(t) >= T.COVER for it in items if (t := tokens(it))) for x in docs]
+    flags = [any(t and covered(tokens(x), t) >= T.COVER for it in items if (t := tokens(it))) for x in docs]
     assert sorted((r["text"] or "") for r in rows(kept)) == sorted((x or "") for x, f in zip(docs, flags, strict=True) if not f)
 
 
@@ -97,3 +102,36 @@ def test_empty(spark):
     docs, items = data()
     assert rows(T.contaminated(*frames(spark, [], items))) == []
     assert not any(r["contaminated"] for r in rows(T.contaminated(*frames(spark, docs, []))))
+
+
+def test_running_hashes():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 2**63, 50).astype(np.uint64)
+    assert (T.powers(T._TIMES, 50) * T.powers(T._BACK, 50) == 1).all()
+    few = rng.integers(0, 9, 6000).astype(np.uint64)
+    long = np.concatenate((few[:3000], words, few[3000:]))
+    item = np.concatenate((words, long[:200], long[-300:]))
+    assert T.tile(long, np.arange(len(long)), item) >= 540
+
+
+def test_scripts_without_spaces(spark):
+    """Chinese, Japanese and Thai items in longer texts; unlike texts stay clean."""
+    zh, ja, th = "机器学习模型需要大量的训练数据才能取得好的结果", "データの品質は学習の結果に大きな影響を与えます", "ข้อมูลที่ดีทำให้โมเดลดีขึ้นมาก"
+    docs = [f"今天天气很好。{zh[:12]}我们在公园散步{zh[12:]}。", f"昨日は{ja}と言った。", "x " + th, "今天我们去公园散步然后回家吃饭看电视", "é ünïcode words that are no item at all"]
+    assert len(T._tokens([zh.encode()])[0]) == len(zh) and len(T._tokens(["aé 机b器".encode()])[0]) == 4
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    b = spark.createDataFrame([("zh", zh), ("ja", ja), ("th", th)], "item_id string, text string")
+    assert {r["doc_id"]: r["items"] for r in rows(T.contaminated(d, b))} == {0: ["zh"], 1: ["ja"], 2: ["th"], 3: [], 4: []}
+
+
+def test_common_seeds_propose_few_pairs(spark):
+    """One passage in all documents and items proposes no pair by itself."""
+    rng = random.Random(12)
+    text = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    common = "the same nine words are in every single text"
+    items = [f"{text(30)} {common} {text(20)}" for _ in range(20)]
+    docs = [f"{text(20)} {common} {text(40)}" for _ in range(60)] + items[:3]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    pairs = rows(T.tilings(d, b))
+    assert sorted(r["item_id"] for r in pairs) == [0, 1, 2] and len(rows(T.tilings(d, b, cover=0))) == 63 * 20
