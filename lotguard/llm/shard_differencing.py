@@ -16,6 +16,9 @@ A group that its bin could not offset is not put into one, but held for the
 next level. What it takes to offset all that is held is left over in the bins:
 as single groups and as bundles, which put all their members' largest sums
 into one shard.
+
+Identifiers, and with them bins and draws, follow from the texts: the same
+documents get the same shards under any partitioning.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ BIN = 20_000
 OVER, HELD = 256, 8
 #: Share by which more is left over than offsets what is held.
 MARGIN = 1.05
+#: What tells a held partial partition's identifier from those of new ones.
+APART = 1 << 60
 #: Rows of all shards that are numbered together.
 BUCKET = 200_000
 _VECTOR = [f"s{i}" for i in range(SHARDS)]
@@ -125,8 +130,23 @@ def _differencer(share: float, over: int) -> Callable[[pd.DataFrame], pd.DataFra
     return rows
 
 
+def _one_vector(rows: pd.DataFrame) -> pd.DataFrame:
+    sums, _ = difference(rows.sort_values("id", kind="stable")[_VECTOR].to_numpy(np.int64))
+    return pd.DataFrame([sums], columns=_VECTOR)
+
+
+def to_offset(held: DataFrame) -> int:
+    """What it takes at most to even out the held partial partitions: they are
+    differenced in bins, and what is uneven of each bin's result added up."""
+    bins = -(-held.count() // BIN)
+    if not bins:
+        return 0
+    done = held.groupBy(F.pmod(F.xxhash64("id"), F.lit(bins))).applyInPandas(_one_vector, ", ".join(f"{c} long" for c in _VECTOR))
+    return done.agg(F.sum(SHARDS * F.greatest(*_VECTOR) - sum((F.col(c) for c in _VECTOR[1:]), F.col(_VECTOR[0])))).first()[0]
+
+
 def placed(sizes: DataFrame) -> DataFrame:
-    """(id, shard) for groups (id, size)."""
+    """(id, shard) for groups (id, size); ids are unique, from 0 to 2^59."""
     schema = "up long, id long, " + ", ".join(f"{c} long" for c in _VECTOR)
     level = sizes.select("id", F.col("size").alias(_VECTOR[0]), *[F.lit(0).cast("long").alias(c) for c in _VECTOR[1:]])
     least, most = F.least(*_VECTOR), F.greatest(*_VECTOR)
@@ -135,19 +155,18 @@ def placed(sizes: DataFrame) -> DataFrame:
     levels = []
     count, last = sizes.count(), None
     while True:
-        bins = -(-count // BIN) if last is None or count < last else 1
+        if last is not None and count >= last:
+            raise RuntimeError(f"bins of {BIN} don't lessen {count} partial partitions")
+        bins = -(-count // BIN)
         held, share = None, 0.0
         if bins > 1:
             # Fewer than held_most x bins can have so large a part of all that is uneven.
             total = level.agg(F.sum(above)).first()[0]
             large = (most - least) * held_most * bins > total
-            held = written(level.filter(large).withColumn("up", F.monotonically_increasing_id() + bins * (over + 1)), "held")
+            held = written(level.filter(large).withColumn("up", F.col("id") + APART), "held")
             level = level.filter(~large)
-            vectors = held.select(*_VECTOR).toPandas().to_numpy(np.int64)
-            if len(vectors):
-                sums, _ = difference(vectors)
-                rest = total - int(uneven(vectors).sum())
-                share = MARGIN * float(sums.max() * SHARDS - sums.sum()) / max(rest, 1)
+            rest = total - (held.agg(F.sum(above)).first()[0] or 0)
+            share = MARGIN * to_offset(held) / max(rest, 1)
         dealt = level.withColumn("bin", F.pmod(F.xxhash64("id"), F.lit(bins)) if bins > 1 else F.lit(0).cast("long"))
         done = written(dealt.groupBy("bin").applyInPandas(_differencer(share, over), schema), "differenced")
         members, level = done.filter("id is not null"), done.filter("id is null").select(F.col("up").alias("id"), *_VECTOR)
@@ -180,8 +199,11 @@ def sharded(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
                     F.xxhash64(t).alias("h"), F.md5(t.cast("binary")).alias("m")), "rows"
     )
     same = ["h", "m", "n"]
-    groups = rows.groupBy(*same).agg(F.sum(F.col("n") + 1).alias("size")).withColumn("id", F.monotonically_increasing_id())
-    groups = written(groups, "groups")
+    groups = rows.groupBy(*same).agg(F.sum(F.col("n") + 1).alias("size"))
+    # 56 bits of the texts' digests, and a number for those that share them
+    head = F.conv(F.substring("m", 1, 14), 16, 10).cast("long")
+    alike = F.row_number().over(Window.partitionBy(head).orderBy(*same)) - 1
+    groups = written(groups.withColumn("id", F.shiftleft(head, 3) + alike), "groups")
     shards = groups.select("id", *same).join(placed(groups.select("id", "size")), "id").drop("id")
     dealt = rows.join(shards, same)
     return numbered(dealt).select(

@@ -91,3 +91,30 @@ def test_large_group_over_bins(spark, monkeypatch):
             sums = np.bincount([r["shard"] for r in got], weights=[sizes[r["id"]] for r in got], minlength=8)
             most.append(sums.max() * 8 / sums.sum())
         assert most[1] < most[0] + 0.002, (part, bins, most)
+
+
+def test_any_partitioning_and_plain_differencing(spark, monkeypatch):
+    """The same shards under any number of partitions; in one bin, those of
+    undivided differencing of the whole table."""
+    from pyspark.sql import functions as F
+
+    from lotguard.llm.common import table
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    whole = sorted((r["doc_id"], r["shard"]) for r in rows(K.sharded(docs)))
+    groups = docs.groupBy(F.coalesce("text", F.lit("")).alias("t")).agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("n"), F.collect_list("doc_id").alias("of"))
+    groups = sorted(rows(groups.withColumn("m", F.md5(F.col("t").cast("binary")))), key=lambda r: r["m"])
+    v = np.zeros((len(groups), 8), np.int64)
+    v[:, 0] = [g["n"] for g in groups]
+    _, place = K.difference(v)
+    assert sorted((d, int(place[i, 0])) for i, g in enumerate(groups) for d in g["of"]) == whole
+    monkeypatch.setattr(K, "BIN", 150)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        found = []
+        for n in ("3", "9"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted((r["doc_id"], r["shard"]) for r in rows(K.sharded(docs.repartition(int(n))))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert found[0] == found[1]
