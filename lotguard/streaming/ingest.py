@@ -116,7 +116,7 @@ class Ingest:
         self._write(items.drop("bucket").join(late, ["batch_id", EVENT_TIME]), "late", epoch)
         counted = timed.groupBy("batch_id").agg(F.coalesce(F.sum(F.when(~F.col("late"), F.col("n"))), F.lit(0)).alias("_n"))
         now = both.join(counted, "batch_id", "left").withColumn("received", F.col("received") + F.coalesce("_n", F.lit(0)))
-        clock = self._clock(per, epoch)
+        clock = self._clock(arrived, epoch)
         state = F.when(F.col("received") == F.col("expected"), F.lit("released")).when(F.col("received") > F.col("expected"), F.lit("overfull")) \
                  .when(deadline < clock, F.lit("incomplete")).otherwise(F.lit("pending"))
         now = now.select("batch_id", "first", "expected", "received", state.alias("state"))
@@ -124,9 +124,9 @@ class Ingest:
         self._write(now.where("state <> 'pending'"), "closed", epoch)
         self._write(now.where("state = 'pending'"), "open", epoch)
 
-    def _clock(self, per: DataFrame, epoch: int) -> Column:
-        """The greatest event time up to this epoch (one value)."""
-        here = per.agg(F.max(EVENT_TIME)).first()[0]
+    def _clock(self, arrived: DataFrame, epoch: int) -> Column:
+        """The greatest event time up to this epoch, copies included (one value)."""
+        here = arrived.agg(F.max(EVENT_TIME)).first()[0]
         before = None
         if exists(self.spark, f"{self.root}/clock"):
             before = self.spark.read.parquet(f"{self.root}/clock").where(F.col("epoch") < epoch).agg(F.max("at")).first()[0]

@@ -92,4 +92,7 @@ def test_against_plain_counts(spark, tmp_path):
             df = one if df is None else df.unionByName(one)
         ingest.step(df, epoch)
     assert states(ingest) == want
+    # a copy alone moves the clock on, and with it what still waits
+    ingest.step(rows(spark, [("A0", "A", total["A"])], 500), epoch + 1)
+    assert states(ingest) == {b: (n, t, "incomplete" if s == "pending" else s) for b, (n, t, s) in want.items()}
     assert {r["item_id"] for r in ingest.late_items().collect()} == {i for i, b in items.items() if seen[i] > first[b] + 24}
