@@ -1,7 +1,10 @@
 """Substring dedup by sliding sentence spans (operator 5).
 
 A text is cut behind runs of ``.``, ``!``, ``?`` and line feeds; pieces with a
-word are its sentences, compared by their words (white space doesn't count).
+word are its sentences, compared by their words (white space doesn't count). A
+piece of more than ``LONG`` words, as in lists or text without these marks, is
+cut again behind each word whose MD5 begins with 0 or 1, every eighth or so: a
+passage is so cut alike wherever it stands.
 From each sentence on, the shortest run of at least ``SENTENCES`` sentences and
 ``WORDS`` words is a span; a text too short for any is one span itself. All
 spans are hashed (96 bits) and joined across the corpus. The first occurrence
@@ -23,9 +26,11 @@ from pyspark.sql import functions as F
 
 from lotguard.llm.common import WORD, small_batches, table, text_key, written
 
-#: A span's sentences and words, at least.
-SENTENCES, WORDS = 2, 10
+#: A span's sentences and words, at least; words of a piece that isn't cut again, at most.
+SENTENCES, WORDS, LONG = 2, 20, 24
 PIECE = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
+#: A word with the white space before it, the last one with what follows too.
+_TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*\Z|[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
 SLICE = 1 << 18
 #: What stands for a document: whether its key is null, the key, its text.
 KEY = ["none", "k", "t_hash", "t_len"]
@@ -34,8 +39,18 @@ KEY = ["none", "k", "t_hash", "t_len"]
 def sentences(text: str) -> tuple[list[str], np.ndarray, list[str], np.ndarray]:
     """Pieces, which of them are sentences, the sentences' words (joined by
     spaces) and how many they are."""
-    pieces = PIECE.findall(text)
-    words = [WORD.findall(p) for p in pieces]
+    pieces, words = [], []
+    for piece in PIECE.findall(text):
+        w = WORD.findall(piece)
+        if len(w) <= LONG:
+            pieces.append(piece)
+            words.append(w)
+            continue
+        tokens, begin = _TOKEN.findall(piece), 0
+        for end in [i + 1 for i, x in enumerate(w[:-1]) if hashlib.md5(x.encode()).hexdigest()[0] in "01"] + [len(w)]:
+            pieces.append("".join(tokens[begin:end]))
+            words.append(w[begin:end])
+            begin = end
     at = np.array([i for i, w in enumerate(words) if w], np.int64)
     return pieces, at, [" ".join(words[i]) for i in at], np.array([len(words[i]) for i in at], np.int64)
 
@@ -138,10 +153,23 @@ QUERIES = {"op5_sentence_spans": op5_sentence_spans}
 
 SQL = {
     "op5_sentence_spans": rf"""
-        WITH pieces AS (
+        WITH cut AS (
             SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+')) AS raw,
-                   generate_subscripts(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+'), 1) AS p
+                   generate_subscripts(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+'), 1) AS q
             FROM documents
+        ), long AS (
+            SELECT doc_id, q, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS t, len(tokens) AS many
+            FROM (SELECT doc_id, q, regexp_extract_all(raw, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*\z|[\x20\x09-\x0D]*[^\x20\x09-\x0D]+') AS tokens FROM cut)
+            WHERE len(tokens) > {LONG}
+        ), marked AS (
+            SELECT *, coalesce(sum(CASE WHEN substr(md5(regexp_extract(token, '[^\x20\x09-\x0D]+')), 1, 1) IN ('0', '1') THEN 1 ELSE 0 END)
+                OVER (PARTITION BY doc_id, q ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part
+            FROM long
+        ), both_kinds AS (
+            SELECT doc_id, raw, q, 0 AS part FROM cut WHERE (doc_id, q) NOT IN (SELECT (doc_id, q) FROM long)
+            UNION ALL SELECT doc_id, string_agg(token, '' ORDER BY t), q, part FROM marked GROUP BY doc_id, q, part
+        ), pieces AS (
+            SELECT doc_id, raw, row_number() OVER (PARTITION BY doc_id ORDER BY q, part) AS p FROM both_kinds
         ), worded AS (
             SELECT *, regexp_extract_all(raw, '[^\x20\x09-\x0D]+') AS words FROM pieces
         ), s AS (

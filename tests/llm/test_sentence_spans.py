@@ -11,11 +11,20 @@ from oracle_harness import compare, duck
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def again(piece):
+    """A long piece cut behind its marked words."""
+    words = list(WORD.finditer(piece))
+    if len(words) <= S.LONG:
+        return [piece]
+    ends = [m.end() for m in words[:-1] if hashlib.md5(m[0].encode()).hexdigest()[0] in "01"]
+    return [piece[a:b] for a, b in zip([0, *ends], [*ends, len(piece)], strict=True)]
+
+
 def plain(docs):
     """docs: distinct (key, text), in the order of documents."""
     seen, out = set(), {}
     for key, text in docs:
-        pieces = re.findall(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+", text or "")
+        pieces = [x for p in re.findall(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+", text or "") for x in again(p)]
         said = [(i, tuple(WORD.findall(p))) for i, p in enumerate(pieces) if WORD.search(p)]
         runs = []
         for a in range(len(said)):
@@ -43,7 +52,9 @@ def corpus():
     texts = [None, "", " . \n!", "Hi.", "Hi.", "one two three", "one  two\tthree"]
     for _ in range(60):
         texts.append("".join(rng.choice([say(), say(), rng.choice(pool)]) for _ in range(rng.randint(1, 12))))
-    return texts + [texts[-1] * 2, texts[20], texts[21]]
+    bare = [word() for _ in range(90)]
+    texts += [" ".join([*(word() for _ in range(rng.randint(0, 40))), *bare, *(word() for _ in range(9))]) for _ in range(4)]
+    return texts + [texts[-1] * 2, texts[20], texts[21], " \t".join(bare) + " ", "same " * 300]
 
 
 def frame(spark, data):
@@ -61,8 +72,8 @@ def test_plain(spark):
 
 
 def test_null_and_repeated(spark):
-    data = [(None, "one two three four five. six seven eight nine ten."), (3, "one two three four five. six seven eight nine ten."),
-            (3, "one two three four five. six seven eight nine ten."), (None, None), (1, "x"), (1, "x")]
+    two = " ".join(f"w{i}" for i in range(11)) + ". " + " ".join(f"w{i}" for i in range(20, 31)) + "."
+    data = [(None, two), (3, two), (3, two), (None, None), (1, "x"), (1, "x")]
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_sentences"], r["n_removed"], r["kept_text"]) for r in rows(S.span_dedup(frame(spark, data))))
     whole = data[0][1]
     assert got == [(False, 1, 1, 0, "x")] * 2 + [(False, 3, 2, 0, whole)] * 2 + [(True, 0, 0, 0, ""), (True, 0, 2, 2, "")]
@@ -73,3 +84,13 @@ def test_oracle(spark):
     d = "/root/testdata/sf0.001"
     r = compare(spark, d, "op5", S.op5_sentence_spans, S.SQL["op5_sentence_spans"], duck(d))
     assert r["schema"] and r["hash"] and r["rows"] == r["oracle_rows"], r
+
+
+def test_a_passage_without_marks_is_found(spark):
+    """Sixty words without a full stop, in two unlike texts."""
+    rng = random.Random(2)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    passage = text(60)
+    got = {r["doc_id"]: r["kept_text"] for r in rows(S.span_dedup(frame(spark, [(1, f"{text(50)} {passage} {text(70)}"), (2, f"{text(33)} {passage} {text(8)}")])))}
+    left = [w for w in passage.split() if w in got[2].split()]
+    assert passage in got[1] and len(left) < 25
