@@ -4,8 +4,8 @@ Grammar of a formatted conversation:
 
     conversation = { turn }
     turn    = "### " role mark ": " body "</turn>" LF
-    mark    = "" (plain body) | "\\" (escaped body)
-    role    = { char other than "\\", ":", LF | "\\" char | "\\n" for LF }
+    mark    = "" (plain body) | "*" (escaped body)
+    role    = { char other than "\\", ":", "*", LF | "\\" char | "\\n" for LF }
     body    = { char }, without a control string; if escaped, "\\" and the
               character behind it stand for that character
 
@@ -17,15 +17,18 @@ once parsing it gives the source back. The loss mask covers the bodies of
 assistant turns.
 
 A conversation is a sequence of rows, a turn each, in the order of ``turn``;
-its formatted text is that of its rows put together. Conversations are sorted
-within tasks and pass through row by row, so a conversation of any length needs
-the memory of a turn.
+its formatted text is that of its rows put together. It is read back as one
+text: where a turn ends and the next begins is for the grammar to say, and
+text that is left over is an error. Conversations are sorted within tasks and
+pass through piece by piece, so a conversation of any length needs the memory
+of a turn.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,44 +50,50 @@ class GrammarError(ValueError):
     """The text isn't a formatted turn."""
 
 
+class Unfinished(GrammarError):
+    """The text ends within a turn."""
+
+
 def render_turn(role: str, text: str, escaped: bool) -> str:
     name = _ROLE.sub(lambda m: "\\n" if m[0] == "\n" else "\\" + m[0], role)
     body = _ESCAPE.sub(lambda m: "\\" + m[0], text) if escaped else text
     return f"{HEAD}{name}{'*' if escaped else ''}{COLON}{body}{END}\n"
 
 
-def parse_turn(data: str) -> tuple[str, str, int, int]:
-    """Role, text, and where the body begins and ends in ``data``, which holds
-    just one turn."""
+def next_turn(data: str) -> tuple[str, str, int, int, int]:
+    """The turn at the beginning of ``data``: role, text, where its body begins
+    and ends, and where the turn ends."""
     if not data.startswith(HEAD):
-        raise GrammarError("no turn begins here")
+        raise (Unfinished if HEAD.startswith(data) else GrammarError)("no turn begins here")
     role, at, escaped = [], len(HEAD), False
     while True:
         if at >= len(data):
-            raise GrammarError("the role has no end")
+            raise Unfinished("the role has no end")
         c = data[at]
         if c == "*":
             escaped, at = True, at + 1
             break
         if c == "\\":
             if at + 1 >= len(data):
-                raise GrammarError("the role has no end")
+                raise Unfinished("the role has no end")
             role.append("\n" if data[at + 1] == "n" else data[at + 1])
             at += 2
         elif c == ":":
             break
+        elif c == "\n":
+            raise GrammarError("a line feed in a role")
         else:
             role.append(c)
             at += 1
     if not data.startswith(COLON, at):
-        raise GrammarError("no colon behind the role")
+        raise (Unfinished if COLON.startswith(data[at:]) else GrammarError)("no colon behind the role")
     begin = at + len(COLON)
     # the turn ends at the first end mark that isn't escaped
     at = begin
     while True:
         m = CONTROL.search(data, at)
         if m is None:
-            raise GrammarError("the turn has no end")
+            raise Unfinished("the turn has no end")
         if escaped:
             first = m.start()
             while first > begin and data[first - 1] == "\\":
@@ -93,10 +102,46 @@ def parse_turn(data: str) -> tuple[str, str, int, int]:
                 at = m.start() + 1
                 continue
         break
-    if m[0] != END or data[m.end() :] != "\n":
+    if m[0] != END:
         raise GrammarError("a control string in a body")
+    if not data.startswith("\n", m.end()):
+        raise (Unfinished if m.end() == len(data) else GrammarError)("no line feed behind a turn")
     body = data[begin : m.start()]
-    return "".join(role), _UNESCAPE.sub(r"\1", body) if escaped else body, begin, m.start()
+    return "".join(role), _UNESCAPE.sub(r"\1", body) if escaped else body, begin, m.start(), m.end() + 1
+
+
+def parse_turn(data: str) -> tuple[str, str, int, int]:
+    """Role, text, and where the body begins and ends in ``data``, which holds
+    just one turn."""
+    *turn, end = next_turn(data)
+    if end != len(data):
+        raise GrammarError("more than a turn")
+    return tuple(turn)
+
+
+class Turns:
+    """The turns of a formatted conversation that comes in pieces, cut anywhere."""
+
+    def __init__(self) -> None:
+        self.rest, self.at = "", 0
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str, int, int]]:
+        """The turns that are whole now: role, text, and where in the
+        conversation the body begins and ends."""
+        self.rest += piece
+        begin = 0
+        while begin < len(self.rest):
+            try:
+                role, text, a, b, end = next_turn(self.rest[begin:] if begin else self.rest)
+            except Unfinished:
+                break
+            yield role, text, self.at + a, self.at + b
+            begin, self.at = begin + end, self.at + end
+        self.rest = self.rest[begin:]
+
+    def close(self) -> None:
+        if self.rest:
+            raise GrammarError("the conversation ends within a turn")
 
 
 def format_turn(role: str, text: str) -> str:
@@ -141,22 +186,29 @@ def formatted(turns: DataFrame) -> DataFrame:
 
 class _Digest:
     def __init__(self, conv_id: int | None):
-        self.conv_id, self.turns, self.loss_chars, self.chars = conv_id, 0, 0, 0
+        self.conv_id, self.n, self.loss_chars, self.chars = conv_id, 0, 0, 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.turns, self.masked = Turns(), deque()
 
     def add(self, data: str, begin: int | None, end: int | None) -> None:
-        role, text, *span = parse_turn(data)
-        self.turns += 1
-        self.chars += len(data)
-        self.all.update(f"{role}\n{text}\n".encode())
+        """A piece of the conversation, and what of it the loss mask covers."""
         if begin is not None:
-            if [begin, end] != span:
-                raise GrammarError("the loss mask doesn't cover a body")
-            self.loss_chars += len(text)
-            self.loss.update(text.encode())
+            self.masked.append((self.chars + begin, self.chars + end))
+        self.chars += len(data)
+        for role, text, *span in self.turns.feed(data):
+            self.n += 1
+            self.all.update(f"{role}\n{text}\n".encode())
+            if self.masked and self.masked[0][0] < span[1] + len(END):
+                if self.masked.popleft() != tuple(span):
+                    raise GrammarError("the loss mask doesn't cover a body")
+                self.loss_chars += len(text)
+                self.loss.update(text.encode())
 
     def row(self) -> tuple:
-        return self.conv_id, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+        self.turns.close()
+        if self.masked:
+            raise GrammarError("the loss mask covers no body")
+        return self.conv_id, self.n, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
 
 _NAMES = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -183,7 +235,8 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(segments: DataFrame) -> DataFrame:
-    """Digests of conversations, parsed from the rows of ``formatted``."""
+    """Digests of conversations, parsed from their whole texts (the rows of
+    ``formatted`` put together)."""
     return segments.mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 

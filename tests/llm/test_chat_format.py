@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -60,3 +61,36 @@ def test_oracle(spark):
     d = "/root/testdata/sf0.01"
     r = compare(spark, d, "op3", C.op3_chat_format, C.SQL["op3_chat_format"], duck(d))
     assert r["schema"] and r["hash"] and r["rows"] == r["oracle_rows"], r
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(TEXT, TEXT), max_size=5), st.randoms(use_true_random=False))
+def test_turns_of_a_text_cut_anywhere(turns, rnd):
+    """The grammar finds the turns, wherever the text is cut into pieces."""
+    whole = "".join(C.format_turn(*t) for t in turns)
+    cuts = sorted(rnd.randint(0, len(whole)) for _ in range(4))
+    stream, found = C.Turns(), []
+    for a, b in zip([0, *cuts], [*cuts, len(whole)], strict=True):
+        found += list(stream.feed(whole[a:b]))
+    stream.close()
+    assert [(r, t) for r, t, *_ in found] == turns
+    for (r, t, a, b), (role, text) in zip(found, turns, strict=True):
+        assert (r, t) == (role, text) and whole[b : b + 8] == "</turn>\n" and (whole[a:b] == text or C.CONTROL.search(text))
+
+
+def test_what_is_no_conversation():
+    for bad in ("### user: a", "### user: a</turn>\nx", "x", "### us\ner: a</turn>\n", "### user: a</turn> ### user: b</turn>\n", "### user: ### a</turn>\n"):
+        stream = C.Turns()
+        with pytest.raises(C.GrammarError):
+            list(stream.feed(bad))
+            stream.close()
+
+
+def test_rows_need_not_hold_whole_turns(spark):
+    """Two turns in one row, and a turn over two rows."""
+    one, two = C.format_turn("user", "q ### </turn>"), C.format_turn("assistant", "r")
+    begin, end = C.parse_turn(two)[2:]
+    data = [(1, one + two, len(one) + begin, len(one) + end), (2, one[:9], None, None), (2, one[9:], None, None), (2, two, begin, end)]
+    df = spark.createDataFrame(data, "conv_id long, formatted string, loss_begin long, loss_end long").coalesce(1)
+    a, b = sorted(rows(C.read_back(df)), key=lambda r: r["conv_id"])
+    assert {k: v for k, v in a.items() if k != "conv_id"} == {k: v for k, v in b.items() if k != "conv_id"} and a["n_turns"] == 2 and a["loss_chars"] == 1
