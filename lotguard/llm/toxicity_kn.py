@@ -12,15 +12,18 @@ A document's statistics are log-likelihood ratios per character: of the whole
 text, and of its most toxic ``WINDOW`` = 2 successive words. A logistic
 function of the two gives the score. It is fitted on a bounded sample of labelled
 documents, with a model that leaves these out; the scores' model counts them too.
+Both models come from one pass over the counted words.
 
 Counts come from all labelled documents of the learning folds, by grouping
 with partial sums. The model sent to the tasks has a row for each distinct gram
 and context, found by a 64-bit key, so it grows with what the corpus holds and
-no two of them share their counts.
+no two of them share their counts. With it go the ratios of frequent words, of
+which there are less than ``OFTEN`` whatever the corpus.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -29,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, WORD, bitmap, in_bitmap, mix, ranges, runs_of, small_batches, table, written
+from lotguard.llm.common import U64, WORD, bitmap, forget_shuffles, in_bitmap, mix, ranges, runs_of, small_batches, table, written
+from lotguard.llm.words import segment_hashes
 
 ORDER, SHARED, DISCOUNT = 6, 2, 0.75
 WINDOW = 2
@@ -39,11 +43,17 @@ FIT_ROWS = 20_000
 KEY_BITS = 26
 FOLDS, HELD_OUT, FIT_FOLD = 5, 0, 4
 SLICE = 1 << 18
+#: A word is frequent if it is more than one in this many of the labelled words.
+OFTEN = 1 << 17
 #: Distinct words that a task adds up, or keeps the ratios of, at once.
 CACHE = 200_000
 BEGIN, END = "\x02", "\x03"
+_BYTE_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _COLUMNS = ("n0", "n1", "types0", "types1")
+#: The counts of the classes: of all rows, and of those that aren't held.
+_ALL, _FIT = ("all0", "all1"), ("fit0", "fit1")
+_COUNTS = (*_ALL, *_FIT)
 
 
 def grams(marked: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,47 +82,39 @@ def _key(value: np.ndarray, n: int, what: int) -> np.ndarray:
 
 
 class Counts:
-    """Numbers by 64-bit key: rows sorted by key, and where the keys with the
-    same first bits begin. The last row, of zeros, stands for unknown keys."""
+    """Numbers by 64-bit key: rows sorted by key. The last row, of zeros, stands
+    for unknown keys."""
 
     def __init__(self, keys: np.ndarray, numbers: np.ndarray):
         order = np.argsort(keys)
         self.keys = keys[order]
         self.numbers = np.concatenate((numbers[order], np.zeros((1, numbers.shape[1]), np.float32)))
-        self.bits = max(len(keys), 1).bit_length()
-        first = (self.keys >> U64(64 - self.bits)).astype(np.int64)
-        self.start = np.searchsorted(first, np.arange((1 << self.bits) + 1)).astype(np.int32)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        line = (keys >> U64(64 - self.bits)).astype(np.int64)
-        at, end = self.start[line].astype(np.int64), self.start[line + 1]
-        row = np.full(len(keys), len(self.keys))
-        todo = np.flatnonzero(at < end)
-        while len(todo):
-            hit = self.keys[at[todo]] == keys[todo]
-            row[todo[hit]] = at[todo[hit]]
-            todo = todo[~hit]
-            at[todo] += 1
-            todo = todo[at[todo] < end[todo]]
-        return self.numbers[row]
+        if not len(self.keys):
+            return np.zeros((len(keys), self.numbers.shape[1]), np.float32)
+        unlike, which = np.unique(keys, return_inverse=True)  # in order, so that neighbours are looked up together
+        row = np.searchsorted(self.keys, unlike)
+        row[self.keys[np.minimum(row, len(self.keys) - 1)] != unlike] = len(self.keys)
+        return self.numbers[row[which]]
 
 
 def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From distinct words with their counts in each class: the ORDER
-    characters that end at each, or all up to it from the word's beginning."""
+    """From distinct words with their counts: the ORDER characters that end at
+    each, or all up to it from the word's beginning."""
     held: dict[str, list[int]] = {}
 
     def out() -> pa.RecordBatch:
-        cols = [list(held), [c[0] for c in held.values()], [c[1] for c in held.values()]]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["gram", "c0", "c1"])
+        cols = [pa.array(list(held), pa.string()), *(pa.array([c[i] for c in held.values()], pa.int64()) for i in range(len(_COUNTS)))]
+        return pa.record_batch(cols, names=["gram", *_COUNTS])
 
     for batch in batches:
-        for word, c0, c1 in zip(*(batch.column(c).to_pylist() for c in ("word", "c0", "c1")), strict=True):
+        for word, *counts in zip(*(batch.column(c).to_pylist() for c in ("word", *_COUNTS)), strict=True):
             marked = BEGIN + word + END
             for i in range(2, len(marked) + 1):
-                count = held.setdefault(marked[max(i - ORDER, 0) : i], [0, 0])
-                count[0] += c0
-                count[1] += c1
+                sums = held.setdefault(marked[max(i - ORDER, 0) : i], [0] * len(_COUNTS))
+                for k, n in enumerate(counts):
+                    sums[k] += n
         if len(held) > CACHE:
             yield out()
             held = {}
@@ -120,9 +122,9 @@ def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counted grams as additions to the model's rows: the counts of grams (what
+    """Counted grams as additions to the models' rows: the counts of grams (what
     0), and the totals and types of contexts (what 1)."""
-    names = ["what", "key", *_COLUMNS]
+    names = ["what", "key", *(f"{m}_{c}" for m in ("all", "fit") for c in _COLUMNS)]
     for batch in batches:
         text = batch.column("gram").to_pylist()
         if not text:
@@ -130,14 +132,16 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value, _, place = grams(text)
         size = np.array([len(g) for g in text], np.int64)
         last = np.cumsum(size) - 1
-        c0, c1 = (np.asarray(batch.column(c)) for c in ("c0", "c1"))
+        counts = [np.asarray(batch.column(c)) for c in _COUNTS]
         zero = np.zeros(len(text), np.int64)
         for n in range(1, ORDER + 1):
             k = np.flatnonzero(size == n)
             at, z = last[k], zero[k]
             before = value[n - 1, at - 1] if n > 1 else np.zeros(len(k), U64)
-            for what, of, types in ((0, value[n, at], [z, z]), (1, before, [c0[k] > 0, c1[k] > 0])):
-                cols = [z + what, _key(of, n, what).view(np.int64), c0[k], c1[k], *types]
+            for what, of in ((0, value[n, at]), (1, before)):
+                cols = [z + what, _key(of, n, what).view(np.int64)]
+                for c0, c1 in (counts[:2], counts[2:]):
+                    cols += [c0[k], c1[k], *((c0[k] > 0, c1[k] > 0) if what else (z, z))]
                 yield pa.record_batch([pa.array(np.asarray(c, np.int64)) for c in cols], names=names)
 
 
@@ -161,54 +165,61 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def counted(labelled: DataFrame) -> DataFrame:
-    """Distinct words of rows (text, toxic, held) with their counts."""
+    """Distinct words of rows (text, toxic, held) with their counts in each
+    class: of all rows, and of those that aren't held."""
     cols = ["c0", "c1", "held0", "held1"]
     found = labelled.select("text", "toxic", "held").mapInArrow(_word_rows, "word string, " + ", ".join(f"{c} long" for c in cols))
-    return written(found.groupBy("word").agg(*[F.sum(c).alias(c) for c in cols]), "words")
+    sums = found.groupBy("word").agg(*[F.sum(c).alias(c) for c in cols])
+    whole = [(F.col(c) + F.col(h)).alias(a) for c, h, a in (("c0", "held0", "all0"), ("c1", "held1", "all1"))]
+    return written(sums.select("word", *whole, F.col("c0").alias("fit0"), F.col("c1").alias("fit1")), "words")
 
 
 def learn(labelled: DataFrame) -> tuple[Counts, Counts]:
     """The model from rows (text, toxic)."""
-    return model_of(counted(labelled.withColumn("held", F.lit(False))).select("word", "c0", "c1"))
+    return collected(models_of(counted(labelled.withColumn("held", F.lit(False)))), "all")
 
 
-def model_of(words: DataFrame) -> tuple[Counts, Counts]:
-    """The model from distinct words with their counts: the counts of grams,
-    and the totals and types of contexts. A gram of the shared orders counts
-    in both classes."""
-    found = words.mapInArrow(_gram_rows, "gram string, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+def models_of(words: DataFrame) -> DataFrame:
+    """Both models from distinct words with their counts: for grams (what 0)
+    their counts, for contexts (what 1) their totals and types. A gram of the
+    shared orders counts in both classes."""
+    long = ", ".join(f"{c} long" for c in _COUNTS)
+    found = words.mapInArrow(_gram_rows, f"gram string, {long}").groupBy("gram").agg(*[F.sum(c).alias(c) for c in _COUNTS])
     found = written(found, "grams").withColumn("n", F.char_length("gram"))
+    forget_shuffles(words.sparkSession)
     # A shorter gram counts its distinct left neighbours; a word's beginning
     # has none and keeps its counts. Up to SHARED both classes share them.
+    both = {m: F.col(pair[0]) + F.col(pair[1]) for m, pair in (("all", _ALL), ("fit", _FIT))}
     level = found.filter(F.col("n") == ORDER).drop("n")
     counted = [level]
     for n in range(ORDER - 1, 0, -1):
-        seen = [(F.col(c) > 0).cast("long") for c in ("c0", "c1")]
-        left = level.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.sum(seen[0]).alias("c0"), F.sum(seen[1]).alias("c1"), F.count("*").alias("both"))
-        first = found.filter(F.col("n") == n).select("gram", "c0", "c1", (F.col("c0") + F.col("c1")).alias("both"))
+        seen = [F.sum((F.col(c) > 0).cast("long")).alias(c) for c in _COUNTS]
+        left = level.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(*seen, *[F.sum((b > 0).cast("long")).alias(m) for m, b in both.items()])
+        first = found.filter(F.col("n") == n).select("gram", *_COUNTS, *[b.alias(m) for m, b in both.items()])
         every = written(left.unionByName(first), f"order-{n}")
-        counted.append(every.select("gram", *[F.col("both" if n <= SHARED else c).alias(c) for c in ("c0", "c1")]))
-        level = every.drop("both")
+        counted.append(every.select("gram", *[F.col(c[:3] if n <= SHARED else c).alias(c) for c in _COUNTS]))
+        level = every.drop(*both)
     union = counted[0]
     for more in counted[1:]:
         union = union.unionByName(more)
-    added = union.mapInArrow(_count_rows, "what long, key long, " + ", ".join(f"{c} long" for c in _COLUMNS))
-    model = added.groupBy("what", "key").agg(*[F.sum(c).cast("float").alias(c) for c in _COLUMNS])
-    model = written(model, "model")
+    cols = [f"{m}_{c}" for m in ("all", "fit") for c in _COLUMNS]
+    added = union.mapInArrow(_count_rows, "what long, key long, " + ", ".join(f"{c} long" for c in cols))
+    return written(added.groupBy("what", "key").agg(*[F.sum(c).cast("float").alias(c) for c in cols]), "models")
+
+
+def collected(models: DataFrame, which: str) -> tuple[Counts, Counts]:
+    """One of the models, ``all`` or ``fit``: the counts of grams, and the totals
+    and types of contexts. Rows without any count aren't part of it."""
     out = []
     for what, cols in ((0, _COLUMNS[:2]), (1, _COLUMNS)):
-        part = model.filter(F.col("what") == what).select("key", *cols).toArrow()
-        out.append(Counts(part.column("key").to_numpy().view(U64), np.column_stack([part.column(c).to_numpy() for c in cols])))
+        names = [f"{which}_{c}" for c in cols]
+        part = models.filter((F.col("what") == what) & (F.col(names[0]) + F.col(names[1]) > 0)).select("key", *names).toArrow()
+        out.append(Counts(part.column("key").to_numpy().view(U64), np.column_stack([part.column(c).to_numpy() for c in names])))
     return out[0], out[1]
 
 
-def ratios(model: tuple[Counts, Counts], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Log-likelihood ratio (toxic to ordinary) and characters of each word,
-    its end mark included."""
-    if not words:
-        return np.zeros(0), np.zeros(0, np.int64)
-    value, owner, place = grams([BEGIN + w + END for w in words])
-    at = np.flatnonzero(place > 0)
+def _log_ratios(model: tuple[Counts, Counts], value: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-likelihood ratios of the characters at some places."""
     out = np.full((2, len(at)), 1e-6)  # characters that no model knows
     for n in range(1, ORDER + 1):
         far = np.flatnonzero(place[at] >= n - 1)
@@ -221,43 +232,79 @@ def ratios(model: tuple[Counts, Counts], words: list[str]) -> tuple[np.ndarray,
             p = out[y, far]
             mixed = (np.maximum(count - DISCOUNT, 0) + DISCOUNT * types * p) / np.where(known, total, 1)
             out[y, far] = np.where(known, np.clip(mixed, 1e-12, 1), p)
-    ratio = np.bincount(owner[at], weights=np.log(out[1]) - np.log(out[0]), minlength=len(words))
-    return ratio, np.bincount(owner[at], minlength=len(words))
+    return np.log(out[1]) - np.log(out[0])
+
+
+class Seen:
+    """Ratios of last characters already worked out, by the hash of the up to
+    ORDER characters they follow from; a slot holds the latest of its keys."""
+
+    def __init__(self, bits: int = 20):
+        self.shift = U64(64 - bits)
+        self.keys, self.ratio = np.zeros(1 << bits, U64), np.zeros(1 << bits)
+
+
+def ratios(model: tuple[Counts, Counts], words: list[str], seen: Seen | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood ratio (toxic to ordinary) and characters of each word,
+    its end mark included."""
+    if not words:
+        return np.zeros(0), np.zeros(0, np.int64)
+    seen = seen or Seen(8)
+    value, owner, place = grams([BEGIN + w + END for w in words])
+    at = np.flatnonzero(place > 0)
+    key = value[np.minimum(place[at] + 1, ORDER), at]
+    slot = (key >> seen.shift).astype(np.int64)
+    each = seen.ratio[slot]
+    miss = np.flatnonzero(seen.keys[slot] != key)
+    unlike, one, which = np.unique(key[miss], return_index=True, return_inverse=True)
+    new = _log_ratios(model, value, place, at[miss[one]])
+    each[miss] = new[which]
+    slot = (unlike >> seen.shift).astype(np.int64)
+    seen.keys[slot], seen.ratio[slot] = unlike, new
+    return np.bincount(owner[at], weights=each, minlength=len(words)), np.bincount(owner[at], minlength=len(words))
 
 
 class _Ratios:
-    """Ratios of words, kept between batches."""
+    """Ratios of words: of the frequent ones as given (words, ratios, sizes), of
+    others kept between batches. Words are known by their 64-bit hashes."""
 
-    def __init__(self, model: tuple[Counts, Counts]):
-        self.model = model
+    def __init__(self, model: tuple[Counts, Counts], often: tuple[list[str], np.ndarray, np.ndarray] | None = None):
+        self.model, self.seen, self.often = model, Seen(), often or ([], np.zeros(0), np.zeros(0, np.int64))
+        self.names = segment_hashes(np.frombuffer("\n".join(self.often[0]).encode(), np.uint8))[0].tolist()
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ratio, self.size = np.zeros(0), np.zeros(0, np.int64)
-
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        get = self.index.get
-        at = [get(w, -1) for w in words]
-        if -1 in at:
-            if len(self.index) > CACHE:
+        _, self.ratio, self.size = self.often
+        self.index: dict[int, int] = dict(zip(self.names, range(len(self.names)), strict=True))
+
+    def of(self, flat: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ratios, sizes and first bytes of the words in UTF-8 text."""
+        value, at = segment_hashes(np.frombuffer(flat, np.uint8), lower=True)
+        unlike, one, which = np.unique(value, return_index=True, return_inverse=True)
+        names = unlike.tolist()
+        found = list(map(self.index.get, names))
+        if None in found:
+            if len(self.index) > CACHE + len(self.names):
                 self.clear()
-            new = [w for w in dict.fromkeys(words) if w not in self.index]
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            r, s = ratios(self.model, new)
+                found = list(map(self.index.get, names))
+            new = [i for i, f in enumerate(found) if f is None]
+            words = [_BYTE_WORD.match(flat, p)[0].lower().decode() for p in at[one[new]].tolist()]
+            self.index.update(zip([names[i] for i in new], range(len(self.index), len(self.index) + len(new)), strict=True))
+            r, s = ratios(self.model, words, self.seen)
             self.ratio, self.size = np.concatenate((self.ratio, r)), np.concatenate((self.size, s))
-            at = [self.index[w] for w in words]
-        i = np.array(at, np.int64)
-        return self.ratio[i], self.size[i]
+            found = list(map(self.index.__getitem__, names))
+        i = np.array(found, np.int64)[which]
+        return self.ratio[i], self.size[i], at
 
 
 def statistics(known: _Ratios, texts: list[str]) -> np.ndarray:
     """For each text the ratio per character of all, and of the most toxic
     WINDOW successive words (all, if fewer); 0 without words."""
-    words = [WORD.findall(t.translate(_LOWER)) for t in texts]
-    ratio, size = known.of([w for ws in words for w in ws])
-    many = np.array([len(ws) for ws in words], np.int64)
-    cut = np.concatenate(([0], np.cumsum(many)))
+    raw = [t.encode() for t in texts]
+    ratio, size, at = known.of(b"\n".join(raw))
+    ends = np.cumsum(np.array([len(r) + 1 for r in raw], np.int64))
+    cut = np.concatenate(([0], np.searchsorted(at, ends)))
+    many = np.diff(cut)
     r, s = np.concatenate(([0], np.cumsum(ratio))), np.concatenate(([0], np.cumsum(size)))
     out = np.zeros((len(texts), 2))
     full = many > 0
@@ -274,7 +321,7 @@ def statistics(known: _Ratios, texts: list[str]) -> np.ndarray:
 
 def _scorer(shared, weights: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Ratios(shared.value)
+        known = _Ratios(*shared.value)
         for batch in small_batches(batches, "text", SLICE):
             x = statistics(known, batch.column("text").to_pylist())
             if weights is None:
@@ -286,6 +333,15 @@ def _scorer(shared, weights: np.ndarray | None) -> Callable[[Iterator[pa.RecordB
     return rows
 
 
+def _frequent(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ratio, size = ratios(shared.value, batch.column("word").to_pylist())
+            yield pa.record_batch([batch.column("word"), pa.array(ratio), pa.array(size)], names=["word", "ratio", "size"])
+
+    return rows
+
+
 def _likely(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
@@ -348,13 +404,19 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     bar = tail.select("h").orderBy("h").limit(FIT_ROWS).agg(F.max("h")).first()[0]
     held = F.lit(False) if bar is None else (F.col("fold") == FIT_FOLD) & (drawn <= bar)
     words = counted(train.withColumn("held", held))
+    forget_shuffles(spark)
+    models = models_of(words)
+    forget_shuffles(spark)
     kind = docs.schema[key].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(model_of(words.filter("c0 + c1 > 0").select("word", "c0", "c1")))
-    fit = tail.orderBy("h").limit(FIT_ROWS).drop("h")
-    x = fit.mapInArrow(_scorer(shared, None), f"k {kind}, toxic int, x0 double, x1 double").select("toxic", "x0", "x1").toPandas()
+    shared = spark.sparkContext.broadcast((collected(models, "fit"),))
+    fit = tail.orderBy("h").limit(FIT_ROWS).drop("h").repartition("k")
+    x = fit.mapInArrow(_scorer(shared, None), f"k {kind}, toxic int, x0 double, x1 double").select("toxic", "x0", "x1").orderBy("toxic", "x0", "x1").toPandas()
     weights = fit_logistic(x[["x0", "x1"]].to_numpy(float), x["toxic"].to_numpy(float))
-    every = words.select("word", *[(F.col(c) + F.col(h)).alias(c) for c, h in (("c0", "held0"), ("c1", "held1"))])
-    shared = spark.sparkContext.broadcast(model_of(every))
+    model = collected(models, "all")
+    n = F.col("all0") + F.col("all1")
+    total = words.agg(F.sum(n)).first()[0] or 0
+    often = words.filter(n * OFTEN > total).select("word").mapInArrow(_frequent(spark.sparkContext.broadcast(model)), "word string, ratio double, size long").toArrow()
+    shared = spark.sparkContext.broadcast((model, (often.column("word").to_pylist(), often.column("ratio").to_numpy(), often.column("size").to_numpy())))
     out = rows.mapInArrow(_scorer(shared, weights), f"k {kind}, score double")
     return out.select(
         F.col("k").alias(key), (fold(F.col("k")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
