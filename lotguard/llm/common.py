@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import re
 import sys
+import time
 import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -12,6 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +41,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def forget_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of jobs that are over and whose plans
-    nobody holds any more, instead of at the driver's next full collection."""
-    gc.collect()
-    spark.sparkContext._jvm.java.lang.System.gc()
+    nobody holds any more, instead of at the driver's next full collection.
+    What a first collection frees holds further plans, so there are two."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.2)
+        spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def kept_in_worker(name: str, version: int, make: Callable[[], object]) -> object:
@@ -129,6 +134,31 @@ def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+def bodies_of(bodies: DataFrame, wanted: DataFrame, key: list[str], bits: int = 26) -> DataFrame:
+    """The rows of ``wanted`` (unique by ``key``, t_hash among it) with their
+    texts: ``bodies`` has the key and ``body``, copies included. Texts come
+    compressed (``unpacked``), for the shuffles to come. A bitmap of the
+    hashes, of one size for any number, spares most other texts the shuffle;
+    the join decides."""
+    shared = bodies.sparkSession.sparkContext.broadcast(bitmap(wanted.select("t_hash"), bits).tobytes())
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, pack = np.frombuffer(shared.value, np.uint8), zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            batch = batch.filter(pa.array(in_bitmap(found, np.asarray(batch.column("t_hash")).view(U64), bits)))
+            packed = pa.array([pack(b) for b in batch.column("body").to_pylist()], pa.binary())
+            yield batch.set_column(batch.schema.get_field_index("body"), "body", packed)
+
+    return bodies.select(*key, "body").mapInArrow(rows, bodies.select(*key, "body").schema).groupBy(*key).agg(F.first("body").alias("body")).join(wanted, key)
+
+
+def unpacked(batches: Iterable[pa.RecordBatch], name: str, limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Batches of about ``limit`` bytes of compressed text, and their texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in small_batches(batches, name, limit // 2):
+        yield batch, [unpack(b) for b in batch.column(name).to_pylist()]
+
+
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
     """Which hashes have their bit in the bitmap (its bytes)."""
     at = (hashes >> U64(64 - size)).astype(np.int64)

@@ -42,13 +42,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, bitmap, forget_shuffles, in_bitmap, mix, pair, small_batches, table, text_key, written
+from lotguard.llm.common import U64, bodies_of, forget_shuffles, mix, pair, small_batches, table, text_key, unpacked, written
 from lotguard.llm.components import components
 from lotguard.llm.hot_join import hot_join
 from lotguard.llm.words import segment_hashes
 
-#: Cells of a sketch; texts of a block; log2 of a bitmap's bits (8 MiB).
-CELLS, BLOCK, BITS = 256, 1000, 26
+#: Cells of a sketch; texts of a block.
+CELLS, BLOCK = 256, 1000
 #: Bytes of text handled at once.
 SLICE = 1 << 18
 
@@ -206,7 +206,7 @@ def _sharers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sketches(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _bodies(batches, "body"):
+        for batch, texts in unpacked(batches, "body", SLICE):
             sets = shingle_sets(texts, like)
             cells = [np.minimum(np.bincount((mix(x ^ U64(CELLS)) >> U64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes() for x in sets]
             yield pa.record_batch(
@@ -232,7 +232,7 @@ def _compare(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         n, d = like.apart
         last: tuple[bytes, np.ndarray] | None = None
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch, texts in _bodies(small_batches(batches, "b_body", 1 << 23), "a_body"):
+        for batch, texts in unpacked(small_batches(batches, "b_body", 1 << 23), "a_body", SLICE):
             left = shingle_sets(texts, like)
             rows = []
             for x, body in zip(left, batch.column("b_body"), strict=True):
@@ -301,30 +301,6 @@ def _blocks(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return rows
 
 
-def having(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The texts of ``nodes`` once each (t_id, body), compressed for the shuffles
-    to come. A bitmap of their hashes, of one size for any number, spares most
-    other texts the shuffle; the join decides."""
-    shared = bodies.sparkSession.sparkContext.broadcast(bitmap(nodes.select("t_hash"), BITS).tobytes())
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, pack = np.frombuffer(shared.value, np.uint8), zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            batch = batch.filter(pa.array(in_bitmap(bits, np.asarray(batch.column("t_hash")).view(U64), BITS)))
-            packed = pa.array([pack(b) for b in batch.column("body").to_pylist()], pa.binary())
-            yield batch.set_column(batch.schema.get_field_index("body"), "body", packed)
-
-    key = ["t_hash", "t_len"]
-    return bodies.mapInArrow(rows, bodies.schema).groupBy(*key).agg(F.first("body").alias("body")).join(nodes, key).select("t_id", "body")
-
-
-def _bodies(batches: Iterator[pa.RecordBatch], name: str, limit: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Batches of about ``limit`` bytes of text, and their unpacked texts."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    for batch in small_batches(batches, name, limit // 2):
-        yield batch, [unpack(b) for b in batch.column(name).to_pylist()]
-
-
 def _sizes(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "body", SLICE):
@@ -346,7 +322,8 @@ def linked_texts(docs: DataFrame, text: str = "text", like: Likeness = QUERY) ->
     )
     forget_shuffles(docs.sparkSession)  # the signatures: most of what is moved
     nodes = written(shared.select("t_hash", "t_len").distinct().withColumn("t_id", F.monotonically_increasing_id()), "nodes")
-    texts = written(having(bodies, nodes), "texts")
+    texts = written(bodies_of(bodies, nodes, ["t_hash", "t_len"]).select("t_id", "body"), "texts")
+    forget_shuffles(docs.sparkSession)
     sketched = written(texts.mapInArrow(_sketches(like), "t_id long, size long, sketch binary"), "sketches")
     key, hub_key = ["t_hash", "t_len"], ["hub_hash", "hub_len"]
     hubs = nodes.select(F.col("t_hash").alias("hub_hash"), F.col("t_len").alias("hub_len"), F.col("t_id").alias("b"))
@@ -373,6 +350,7 @@ def linked_texts(docs: DataFrame, text: str = "text", like: Likeness = QUERY) ->
     tried = left.join(second, "sig").filter("t_id <> b").select(F.col("t_id").alias("a"), "b").distinct()
     more = compared(bounded(tried, sketched).filter(F.col("least") <= allowed), texts, like)
     links = written(links.unionByName(more.filter("linked").select("a", "b")), "links")
+    forget_shuffles(docs.sparkSession)
     roots = components(links)
     found = unlike_pairs(loose, near, roots, sketched, like)
     last = compared(bounded(found, sketched).filter(F.col("least") <= allowed), texts, like)

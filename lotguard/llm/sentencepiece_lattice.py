@@ -45,8 +45,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations of a text; seed of all draws.
 K, SEED = 2, 7
 SLICE = 1 << 19
-#: Bytes of word lattices that a worker keeps; occurrences that are drawn at once.
-CACHE, CHUNK = 48 << 20, 1 << 16
+#: Bytes of word lattices that a worker keeps; occurrences that are drawn, and
+#: words that are put in, at once.
+CACHE, CHUNK, NEW = 32 << 20, 1 << 15, 1 << 13
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _C1, _C2, _C3 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0xC2B2AE3D27D4EB4F)
 _SLOTS = 20
@@ -98,7 +99,7 @@ def uniform(key: np.ndarray, a: np.ndarray | int, b: np.ndarray | int, c: np.nda
 
 
 class _Grown:
-    """An array that grows at its end, by doubling."""
+    """An array that grows at its end, by half of its size."""
 
     def __init__(self, *first, kind=np.int64):
         self.data, self.from_start = np.zeros(1 << 16, kind), np.array(first, kind)
@@ -112,7 +113,9 @@ class _Grown:
     def add(self, more: np.ndarray) -> None:
         end = self.size + len(more)
         if end > len(self.data):
-            self.data = np.concatenate((self.data, np.zeros(max(end, 2 * len(self.data)) - len(self.data), self.data.dtype)))
+            grown = np.zeros(max(end, len(self.data) * 3 // 2), self.data.dtype)
+            grown[: self.size] = self.data[: self.size]
+            self.data = grown
         self.data[self.size : end] = more
         self.size = end
 
@@ -285,8 +288,10 @@ class Lattices:
         found = list(map(self.index.get, names))
         if None in found:
             new = [i for i, f in enumerate(found) if f is None]
-            spans = zip(at[one[new]].tolist(), upto[one[new]].tolist(), strict=True)
-            self.add([flat[a:b].decode("utf-8", "surrogatepass") for a, b in spans], [names[i] for i in new])
+            for s in range(0, len(new), NEW):
+                some = new[s : s + NEW]
+                spans = zip(at[one[some]].tolist(), upto[one[some]].tolist(), strict=True)
+                self.add([flat[a:b].decode("utf-8", "surrogatepass") for a, b in spans], [names[i] for i in some])
             found = list(map(self.index.__getitem__, names))
         place = np.array(found, np.int64)
         return self.start[place[which]], np.concatenate(([0], np.searchsorted(at, ends)))

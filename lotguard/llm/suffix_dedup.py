@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, mix, pair, ranges, runs_of, small_batches, table, text_key, written
+from lotguard.llm.common import U64, bodies_of, forget_shuffles, mix, pair, ranges, runs_of, small_batches, table, text_key, unpacked, written
 
 #: Bytes of a repeated string; bytes of the q-gram of the initial buckets;
 #: positions in a run of the second refinement.
@@ -171,13 +171,13 @@ def _open_parts(batches: Iterator[pa.RecordBatch], length: int):
     """The open runs of the texts, about SLICE positions at once: the text's
     id (an array of one), first positions, sizes, buckets, the identifiers in the bytes of the runs put
     one after another, and where in these each run begins."""
-    for batch in small_batches(batches, "body", SLICE):
-        for row, (body, runs) in enumerate(zip(batch.column("body"), batch.column("runs"), strict=True)):
+    for batch, bodies in unpacked(batches, "body", SLICE):
+        for row, (body, runs) in enumerate(zip(bodies, batch.column("runs"), strict=True)):
             t_id = batch.column("t_id").slice(row, 1)
             keep = np.flatnonzero(np.asarray(runs.values.field("open")))
             lo, n = (np.asarray(runs.values.field(f))[keep].astype(np.int64) for f in ("lo", "n"))
             bucket = np.asarray(runs.values.field("bucket"))[keep].view(U64)
-            data = np.frombuffer(body.as_py(), np.uint8)
+            data = np.frombuffer(body, np.uint8)
             for s, c in zip(*runs_of(np.cumsum(n + length) // (2 * SLICE)), strict=True):
                 a, k = lo[s : s + c], n[s : s + c]
                 size = k + length - 1
@@ -227,10 +227,10 @@ def _string_rows(length: int):
 
 def _cut_rows(of: list[str], length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "body", 4 * SLICE):
+        for batch, bodies in unpacked(batches, "body", 4 * SLICE):
             removed, spans, digests, kept_all = [], [], [], []
-            for i in range(batch.num_rows):
-                body = np.frombuffer(batch.column("body")[i].as_py(), np.uint8)
+            for i, body in enumerate(bodies):
+                body = np.frombuffer(body, np.uint8)
                 closed = batch.column("closed")[i].values
                 lo, n = (np.asarray(closed.field(f)).astype(np.int64) for f in ("lo", "n"))
                 single = batch.column("positions")[i].values
@@ -281,7 +281,9 @@ def repeated_strings(docs: DataFrame, text: str = "text", length: int = LENGTH,
     runs = written(bodies.mapInArrow(_run_rows(of, length), f"{kinds}, {_RUN}"), "runs")
     wanted = refined(runs, of, first)
     t_id = F.struct(*of) if first else F.monotonically_increasing_id()
-    texts = written(bodies.groupBy(*of).agg(F.first("body").alias("body")).join(wanted, of).withColumn("t_id", t_id), "repeated-texts")
+    wanted = written(wanted, "repeated-runs")
+    forget_shuffles(docs.sparkSession)
+    texts = written(bodies_of(bodies, wanted, of).withColumn("t_id", t_id), "repeated-texts")
     kind = dict(texts.dtypes)["t_id"]
     going_on = F.exists("runs", lambda r: r["open"])
     short = written(texts.filter(going_on).select("t_id", "body", "runs").mapInArrow(_short_runs(length), f"t_id {kind}, {_RUN}"), "short-runs")
@@ -291,6 +293,7 @@ def repeated_strings(docs: DataFrame, text: str = "text", length: int = LENGTH,
         texts.withColumn("closed", closed).drop("runs").join(again, "t_id", "left")
         .withColumn("closed", F.concat("closed", F.coalesce(closed, F.array().cast("array<struct<lo:int,n:int>>")))), "repeated-texts"
     )
+    forget_shuffles(docs.sparkSession)
     strings = written(texts.filter(going_on).select("t_id", "body", "runs").mapInArrow(_string_rows(length), f"string long, t_id {kind}, pos int"), "strings")
     # grouped counts, written, so that the rows of a string found very often can be split
     counted = strings.groupBy("string").agg(F.count("*").alias("same"), *([F.min(F.struct("t_id", "pos")).alias("one")] if first else [])).filter("same > 1")
