@@ -415,17 +415,17 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", like:
     """The documents without those that a component has besides its first (the
     smallest key, then the smallest text key; null keys last; one of repeated
     rows). Documents without words all stay."""
-    rows = joined(docs, key, text, like)
-    order = F.struct(F.col(key).isNull().alias("none"), F.coalesce(key, F.lit(0)).alias("k"), "t_hash", "t_len")
-    firsts = rows.filter("n_shingles > 0").groupBy("c1", "c2").agg(F.min(order).alias("o")).select("o.*")
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").isNull().alias("none"),
-        F.coalesce(F.col(f"`{key}`"), F.lit(0)).alias("k"), *text_key(F.col(f"`{text}`")),
-        (~F.coalesce(F.col(f"`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("blank"),
-    )
     by = ["none", "k", "t_hash", "t_len"]
-    stay = keyed.filter("not blank").join(firsts, by, "left_semi").groupBy(*by).agg(F.first("row").alias("row"))
-    return stay.select("row").unionByName(keyed.filter("blank").select("row")).select("row.*")
+    none, k = F.col(f"`{key}`").isNull().alias("none"), F.coalesce(F.col(f"`{key}`"), F.lit(0)).alias("k")
+    rows = joined(docs, key, text, like).filter("n_shingles > 0").select(none, k, "t_hash", "t_len", "c1", "c2")
+    rows = written(rows.groupBy(*by, "c1", "c2").agg(F.count("*").alias("times")), "members")
+    firsts = written(rows.groupBy("c1", "c2").agg(F.min(F.struct(*by)).alias("o")).select("o.*"), "firsts")
+    # What goes is mostly less than what stays: the documents need not be sorted for it.
+    again = written(firsts.join(rows.filter("times > 1"), by, "left_semi"), "repeated-firsts")
+    gone = written(rows.select(*by).join(firsts, by, "left_anti").unionByName(again), "gone")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), none, k, *text_key(F.col(f"`{text}`")))
+    once = keyed.join(again, by, "left_semi").groupBy(*by).agg(F.first("row").alias("row"))
+    return keyed.join(gone, by, "left_anti").select("row").unionByName(once.select("row")).select("row.*")
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
