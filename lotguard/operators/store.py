@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from lotguard.functions import constants as K
 from lotguard.functions.exprs import base_name
 from lotguard.operators.rules import reference_keys
+from lotguard.session import known_small
 from lotguard.sources.files import create_if_absent, exists, listing, move
 
 
@@ -87,7 +88,7 @@ class BatchTable:
 
     def rows(self) -> DataFrame:
         """The rows of all batches, each by its latest publish."""
-        now = self.manifest().select("batch_id", "publish")
+        now = known_small(self.manifest().select("batch_id", "publish"))
         return self.spark.read.parquet(f"{self.root}/data").join(now, ["batch_id", "publish"], "left_semi").drop("publish")
 
     def reference(self) -> DataFrame:
@@ -127,7 +128,7 @@ def read_pending(pending: BatchTable, processed: BatchTable | None = None, mode:
     if newest is None:
         raise missing
     if mode == "all":
-        return data.join(batches.select("batch_id", "publish"), ["batch_id", "publish"], "left_semi")
+        return data.join(known_small(batches.select("batch_id", "publish")), ["batch_id", "publish"], "left_semi")
     rows = data.where((F.col("publish") == newest["publish"]) & F.col("batch_id").eqNullSafe(F.lit(newest["batch_id"])))
     received = rows.count()
     if received != newest["total"]:
