@@ -1,6 +1,6 @@
 """The event log: audit events of both stages, as JSON lines.
 
-    <root>/run=<run>/day=<yyyy-mm-dd>/*.json
+    <root>/run=<run>/day=<yyyy-mm-dd>/*.json.gz
 
 A line carries timestamp (whole seconds, with zone), level, execution_id,
 bot_id, batch_id, lote_id, source_row and message. Folders by run and day keep
@@ -65,11 +65,12 @@ def log_lines(events: DataFrame, execution_id: str | Column, bot_id: str | Colum
 
 def write_event_log(lines: DataFrame, root: str, run: str) -> str:
     """Append the lines of a run: a folder of its own, in it one a day. A run
-    that is there already is an error."""
+    that is there already is an error. Lines repeat much of their text: packed
+    they take a tenth of the space."""
     path = f"{root.rstrip('/')}/run={run}"
     day = F.date_format("timestamp", "yyyy-MM-dd")
     text = lines.withColumns({"day": day, "timestamp": F.date_format("timestamp", _FORMAT)})
-    text.write.mode("errorifexists").partitionBy("day").json(path)
+    text.write.mode("errorifexists").option("compression", "gzip").partitionBy("day").json(path)
     return path
 
 
