@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from lotguard.functions import constants as K
 from lotguard.functions.exprs import message_of, truncate_message
 from lotguard.operators.sequence import DEFAULT_BLOCK_WIDTH, next_within
+from lotguard.session import written
 
 #: Places of a block: runs, tasks and items meet in blocks of their queue.
 BLOCK = DEFAULT_BLOCK_WIDTH
@@ -139,7 +140,8 @@ def mixed_sessions(acquired: DataFrame) -> DataFrame:
 def batch_integrity(queue: DataFrame, tasks: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
     """The problem of each session that has one (task_id, batch_id, problem,
     message): those of tasks over a queue, and of ``sessions`` without order."""
-    found = replay(placed_items(queue), tasks).where("problem is not null").select("task_id", "batch_id", "problem", "message")
+    placed = written(placed_items(queue).drop("item_id"), "placed")  # read for the runs and for the ends of queues
+    found = replay(placed, tasks).where("problem is not null").select("task_id", "batch_id", "problem", "message")
     return found if sessions is None else found.unionByName(mixed_sessions(sessions))
 
 
