@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lotguard.functions import constants as K
 from lotguard.functions.exprs import or_default, strip, truncate_message
 from lotguard.operators.rules import consolidate, evaluate, select_where
+from lotguard.session import known_small, written
 
 
 def _v() -> Column:
@@ -112,7 +113,7 @@ def abort_states(states: DataFrame, batch_errors: DataFrame) -> DataFrame:
     before the failure are PROCESSING; a failure found before the item loop
     (structure, integrity) leaves every item PROCESSING. Final states are never
     overwritten, nor items of other batches."""
-    failed = batch_errors.select("batch_id", F.col("error").alias("_run_error")).distinct()
+    failed = known_small(written(batch_errors.select("batch_id", F.col("error").alias("_run_error")).distinct(), "failed-batches"))
     j = states.join(failed, "batch_id", "left")
     hit = F.col("_run_error").isNotNull() & (F.col("datapool_state") == K.STATE_PROCESSING)
     kept = [c for c in states.columns if c not in ("datapool_state", "error_type", "finish_message")]
