@@ -33,6 +33,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -94,8 +95,11 @@ def load_model(path: str = MODEL) -> dict:
 def uniform(key: np.ndarray, a: np.ndarray | int, b: np.ndarray | int, c: np.ndarray | int) -> np.ndarray:
     """Hashed draws from (0, 1)."""
     as64 = lambda x: np.atleast_1d(np.asarray(x, np.int64)).view(U64)
-    x = mix(key + as64(a) * _C1 + as64(b) * _C2 + as64(c) * _C3)
-    return ((mix(x) >> U64(11)).astype(float) + 0.5) * 2.0**-53
+    return _unit(key + as64(a) * _C1 + as64(b) * _C2 + as64(c) * _C3)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return ((mix(mix(x)) >> U64(11)).astype(float) + 0.5) * 2.0**-53
 
 
 class _Grown:
@@ -107,7 +111,8 @@ class _Grown:
 
     def clear(self) -> None:
         self.size = 0
-        self.data = self.data[: 1 << 16].copy()
+        if self.data.nbytes > CACHE // 2:  # of a very long text
+            self.data = self.data[: 1 << 16].copy()
         self.add(self.from_start)
 
     def add(self, more: np.ndarray) -> None:
@@ -131,6 +136,7 @@ class Lattices:
         self.logp = model["logp"]
         self.byte_id = {model["pieces"][i][0]: int(i) for i in np.flatnonzero(model["kinds"] == 2)}
         known: dict[int, int] = {}
+        begun: set[int] = set()
         self.longest, self.newline_apart = 1, True
         for i in np.flatnonzero(model["kinds"] == 1):
             text = model["pieces"][i].decode()
@@ -140,22 +146,26 @@ class Lattices:
             for n, c in enumerate(text, 1):
                 h = (h * int(_BASE) + ord(c) + 1) & (1 << 64) - 1
                 known[h] = int(i) if n == len(text) else known.get(h, -1)
+                if n < len(text):
+                    begun.add(h)
         order = sorted(known)
+        index = {h: i for i, h in enumerate(order)}
         self.keys = np.array(order, U64)
         self.key_ids = np.array([known[h] for h in order], np.int32)
+        self.of_char = np.full(0x110000, -1, np.int32)
+        singles = {ord(c): c for t in model["pieces"] for c in t.decode("utf-8", "ignore")[:1]}
+        self.of_char[list(singles)] = [index.get(c + 1, -1) for c in singles]
+        self.goes_on = np.array([h in begun for h in order], bool)
         slot = (self.keys * _C1 >> U64(64 - _SLOTS)).astype(np.int64)
         self.slots = np.zeros(1 << _SLOTS, np.int32)
         self.slots[slot] = np.arange(len(self.keys))
         other = np.flatnonzero(self.slots[slot] != np.arange(len(self.keys)))
         self.crowded, self.crowded_at = self.keys[other], other.astype(np.int32)
-        size = max((len(p) for p in model["pieces"]), default=0)
-        self.piece_len = np.array([len(p) for p in model["pieces"]], np.int64)
-        self.piece_bytes = np.zeros((len(model["pieces"]), size), np.uint8)
-        for i, p in enumerate(model["pieces"]):
-            self.piece_bytes[i, : len(p)] = np.frombuffer(p, np.uint8)
+        self.pieces = pa.array(model["pieces"], pa.large_binary())
         small = np.int32
         self.grown = {"start": _Grown(), "first": _Grown(0, kind=small), "target": _Grown(kind=small), "node": _Grown(kind=small), "logc": _Grown(kind=float)}
         self.grown |= {"cum": _Grown(kind=np.float32), "ids": _Grown(kind=small), "id_at": _Grown(0, kind=small)}
+        self.grown |= {"name": _Grown(kind=U64), "used": _Grown(kind=small)}
         self.clear()
 
     def clear(self) -> None:
@@ -169,7 +179,31 @@ class Lattices:
         return sum(g.size * g.data.itemsize for g in self.grown.values())
 
     def _name(self) -> None:
-        self.start, self.first, self.target, self.node, self.logc, self.cum, self.ids, self.id_at = (g.data for g in self.grown.values())
+        self.start, self.first, self.target, self.node, self.logc, self.cum, self.ids, self.id_at, self.name, self.used = (g.data for g in self.grown.values())
+
+    def thin(self, room: int) -> None:
+        """Keep the words that were met in most calls, twice at least, as far
+        as ``room`` bytes go."""
+        g = self.grown
+        n = g["start"].size
+        begin = np.append(self.start[:n], g["first"].size - 1)
+        parts = [begin, arcs_at := self.first[begin].astype(np.int64), self.id_at[arcs_at].astype(np.int64)]
+        size = sum(np.diff(x) * weight for x, weight in zip(parts, (4, 24, 4), strict=True)) + 20
+        order = np.argsort(-self.used[:n], kind="stable")
+        keep = np.sort(order[(np.cumsum(size[order]) <= room) & (self.used[order] > 1)])
+        count = [np.diff(x)[keep] for x in parts]
+        nodes, arcs, ids = (ranges(x[keep], c) for x, c in zip(parts, count, strict=True))
+        ends = [np.cumsum(c) for c in count]
+        back = [x[keep] - (e - c) for x, c, e in zip(parts, count, ends, strict=True)]  # places that they move
+        by_arc = np.repeat(back[0], count[1])
+        new = {"start": ends[0] - count[0], "first": self.first[nodes + 1] - np.repeat(back[1], count[0]), "target": self.target[arcs] - by_arc}
+        new |= {"node": self.node[arcs] - by_arc, "logc": self.logc[arcs], "cum": self.cum[arcs], "ids": self.ids[ids]}
+        new |= {"id_at": self.id_at[arcs + 1] - np.repeat(back[2], count[1]), "name": self.name[keep], "used": np.zeros(len(keep), np.int32)}
+        self.clear()
+        for name, values in new.items():
+            g[name].add(values)
+        self.index = dict(zip(new["name"].tolist(), range(len(keep)), strict=True))
+        self._name()
 
     def _look_up(self, h: np.ndarray) -> np.ndarray:
         """The place of each hash in keys, -1 where it is none of them."""
@@ -182,47 +216,50 @@ class Lattices:
             k[again[hit]] = self.crowded_at[c[hit]]
         return k
 
-    def add(self, words: list[str], names: list[int]) -> None:
-        """Put in the lattices of words, under the names given."""
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        size = np.array([len(w) for w in words], np.int64)
+    def add(self, chars: np.ndarray, size: np.ndarray, names: list[int]) -> None:
+        """Put in the lattices of words, under the names given: their characters,
+        word after word, and how many each has."""
         begin = np.cumsum(size + 1) - (size + 1)  # one node more than characters
         n_nodes = int((size + 1).sum())
         at = ranges(begin, size)  # the node before each character
         char = np.zeros(n_nodes, np.uint32)
         char[at] = chars
         end = np.repeat(begin + size, size + 1)
+        left = end - np.arange(n_nodes)
         starts, lengths, pieces = [], [], []
-        h, p = np.zeros(len(at), U64), at
+        p, more = at.astype(np.int32), left[at].astype(np.int32)
+        h = np.zeros(len(p), U64)
         for n in range(1, self.longest + 1):
-            go = p + n <= end[p]
-            h, p = h[go], p[go]
             if not len(p):
                 break
-            h = h * _BASE + char[p + n - 1].astype(U64) + U64(1)
-            k = self._look_up(h)
-            go = k >= 0
-            h, p, k = h[go], p[go], k[go]
-            full = self.key_ids[k] >= 0
+            h = h * _BASE + char[p + (n - 1)].astype(U64) + U64(1)
+            k = self._look_up(h) if n > 1 else self.of_char[char[p]]
+            full = np.flatnonzero((k >= 0) & (self.key_ids[k] >= 0))
             starts.append(p[full])
-            lengths.append(np.full(int(full.sum()), n, np.int64))
-            pieces.append(self.key_ids[k][full])
+            lengths.append(np.full(len(full), n, np.int64))
+            pieces.append(self.key_ids[k[full]])
+            go = np.flatnonzero((k >= 0) & (more > n) & self.goes_on[k])
+            h, p, more = h[go], p[go], more[go]
         start, length, piece = (np.concatenate(x[::-1]) if x else np.zeros(0, np.int64) for x in (starts, lengths, pieces))
+        start = start.astype(np.int64)
         single = np.zeros(n_nodes, bool)
         single[start[length == 1]] = True
         lost = at[~single[at]]  # characters to be spelled in bytes
-        spelled = [[self.byte_id[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in char[lost]]
-        start = np.concatenate((start, lost))
-        length = np.concatenate((length, np.ones(len(lost), np.int64)))
-        n_ids = np.concatenate((np.ones(len(piece), np.int64), np.array([len(s) for s in spelled], np.int64)))
-        ids = np.concatenate((piece, np.array([i for s in spelled for i in s], np.int64))).astype(np.int32)
-        lp = np.add.reduceat(self.logp[ids], np.cumsum(n_ids) - n_ids) if len(ids) else np.zeros(0)
+        spelled = [[self.byte_id[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in char[lost].tolist()]
+        if len(lost):
+            start = np.concatenate((start, lost))
+            length = np.concatenate((length, np.ones(len(lost), np.int64)))
+            n_ids = np.concatenate((np.ones(len(piece), np.int64), np.array([len(s) for s in spelled], np.int64)))
+            ids = np.concatenate((piece, np.array([i for s in spelled for i in s], np.int64))).astype(np.int32)
+            lp = np.add.reduceat(self.logp[ids], np.cumsum(n_ids) - n_ids)
+        else:
+            ids = piece.astype(np.int32)
+            lp = self.logp[ids]
         # total log-weight of what follows each node, from the ends backwards
         order = np.argsort(start, kind="stable")
         start, length, lp = start[order], length[order], lp[order]
         count = np.bincount(start, minlength=n_nodes)
         first = np.concatenate(([0], np.cumsum(count)))
-        left = end - np.arange(n_nodes)
         if left.max(initial=0) < 1 << 15:  # short integers are sorted faster
             left = left.astype(np.int16)
         nodes = np.argsort(left, kind="stable")
@@ -250,10 +287,13 @@ class Lattices:
         cum[(first[1:] - 1)[count > 0]] = 2.0  # the last arc takes what is left
         g = self.grown
         n0, a0, i0 = g["first"].size - 1, g["target"].size, g["ids"].size
-        at_ids = np.cumsum(n_ids) - n_ids
-        self.index.update(zip(names, range(g["start"].size, g["start"].size + len(words)), strict=True))
+        self.index.update(zip(names, range(g["start"].size, g["start"].size + len(size)), strict=True))
         new = {"start": begin + n0, "first": first[1:] + a0, "target": start + length + n0, "node": start + n0, "logc": logc, "cum": cum}
-        new |= {"ids": ids[ranges(at_ids[order], n_ids[order])], "id_at": i0 + np.cumsum(n_ids[order])}
+        if len(lost):
+            new |= {"ids": ids[ranges((np.cumsum(n_ids) - n_ids)[order], n_ids[order])], "id_at": i0 + np.cumsum(n_ids[order])}
+        else:
+            new |= {"ids": ids[order], "id_at": np.arange(i0 + 1, i0 + 1 + len(ids))}
+        new |= {"name": np.array(names, U64), "used": np.zeros(len(size), np.int32)}
         for name, values in new.items():
             g[name].add(values)
         self._name()
@@ -283,17 +323,21 @@ class Lattices:
             self.times, self.back = powers(_TIMES, n), powers(pow(_TIMES, -1, 1 << 64), n)
         sums = np.concatenate((np.zeros(1, U64), np.cumsum(_BYTES[data] * self.times[:n], dtype=U64)))
         value = mix((sums[upto] - sums[at]) * self.back[at] + (upto - at).astype(U64))
-        unlike, one, which = np.unique(value, return_index=True, return_inverse=True)
-        names = unlike.tolist()
-        found = list(map(self.index.get, names))
-        if None in found:
-            new = [i for i, f in enumerate(found) if f is None]
+        coded = pa.array(value).dictionary_encode()
+        names, which = coded.dictionary.to_numpy().tolist(), coded.indices.to_numpy()
+        one = np.zeros(len(names), np.int64)
+        one[which] = np.arange(len(which))  # any of the equal ones
+        place = np.array(list(map(self.index.get, names, repeat(-1))), np.int64)
+        if len(new := np.flatnonzero(place < 0)):
+            place[new] = self.grown["start"].size + np.arange(len(new))
             for s in range(0, len(new), NEW):
                 some = new[s : s + NEW]
-                spans = zip(at[one[some]].tolist(), upto[one[some]].tolist(), strict=True)
-                self.add([flat[a:b].decode("utf-8", "surrogatepass") for a, b in spans], [names[i] for i in some])
-            found = list(map(self.index.__getitem__, names))
-        place = np.array(found, np.int64)
+                size = (upto - at)[one[some]]
+                spelled = data[ranges(at[one[some]], size)]
+                chars = np.frombuffer(spelled.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+                begins_char = ((spelled & 0xC0) != 0x80).astype(np.int64)
+                self.add(chars, np.add.reduceat(begins_char, np.cumsum(size) - size), [names[i] for i in some.tolist()])
+        self.used[place] += 1
         return self.start[place[which]], np.concatenate(([0], np.searchsorted(at, ends)))
 
     def draw(self, node: np.ndarray, key: np.ndarray, place: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
@@ -306,15 +350,16 @@ class Lattices:
 
     def _draw(self, node, key, place, turn):
         many = np.zeros(len(node), np.int64)
+        drawn = key + place.view(U64) * _C1 + np.array([turn], U64) * _C2  # the draws' keys at step 0, as in uniform()
         walk, steps = np.arange(len(node)), []
         step = 0
         while True:
-            go = self.first[node + 1] > self.first[node]
-            walk, node = walk[go], node[go]
-            if not len(walk):
+            arc = self.first[node]
+            go = np.flatnonzero(self.first[node + 1] > arc)
+            if not len(go):
                 break
-            u = uniform(key[walk], place[walk], turn, step)
-            arc = self.first[node].astype(np.int64)
+            walk, arc, drawn = walk[go], arc[go].astype(np.int64), drawn[go]
+            u = _unit(drawn + np.array([step], U64) * _C3)
             on = np.flatnonzero(u > self.cum[arc])
             while len(on):
                 arc[on] += 1
@@ -332,9 +377,12 @@ class Lattices:
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The texts of rows of piece ids, put one after another; the space
         put before a text is taken off."""
-        size = self.piece_len[ids]
-        flat = self.piece_bytes[np.repeat(ids, size), ranges(np.zeros(len(ids), np.int64), size)].tobytes()
-        at = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+        if not len(ids):
+            return [b""] * len(sizes)
+        taken = self.pieces.take(pa.array(ids))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)
+        flat = taken.buffers()[2].to_pybytes()
+        at = ends[np.concatenate(([0], np.cumsum(sizes)))].tolist()
         return [flat[a + flat.startswith(b" ", a, b) : b] for a, b in zip(at, at[1:], strict=False)]
 
 
@@ -360,8 +408,14 @@ class _Search:
     def leaving(self, sample: int, begin: int, deep: float) -> tuple[np.ndarray, np.ndarray]:
         """Places of a found segmentation, from ``begin`` on, where others can
         leave it, and the log-probability up to there, down to ``deep``."""
-        logc = self.lat.logc[self.found[sample][2]]
-        before = np.cumsum(logc) - logc
+        arcs = self.found[sample][2]
+        some = len(arcs) if deep == -math.inf else 256  # most texts' first places are enough
+        while True:
+            logc = self.lat.logc[arcs[:some]]
+            before = np.cumsum(logc) - logc
+            if some >= len(arcs) or before[-1] < deep:
+                break
+            some *= 4
         upto = len(logc) if deep == -math.inf else int(np.searchsorted(-before, -deep, side="right"))
         at = begin + np.flatnonzero(logc[begin:upto] < 0)
         return at, before[at] + np.log(-np.expm1(logc[at]))
@@ -377,8 +431,8 @@ class _Search:
         need = self.k + 1 - len(self.found)
         return -heapq.nsmallest(need, self.heap)[-1][0] if len(self.heap) >= need else -math.inf
 
-    def first(self) -> None:
-        self.opened = (-math.log(-math.log(self._draw(0, 999, 0))), None, 0, None, ())
+    def first(self, drawn: float) -> None:
+        self.opened = (-math.log(-math.log(drawn)), None, 0, None, ())
 
     def open(self) -> bool:
         """Take the set with the largest key, and an arc by which it leaves."""
@@ -462,11 +516,11 @@ def sample_texts(lattices: Lattices, keys: np.ndarray, texts: list[str], k: int)
     """For each text its segmentations in falling order: perturbed value,
     log-probability, inclusion, ids."""
     if lattices.held() > CACHE:
-        lattices.clear()
+        lattices.thin(CACHE // 2)
     nodes, cut = lattices.words(texts)
     search = [_Search(lattices, keys[i], nodes[cut[i] : cut[i + 1]], k) for i in range(len(texts))]
-    for s in search:
-        s.first()
+    for s, drawn in zip(search, uniform(keys, 0, 999, 0).tolist(), strict=True):
+        s.first(drawn)
     todo = search
     for turn in range(k):
         if turn:
@@ -481,14 +535,14 @@ def sample_texts(lattices: Lattices, keys: np.ndarray, texts: list[str], k: int)
         ends = np.cumsum(size)
         arcs = np.concatenate(([0], np.cumsum(many)))
         _set_keys(todo, [s.close(drawn[arcs[b] : arcs[e]], many[b:e]) for s, b, e in zip(todo, ends - size, ends, strict=True)], _DEEP)
-    out = []
-    for s in search:
-        rows = []
-        for value, logp, inclusion, arcs in s.results():
-            begin, end = (lattices.id_at[a].astype(np.int64) for a in (arcs, arcs + 1))
-            rows.append((value, logp, inclusion, lattices.ids[ranges(begin, end - begin)]))
-        out.append(rows)
-    return out
+    done = [list(s.results()) for s in search]
+    arcs = np.concatenate([np.zeros(0, np.int64), *(r[3] for rows in done for r in rows)])
+    begin = lattices.id_at[arcs].astype(np.int64)
+    size = lattices.id_at[arcs + 1] - begin
+    ids, upto = lattices.ids[ranges(begin, size)], np.concatenate(([0], np.cumsum(size)))
+    ends = upto[np.cumsum([0] + [len(r[3]) for rows in done for r in rows])].tolist()
+    spelled = iter(zip(ends, ends[1:], strict=False))
+    return [[(value, logp, inclusion, ids[slice(*next(spelled))]) for value, logp, inclusion, _ in rows] for rows in done]
 
 
 def _encoder(model, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

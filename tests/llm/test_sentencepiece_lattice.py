@@ -112,6 +112,23 @@ def test_cache_does_not_matter(monkeypatch):
     assert str(a) == str(b)
 
 
+def test_words_met_often_stay(monkeypatch):
+    """A full cache keeps the words that come again and again; samples stay the same."""
+    key = np.array([5, 6], np.uint64)
+    often = "the same words and the naïve 日本 ones "
+    texts = [[often + " ".join(f"w{i}x{j}q" for j in range(400)), often] for i in range(6)]
+    fresh = [str(S.sample_texts(S.Lattices(MODEL), key, t, 2)) for t in texts]
+    monkeypatch.setattr(S, "CACHE", 1 << 17)
+    lat, put_in = S.Lattices(MODEL), []
+    add = lat.add
+    monkeypatch.setattr(lat, "add", lambda chars, size, names: (put_in.append(names), add(chars, size, names))[1])
+    assert [str(S.sample_texts(lat, key, t, 2)) for t in texts] == fresh
+    assert lat.held() < 1 << 18 and len(lat.index) < 1000  # it was thinned
+    # what was put in at first and came again was kept
+    again = [n for names in put_in[2:] for n in names]
+    assert len(put_in) >= 6 and not set(put_in[0]) & set(again)
+
+
 def test_real_documents(spark):
     got = rows(S.op1_gumbel_segmentations(spark, "/root/testdata/sf0.001").select("doc_id", "sample", "exact", "log_prob", "inclusion"))
     assert len(got) == 400 and all(r["exact"] and r["log_prob"] <= 0 and 0 <= r["inclusion"] <= 1 for r in got)
