@@ -40,12 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, kept_in_worker, list_array, mix, powers, ranges, small_batches, table
+from lotguard.llm.common import U64, kept_in_worker, list_array, mix, powers, ranges, release_memory, small_batches, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Segmentations of a text; seed of all draws.
 K, SEED = 2, 7
-SLICE = 1 << 19
+SLICE = 1 << 17
 #: Bytes of word lattices that a worker keeps; occurrences that are drawn, and
 #: words that are put in, at once.
 CACHE, CHUNK, NEW = 32 << 20, 1 << 15, 1 << 13
@@ -174,6 +174,13 @@ class Lattices:
             g.clear()
         self._name()
 
+    def forget(self) -> None:
+        """Drop all lattices, with the room they took."""
+        self.times = self.back = np.zeros(0, U64)
+        for g in self.grown.values():
+            g.data = np.zeros(1 << 10, g.data.dtype)
+        self.clear()
+
     def held(self) -> int:
         """Bytes of the arrays in use."""
         return sum(g.size * g.data.itemsize for g in self.grown.values())
@@ -567,6 +574,9 @@ def _encoder(model, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                  *(pa.array([s[c] for s in flat], pa.float64()) for c in range(3)), pa.array(back, pa.bool_())],
                 names=["key", "sample", "ids", "perturbed", "log_prob", "inclusion", "exact"],
             )
+        batch = texts = found = flat = ids = back = None
+        lattices.forget()
+        release_memory()
 
     return rows
 

@@ -31,3 +31,27 @@ def test_kept_in_worker():
     made = []
     make = lambda: made.append(1) or len(made)
     assert [kept_in_worker("test", v, make) for v in (1, 1, 2, 2, 1)] == [1, 1, 2, 2, 3]
+
+
+def test_memory_is_given_back_behind_a_task():
+    """What the encoder took goes back to the system when its batches end."""
+    import numpy as np
+    import psutil
+    import pyarrow as pa
+
+    from lotguard.llm import sentencepiece_lattice as S
+
+    class Model:
+        value = S.load_model()
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 9)) for _ in range(10_000)) for _ in range(8)]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(texts), pa.array(range(8))], names=["key", "text", "seed"])
+    few = batch.slice(0, 1).set_column(1, "text", pa.array(["a few words"]))
+    encoded = S._encoder(Model, 2)
+    sizes = []
+    for rows in (few, batch):
+        for _ in encoded(iter([rows])):
+            pass
+        sizes.append(psutil.Process().memory_info().rss)
+    assert sizes[1] - sizes[0] < 24 << 20
