@@ -38,17 +38,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotguard.llm.common import U64, bodies_of, forget_shuffles, mix, pair, small_batches, table, text_key, unpacked, written
+from lotguard.llm.common import U64, bodies_of, forget_shuffles, forget_tables, mix, pair, small_batches, table, text_key, unpacked, written
 from lotguard.llm.components import components
 from lotguard.llm.hot_join import hot_join
 from lotguard.llm.words import segment_hashes
 
 #: Cells of a sketch; texts of a block.
 CELLS, BLOCK = 256, 1000
+#: Right and left texts of a group of pairs that are compared; bytes of either, packed.
+RIGHT, LEFT, PACKED = 256, 512, 1 << 23
+#: Bits of a signature. Sharers are compared, so that a chance one does no harm.
+BITS = 48
 #: Bytes of text handled at once.
 SLICE = 1 << 18
 
@@ -139,7 +142,7 @@ def signatures(shingles: np.ndarray, last: np.ndarray, like: Likeness = QUERY) -
             rest = value[cell == c]
             variants = np.concatenate(([sums[c]], sums[c] - rest)).astype(U64)
             out.append(mix(others[c] + mix(name[c : c + 1]) + mix(variants + U64(1))))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, U64)
+    return np.unique(np.concatenate(out) >> U64(64 - BITS)) if out else np.zeros(0, U64)
 
 
 def _signature_rows(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -229,32 +232,61 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _compare(like: Likeness) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From rows sorted by group, the right texts of each before the left ones."""
         n, d = like.apart
-        last: tuple[bytes, np.ndarray] | None = None
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch, texts in unpacked(small_batches(batches, "b_body", 1 << 23), "a_body", SLICE):
-            left = shingle_sets(texts, like)
+        group, right = None, {}
+        for batch, texts in unpacked(batches, "body", SLICE):
             rows = []
-            for x, body in zip(left, batch.column("b_body"), strict=True):
-                body = body.as_py()
-                if last is None or last[0] != body:  # neighbouring rows mostly share it
-                    last = body, shingle_sets([unpack(body)], like)[0]
-                both = len(x) + len(last[1])
-                apart = both - 2 * len(np.intersect1d(x, last[1], assume_unique=True))
-                rows.append((len(x), len(last[1]), apart, both > 0 and d * apart <= n * both, apart <= 2 * farthest(len(x), len(last[1]), like)))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
-            cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.record_batch([batch.column("a"), batch.column("b"), *cols], names=["a", "b", "a_size", "b_size", "apart", "linked", "close"])
+            sets = shingle_sets(texts, like)
+            for t, x, partners, *key in zip(batch.column("t_id").to_pylist(), sets, batch.column("partners").to_pylist(), *(batch.column(c).to_pylist() for c in ("g", "i", "j")), strict=True):
+                if key != group:
+                    group, right = key, {}
+                if partners is None:
+                    right[t] = x
+                for other in partners or ():
+                    y = right[other]
+                    both = len(x) + len(y)
+                    apart = both - 2 * len(np.intersect1d(x, y, assume_unique=True))
+                    rows.append((t, other, len(x), len(y), apart, both > 0 and d * apart <= n * both, apart <= 2 * farthest(len(x), len(y), like)))
+            if rows:
+                kinds = [pa.int64()] * 5 + [pa.bool_()] * 2
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["a", "b", "a_size", "b_size", "apart", "linked", "close"])
 
     return rows
 
 
+def grouped(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs (a, b) with a group (g, i, j) each, so that a text with several
+    right ones is mostly in one group with them all. A group has about
+    ``RIGHT`` right texts and ``LEFT`` left ones at most, or ``PACKED`` bytes
+    of either; ``sizes``: t_id, packed."""
+    used = pairs.groupBy("b").agg(F.count("*").alias("n"))
+    used = pairs.join(used, "b").select("a", "b", F.struct("n", "b").alias("top"))
+    best = used.groupBy("a").agg(F.max("top").alias("top"))  # the right text that most have
+    g = written(pairs.join(best, "a").groupBy("b").agg(F.max("top")["b"].alias("g")), "groups")
+    placed = written(pairs.join(g, "b"), "grouped")
+
+    def parts(side: str, most: int, name: str) -> DataFrame:
+        one = placed.select("g", F.col(side).alias("t_id")).distinct().join(sizes, "t_id")
+        return one.groupBy("g").agg(F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("packed") / PACKED)).alias(name))
+
+    parted = placed.join(parts("b", RIGHT, "i").join(parts("a", LEFT, "j"), "g"), "g")
+    place = [F.pmod(F.xxhash64(x), F.col(n)).cast("int").alias(n) for x, n in (("b", "i"), ("a", "j"))]
+    out = written(parted.select("a", "b", "g", *place), "grouped-pairs")
+    forget_tables(g, placed)
+    return out
+
+
 def compared(pairs: DataFrame, texts: DataFrame, like: Likeness = QUERY) -> DataFrame:
-    """Exact comparison of pairs (a, b) of packed texts (t_id, body): sizes, shingles
-    that set them apart, linked, close (apart by at most twice what a link allows)."""
-    left, right = (texts.select(F.col("t_id").alias(s), F.col("body").alias(f"{s}_body")) for s in "ab")
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_body", "b_body")
-    return both.mapInArrow(_compare(like), "a long, b long, a_size long, b_size long, apart long, linked boolean, close boolean")
+    """Exact comparison of distinct pairs (a, b) of packed texts (t_id, body, packed):
+    sizes, shingles that set them apart, linked, close (apart by at most twice
+    what a link allows). A text travels once for a group, not for each pair."""
+    placed, by = grouped(pairs, texts.select("t_id", "packed")), ["g", "i", "j"]
+    left = placed.groupBy(F.col("a").alias("t_id"), *by).agg(F.collect_list("b").alias("partners"))
+    right = placed.select(F.col("b").alias("t_id"), *by).distinct().withColumn("partners", F.lit(None).cast("array<bigint>"))
+    rows = left.unionByName(right).join(texts.select("t_id", "body"), "t_id")
+    rows = rows.repartition(*by).sortWithinPartitions(*by, F.col("partners").isNotNull())
+    return rows.mapInArrow(_compare(like), "a long, b long, a_size long, b_size long, apart long, linked boolean, close boolean")
 
 
 def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -322,9 +354,9 @@ def linked_texts(docs: DataFrame, text: str = "text", like: Likeness = QUERY) ->
     )
     forget_shuffles(docs.sparkSession)  # the signatures: most of what is moved
     nodes = written(shared.select("t_hash", "t_len").distinct().withColumn("t_id", F.monotonically_increasing_id()), "nodes")
-    texts = written(bodies_of(bodies, nodes, ["t_hash", "t_len"]).select("t_id", "body"), "texts")
+    texts = written(bodies_of(bodies, nodes, ["t_hash", "t_len"]).select("t_id", "body", F.octet_length("body").alias("packed")), "texts")
     forget_shuffles(docs.sparkSession)
-    sketched = written(texts.mapInArrow(_sketches(like), "t_id long, size long, sketch binary"), "sketches")
+    sketched = written(texts.select("t_id", "body").mapInArrow(_sketches(like), "t_id long, size long, sketch binary"), "sketches")
     key, hub_key = ["t_hash", "t_len"], ["hub_hash", "hub_len"]
     hubs = nodes.select(F.col("t_hash").alias("hub_hash"), F.col("t_len").alias("hub_len"), F.col("t_id").alias("b"))
     pairs = shared.filter("t_hash <> hub_hash or t_len <> hub_len").select(*key, *hub_key).distinct()
@@ -333,7 +365,10 @@ def linked_texts(docs: DataFrame, text: str = "text", like: Likeness = QUERY) ->
     n, d = like.apart
     allowed = F.expr(f"{n} * (a_size + b_size) div {d}")
     first = written(bounded(pairs.select("a", "b"), sketched), "first")
-    near = written(compared(first.filter(F.col("least") <= 2 * allowed), texts, like), "near")
+    likely = written(first.filter(F.col("least") <= 2 * allowed).select("a", "b"), "likely")
+    forget_shuffles(docs.sparkSession)
+    near = written(compared(likely, texts, like), "near")
+    forget_tables(likely)
     forget_shuffles(docs.sparkSession)
     links = near.filter("linked").select("a", "b")
     # What a text is to the hub of a signature that it shares; most are linked
@@ -345,16 +380,22 @@ def linked_texts(docs: DataFrame, text: str = "text", like: Likeness = QUERY) ->
     loose = shared.join(pairs.join(kinds, ["a", "b"]).drop("b"), [*key, *hub_key])
     loose = written(loose.select("sig", F.col("a").alias("t_id"), "linked", "marked", "partner"), "loose")
     # Texts that share a signature and don't link with its hub: the smallest of them is a second hub.
+    forget_tables(shared, pairs, first)
     left = loose.filter("not linked").select("sig", "t_id")
     second = left.groupBy("sig").agg(F.min("t_id").alias("b"), F.count("*").alias("n")).filter("n > 1").select("sig", "b")
     tried = left.join(second, "sig").filter("t_id <> b").select(F.col("t_id").alias("a"), "b").distinct()
-    more = compared(bounded(tried, sketched).filter(F.col("least") <= allowed), texts, like)
+    tried = written(bounded(tried, sketched).filter(F.col("least") <= allowed).select("a", "b"), "tried")
+    more = compared(tried, texts, like)
     links = written(links.unionByName(more.filter("linked").select("a", "b")), "links")
     forget_shuffles(docs.sparkSession)
     roots = components(links)
     found = unlike_pairs(loose, near, roots, sketched, like)
-    last = compared(bounded(found, sketched).filter(F.col("least") <= allowed), texts, like)
-    return nodes, written(links.unionByName(last.filter("linked").select("a", "b")), "links")
+    found = written(bounded(found, sketched).filter(F.col("least") <= allowed).select("a", "b"), "found")
+    last = compared(found, texts, like)
+    every = written(links.unionByName(last.filter("linked").select("a", "b")), "links")
+    forget_tables(texts, sketched, near, loose, tried, found, links)
+    forget_shuffles(docs.sparkSession)
+    return nodes, every
 
 
 def rooted(rows: DataFrame, roots: DataFrame, of: str, name: str) -> DataFrame:

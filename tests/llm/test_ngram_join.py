@@ -1,5 +1,6 @@
 """Operator 10 against brute force over all pairs."""
 
+import os
 import random
 import re
 from collections import Counter
@@ -177,3 +178,23 @@ def test_five_words_and_four_fifths(spark):
     want = {i for i in range(len(texts)) if i % 2 == 0 or 5 * len(shingles[i] & shingles[i - 1]) < 4 * len(shingles[i] | shingles[i - 1])}
     assert len(texts) // 2 < len(want) < len(texts)
     assert {r["doc_id"] for r in rows(corpus_pipeline.near_duplicates(spark, frame(spark, texts), ""))} == want
+
+
+def test_a_text_travels_once_for_a_group(spark):
+    """Forty texts with ten right ones each, and a right one that many have."""
+    pairs = [(100 + a, b) for a in range(40) for b in range(10)] + [(1000 + a, 50) for a in range(1500)]
+    sizes = spark.createDataFrame([(t, 100) for t in {x for p in pairs for x in p}], "t_id long, packed int")
+    got = rows(J.grouped(spark.createDataFrame(pairs, "a long, b long"), sizes))
+    assert sorted((r["a"], r["b"]) for r in got) == sorted(pairs)
+    assert len({(r["a"], r["g"], r["i"], r["j"]) for r in got if r["b"] < 10}) == 40
+    assert max(Counter((r["g"], r["i"], r["j"]) for r in got if r["b"] == 50).values()) < 1.5 * J.LEFT
+
+
+def test_tables_between_steps_go(spark):
+    from lotguard.session import ensure_checkpoint_dir
+
+    home = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(home))
+    J.linked_texts(frame(spark, corpus(3, 20)))
+    left = Counter(re.match("llm-(.*)-", f)[1] for f in set(os.listdir(home)) - before if f.startswith("llm-"))
+    assert not set(left) & {"sharers", "texts", "sketches", "pairs", "first", "near", "loose", "grouped", "least"} and left["links"] == 1

@@ -1,7 +1,9 @@
 """Operator 2 against brute force over all 400-byte strings."""
 
 import hashlib
+import os
 import random
+import re
 from collections import Counter
 
 import pyarrow.parquet as pq
@@ -145,3 +147,13 @@ def test_passage_of_sixty_words(spark):
     assert list(whole) == [2]
     same = frame(spark, [passage * 2, passage * 2], [1, 1])  # rows equal in key and text count as one
     assert [r["text"] for r in rows(S.remove_repeats(same, length=225, keep_first="doc_id"))] == [passage] * 2
+
+
+def test_tables_between_steps_go(spark):
+    from lotguard.session import ensure_checkpoint_dir
+
+    home = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(home))
+    S.repeated_strings(frame(spark, corpus()), length=225, keep_first="doc_id")
+    left = Counter(re.match("llm-(.*)-", f)[1] for f in set(os.listdir(home)) - before if f.startswith("llm-"))
+    assert not set(left) & {"runs", "buckets", "shared-runs", "groups", "short-runs"} and left["repeated-texts"] == 1
